@@ -21,9 +21,14 @@ def _b32(expr: Column, base: int, width: int) -> Column:
 
 
 def event_ulid(event_time: Column, *seed: Column) -> Column:
-    # milliseconds since the epoch of a TIMESTAMP_NTZ, independent of the session zone
-    millis = F.timestamp_diff(
-        "MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), event_time
+    # milliseconds since the epoch of a TIMESTAMP_NTZ, from its calendar
+    # fields, so the result does not depend on the session time zone
+    days = F.datediff(F.to_date(event_time), F.lit("1970-01-01").cast("date")).cast("bigint")
+    millis = (
+        days * 86_400_000
+        + F.hour(event_time).cast("bigint") * 3_600_000
+        + F.minute(event_time).cast("bigint") * 60_000
+        + F.floor(F.date_part(F.lit("SECOND"), event_time) * 1000).cast("bigint")
     )
     digest = F.sha2(F.concat_ws("/", *[s.cast("string") for s in seed]), 256)
     return F.concat(

@@ -47,6 +47,16 @@ def pending_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
     )
 
 
+def pending_manifest_as_of(spark: SparkSession, layout: Layout, as_of: int) -> DataFrame:
+    """J5 as of ledger sequence ``as_of``: what was pending at that point."""
+    committed = read_ledger(spark, layout).where(F.col("merge_seq") <= F.lit(int(as_of))).select(
+        "namespace", "type", F.explode("child_batches").alias("batch_id")
+    )
+    return valid_manifest(read_manifest(spark, layout)).join(
+        committed, ["namespace", "type", "batch_id"], "left_anti"
+    )
+
+
 def merge_summary(pending: DataFrame) -> DataFrame:
     """Per table, the files to merge and their totals."""
     return pending.groupBy("namespace", "type").agg(

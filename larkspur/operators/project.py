@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.contract import COMMON_FIELDS, R_COERCION
-from larkspur.functions.coerce import attribute, coerce, text_of, value_kind
+from larkspur.functions.coerce import KIND_NULL, attribute, coerce, text_of, value_kind
 from larkspur.functions.ids import event_ulid
 from larkspur.sources.catalog import TableSpec
 
@@ -25,20 +25,24 @@ def attribute_columns(spec: TableSpec) -> list[Column]:
     return out
 
 
-def typed_columns(spec: TableSpec) -> tuple[list[Column], Column, Column]:
-    """(typed field columns, any-failure flag, failed-column list), over the
-    columns of ``attribute_columns``."""
-    values, failures = [], []
+def typed_columns(spec: TableSpec) -> list[Column]:
+    """Middle projection: the typed value of each field, over the columns of
+    ``attribute_columns``, plus its failure flag ``_f<i>``."""
+    out = []
     for i, name, dt in _product_fields(spec):
-        value, failed = coerce(F.col(f"_a{i}"), dt, F.col(f"_k{i}"), F.col(f"_t{i}"))
-        values.append(value.alias(name))
-        failures.append(F.when(failed, F.lit(name)))
-    if failures:
-        failed_list = F.concat_ws(",", *failures)
-        any_failed = failed_list != ""
-    else:
-        failed_list, any_failed = F.lit(""), F.lit(False)
-    return values, any_failed, failed_list
+        value, _ = coerce(F.col(f"_a{i}"), dt, F.col(f"_k{i}"), F.col(f"_t{i}"))
+        out.append(value.alias(name))
+    return out
+
+
+def failure_columns(spec: TableSpec) -> Column:
+    """Outer projection: comma list of fields that were present but did not
+    convert (empty when the row is clean)."""
+    parts = [
+        F.when((F.col(f"_k{i}") != KIND_NULL) & F.col(f"`{name}`").isNull(), F.lit(name))
+        for i, name, _ in _product_fields(spec)
+    ]
+    return F.concat_ws(",", *parts) if parts else F.lit("")
 
 
 def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None = None) -> DataFrame:
@@ -46,24 +50,34 @@ def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None =
     and ``detail`` (comma list of columns that failed to coerce).
 
     ``events`` must carry the decode/route columns. Only rows of this table
-    that passed every earlier check are projected.
+    that passed every earlier check are projected. The work is split in
+    stacked projections (attribute kind/text -> typed values -> failures)
+    so that no expression is repeated and generated code stays small.
     """
     if load_time is None:
         load_time = F.localtimestamp()
-    values, any_failed, failed_list = typed_columns(spec)
+    carry = ["namespace", "type", "source_partition", "source_offset", "value",
+             *[c for c in ("batch_id",) if c in events.columns]]
+    kinds = [f"_k{i}" for i, _, _ in _product_fields(spec)]
+    names = [name for _, name, _ in _product_fields(spec)]
     mine = events.where(
         (F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("reason").isNull()
-    ).select("*", *attribute_columns(spec))
-    return mine.select(
+    ).select("tenant_id", "event_time", *carry, *attribute_columns(spec))
+    typed = mine.select(
         event_ulid(F.col("event_time"), F.col("source_partition"), F.col("source_offset")).alias("event_id"),
-        F.col("tenant_id"),
+        "tenant_id",
         load_time.cast("timestamp_ntz").alias("load_time"),
-        F.col("event_time"),
-        *values,
-        F.when(any_failed, F.lit(R_COERCION)).alias("reason"),
-        F.when(any_failed, failed_list).alias("detail"),
-        "namespace", "type", "source_partition", "source_offset", "value",
-        *[c for c in ("batch_id",) if c in events.columns],
+        "event_time",
+        *typed_columns(spec),
+        *kinds,
+        *carry,
+    )
+    checked = typed.select("*", failure_columns(spec).alias("_failed"))
+    return checked.select(
+        "event_id", "tenant_id", "load_time", "event_time", *[f"`{n}`" for n in names],
+        F.when(F.col("_failed") != "", F.lit(R_COERCION)).alias("reason"),
+        F.when(F.col("_failed") != "", F.col("_failed")).alias("detail"),
+        *carry,
     )
 
 

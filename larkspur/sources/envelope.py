@@ -51,14 +51,18 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
     parsed = raw.withColumn("_env", env)
     e = F.col("_env")
     parsed_time = parse_event_time(e["eventTime"])
+    value = F.col("value")
+    decodable = ~(value.isNull() | (F.trim(value) == "") | (F.trim(value) == "null")) & e["_corrupt"].isNull()
     return parsed.select(
         *[c for c in raw.columns],
         e["namespace"].alias("namespace"),
         e["type"].alias("type"),
         e["tenantId"].alias("tenant_id"),
-        F.coalesce(parsed_time, F.when(e["eventTime"].isNull(), default_time.cast("timestamp_ntz")))
-        .alias("event_time"),
-        (e["eventTime"].isNull()).alias("event_time_defaulted"),
+        F.when(
+            decodable,
+            F.coalesce(parsed_time, F.when(e["eventTime"].isNull(), default_time.cast("timestamp_ntz"))),
+        ).alias("event_time"),
+        (decodable & e["eventTime"].isNull()).alias("event_time_defaulted"),
         e["attributes"].alias("attributes"),
         decode_reason(e, F.col("value"), parsed_time).alias("reason"),
     )

@@ -145,4 +145,36 @@ def raw_records(events: DataFrame) -> DataFrame:
 
 
 def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived log as a lazily computed DataFrame."""
     return raw_records(events_table(spark, sf_dir))
+
+
+# Rows per landed file: bounds file size whatever the input size is.
+LANDING_ROWS_PER_FILE = 1_000_000
+_LANDED: dict = {}
+
+
+def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived log written once as a Parquet table in the shared folder
+    and read back - the shape real input has (topic partitions / landed
+    files): many files, plain columns, parallel reads.
+
+    Files are cut by offset range, ``defaultParallelism`` ranges at least.
+    """
+    from larkspur.session import work_root
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _LANDED.get(key)
+    if path is None:
+        path = work_root(spark, "landing") + "/raw"
+        n = max(2, spark.sparkContext.defaultParallelism * 2)
+        (
+            fixture_records(spark, sf_dir)
+            .repartitionByRange(n, "source_offset")
+            .write.option("maxRecordsPerFile", LANDING_ROWS_PER_FILE)
+            .parquet(path)
+        )
+        _LANDED[key] = path
+    from larkspur.contract import RAW_SCHEMA
+
+    return spark.read.schema(RAW_SCHEMA).parquet(path)
