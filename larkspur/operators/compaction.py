@@ -106,6 +106,10 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     total_bytes = int(summary_row["length"] or 0)
     total_rows = int(summary_row["total_records"] or 0)
     n_out = max(1, math.ceil(total_bytes / settings.target_file_bytes), math.ceil(total_rows / settings.target_file_rows))
+    if spec.hourly:
+        # an hourly layout has a directory per hour: let several tasks write
+        # contiguous hour ranges instead of one task writing them all
+        n_out = max(n_out, spark.sparkContext.defaultParallelism)
     # Range partitioning on (date, time) splits even one hot day over several
     # tasks and leaves every file sorted by event_time, so min/max statistics
     # skip row groups on time filters.

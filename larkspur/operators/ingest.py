@@ -66,11 +66,14 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
         active = [s for s in specs if (s.namespace, s.table_name) in present_keys]
         typed_all = []
         for spec in active:
-            typed = project_typed(routed, spec, load_time)
+            # coerced once, read twice (staged rows, then quarantined rows)
+            typed = project_typed(routed, spec, load_time).persist(StorageLevel.MEMORY_AND_DISK)
             typed_all.append(typed)
             stage_rows(table_rows(typed, spec), spec, layout, settings.max_buffer_records)
         q = quarantine_rows(routed, typed_all)
         _overwrite_partitions(q, layout.quarantine, ["batch_id"])
+        for t in typed_all:
+            t.unpersist()
         manifests = [staged_files(spark, spec, layout, batch_ids) for spec in active]
         if manifests:
             m = manifests[0]

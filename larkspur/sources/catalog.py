@@ -232,18 +232,15 @@ def apply_schema(spark: SparkSession, catalog_dir: str, root: str, namespace: st
     live_rows = live.collect()
     layout = Layout(root)
     if not live_rows:
-        new = decl.select(
+        rows = decl.select(
             "namespace", "table_name", F.lit(1).alias("version"), "bucket_name",
             "partition_type", "field_id", "name", "data_type",
-        )
-        if new.isEmpty():  # a declaration without fields still creates the table
+        ).collect()  # one row per declared column
+        if not rows:  # a declaration without fields still creates the table
             meta = read_declaration(spark, catalog_dir, namespace, table).first()
-            new = spark.createDataFrame(
-                [(namespace, table, 1, meta["bucketName"], meta["partitionType"], None, None, None)],
-                REGISTRY_DDL,
-            )
-        new.write.mode("append").parquet(layout.registry)
-        return ApplyResult(MSG_SCHEMA_APPLIED, version=1, created=True, added=new.count())
+            rows = [(namespace, table, 1, meta["bucketName"], meta["partitionType"], None, None, None)]
+        spark.createDataFrame(rows, REGISTRY_DDL).coalesce(1).write.mode("append").parquet(layout.registry)
+        return ApplyResult(MSG_SCHEMA_APPLIED, version=1, created=True, added=len(rows))
     version = live_rows[0]["version"]
     diff = schema_diff(decl, live).cache()
     counts = {r["change"]: r["n"] for r in diff.groupBy("change").agg(F.count("*").alias("n")).collect()}
