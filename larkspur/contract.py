@@ -60,7 +60,7 @@ LEDGER_DDL = (
     "namespace string, type string, merge_id string, merge_seq bigint, "
     "committed_at timestamp_ntz, schema_version int, total_records bigint, "
     "length bigint, child_items array<string>, child_batches array<string>, "
-    "max_load_time timestamp_ntz"
+    "max_load_time timestamp_ntz, min_event_time timestamp_ntz, max_event_time timestamp_ntz"
 )
 
 QUARANTINE_DDL = (
@@ -141,6 +141,9 @@ class Settings:
     target_file_bytes: int = 128 * 1024 * 1024
     # Rows per merged file when byte sizes are not known yet.
     target_file_rows: int = 2_000_000
+    # Staged batches per merge: a backlog is merged in several commits, each
+    # with a bounded file list, instead of one unbounded merge.
+    max_batches_per_merge: int = 500
     # Label of the checkpoint generation, prefixed to streaming batch ids.
     epoch: str = "e0"
     extra: dict = field(default_factory=dict)

@@ -58,16 +58,39 @@ def pending_manifest_as_of(spark: SparkSession, layout: Layout, as_of: int) -> D
 
 
 def merge_summary(pending: DataFrame) -> DataFrame:
-    """Per table, the files to merge and their totals."""
-    return pending.groupBy("namespace", "type").agg(
+    """Per table and staged batch, its files and totals. One row per
+    (table, batch): the file list of a row is bounded by one batch."""
+    return pending.groupBy("namespace", "type", "batch_id").agg(
         F.count(F.lit(1)).alias("n_files"),
         F.sum("total_records").cast("bigint").alias("total_records"),
         F.sum("length").cast("bigint").alias("length"),
         F.array_sort(F.collect_list("location")).alias("child_items"),
-        F.array_sort(F.collect_set("batch_id")).alias("child_batches"),
     )
 
 
+def plan_merges(summary_rows, max_batches: int) -> list[dict]:
+    """Group per-batch summary rows into merges of at most ``max_batches``
+    batches per table, oldest batches first."""
+    by_table: dict = {}
+    for r in summary_rows:
+        by_table.setdefault((r["namespace"], r["type"]), []).append(r)
+    out = []
+    for (ns, tp), rows in sorted(by_table.items()):
+        rows.sort(key=lambda r: r["batch_id"])
+        for i in range(0, len(rows), max_batches):
+            chunk = rows[i:i + max_batches]
+            out.append({
+                "namespace": ns,
+                "type": tp,
+                "n_files": sum(int(r["n_files"]) for r in chunk),
+                "total_records": sum(int(r["total_records"] or 0) for r in chunk),
+                "length": sum(int(r["length"] or 0) for r in chunk),
+                "child_items": sorted(p for r in chunk for p in (r["child_items"] or [])),
+                "child_batches": [r["batch_id"] for r in chunk],
+            })
+    return out
+
+
 def merge_id_of(namespace: str, table: str, batches: list[str]) -> str:
     text = "\x1f".join([namespace, table, *sorted(batches)])
     return hashlib.sha256(text.encode()).hexdigest()[:20]
@@ -116,15 +139,19 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     out = rows.repartitionByRange(n_out, *spec.partition_columns, "event_time")
     target = f"{layout.data(spec.bucket_name)}/merge_id={merge_id}"
     out.write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(target)
-    written = (
-        spark.read.parquet(target)
-        .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"), "load_time")
+    stats = (
+        spark.read.schema(spec.struct()).parquet(target)
+        .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
+                "load_time", "event_time")
         .groupBy("p")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"), F.max("load_time").alias("l"))
-        .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("files"),
-             F.max("l").alias("l"))
-        .first()
+        .agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"), F.max("load_time").alias("l"),
+             F.min("event_time").alias("t0"), F.max("event_time").alias("t1"))
+        .agg(F.sum("n").cast("bigint").alias("total_records"), F.sum("s").cast("bigint").alias("length"),
+             F.count(F.lit(1)).alias("files"), F.max("l").alias("l"), F.min("t0").alias("t0"),
+             F.max("t1").alias("t1"))
+        .select("*", F.lit(spec.table_name).alias("type"), F.lit(target).alias("location"))
     )
+    written = stats.select("*", commit_guard().alias("ok")).first()
     single = int(summary_row["n_files"]) == 1
     row = {
         "namespace": spec.namespace,
@@ -133,20 +160,18 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
         "merge_seq": merge_seq,
         "committed_at": None,
         "schema_version": spec.version,
-        "total_records": int(written["n"] or 0),
-        "length": int(written["s"] or 0),
+        "total_records": int(written["total_records"] or 0),
+        "length": int(written["length"] or 0),
         # A single staged file passes through unchanged, without children
         "child_items": None if single else list(summary_row["child_items"]),
         "child_batches": batches,
-        "max_load_time": None,
+        "max_load_time": written["l"],
+        "min_event_time": written["t0"],
+        "max_event_time": written["t1"],
     }
-    guard = spark.createDataFrame(
-        [(row["type"], target, row["total_records"], row["length"])],
-        "type string, location string, total_records bigint, length bigint",
-    ).select(commit_guard().alias("ok")).first()["ok"]
+    guard = bool(written["ok"])
     if guard:
         row["committed_at"] = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-        row["max_load_time"] = written["l"]
         write_ledger_row(spark, layout, row)
     return MergeResult(spec.namespace, spec.table_name, merge_id, merge_seq, row["total_records"],
                        row["length"], int(written["files"] or 0), bool(guard))
@@ -161,7 +186,8 @@ def merge_pending(spark: SparkSession, layout: Layout, specs: list[TableSpec],
     """
     settings = settings or Settings()
     by_key = {(s.namespace, s.table_name): s for s in specs}
-    summary = merge_summary(pending_manifest(spark, layout)).orderBy("namespace", "type").collect()
+    summary = plan_merges(merge_summary(pending_manifest(spark, layout)).collect(),
+                          settings.max_batches_per_merge)
     if not summary:
         return []
     last = read_ledger(spark, layout).agg(F.max("merge_seq").alias("m")).first()["m"]

@@ -57,12 +57,14 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
     layout = Layout(root)
     routed = route(decode_envelope(raw), specs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        present = (
-            routed.where(F.col("reason").isNull())
-            .select("namespace", "type").distinct().collect()
+        # one small job: which batches and which tables this input holds
+        seen = (
+            routed.groupBy("batch_id", "namespace", "type")
+            .agg(F.count_if(F.col("reason").isNull()).alias("ok"))
+            .collect()
         )
-        batch_ids = sorted(r["batch_id"] for r in routed.select("batch_id").distinct().collect())
-        present_keys = {(r["namespace"], r["type"]) for r in present}
+        batch_ids = sorted({r["batch_id"] for r in seen})
+        present_keys = {(r["namespace"], r["type"]) for r in seen if r["ok"] > 0}
         active = [s for s in specs if (s.namespace, s.table_name) in present_keys]
         typed_all = []
         for spec in active:

@@ -62,12 +62,27 @@ def time_predicate(start=None, end=None):
     return cond
 
 
+def overlapping(ledger: DataFrame, start=None, end=None) -> DataFrame:
+    """Ledger rows whose [min, max] event_time can hold rows in [start, end)."""
+    s, e = _as_datetime(start), _as_datetime(end)
+    if s is not None:
+        ledger = ledger.where(F.col("max_event_time").isNull() | (F.col("max_event_time") >= F.lit(s).cast("timestamp_ntz")))
+    if e is not None:
+        ledger = ledger.where(F.col("min_event_time").isNull() | (F.col("min_event_time") < F.lit(e).cast("timestamp_ntz")))
+    return ledger
+
+
 def read_table(spark: SparkSession, root: str, spec: TableSpec, start=None, end=None,
                as_of: int | None = None) -> DataFrame:
     """Committed rows of one table, optionally in ``[start, end)`` and as of
-    ledger sequence ``as_of`` (time travel, K4)."""
+    ledger sequence ``as_of`` (time travel, K4).
+
+    Merges whose event-time span misses the range are not even listed: the
+    ledger keeps each merge's min/max event_time, like a table manifest.
+    """
     layout = Layout(root)
-    ids = [r["merge_id"] for r in visible_ledger(spark, layout, spec, as_of).select("merge_id").collect()]
+    led = overlapping(visible_ledger(spark, layout, spec, as_of), start, end)
+    ids = [r["merge_id"] for r in led.select("merge_id").collect()]
     schema = table_schema(spec)
     if not ids:
         return spark.createDataFrame([], schema)
@@ -85,11 +100,12 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec, start=None, end=
 def read_table_declarative(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None) -> DataFrame:
     """J6 as a join: all data files semi-joined with the visible ledger.
 
-    Same rows as ``read_table``; the filtered ledger is broadcast (one row
-    per merge) and dynamic partition pruning restricts the scan to the
-    ``merge_id`` directories it names.
+    Same rows as ``read_table``. The filtered ledger has one row per merge;
+    when the planner's size estimate puts it under the broadcast threshold
+    the join is a broadcast and dynamic partition pruning restricts the scan
+    to the ``merge_id`` directories it names, otherwise it is a shuffle join.
     """
     layout = Layout(root)
     data = spark.read.schema(table_schema(spec)).parquet(layout.data(spec.bucket_name))
     led = visible_ledger(spark, layout, spec, as_of).select("merge_id")
-    return data.join(F.broadcast(led), "merge_id", "left_semi")
+    return data.join(led, "merge_id", "left_semi")

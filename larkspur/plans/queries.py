@@ -33,7 +33,7 @@ from larkspur.sources.catalog import (
     specs_from_catalog,
 )
 from larkspur.functions.times import format_event_time
-from larkspur.sources.envelope import decode_envelope, encode_envelope
+from larkspur.sources.envelope import decode_envelope, encode_envelope, envelope_json
 from larkspur.sources.fixture import PROBE_KEYS, PROBES, landed_records
 
 STATUS_OK = "accepted"
@@ -99,22 +99,29 @@ def q_unregistered_types(spark, sf_dir):
 
 
 def q_envelope_roundtrip(spark, sf_dir):
-    """A3: decode -> encode -> decode keeps every decodable envelope."""
+    """A3: decode -> encode -> decode keeps every decodable envelope.
+
+    Row by row: the re-encoded text is decoded in the same pass, no join."""
     d = decode_envelope(raw_batches(spark, sf_dir)).where(
         F.col("reason").isNull() | F.col("reason").isin("empty_type", "null_namespace")
     )
-    again = decode_envelope(encode_envelope(d))
-    joined = d.alias("a").join(again.alias("b"), ["source_offset"])
+    fields = ("namespace", "type", "tenant_id", "event_time")
+    first = d.select(
+        "source_partition", "source_offset", "source_ts",
+        *[F.col(c).alias(f"a_{c}") for c in fields],
+        # numbers may change encoding (1e3 -> 1000.0) but not value: compare canonical JSON
+        F.to_json(F.parse_json(F.to_json("attributes"))).alias("a_attributes"),
+        envelope_json().alias("value"),
+    )
+    again = decode_envelope(first)
     same = (
-        F.col("a.namespace").eqNullSafe(F.col("b.namespace"))
-        & F.col("a.type").eqNullSafe(F.col("b.type"))
-        & F.col("a.tenant_id").eqNullSafe(F.col("b.tenant_id"))
-        & (format_event_time(F.col("a.event_time")) == format_event_time(F.col("b.event_time")))
-        # numbers may change encoding (1e3 -> 1000.0) but not value: compare
-        # canonical JSON of both sides
-        & (F.to_json(F.parse_json(F.to_json(F.col("a.attributes")))) == F.to_json(F.col("b.attributes")))
+        F.col("a_namespace").eqNullSafe(F.col("namespace"))
+        & F.col("a_type").eqNullSafe(F.col("type"))
+        & F.col("a_tenant_id").eqNullSafe(F.col("tenant_id"))
+        & (format_event_time(F.col("a_event_time")) == format_event_time(F.col("event_time")))
+        & (F.col("a_attributes") == F.to_json(F.col("attributes")))
     )
-    return joined.groupBy(F.when(same, "same").otherwise("changed").alias("outcome")).agg(
+    return again.groupBy(F.when(same, "same").otherwise("changed").alias("outcome")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -392,11 +399,11 @@ def q_schema_changes(spark, sf_dir):
     ])).alias("x")).groupBy("x.name").agg(F.sum(F.col("x.p").cast("int")).cast("bigint").alias("n_events"))
     version = latest_registry(spark, lake.root).where("table_name = 'api_events'").agg(
         F.max("version").alias("v")
-    )
-    return diff.join(present, "name", "left").crossJoin(F.broadcast(version)).select(
+    ).first()["v"]  # one scalar from the registry
+    return diff.join(present, "name", "left").select(
         "namespace", "table_name", "name", "change", "data_type",
         F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events"),
-        F.col("v").alias("live_version"),
+        F.lit(version).cast("int").alias("live_version"),
     )
 
 

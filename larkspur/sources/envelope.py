@@ -68,21 +68,26 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
     )
 
 
-def encode_envelope(events: DataFrame) -> DataFrame:
-    """Decoded events -> JSON text with the envelope field names (A3).
+def envelope_json() -> Column:
+    """JSON text of the decoded envelope columns (A3).
 
     Times are written as ``yyyy-MM-dd HH:mm:ss`` text, not epoch numbers;
     null fields are left out.
     """
+    return F.to_json(
+        F.struct(
+            F.col("namespace").alias("namespace"),
+            F.col("type").alias("type"),
+            F.col("tenant_id").alias("tenantId"),
+            format_event_time(F.col("event_time")).alias("eventTime"),
+            F.col("attributes").alias("attributes"),
+        )
+    )
+
+
+def encode_envelope(events: DataFrame) -> DataFrame:
+    """Decoded events -> raw records with the envelope as JSON text (A3)."""
     return events.select(
-        F.to_json(
-            F.struct(
-                F.col("namespace").alias("namespace"),
-                F.col("type").alias("type"),
-                F.col("tenant_id").alias("tenantId"),
-                format_event_time(F.col("event_time")).alias("eventTime"),
-                F.col("attributes").alias("attributes"),
-            )
-        ).alias("value"),
+        envelope_json().alias("value"),
         *[c for c in ("source_partition", "source_offset", "source_ts") if c in events.columns],
     )
