@@ -18,6 +18,10 @@ Rules (they mirror the Java conversions the reference applies):
             Never fails.
 * DATE    - text ``yyyy-MM-dd`` that is a real date.
 * TIMESTAMP - text ``yyyy-MM-ddTHH:mm[:ss[.f{1,9}]]`` without zone.
+
+The rules are written as SQL expression text over column names: a table
+with many columns is then built with one call per column instead of
+thousands of small Column calls, and the optimizer sees plain CASE trees.
 """
 
 from __future__ import annotations
@@ -42,76 +46,89 @@ KIND_STRING = "string"
 KIND_BOOLEAN = "boolean"
 KIND_NESTED = "nested"
 
+# VARIANT type names (schema_of_variant, without parameters) -> JSON kind
+_KINDS = {
+    "STRING": KIND_STRING, "BOOLEAN": KIND_BOOLEAN, "VOID": KIND_NULL,
+    "BIGINT": KIND_NUMBER, "INT": KIND_NUMBER, "SMALLINT": KIND_NUMBER, "TINYINT": KIND_NUMBER,
+    "DOUBLE": KIND_NUMBER, "FLOAT": KIND_NUMBER, "DECIMAL": KIND_NUMBER,
+}
 
-def attribute(attributes: Column | str, name: str) -> Column:
-    """``attributes[name]`` as a VARIANT (null when the key is missing)."""
-    col = F.col(attributes) if isinstance(attributes, str) else attributes
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(col, f"$['{quoted}']", "variant")
 
+def _raw(pattern: str) -> str:
+    assert "'" not in pattern
+    return f"r'{pattern}'"
 
-def value_kind(raw: Column) -> Column:
-    """JSON kind of a VARIANT value: null, number, string, boolean, nested."""
-    schema = F.schema_of_variant(raw)
-    return (
-        F.when(raw.isNull() | F.is_variant_null(raw), F.lit(KIND_NULL))
-        .when(schema == "STRING", F.lit(KIND_STRING))
-        .when(schema == "BOOLEAN", F.lit(KIND_BOOLEAN))
-        .when(
-            schema.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
-            | schema.startswith("DECIMAL"),
-            F.lit(KIND_NUMBER),
-        )
-        .when(schema == "VOID", F.lit(KIND_NULL))
-        .otherwise(F.lit(KIND_NESTED))
-    )
 
-
-def _text(raw: Column) -> Column:
-    return F.try_variant_get(raw, "$", "string")
-
-
-def _number_or_text(raw: Column, kind: Column, text: Column, spark_type: str, pattern: str, clean) -> Column:
+def kind_sql(a: str) -> str:
+    """SQL: JSON kind of the VARIANT expression ``a``."""
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in _KINDS.items())
     return (
-        F.when(kind == KIND_NUMBER, F.try_variant_get(raw, "$", spark_type))
-        .when((kind == KIND_STRING) & text.rlike(pattern), clean(text).try_cast(spark_type))
+        f"CASE WHEN ({a}) IS NULL OR is_variant_null({a}) THEN '{KIND_NULL}' "
+        f"ELSE coalesce(map({pairs})[regexp_replace(schema_of_variant({a}), {_raw('[(<].*$')}, '')], "
+        f"'{KIND_NESTED}') END"
     )
 
 
-def text_of(raw: Column) -> Column:
-    """Text form of a VARIANT value (JSON text for nested values)."""
-    return _text(raw)
+def text_sql(a: str) -> str:
+    """SQL: text form of the VARIANT expression ``a`` (JSON text when nested)."""
+    return f"try_variant_get({a}, '$', 'string')"
 
 
-def coerce(raw: Column, data_type: str, kind: Column | None = None, text: Column | None = None) -> tuple[Column, Column]:
-    """Return ``(value, failed)`` for a VARIANT ``raw`` and a catalog type.
+def value_sql(a: str, data_type: str, k: str | None = None, t: str | None = None) -> str:
+    """SQL: the coerced value of VARIANT ``a`` for a catalog type.
 
-    ``failed`` is true when a value is present but cannot be converted.
-    Unknown types fall back to STRING, like the reference's default branch
-    for declared types. ``kind`` and ``text`` may be passed as columns
-    computed once in an earlier projection (keeps generated code small).
+    ``k`` / ``t`` name columns holding ``kind_sql(a)`` / ``text_sql(a)``
+    when they were computed in an earlier projection.
     """
     dt = (data_type or "STRING").upper()
-    kind = value_kind(raw) if kind is None else kind
-    text = _text(raw) if text is None else text
+    if dt not in SPARK_TYPES:
+        dt = "STRING"
+    k = k or f"({kind_sql(a)})"
+    t = t or f"({text_sql(a)})"
+    st = SPARK_TYPES[dt]
     if dt in ("INT", "LONG"):
-        value = _number_or_text(raw, kind, text, SPARK_TYPES[dt], INT_TEXT, lambda s: s)
+        body = (f"CASE WHEN {k} = '{KIND_NUMBER}' THEN try_variant_get({a}, '$', '{st}') "
+                f"WHEN {k} = '{KIND_STRING}' AND {t} RLIKE {_raw(INT_TEXT)} THEN try_cast({t} AS {st}) END")
     elif dt in ("FLOAT", "DOUBLE"):
-        value = _number_or_text(
-            raw, kind, text, SPARK_TYPES[dt], FLOAT_TEXT,
-            lambda s: F.regexp_replace(F.trim(s), "[fFdD]$", ""),
-        )
+        body = (f"CASE WHEN {k} = '{KIND_NUMBER}' THEN try_variant_get({a}, '$', '{st}') "
+                f"WHEN {k} = '{KIND_STRING}' AND {t} RLIKE {_raw(FLOAT_TEXT)} "
+                f"THEN try_cast(regexp_replace(trim({t}), {_raw('[fFdD]$')}, '') AS {st}) END")
     elif dt == "BOOLEAN":
-        value = F.when(kind == KIND_BOOLEAN, F.try_variant_get(raw, "$", "boolean")).when(
-            kind != KIND_NULL, F.lower(text) == "true"
-        )
+        body = (f"CASE WHEN {k} = '{KIND_BOOLEAN}' THEN try_variant_get({a}, '$', 'boolean') "
+                f"WHEN {k} <> '{KIND_NULL}' THEN lower({t}) = 'true' END")
     elif dt == "DATE":
-        value = F.when(text.rlike(DATE_TEXT), text.try_cast("date"))
+        body = f"CASE WHEN {t} RLIKE {_raw(DATE_TEXT)} THEN try_cast({t} AS date) END"
     elif dt == "TIMESTAMP":
-        value = F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp_ntz"))
+        body = f"CASE WHEN {t} RLIKE {_raw(TIMESTAMP_TEXT)} THEN try_cast({t} AS timestamp_ntz) END"
     else:
-        value = F.when(kind != KIND_NULL, text)
-        dt = "STRING"
-    value = value.cast(SPARK_TYPES[dt])
-    failed = (kind != KIND_NULL) & value.isNull()
-    return value, failed
+        body = f"CASE WHEN {k} <> '{KIND_NULL}' THEN {t} END"
+    return f"CAST({body} AS {st})"
+
+
+def failed_sql(k: str, value: str) -> str:
+    """SQL: a value was present (kind ``k``) but did not convert."""
+    return f"({k} <> '{KIND_NULL}' AND ({value}) IS NULL)"
+
+
+# --- Column conveniences ----------------------------------------------------
+
+def attribute(attributes: Column | str, name: str) -> Column:
+    """``attributes[name]`` as a VARIANT (null when the key is missing)."""
+    col = F.col(attributes) if isinstance(attributes, str) else attributes
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(col, f"$['{quoted}']", "variant")
+
+
+def value_kind(raw: str) -> Column:
+    """JSON kind of a VARIANT column named/expressed by ``raw`` (SQL text)."""
+    return F.expr(kind_sql(raw))
+
+
+def text_of(raw: str) -> Column:
+    return F.expr(text_sql(raw))
+
+
+def coerce(raw: str, data_type: str) -> tuple[Column, Column]:
+    """``(value, failed)`` for the VARIANT column (SQL text) ``raw``."""
+    value = value_sql(raw, data_type)
+    return F.expr(value), F.expr(failed_sql(f"({kind_sql(raw)})", value))

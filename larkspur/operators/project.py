@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.contract import COMMON_FIELDS, R_COERCION
-from larkspur.functions.coerce import KIND_NULL, attribute, coerce, text_of, value_kind
+from larkspur.functions.coerce import KIND_NULL, attribute, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.functions.ids import event_ulid
 from larkspur.sources.catalog import TableSpec
 
@@ -16,33 +16,34 @@ def _product_fields(spec: TableSpec):
 
 
 def attribute_columns(spec: TableSpec) -> list[Column]:
-    """Inner projection: each declared attribute's VARIANT, kind and text,
-    computed once (``_a<i>``, ``_k<i>``, ``_t<i>``)."""
+    """Inner projection: each declared attribute's VARIANT (``_a<i>``)."""
+    return [attribute("attributes", name).alias(f"_a{i}") for i, name, _ in _product_fields(spec)]
+
+
+def kind_text_columns(spec: TableSpec) -> list[Column]:
+    """Second projection: kind and text of each attribute, computed once."""
     out = []
-    for i, name, _ in _product_fields(spec):
-        raw = attribute("attributes", name)
-        out += [raw.alias(f"_a{i}"), value_kind(raw).alias(f"_k{i}"), text_of(raw).alias(f"_t{i}")]
+    for i, _, _ in _product_fields(spec):
+        out += [F.expr(kind_sql(f"_a{i}")).alias(f"_k{i}"), F.expr(text_sql(f"_a{i}")).alias(f"_t{i}")]
     return out
 
 
 def typed_columns(spec: TableSpec) -> list[Column]:
-    """Middle projection: the typed value of each field, over the columns of
-    ``attribute_columns``, plus its failure flag ``_f<i>``."""
-    out = []
-    for i, name, dt in _product_fields(spec):
-        value, _ = coerce(F.col(f"_a{i}"), dt, F.col(f"_k{i}"), F.col(f"_t{i}"))
-        out.append(value.alias(name))
-    return out
+    """Third projection: the typed value of each field."""
+    return [
+        F.expr(value_sql(f"_a{i}", dt, f"_k{i}", f"_t{i}")).alias(name)
+        for i, name, dt in _product_fields(spec)
+    ]
 
 
 def failure_columns(spec: TableSpec) -> Column:
     """Outer projection: comma list of fields that were present but did not
     convert (empty when the row is clean)."""
     parts = [
-        F.when((F.col(f"_k{i}") != KIND_NULL) & F.col(f"`{name}`").isNull(), F.lit(name))
+        f"CASE WHEN {failed_sql(f'_k{i}', f'`{name}`')} THEN '{name}' END"
         for i, name, _ in _product_fields(spec)
     ]
-    return F.concat_ws(",", *parts) if parts else F.lit("")
+    return F.expr(f"concat_ws(',', {', '.join(parts)})") if parts else F.lit("")
 
 
 def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None = None) -> DataFrame:
@@ -62,7 +63,9 @@ def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None =
     names = [name for _, name, _ in _product_fields(spec)]
     mine = events.where(
         (F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("reason").isNull()
-    ).select("tenant_id", "event_time", *carry, *attribute_columns(spec))
+    ).select("tenant_id", "event_time", *carry, *attribute_columns(spec)).select(
+        "*", *kind_text_columns(spec)
+    )
     typed = mine.select(
         event_ulid(F.col("event_time"), F.col("source_partition"), F.col("source_offset")).alias("event_id"),
         "tenant_id",
@@ -103,5 +106,3 @@ def unknown_attributes(events: DataFrame, declared: DataFrame) -> DataFrame:
     return keys.join(decl, ["namespace", "type", "attribute"], "left_anti")
 
 
-def attribute_kind(name: str) -> Column:
-    return value_kind(attribute("attributes", name))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.contract import R_COERCION
-from larkspur.functions.coerce import KIND_NULL, attribute, coerce, text_of, value_kind
+from larkspur.functions.coerce import attribute, coerce
 from larkspur.operators.compaction import merge_summary, pending_manifest_as_of
 from larkspur.operators.grouping import assign_groups, group_sizes
 from larkspur.operators.ingest import ingest
@@ -160,9 +160,9 @@ def q_coerce_matrix(spark, sf_dir):
     )
     probe_idx = (F.floor(F.col("source_offset") / 4) % len(PROBES)).cast("int")
     cells = []
+    r = r.select("*", *[attribute("attributes", key).alias(f"_p_{key}") for key in PROBE_KEYS])
     for key in PROBE_KEYS:
-        raw = attribute("attributes", key)
-        value, failed = coerce(raw, types[key])
+        value, failed = coerce(f"_p_{key}", types[key])
         cells.append(F.struct(
             F.lit(key).alias("column_name"),
             F.lit(types[key]).alias("data_type"),

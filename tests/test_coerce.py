@@ -30,9 +30,10 @@ CASES = {
 @pytest.mark.parametrize("data_type", sorted(CASES))
 def test_coercion_rules(spark, data_type):
     rows = [('{"x": %s}' % lit,) for lit, _ in CASES[data_type]]
-    df = spark.createDataFrame(rows, "j string").select(F.parse_json("j").alias("a"))
-    raw = F.try_variant_get(F.col("a"), "$['x']", "variant")
-    value, failed = coerce(raw, data_type)
+    df = spark.createDataFrame(rows, "j string").select(
+        F.try_variant_get(F.parse_json("j"), "$['x']", "variant").alias("raw")
+    )
+    value, failed = coerce("raw", data_type)
     got = df.select(value.alias("v"), failed.alias("f")).collect()
     for (lit, expected), r in zip(CASES[data_type], got):
         if expected == "FAIL":
@@ -43,7 +44,9 @@ def test_coercion_rules(spark, data_type):
 
 
 def test_missing_attribute_is_null_not_failure(spark):
-    df = spark.createDataFrame([('{"y": 1}',)], "j string").select(F.parse_json("j").alias("a"))
-    value, failed = coerce(F.try_variant_get(F.col("a"), "$['x']", "variant"), "INT")
+    df = spark.createDataFrame([('{"y": 1}',)], "j string").select(
+        F.try_variant_get(F.parse_json("j"), "$['x']", "variant").alias("raw")
+    )
+    value, failed = coerce("raw", "INT")
     r = df.select(value.alias("v"), failed.alias("f")).first()
     assert r["v"] is None and r["f"] is False
