@@ -29,6 +29,11 @@ def _as_datetime(x) -> datetime | None:
     return datetime.fromisoformat(str(x))
 
 
+def _ntz(x: datetime):
+    """TIMESTAMP_NTZ literal from text: independent of driver and session zones."""
+    return F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def table_schema(spec: TableSpec) -> T.StructType:
     s = spec.struct()
     s = s.add("merge_id", T.StringType()).add("event_date", T.DateType())
@@ -51,13 +56,13 @@ def time_predicate(start=None, end=None):
     s, e = _as_datetime(start), _as_datetime(end)
     cond = F.lit(True)
     if s is not None:
-        cond = cond & (F.col("event_time") >= F.lit(s).cast("timestamp_ntz")) & (
-            F.col("event_date") >= F.lit(s.date())
+        cond = cond & (F.col("event_time") >= _ntz(s)) & (
+            F.col("event_date") >= F.lit(s.date().isoformat()).cast("date")
         )
     if e is not None:
         last_day = (e - timedelta(microseconds=1)).date()
-        cond = cond & (F.col("event_time") < F.lit(e).cast("timestamp_ntz")) & (
-            F.col("event_date") <= F.lit(last_day)
+        cond = cond & (F.col("event_time") < _ntz(e)) & (
+            F.col("event_date") <= F.lit(last_day.isoformat()).cast("date")
         )
     return cond
 
@@ -66,9 +71,9 @@ def overlapping(ledger: DataFrame, start=None, end=None) -> DataFrame:
     """Ledger rows whose [min, max] event_time can hold rows in [start, end)."""
     s, e = _as_datetime(start), _as_datetime(end)
     if s is not None:
-        ledger = ledger.where(F.col("max_event_time").isNull() | (F.col("max_event_time") >= F.lit(s).cast("timestamp_ntz")))
+        ledger = ledger.where(F.col("max_event_time").isNull() | (F.col("max_event_time") >= _ntz(s)))
     if e is not None:
-        ledger = ledger.where(F.col("min_event_time").isNull() | (F.col("min_event_time") < F.lit(e).cast("timestamp_ntz")))
+        ledger = ledger.where(F.col("min_event_time").isNull() | (F.col("min_event_time") < _ntz(e)))
     return ledger
 
 
