@@ -408,17 +408,18 @@ def q_schema_changes(spark, sf_dir):
 
 
 def q_stream_equals_batch(spark, sf_dir):
-    """The streaming ingest (availableNow, one file per
-    micro-batch) commits the same rows as the batch build."""
+    """The streaming ingest (availableNow, several micro-batches)
+    commits the same rows as the batch build."""
     from larkspur.streaming.ingest import final_merge, run_ingest
     from larkspur.sources.stream import file_source
 
     root = work_root(spark, "stream")
     apply_all(spark, PACKAGE_CATALOG, root)
     landing = f"{root}/landing"
-    landed_records(spark, sf_dir).repartitionByRange(4, "source_offset").write.parquet(landing)
+    # 32 landed files read 8 per trigger: four micro-batches of several tasks each
+    landed_records(spark, sf_dir).repartitionByRange(32, "source_offset").write.parquet(landing)
     q = run_ingest(
-        file_source(spark, landing, max_files_per_trigger=1), root, f"{root}/_checkpoint",
+        file_source(spark, landing, max_files_per_trigger=8), root, f"{root}/_checkpoint",
         SETTINGS, trigger={"availableNow": True},
     )
     q.awaitTermination()

@@ -17,13 +17,21 @@ DATA_EVENTS_TOPIC = "dp-data-events"
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = DATA_EVENTS_TOPIC,
-                 max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
-    """Read the event topic from the earliest offset."""
+                 max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
+                 **options) -> DataFrame:
+    """Read the event topic from the earliest offset.
+
+    Per-record work (JSON decode, coercion) is heavy compared with reading,
+    so offset ranges are split into at least ``min_partitions`` tasks
+    (default: the cluster's parallelism) even when the topic has few
+    partitions - no shuffle needed.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("minPartitions", int(min_partitions or spark.sparkContext.defaultParallelism))
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
