@@ -114,3 +114,21 @@ def read_table_declarative(spark: SparkSession, root: str, spec: TableSpec, as_o
     data = spark.read.schema(table_schema(spec)).parquet(layout.data(spec.bucket_name))
     led = visible_ledger(spark, layout, spec, as_of).select("merge_id")
     return data.join(led, "merge_id", "left_semi")
+
+
+def view_name(spec: TableSpec) -> str:
+    return f"{spec.namespace}__{spec.table_name}"
+
+
+def register_views(spark: SparkSession, root: str, specs: list[TableSpec], as_of: int | None = None) -> dict:
+    """Expose committed tables to SQL as temp views ``<namespace>__<table>``.
+
+    Each view is the visible state at registration time (or ``as_of``).
+    Filters on ``event_time`` push down to Parquet; add an ``event_date``
+    predicate to prune date directories as well.
+    """
+    names = {}
+    for spec in specs:
+        read_table(spark, root, spec, as_of=as_of).createOrReplaceTempView(view_name(spec))
+        names[(spec.namespace, spec.table_name)] = view_name(spec)
+    return names

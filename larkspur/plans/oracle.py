@@ -320,6 +320,15 @@ def oracle_sql() -> dict[str, str]:
             FROM ok_all GROUP BY 1""",
         "evolved_read": _evolved_read(),
         "schema_changes": _schema_changes(),
+        "quarantine_report": """SELECT reason, namespace, type, count(*) AS n, count(detail) AS n_detail FROM (
+            SELECT status AS reason, namespace, type, CAST(NULL AS VARCHAR) AS detail FROM routed WHERE status <> 'accepted'
+            UNION ALL SELECT 'coercion_failed', namespace, type, failed_cols FROM typed_api WHERE failed_cols <> ''
+            UNION ALL SELECT 'coercion_failed', namespace, type, failed_cols FROM typed_inc WHERE failed_cols <> ''
+            ) GROUP BY 1, 2, 3""",
+        "sql_view_read": """SELECT tenant_id, count(*) AS n, CAST(COALESCE(sum(k), 0) AS BIGINT) AS sum_k,
+            count(DISTINCT CAST(event_time AS DATE)) AS n_days FROM ok_api
+            WHERE event_time >= TIMESTAMP '2024-01-05 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00'
+            GROUP BY 1""",
         "stream_equals_batch": """SELECT type, CAST(event_time AS DATE) AS event_date, count(*) AS n FROM ok_all GROUP BY 1, 2""",
     }
     return {k: b + (v if v.lstrip().startswith(",") else "\n" + v) for k, v in q.items()}

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.contract import R_COERCION
+from larkspur.contract import QUARANTINE_DDL, R_COERCION
 from larkspur.functions.coerce import attribute, coerce
 from larkspur.operators.compaction import merge_summary, pending_manifest_as_of
 from larkspur.operators.grouping import assign_groups, group_sizes
 from larkspur.operators.ingest import ingest
 from larkspur.operators.project import project_typed, table_rows, unknown_attributes
 from larkspur.operators.publish import cleanup_candidates, freshness, guard_reason, read_ledger
-from larkspur.operators.read import read_table
+from larkspur.operators.read import read_table, register_views
 from larkspur.operators.staging import read_manifest
 from larkspur.operators.validate import route
 from larkspur.plans.lake import EPOCH, GROUP_RECORDS, OFFSETS_PER_BATCH, SETTINGS, build_lake, raw_batches
@@ -433,6 +433,30 @@ def q_stream_equals_batch(spark, sf_dir):
     return out
 
 
+def q_quarantine_report(spark, sf_dir):
+    """The quarantine table of the lake, per reason and table."""
+    lake = build_lake(spark, sf_dir)
+    q = spark.read.schema(QUARANTINE_DDL).parquet(lake.layout.quarantine)
+    return q.groupBy("reason", "namespace", "type").agg(
+        F.count(F.lit(1)).alias("n"), F.count("detail").alias("n_detail")
+    )
+
+
+def q_sql_view_read(spark, sf_dir):
+    """SQL over the committed table through a registered view."""
+    lake = build_lake(spark, sf_dir)
+    names = register_views(spark, lake.root, lake.specs)
+    view = names[("global", "api_events")]
+    return spark.sql(f"""
+        SELECT tenant_id, count(*) AS n, CAST(coalesce(sum(k), 0) AS BIGINT) AS sum_k,
+               count(DISTINCT event_date) AS n_days
+        FROM {view}
+        WHERE event_date BETWEEN DATE'2024-01-05' AND DATE'2024-01-19'
+          AND event_time >= TIMESTAMP_NTZ'2024-01-05 00:00:00'
+          AND event_time <  TIMESTAMP_NTZ'2024-01-20 00:00:00'
+        GROUP BY tenant_id""")
+
+
 def q_freshness(spark, sf_dir):
     """K6: lag between the newest loaded row and its commit (rows only)."""
     lake = build_lake(spark, sf_dir)
@@ -467,5 +491,7 @@ QUERIES = {
     "evolved_read": q_evolved_read,
     "schema_changes": q_schema_changes,
     "stream_equals_batch": q_stream_equals_batch,
+    "quarantine_report": q_quarantine_report,
+    "sql_view_read": q_sql_view_read,
     "freshness": q_freshness,
 }
