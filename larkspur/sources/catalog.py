@@ -267,9 +267,52 @@ def apply_schema(spark: SparkSession, catalog_dir: str, root: str, namespace: st
 
 
 def apply_all(spark: SparkSession, catalog_dir: str, root: str) -> list[ApplyResult]:
-    """Apply every declaration found under ``catalog_dir``."""
-    cat = load_catalog(spark, catalog_dir).select("namespace", "tableName").collect()
-    return [apply_schema(spark, catalog_dir, root, r["namespace"], r["tableName"]) for r in cat]
+    """Apply every declaration found under ``catalog_dir`` in one pass.
+
+    Same rules as ``apply_schema``: one diff (anti joins) of all declared
+    tables against the latest registered versions, one registry write for
+    every table that is new or gained/lost columns.
+    """
+    cat = load_catalog(spark, catalog_dir)
+    meta = {(r["namespace"], r["tableName"]): r for r in cat.select(
+        "namespace", "tableName", "bucketName", "partitionType").collect()}
+    decl = catalog_fields(cat).where(F.col("name").isNotNull()).select(
+        "namespace", "table_name", "field_id", "name", "data_type"
+    )
+    live = latest_registry(spark, root)
+    live_rows = live.collect()  # config sized: one row per live column
+    live_meta = {(r["namespace"], r["table_name"]): r for r in live_rows}
+    decl_rows = decl.collect()  # one row per declared column
+    diff_rows = schema_diff(decl, live).collect() if live_rows else []
+    changes: dict = {}
+    for r in diff_rows:
+        changes.setdefault((r["namespace"], r["table_name"]), []).append(r)
+    new_rows, results = [], []
+    for key, m in sorted(meta.items()):
+        fields = [r for r in decl_rows if (r["namespace"], r["table_name"]) == key]
+        if key not in live_meta:
+            rows = [(key[0], key[1], 1, m["bucketName"], m["partitionType"], f["field_id"], f["name"], f["data_type"])
+                    for f in fields] or [(key[0], key[1], 1, m["bucketName"], m["partitionType"], None, None, None)]
+            new_rows += rows
+            results.append(ApplyResult(MSG_SCHEMA_APPLIED, version=1, created=True, added=len(fields)))
+            continue
+        ch = changes.get(key, [])
+        adds = {r["name"] for r in ch if r["change"] == "add"}
+        drops = {r["name"] for r in ch if r["change"] == "drop"}
+        ignored = sum(1 for r in ch if r["change"] == "ignored")
+        lm = live_meta[key]
+        version = lm["version"]
+        if adds or drops:
+            kept = [(r["field_id"], r["name"], r["data_type"]) for r in live_rows
+                    if (r["namespace"], r["table_name"]) == key and r["name"] is not None and r["name"] not in drops]
+            added = [(f["field_id"], f["name"], f["data_type"]) for f in fields if f["name"] in adds]
+            version += 1
+            new_rows += [(key[0], key[1], version, lm["bucket_name"], lm["partition_type"], *c) for c in kept + added]
+        results.append(ApplyResult(MSG_SCHEMA_APPLIED, version=version, added=len(adds), dropped=len(drops),
+                                   ignored=ignored))
+    if new_rows:
+        spark.createDataFrame(new_rows, REGISTRY_DDL).coalesce(1).write.mode("append").parquet(Layout(root).registry)
+    return results
 
 
 def handle_apply_request(spark: SparkSession, catalog_dir: str, root: str, request: dict) -> str:

@@ -79,3 +79,20 @@ def test_catalog_scan_and_locations(spark, tmp_path):
     df = load_catalog(spark, cat)
     assert df.count() == 2
     assert sorted(r["bucket_name"] for r in distinct_buckets(df).collect()) == ["a-t1", "b-t2"]
+
+
+def test_apply_all_matches_single_applies(spark, root, tmp_path):
+    from larkspur.sources.catalog import apply_all
+
+    cat = str(tmp_path / "cat")
+    _write(cat, "a", "t1", [("x", "STRING"), ("old", "INT")])
+    _write(cat, "b", "t2", [("y", "INT")], "HOUR")
+    res = apply_all(spark, cat, root)
+    assert sorted((r.created, r.version) for r in res) == [(True, 1), (True, 1)]
+    _write(cat, "a", "t1", [("x", "LONG"), ("new", "DATE")])
+    res = apply_all(spark, cat, root)
+    assert sorted((r.version, r.added, r.dropped, r.ignored) for r in res) == [(1, 0, 0, 0), (2, 1, 1, 1)]
+    specs = {s.table_name: s for s in live_tables(spark, root)}
+    assert [(n, t) for _, n, t in specs["t1"].fields] == [("x", "STRING"), ("new", "DATE")]
+    assert specs["t2"].hourly
+    assert apply_all(spark, cat, root)[0].version in (1, 2)
