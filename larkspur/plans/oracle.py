@@ -279,6 +279,10 @@ def oracle_sql() -> dict[str, str]:
                 CAST((row_number() OVER (PARTITION BY namespace, type, source_partition ORDER BY source_offset) - 1)
                      // {GROUP_RECORDS} AS BIGINT) AS group_seq
               FROM src WHERE decode_reason IS NULL) GROUP BY 1, 2, 3, 4""",
+        "group_batches": f"""SELECT namespace, type, source_partition, source_offset,
+            CAST((row_number() OVER (PARTITION BY namespace, type, source_partition ORDER BY source_offset) - 1)
+                 // {GROUP_RECORDS} AS BIGINT) AS group_seq
+            FROM src WHERE decode_reason IS NULL""",
         "commit_guard": f"""SELECT namespace, type, outcome, count(*) AS n_groups, CAST(sum(total_records) AS BIGINT) AS total_records
             FROM (
               SELECT namespace, type,
@@ -319,6 +323,9 @@ def oracle_sql() -> dict[str, str]:
             ELSE 'fraud-detection-incident-events' END AS bucket_name, count(*) AS total_records
             FROM ok_all GROUP BY 1""",
         "evolved_read": _evolved_read(),
+        "schema_add_columns": f"SELECT * FROM ({_schema_changes()}) WHERE change = 'add'",
+        "schema_drop_columns": f"SELECT * FROM ({_schema_changes()}) WHERE change = 'drop'",
+        "schema_ignored_changes": f"SELECT * FROM ({_schema_changes()}) WHERE change = 'ignored'",
         "schema_changes": _schema_changes(),
         "quarantine_report": """SELECT reason, namespace, type, count(*) AS n, count(detail) AS n_detail FROM (
             SELECT status AS reason, namespace, type, CAST(NULL AS VARCHAR) AS detail FROM routed WHERE status <> 'accepted'

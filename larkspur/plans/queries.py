@@ -212,6 +212,12 @@ def q_group_sizes(spark, sf_dir):
     return group_sizes(g)
 
 
+def q_group_batches(spark, sf_dir):
+    """The group of every event (arrival order within its key)."""
+    g = assign_groups(_decoded_for_grouping(spark, sf_dir), GROUP_RECORDS)
+    return g.select("namespace", "type", "source_partition", "source_offset", "group_seq")
+
+
 def q_commit_guard(spark, sf_dir):
     """Groups as candidate manifest rows, checked by the commit guard."""
     g = assign_groups(_routed_for_groups(spark, sf_dir), GROUP_RECORDS)
@@ -407,6 +413,18 @@ def q_schema_changes(spark, sf_dir):
     )
 
 
+def _schema_change(change):
+    def q(spark, sf_dir):
+        return q_schema_changes(spark, sf_dir).where(F.col("change") == change)
+    q.__doc__ = f"J3/J4/H9: schema diff rows of kind {change!r}."
+    return q
+
+
+q_schema_add_columns = _schema_change("add")
+q_schema_drop_columns = _schema_change("drop")
+q_schema_ignored_changes = _schema_change("ignored")
+
+
 def q_stream_equals_batch(spark, sf_dir):
     """The streaming ingest (availableNow, several micro-batches)
     commits the same rows as the batch build."""
@@ -474,6 +492,7 @@ QUERIES = {
     "coercion_quarantine": q_coercion_quarantine,
     "unknown_attributes": q_unknown_attributes,
     "group_sizes": q_group_sizes,
+    "group_batches": q_group_batches,
     "commit_guard": q_commit_guard,
     "staged_manifest": q_staged_manifest,
     "replay_idempotent": q_replay_idempotent,
@@ -490,6 +509,9 @@ QUERIES = {
     "distinct_locations": q_distinct_locations,
     "evolved_read": q_evolved_read,
     "schema_changes": q_schema_changes,
+    "schema_add_columns": q_schema_add_columns,
+    "schema_drop_columns": q_schema_drop_columns,
+    "schema_ignored_changes": q_schema_ignored_changes,
     "stream_equals_batch": q_stream_equals_batch,
     "quarantine_report": q_quarantine_report,
     "sql_view_read": q_sql_view_read,
