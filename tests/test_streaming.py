@@ -27,3 +27,21 @@ def test_available_now_and_restart(spark, root):
     assert final_merge(spark, root, settings) == []
     n2 = read_ledger(spark, Layout(root)).agg(F.sum("total_records")).first()[0]
     assert n1 == n2 and n1 > 0
+
+
+def test_processing_time_trigger_merges_each_batch(spark, root):
+    apply_all(spark, PACKAGE_CATALOG, root)
+    landing = f"{root}/landing"
+    landed_records(spark, "/root/testdata/sf0.001").repartition(3).write.parquet(landing)
+    settings = Settings(max_buffer_records=200, max_buffer_time="PT1S")
+    q = run_ingest(file_source(spark, landing, 1), root, f"{root}/_ckpt", settings,
+                   merge_every_batch=True)  # trigger: processingTime = max_buffer_time
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    led = read_ledger(spark, Layout(root))
+    assert led.count() >= 2  # merges committed while the query ran
+    assert final_merge(spark, root, settings) == []  # nothing left pending
+    staged = spark.read.parquet(f"{root}/manifest").agg(F.sum("total_records")).first()[0]
+    assert led.agg(F.sum("total_records")).first()[0] == staged
