@@ -136,7 +136,12 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     # Range partitioning on (date, time) splits even one hot day over several
     # tasks and leaves every file sorted by event_time, so min/max statistics
     # skip row groups on time filters.
-    out = rows.repartitionByRange(n_out, *spec.partition_columns, "event_time")
+    if n_out == 1:
+        # one output file: no sampling job, no shuffle - read the staged
+        # files in one task and sort them by time
+        out = rows.coalesce(1).sortWithinPartitions(*spec.partition_columns, "event_time")
+    else:
+        out = rows.repartitionByRange(n_out, *spec.partition_columns, "event_time")
     target = f"{layout.data(spec.bucket_name)}/merge_id={merge_id}"
     out.write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(target)
     stats = (
