@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.contract import COMMON_FIELDS, R_COERCION
-from larkspur.functions.coerce import KIND_NULL, attribute, failed_sql, kind_sql, text_sql, value_sql
+from larkspur.functions.coerce import attribute, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.functions.ids import event_ulid
 from larkspur.sources.catalog import TableSpec
 

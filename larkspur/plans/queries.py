@@ -6,20 +6,19 @@ envelope) over their whole extent. Column names match the oracle SQL in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.contract import QUARANTINE_DDL, R_COERCION
 from larkspur.functions.coerce import attribute, coerce
-from larkspur.operators.compaction import merge_summary, pending_manifest_as_of
+from larkspur.operators.compaction import pending_manifest_as_of
 from larkspur.operators.grouping import assign_groups, group_sizes
-from larkspur.operators.ingest import ingest
-from larkspur.operators.project import project_typed, table_rows, unknown_attributes
+from larkspur.operators.project import project_typed, unknown_attributes
 from larkspur.operators.publish import cleanup_candidates, freshness, guard_reason, read_ledger
 from larkspur.operators.read import read_table, register_views
 from larkspur.operators.staging import read_manifest
 from larkspur.operators.validate import route
-from larkspur.plans.lake import EPOCH, GROUP_RECORDS, OFFSETS_PER_BATCH, SETTINGS, build_lake, raw_batches
+from larkspur.plans.lake import GROUP_RECORDS, SETTINGS, build_lake, raw_batches
 from larkspur.session import work_root
 from larkspur.sources.catalog import (
     PACKAGE_CATALOG,
@@ -33,7 +32,7 @@ from larkspur.sources.catalog import (
     specs_from_catalog,
 )
 from larkspur.functions.times import format_event_time
-from larkspur.sources.envelope import decode_envelope, encode_envelope, envelope_json
+from larkspur.sources.envelope import decode_envelope, envelope_json
 from larkspur.sources.fixture import PROBE_KEYS, PROBES, landed_records
 
 STATUS_OK = "accepted"
