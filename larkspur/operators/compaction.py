@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from larkspur.contract import Layout, Settings
 from larkspur.functions.times import event_date
 from larkspur.operators.publish import commit_guard, read_ledger, write_ledger_row
-from larkspur.operators.staging import read_manifest
+from larkspur.operators.staging import read_manifest, read_staged
 from larkspur.sources.catalog import TableSpec
 
 log = logging.getLogger(__name__)
@@ -124,8 +124,8 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     """Merge the pending files of one table and commit them."""
     batches = list(summary_row["child_batches"])
     merge_id = merge_id_of(spec.namespace, spec.table_name, batches)
-    staged = spark.read.schema(spec.struct().add("batch_id", "string")).parquet(layout.staged(spec.bucket_name))
-    rows = with_partition_columns(staged.where(F.col("batch_id").isin(batches)).drop("batch_id"), spec)
+    staged = read_staged(spark, spec, layout, batches, must_exist=True)
+    rows = with_partition_columns(staged.drop("batch_id"), spec)
     total_bytes = int(summary_row["length"] or 0)
     total_rows = int(summary_row["total_records"] or 0)
     n_out = max(1, math.ceil(total_bytes / settings.target_file_bytes), math.ceil(total_rows / settings.target_file_rows))

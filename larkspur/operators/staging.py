@@ -32,15 +32,32 @@ def stage_rows(rows: DataFrame, spec: TableSpec, layout: Layout, max_records: in
     _overwrite_partitions(rows, layout.staged(spec.bucket_name), ["batch_id"], max_records)
 
 
-def staged_files(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str] | None) -> DataFrame:
-    """One manifest row per staged file of ``spec`` in ``batch_ids``."""
-    path = layout.staged(spec.bucket_name)
+def read_staged(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str],
+                must_exist: bool = False) -> DataFrame:
+    """Staged rows of ``batch_ids``, read with the table's current schema.
+
+    Only the named ``batch_id=`` directories are read, never the whole
+    staged tree (which grows with every micro-batch). With ``must_exist``
+    (batches taken from the manifest) the directories are passed as paths;
+    otherwise a glob ``batch_id={a,b,...}`` matches those that exist (a
+    batch whose rows were all quarantined has none).
+    """
+    base = layout.staged(spec.bucket_name)
+    schema = spec.struct().add("batch_id", "string")
+    if not batch_ids:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", base)
+    if must_exist:
+        return reader.parquet(*[f"{base}/batch_id={b}" for b in batch_ids])
     try:
-        df = spark.read.schema(spec.struct().add("batch_id", "string")).parquet(path)
-    except Exception:
-        return spark.createDataFrame([], MANIFEST_DDL)
-    if batch_ids is not None:
-        df = df.where(F.col("batch_id").isin(batch_ids))
+        return reader.parquet(f"{base}/batch_id={{{','.join(batch_ids)}}}")
+    except Exception:  # nothing staged for these batches
+        return spark.createDataFrame([], schema)
+
+
+def staged_files(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str]) -> DataFrame:
+    """One manifest row per staged file of ``spec`` in ``batch_ids``."""
+    df = read_staged(spark, spec, layout, batch_ids)
     files = df.select("batch_id", F.col("_metadata.file_path").alias("location"),
                       F.col("_metadata.file_size").alias("length"))
     return files.groupBy("batch_id", "location").agg(
