@@ -46,17 +46,27 @@ def guard_reason() -> Column:
     )
 
 
-def read_ledger(spark: SparkSession, layout: Layout) -> DataFrame:
+def ledger_path(layout: Layout, namespace: str, type_: str) -> str:
+    return f"{layout.ledger}/namespace={namespace}/type={type_}"
+
+
+def read_ledger(spark: SparkSession, layout: Layout, namespace: str | None = None,
+                type_: str | None = None) -> DataFrame:
+    """Ledger rows; with (namespace, type) only that table's directory is listed."""
     try:
-        return spark.read.schema(LEDGER_DDL).parquet(layout.ledger)
+        reader = spark.read.schema(LEDGER_DDL).option("basePath", layout.ledger)
+        if namespace is not None and type_ is not None:
+            return reader.parquet(ledger_path(layout, namespace, type_))
+        return reader.parquet(layout.ledger)
     except Exception:
         return spark.createDataFrame([], LEDGER_DDL)
 
 
 def write_ledger_row(spark: SparkSession, layout: Layout, row: dict) -> None:
     """A10: the visibility point of one merge."""
-    df = spark.createDataFrame([row], LEDGER_DDL)
-    df.coalesce(1).write.mode("overwrite").parquet(f"{layout.ledger}/merge_id={row['merge_id']}")
+    df = spark.createDataFrame([row], LEDGER_DDL).drop("namespace", "type", "merge_id")
+    target = f"{ledger_path(layout, row['namespace'], row['type'])}/merge_id={row['merge_id']}"
+    df.coalesce(1).write.mode("overwrite").parquet(target)
 
 
 def cleanup_candidates(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -43,9 +43,7 @@ def table_schema(spec: TableSpec) -> T.StructType:
 
 
 def visible_ledger(spark: SparkSession, layout: Layout, spec: TableSpec, as_of: int | None = None) -> DataFrame:
-    led = read_ledger(spark, layout).where(
-        (F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name)
-    )
+    led = read_ledger(spark, layout, spec.namespace, spec.table_name)
     if as_of is not None:
         led = led.where(F.col("merge_seq") <= F.lit(int(as_of)))
     return led
