@@ -168,9 +168,10 @@ def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     if path is None:
         path = work_root(spark, "landing") + "/raw"
         n = max(2, spark.sparkContext.defaultParallelism * 2)
+        # cut the narrow events rows by offset first (cheap sampling and
+        # shuffle), then build the JSON text in parallel after the exchange
         (
-            fixture_records(spark, sf_dir)
-            .repartitionByRange(n, "source_offset")
+            raw_records(events_table(spark, sf_dir).repartitionByRange(n, "event_id"))
             .write.option("maxRecordsPerFile", LANDING_ROWS_PER_FILE)
             .parquet(path)
         )
