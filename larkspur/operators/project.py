@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,23 @@ def failure_columns(spec: TableSpec) -> Column:
     return F.expr(f"concat_ws(',', {', '.join(parts)})") if parts else F.lit("")
 
 
+@dataclass(frozen=True)
+class _SpecColumns:
+    attributes: list
+    kind_text: list
+    typed: list
+    failures: Column
+
+
+@lru_cache(maxsize=256)
+def _columns(app_id: str, spec: TableSpec) -> _SpecColumns:
+    """The projection columns of one table version, built once per
+    application: every micro-batch reuses them instead of rebuilding
+    hundreds of expressions on the driver."""
+    return _SpecColumns(attribute_columns(spec), kind_text_columns(spec), typed_columns(spec),
+                        failure_columns(spec))
+
+
 def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None = None) -> DataFrame:
     """Events routed to ``spec`` -> rows of the table schema plus ``reason``
     and ``detail`` (comma list of columns that failed to coerce).
@@ -57,25 +77,24 @@ def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None =
     """
     if load_time is None:
         load_time = F.localtimestamp()
+    cols = _columns(events.sparkSession.sparkContext.applicationId, spec)
     carry = ["namespace", "type", "source_partition", "source_offset", "value",
              *[c for c in ("batch_id",) if c in events.columns]]
     kinds = [f"_k{i}" for i, _, _ in _product_fields(spec)]
     names = [name for _, name, _ in _product_fields(spec)]
     mine = events.where(
         (F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("reason").isNull()
-    ).select("tenant_id", "event_time", *carry, *attribute_columns(spec)).select(
-        "*", *kind_text_columns(spec)
-    )
+    ).select("tenant_id", "event_time", *carry, *cols.attributes).select("*", *cols.kind_text)
     typed = mine.select(
         event_ulid(F.col("event_time"), F.col("source_partition"), F.col("source_offset")).alias("event_id"),
         "tenant_id",
         load_time.cast("timestamp_ntz").alias("load_time"),
         "event_time",
-        *typed_columns(spec),
+        *cols.typed,
         *kinds,
         *carry,
     )
-    checked = typed.select("*", failure_columns(spec).alias("_failed"))
+    checked = typed.select("*", cols.failures.alias("_failed"))
     return checked.select(
         "event_id", "tenant_id", "load_time", "event_time", *[f"`{n}`" for n in names],
         F.when(F.col("_failed") != "", F.lit(R_COERCION)).alias("reason"),
