@@ -48,7 +48,10 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
     if default_time is None:
         default_time = F.col("source_ts")
     env = F.from_json(F.col("value"), ENVELOPE_DDL, _JSON_OPTIONS)
-    parsed = raw.withColumn("_env", env)
+    # The parse sits in a one-element generator: filters on its fields (a
+    # table's namespace/type) then stay above it instead of being pushed
+    # below with a copy of the parse, so each record is parsed exactly once.
+    parsed = raw.select("*", F.inline(F.array(F.struct(env.alias("_env")))))
     e = F.col("_env")
     parsed_time = parse_event_time(e["eventTime"])
     value = F.col("value")
