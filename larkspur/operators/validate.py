@@ -14,10 +14,20 @@ from larkspur.sources.catalog import TableSpec
 MAX_BROADCAST_TABLES = 100_000
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def tables_frame(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:
-    rows = [(s.namespace, s.table_name, s.bucket_name, s.version) for s in specs]
-    return spark.createDataFrame(
-        rows, "namespace string, type string, bucket_name string, schema_version int"
+    """The registered tables as an inline (local) relation: broadcasting it
+    needs no Spark job."""
+    if not specs:
+        return spark.createDataFrame([], "namespace string, type string, bucket_name string, schema_version int")
+    values = ", ".join(
+        f"({_lit(s.namespace)}, {_lit(s.table_name)}, {_lit(s.bucket_name or '')}, {int(s.version)})" for s in specs
+    )
+    return spark.sql(
+        f"SELECT * FROM VALUES {values} AS t(namespace, type, bucket_name, schema_version)"
     )
 
 
