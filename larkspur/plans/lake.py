@@ -14,7 +14,8 @@ deterministic.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ class Lake:
     n_batches: int
     half: int
     specs: list
+    steps: dict = field(default_factory=dict)  # seconds per build step
 
     @property
     def layout(self) -> Layout:
@@ -66,8 +68,16 @@ def build_lake(spark: SparkSession, sf_dir: str, scenario: str = "main") -> Lake
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), scenario)
     if key in _CACHE:
         return _CACHE[key]
+    steps: dict = {}
+
+    def step(name, fn):
+        t = time.perf_counter()
+        out = fn()
+        steps[name] = round(time.perf_counter() - t, 3)
+        return out
+
     root = work_root(spark, f"lake-{scenario}")
-    apply_all(spark, PACKAGE_CATALOG, root)
+    step("apply_schemas", lambda: apply_all(spark, PACKAGE_CATALOG, root))
     raw = raw_batches(spark, sf_dir)
     max_off = raw.agg(F.max("source_offset").alias("m")).first()["m"] or 0
     n_batches = int(max_off) // OFFSETS_PER_BATCH + 1
@@ -75,15 +85,16 @@ def build_lake(spark: SparkSession, sf_dir: str, scenario: str = "main") -> Lake
     cut = half * OFFSETS_PER_BATCH
     specs = live_tables(spark, root)
     first = raw.where(F.col("source_offset") < cut)
-    ingest(spark, first, root, specs, SETTINGS)
+    step("stage_round1", lambda: ingest(spark, first, root, specs, SETTINGS))
     if half > 0:  # replay of the first batch: must replace, not add
-        ingest(spark, raw.where(F.col("source_offset") < OFFSETS_PER_BATCH), root, specs, SETTINGS)
-    merge_pending(spark, Layout(root), specs, SETTINGS)
+        step("replay_batch", lambda: ingest(
+            spark, raw.where(F.col("source_offset") < OFFSETS_PER_BATCH), root, specs, SETTINGS))
+    step("merge_round1", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))
     if scenario == "evolve":
         apply_schema(spark, PACKAGE_CATALOG_V2, root, "global", "api_events")
         specs = live_tables(spark, root)
-    ingest(spark, raw.where(F.col("source_offset") >= cut), root, specs, SETTINGS)
-    merge_pending(spark, Layout(root), specs, SETTINGS)
-    lake = Lake(root, n_batches, half, live_tables(spark, root))
+    step("stage_round2", lambda: ingest(spark, raw.where(F.col("source_offset") >= cut), root, specs, SETTINGS))
+    step("merge_round2", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))
+    lake = Lake(root, n_batches, half, live_tables(spark, root), steps)
     _CACHE[key] = lake
     return lake
