@@ -1,7 +1,8 @@
 """Command line: ``python -m larkspur <command> ...``.
 
   apply  CATALOG_DIR ROOT [NAMESPACE TABLE]   apply one or all schema declarations
-  ingest ROOT (--kafka SERVERS [--topic T] | --files PATH) [--checkpoint DIR] [--once]
+  ingest ROOT (--kafka SERVERS [--topic T] [--max-offsets N] | --files PATH [--max-files N])
+         [--checkpoint DIR] [--once]
                                               run the ingest query (foreachBatch)
   merge  ROOT                                 merge and commit pending staged files
   report ROOT (pending|cleanup|freshness|quarantine)
@@ -39,6 +40,9 @@ def main(argv=None) -> int:
     src.add_argument("--kafka")
     src.add_argument("--files")
     i.add_argument("--topic", default=None)
+    i.add_argument("--max-offsets", type=int, default=None, help="records per micro-batch (Kafka)")
+    i.add_argument("--min-partitions", type=int, default=None, help="tasks per micro-batch (Kafka)")
+    i.add_argument("--max-files", type=int, default=None, help="files per micro-batch (file source)")
     i.add_argument("--checkpoint", default=None)
     i.add_argument("--once", action="store_true", help="availableNow: process what is there and stop")
     i.add_argument("--max-buffer-records", type=int, default=None)
@@ -80,8 +84,9 @@ def main(argv=None) -> int:
             "max_buffer_records": args.max_buffer_records, "max_buffer_time": args.max_buffer_time,
             "pre_commit_merge_window": args.merge_window, "epoch": args.epoch}.items() if v is not None}
         settings = Settings(**kw)
-        source = (kafka_source(spark, args.kafka, args.topic or DATA_EVENTS_TOPIC)
-                  if args.kafka else file_source(spark, args.files))
+        source = (kafka_source(spark, args.kafka, args.topic or DATA_EVENTS_TOPIC,
+                               max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions)
+                  if args.kafka else file_source(spark, args.files, args.max_files))
         q = run_ingest(source, root, args.checkpoint or f"{root}/_checkpoint", settings,
                        trigger={"availableNow": True} if args.once else None)
         q.awaitTermination()
