@@ -119,6 +119,7 @@ def unknown_attributes(events: DataFrame, declared: DataFrame) -> DataFrame:
         "namespace", "type",
         F.explode(F.json_object_keys(F.to_json("attributes"))).alias("attribute"),
     )
+    # declared columns: one row per catalog field (configuration, not data)
     decl = F.broadcast(declared.select(
         F.col("namespace"), F.col("table_name").alias("type"), F.col("name").alias("attribute")
     ))

@@ -368,6 +368,7 @@ def q_distinct_locations(spark, sf_dir):
     cat = load_catalog(spark, PACKAGE_CATALOG).select(
         "namespace", F.col("tableName").alias("type"), F.col("bucketName").alias("bucket_name")
     )
+    # one catalog row per declared table: bounded by configuration
     return led.join(F.broadcast(cat), ["namespace", "type"]).groupBy("bucket_name").agg(
         F.sum("total_records").cast("bigint").alias("total_records")
     )
