@@ -213,7 +213,19 @@ class ApplyResult:
     ignored: int = 0
 
 
-def apply_schema(spark: SparkSession, catalog_dir: str, root: str, namespace: str, table: str) -> ApplyResult:
+def ensure_namespace(spark: SparkSession, root: str, namespace: str) -> bool:
+    """H2: create the namespace as a Spark database if absent (located under
+    the lakehouse root). Returns True when it was created."""
+    if spark.catalog.databaseExists(namespace):
+        return False
+    quoted = namespace.replace("`", "``")
+    location = f"{root.rstrip('/')}/_namespaces/{namespace}".replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{quoted}` LOCATION '{location}'")
+    return True
+
+
+def apply_schema(spark: SparkSession, catalog_dir: str, root: str, namespace: str, table: str,
+                 create_database: bool = False) -> ApplyResult:
     """H1: apply one declaration to the registry.
 
     Blank arguments raise ``InvalidRequest`` carrying the reference's message;
@@ -223,6 +235,8 @@ def apply_schema(spark: SparkSession, catalog_dir: str, root: str, namespace: st
     """
     if not (namespace or "").strip() or not (table or "").strip():
         raise InvalidRequest(MSG_SCHEMA_NOT_FOUND)
+    if create_database:
+        ensure_namespace(spark, root, namespace)
     decl = catalog_fields(read_declaration(spark, catalog_dir, namespace, table)).where(
         F.col("name").isNotNull()
     )

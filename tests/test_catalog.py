@@ -96,3 +96,13 @@ def test_apply_all_matches_single_applies(spark, root, tmp_path):
     assert [(n, t) for _, n, t in specs["t1"].fields] == [("x", "STRING"), ("new", "DATE")]
     assert specs["t2"].hourly
     assert apply_all(spark, cat, root)[0].version in (1, 2)
+
+
+def test_ensure_namespace_creates_database_once(spark, root, tmp_path):
+    from larkspur.sources.catalog import ensure_namespace
+
+    cat = str(tmp_path / "cat")
+    _write(cat, "ns_probe", "t", [("x", "STRING")])
+    apply_schema(spark, cat, root, "ns_probe", "t", create_database=True)
+    assert spark.catalog.databaseExists("ns_probe")
+    assert ensure_namespace(spark, root, "ns_probe") is False
