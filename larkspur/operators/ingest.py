@@ -56,6 +56,7 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
     settings = settings or Settings()
     layout = Layout(root)
     routed = route(decode_envelope(raw), specs).persist(StorageLevel.MEMORY_AND_DISK)
+    typed_all: list[DataFrame] = []
     try:
         # one small job: which batches and which tables this input holds
         seen = (
@@ -66,7 +67,6 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
         batch_ids = sorted({r["batch_id"] for r in seen})
         present_keys = {(r["namespace"], r["type"]) for r in seen if r["ok"] > 0}
         active = [s for s in specs if (s.namespace, s.table_name) in present_keys]
-        typed_all = []
         for spec in active:
             # coerced once, read twice (staged rows, then quarantined rows)
             typed = project_typed(routed, spec, load_time).persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,8 +74,6 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
             stage_rows(table_rows(typed, spec), spec, layout, settings.max_buffer_records)
         q = quarantine_rows(routed, typed_all)
         _overwrite_partitions(q, layout.quarantine, ["batch_id"])
-        for t in typed_all:
-            t.unpersist()
         manifests = [staged_files(spark, spec, layout, batch_ids) for spec in active]
         if manifests:
             m = manifests[0]
@@ -84,4 +82,6 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
             write_manifest(m, layout)
         return IngestReport(batch_ids, [(s.namespace, s.table_name) for s in active])
     finally:
+        for t in typed_all:
+            t.unpersist()
         routed.unpersist()
