@@ -1,5 +1,5 @@
 """Randomised check of the coercion rules against a plain-Python model of
-the Java parsers (Integer/Long.parseInt, LocalDate.parse, Boolean.parseBoolean)."""
+the Java parsers (Integer/Long.parseInt, Double.parseDouble, LocalDate.parse, Boolean.parseBoolean)."""
 
 import datetime as dt
 import json
@@ -33,6 +33,16 @@ def model(value, data_type):
         if isinstance(value, bool):
             return value, False
         return (value.lower() == "true" if isinstance(value, str) else False), False
+    if data_type == "DOUBLE":
+        if isinstance(value, bool):
+            return None, True
+        if isinstance(value, (int, float)):
+            return float(value), False
+        if isinstance(value, str) and re.fullmatch(
+            r"[ ]*[+-]?(NaN|Infinity|(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?)[fFdD]?)[ ]*", value
+        ):
+            return float(value.strip().rstrip("fFdD")), False
+        return None, True
     if data_type == "DATE":
         if isinstance(value, str) and re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", value):
             try:
@@ -59,7 +69,7 @@ def test_rules_match_model(spark, batch):
     df = spark.createDataFrame(rows, "j string").select(
         F.try_variant_get(F.parse_json("j"), "$['x']", "variant").alias("raw")
     )
-    for data_type in ("INT", "LONG", "BOOLEAN", "DATE"):
+    for data_type in ("INT", "LONG", "BOOLEAN", "DATE", "DOUBLE"):
         value, failed = coerce("raw", data_type)
         got = [(r["v"], r["f"]) for r in df.select(value.alias("v"), failed.alias("f")).collect()]
         for v, g in zip(batch, got):
