@@ -93,3 +93,20 @@ def test_time_range_read_prunes_partitions(spark, root):
     assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters" in plan
     rows = df.select("event_time").collect()
     assert rows and all(dt.datetime(2024, 1, 10) <= r[0] < dt.datetime(2024, 1, 12) for r in rows)
+
+
+def test_sql_views_follow_the_ledger(spark, root):
+    from larkspur.operators.read import register_views
+
+    specs, raw = _setup(spark, root)
+    layout = Layout(root)
+    ingest(spark, raw.where("source_offset < 500"), root, specs)
+    merge_pending(spark, layout, specs)
+    ingest(spark, raw.where("source_offset >= 500"), root, specs)
+    merge_pending(spark, layout, specs)
+    api = next(s for s in specs if s.table_name == "api_events")
+    names = register_views(spark, root, specs, as_of=2)
+    view = names[("global", "api_events")]
+    assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == read_table(spark, root, api, as_of=2).count()
+    names = register_views(spark, root, specs)
+    assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == read_table(spark, root, api).count()
