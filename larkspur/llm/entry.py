@@ -5,11 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, contamination, simhash
+import corpus_pipeline
+from larkspur.llm import bpe, contamination, language, simhash, suffix
 from larkspur.llm.common import table
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.removed(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns where the remainder is not 0; predicts every row."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 5
+    models = language.train(docs, learn=remainder != 0)
+    found = language.identified(docs, models)
+    return found.select("doc_id", (remainder == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -22,12 +37,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op6_byte_bpe, op8_decontamination, op10_simhash]
+QUERIES = [op1_suffix_array, op4_language, op6_byte_bpe, op8_decontamination, op10_simhash]
+
+#: SQL by query, where SQL can express it.
+ORACLES: dict[str, str] = {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = dict(ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
