@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larkspur.llm import bpe, contamination, language, simhash, suffix
+from larkspur.llm import bpe, contamination, language, simhash, suffix, tokens
 from larkspur.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.written(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,7 +41,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_suffix_array, op4_language, op6_byte_bpe, op8_decontamination, op10_simhash]
+QUERIES = [op1_suffix_array, op4_language, op6_byte_bpe, op7_token_files, op8_decontamination, op10_simhash]
 
 #: SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {}
