@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larkspur.llm import bpe, contamination, language, simhash, suffix, tokens
+from larkspur.llm import bpe, contamination, language, licenses, simhash, suffix, tokens
 from larkspur.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removed(table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns where the remainder is not 0; predicts every row."""
     docs = table(spark, sf_dir, "documents")
@@ -41,7 +45,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_suffix_array, op4_language, op6_byte_bpe, op7_token_files, op8_decontamination, op10_simhash]
+QUERIES = [op1_suffix_array, op2_licenses, op4_language, op6_byte_bpe, op7_token_files, op8_decontamination, op10_simhash]
 
 #: SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {}
