@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larkspur.llm import bpe, contamination, language, licenses, simhash, suffix, tokens
+from larkspur.llm import bpe, contamination, embeddings, language, licenses, simhash, suffix, tokens
 from larkspur.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_suffix_array, op2_licenses, op4_language, op6_byte_bpe, op7_token_files, op8_decontamination, op10_simhash]
+QUERIES = [op1_suffix_array, op2_licenses, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op10_simhash]
 
 #: SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {}
