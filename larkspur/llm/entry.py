@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larkspur.llm import bpe, contamination, embeddings, language, licenses, simhash, suffix, tokens
+from larkspur.llm import bpe, contamination, embeddings, html_text, language, licenses, quality, simhash, suffix, tokens
 from larkspur.llm.common import table
 
 
@@ -20,6 +20,15 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns where the remainder is not 1; scores every row."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = quality.train(docs, table(spark, sf_dir, "labels"), learn=remainder != 1)
+    found = quality.scored(docs, model)
+    return found.select("doc_id", (remainder == 1).alias("held_out"), "score", "predicted")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns where the remainder is not 0; predicts every row."""
     docs = table(spark, sf_dir, "documents")
@@ -45,11 +54,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_suffix_array, op2_licenses, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op10_simhash]
+QUERIES = [op1_suffix_array, op2_licenses, op3_quality, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op9_html_text, op10_simhash]
 
 #: SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {}
