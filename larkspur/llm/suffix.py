@@ -10,15 +10,16 @@
    it occurs: that is an aggregate by (anchor, context). Only contexts that
    share an anchor with another context, and those that repeat in themselves,
    need their bytes compared.
-3. Shards. Those contexts' bytes, wherever their documents lie, make shards of
-   bounded size; each gets a suffix array by Larsson-Sadakane refinement (sort
-   by rank at distance h, groups of one are done, h doubles) and common
-   prefixes by Kasai's recurrence, run in step over many stretches of the text.
-   Neighbours with ``length`` common bytes repeat inside the shard.
-4. Across shards. Each shard's distinct windows, as 128-bit keys in sorted
-   runs, are dealt out by key range and the runs are merged in pairs by binary
-   search; a key that two shards have is a repeat. A window of any frequency is
-   one key of each shard, so hot passages stay small.
+3. Shards. Those contexts' bytes are dealt to shards of bounded size by their
+   anchor, so equal windows meet; each shard gets a suffix array by
+   Larsson-Sadakane refinement (sort by rank at distance h, groups of one are
+   done, h doubles) and common prefixes by Kasai's recurrence, run in step over
+   many stretches of the text. Neighbours with ``length`` common bytes repeat.
+4. Across shards. An anchor with more contexts than a shard holds has several
+   shards. Their distinct windows, as 128-bit keys in sorted runs, are dealt out
+   by key range and the runs are merged in pairs by binary search; a key that
+   two shards have is a repeat. A window of any frequency is one key of each
+   shard, so hot passages stay small.
 
 Null and empty texts have no bytes. Repeated rows are documents like any other,
 so their texts of ``length`` bytes or more are removed. An input column may
@@ -33,6 +34,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +45,7 @@ LENGTH = 400
 #: Bytes of a gram; a window has length - gram + 1 of them.
 GRAM = 100
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Bytes of candidate text of one suffix array.
+#: Bytes of contexts of one suffix array, about.
 SHARD_BYTES = 1 << 20
 #: Keys that one task merges.
 MERGED_KEYS = 2_000_000
@@ -213,63 +215,59 @@ def shard_repeats(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.n
     return repeated, np.flatnonzero((ends - own >= length) & ~again)
 
 
-def _segments(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, start and end of the stretches of text to compare."""
-    doc, start, end = [], [], []
-    for k, x in enumerate(rows.column("compare").to_pylist()):
-        s, e = merged(np.array(x[::2], np.int64), np.array(x[1::2], np.int64))
-        doc.append(np.full(len(s), k)), start.append(s), end.append(e)
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *doc]), np.concatenate([none, *start]), np.concatenate([none, *end])
+PIECES = "shard long, hot boolean, key_id long, key_hash long, start long, piece binary"
+
+
+def _pieces(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of each context to be compared, with its shard."""
+    for frame in frames:
+        for rows, data, at in batches(frame):
+            lists = rows.column("compare")
+            flat = np.asarray(lists.flatten()).reshape(-1, 4)
+            doc = np.repeat(np.arange(rows.num_rows), np.asarray(pa.compute.list_value_length(lists).fill_null(0)) // 4)
+            start, size = at[doc] + flat[:, 0], flat[:, 1] - flat[:, 0]
+            raw = data[spread(start, size)].tobytes()
+            ends = np.cumsum(size)
+            piece = [raw[a:b] for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
+            doc = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[:, 2]), pa.array(flat[:, 3] > 0), rows.column("key_id").take(doc), rows.column("key_hash").take(doc), pa.array(flat[:, 0]), pa.array(piece, pa.binary())],
+                names=["shard", "hot", "key_id", "key_hash", "start", "piece"],
+            )
 
 
 KEYS = "bucket int, ids array<long>, hashes array<long>, doc array<int>, position array<long>, keys binary, checks binary"
 
 
-def _shards(length: int, buckets: int):
-    """Rows of sorted keys by shard and key range. Repeats inside the shard
-    come as rows of bucket -1: document, position of each."""
+def _shard(length: int, buckets: int):
+    """One shard's repeats, as a row of bucket -1 (document, position of
+    each), and, of a shard of a hot anchor, its sorted keys by key range."""
 
-    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
-            for rows, data, at in batches(frame):
-                doc, start, end = _segments(rows, data, at)
-                size = end - start
-                total, lo = np.cumsum(size), 0
-                while lo < len(size):
-                    hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + SHARD_BYTES, side="right")))
-                    yield from shard(rows, data, at, doc[lo:hi], start[lo:hi], size[lo:hi])
-                    lo = hi
-
-    def shard(rows, data, at, doc, start, size) -> Iterator[pa.RecordBatch]:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        size = rows["piece"].str.len().to_numpy(np.int64)
         stops = np.cumsum(size + 1) - 1
-        text = np.zeros(int(stops[-1]) + 1, np.uint8)
         of = np.repeat(np.arange(len(size)), size + 1)
-        inner = np.ones(len(text), bool)
-        inner[stops] = False
-        text[inner] = data[spread(at[doc] + start, size)]
+        text = np.frombuffer(b"\0".join(rows["piece"]) + b"\0", np.uint8)
         repeated, first = shard_repeats(text, stops[of], length)
-        place = lambda p: (doc[of[p]], start[of[p]] + p - (stops - size)[of[p]])
-        ids, hashes = (rows.column(k).to_pylist() for k in ("key_id", "key_hash"))
+        start = rows["start"].to_numpy(np.int64)
+        place = lambda p: (of[p], start[of[p]] + p - (stops - size)[of[p]])
         out = []
         d, p = place(np.flatnonzero(repeated))
         if len(d):
             out.append((-1, d, p, b"", b""))
-        if len(first):
+        if rows["hot"].iloc[0] and len(first):
             key, check = (Sums(text, b).some(first, np.full(len(first), length)) for b in BASES)
             sort = np.argsort(key, kind="stable")
             key, check, (d, p) = key[sort], check[sort], place(first[sort])
             bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(key)]
             out += [(int(bucket[a]), d[a:b], p[a:b], key[a:b].tobytes(), check[a:b].tobytes()) for a, b in zip(cut, cut[1:], strict=False)]
+        ids, hashes = rows["key_id"].astype(object).where(rows["key_id"].notna(), None).tolist(), rows["key_hash"].tolist()
         table = []
         for b, d, p, k, c in out:
             some, back = np.unique(d, return_inverse=True)
-            table.append((b, [ids[x] for x in some], [hashes[x] for x in some], back.astype(np.int32), p, k, c))
-        if table:
-            kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-            columns = [pa.array(x, t) for x, t in zip(zip(*table, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "ids", "hashes", "doc", "position", "keys", "checks"])
+            table.append((b, [None if ids[x] is None else int(ids[x]) for x in some], [hashes[x] for x in some], back.astype(np.int32), p, k, c))
+        return pd.DataFrame(table, columns=["bucket", "ids", "hashes", "doc", "position", "keys", "checks"])
 
     return run
 
@@ -324,10 +322,11 @@ def _local_hits(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.list_(pa.int64()))], names=["key_id", "key_hash", "position"])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """key_id, key_hash (id and hash of a text), known (flat start, end, ...
-    of whole contexts that repeat) and compare (the same, of contexts to be
-    compared byte by byte), of the documents that have any."""
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, int]:
+    """key_id, key_hash (id and hash of a text), known (start, end of whole
+    contexts that repeat, flat) and compare (start, end, shard, whether it is
+    hot, of contexts to be compared byte by byte, flat), of the documents that
+    have any; and the key ranges for hot shards."""
     keyed = docs.select(F.col(id_col).cast("long").alias("key_id"), F.xxhash64(F.col(text_col)).alias("key_hash"), F.col(text_col).cast("string").alias("text"))
     rows = saved(keyed.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length, gram), "key_id long, key_hash long, start long, windows int, anchor long, context long, again boolean"), "anchors")
     often = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")
@@ -335,15 +334,20 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     one = F.struct("key_id", "key_hash", "start", "windows")
     contexts = saved(rows.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.max("again").alias("again"), F.min(one).alias("one")), "contexts")
     several = contexts.groupBy("anchor").agg(F.count("*").alias("n_contexts")).where("n_contexts > 1")
-    compare = contexts.join(several, "anchor", "left").where("again or n_contexts > 1").select("one.*", F.lit(False).alias("whole"))
-    whole = rows.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("key_id", "key_hash", "start", "windows", F.lit(True).alias("whole"))
-    span = F.struct("start", (F.col("start") + F.col("windows") + F.lit(length - 1)).alias("end"))
-    flat = lambda x: F.flatten(F.transform(F.sort_array(x), lambda y: F.array(y["start"], y["end"])))
-    return (
-        whole.union(compare)
-        .groupBy("key_id", "key_hash")
-        .agg(flat(F.collect_set(F.when(F.col("whole"), span))).alias("known"), flat(F.collect_set(F.when(~F.col("whole"), span))).alias("compare"))
-    )
+    bytes_ = F.col("one.windows") + F.lit(length)
+    parts = F.ceil(F.coalesce("n_contexts", F.lit(1)) * F.lit(1.5 * length / SHARD_BYTES)).cast("int")
+    compare = contexts.join(several, "anchor", "left").where("again or n_contexts > 1").withColumn("parts", parts)
+    n_bytes, n_hot = compare.agg(F.sum(bytes_), F.sum(F.when(F.col("parts") > 1, F.col("one.windows")))).first()
+    shards = max(1, -(-(n_bytes or 0) // SHARD_BYTES))
+    cold = F.pmod(F.xxhash64("anchor"), F.lit(shards))
+    hot = F.lit(shards) + F.shiftrightunsigned(F.xxhash64("anchor", F.pmod(F.xxhash64("context"), "parts")), 2)
+    start, end = F.col("start").cast("long"), F.col("start") + F.col("windows") + F.lit(length - 1)
+    compare = compare.select("one.*", F.when(F.col("parts") > 1, hot).otherwise(cold).alias("shard"), (F.col("parts") > 1).cast("long").alias("hot"))
+    compare = compare.select("key_id", "key_hash", F.lit(None).cast("array<long>").alias("whole"), F.array(start, end, "shard", "hot").alias("compare"))
+    whole = rows.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("key_id", "key_hash", F.array(start, end).alias("whole"), F.lit(None).cast("array<long>").alias("compare"))
+    flat = lambda x: F.flatten(F.sort_array(F.collect_set(x)))
+    found = whole.union(compare).groupBy("key_id", "key_hash").agg(flat("whole").alias("known"), flat("compare").alias("compare"))
+    return found, max(1, -(-(n_hot or 0) // MERGED_KEYS))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -358,13 +362,12 @@ def _meets(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 def with_removed(docs: DataFrame, finish: Callable, schema: str | T.StructType, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """finish(rows, bytes, offsets, removed intervals of each row) makes the
     result's rows from the documents' rows and what is to be removed."""
-    joined = saved(_meets(_rows(docs, id_col, text_col), repeats(docs, id_col, text_col, length, gram), "left"), "texts-with-repeats")
+    found, buckets = repeats(docs, id_col, text_col, length, gram)
+    joined = saved(_meets(_rows(docs, id_col, text_col), found, "left"), "texts-with-repeats")
     text = F.col("row").getField(text_col).cast("string")
     open_ = joined.where(F.size("compare") > 0)
-    to_compare = open_.select(F.col("row_id").alias("key_id"), F.col("row_hash").alias("key_hash"), "compare", text.alias("text"))
-    n_keys = open_.agg(F.sum(F.aggregate("compare", F.lit(0).cast("long"), lambda s, x: x - s)).alias("bytes")).first()[0] or 0
-    buckets = max(1, -(-n_keys // MERGED_KEYS))
-    shards = saved(to_compare.mapInArrow(_shards(length, buckets), KEYS), "suffix-keys")
+    pieces = open_.select(F.col("row_id").alias("key_id"), F.col("row_hash").alias("key_hash"), "compare", text.alias("text")).mapInArrow(_pieces, PIECES)
+    shards = saved(pieces.groupBy("shard").applyInPandas(_shard(length, buckets), KEYS), "suffix-keys")
     far = shards.where("bucket >= 0").groupBy("bucket").applyInPandas(_merged_hits, HITS)
     near = shards.where("bucket < 0").select("ids", "hashes", "doc", "position").mapInArrow(_local_hits, HITS)
     hits = far.union(near).groupBy("key_id", "key_hash").agg(F.flatten(F.collect_list("position")).alias("hits"))
