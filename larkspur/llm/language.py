@@ -71,9 +71,9 @@ def letters_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     gap = np.flatnonzero(~word[:-1] & word[1:])  # the last of a run of spaces, kept if no text ends in the run
     texts_to = np.cumsum(edge)
     before = np.flatnonzero(word[:-1] & ~word[1:])
-    before = np.concatenate((np.zeros(1, np.int64), before))[np.searchsorted(before, gap)]
+    before = np.concatenate(([0], texts_to[before]))[np.searchsorted(before, gap)]
     keep = word | edge
-    keep[gap[texts_to[gap] == texts_to[before]]] = True
+    keep[gap[texts_to[gap] == before]] = True
     keep[at[-1]] = False
     point, of = point[keep], texts_to[keep] - 1
     first = edge[keep]

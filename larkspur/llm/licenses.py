@@ -29,14 +29,16 @@ from larkspur.llm.common import texts_of
 #: Phrase and label.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Separators of a text that is not lower-cased yet.
-SEPARATORS_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words of a text that is not lower-cased yet.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A text with none of these has no license statement; every rule and every
 #: base phrase contains one.
-GATE = r"licen[cs]e|\bcc |\bcc0\b|gpl|public domain|spdx|unlicense|wtfpl|rights reserved|creative commons"
+GATE = (
+    "licen[cs]e|(?:^| )cc |(?:^| )cc0(?: |$)|spdx|rights reserved|creative commons|public domain|permission is hereby|permission to use|redistribution and use|"
+    "(?:released|distributed|available|published|provided|redistributed|covered) (?:under|by|with|according to) "
+)
 
 #: Families: label, keyword, names in words, versions ("" is no version).
 FAMILIES = [
@@ -186,7 +188,7 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score (the surest detection; a base phrase alone gives 0.6)."""
     out = texts_of(docs, id_col, text_col)
-    out = out.select("doc_id", F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), SEPARATORS_ANY_CASE, " ")).alias("words"))
+    out = out.select("doc_id", F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), SEPARATORS, " ")).alias("words"))
     low = F.concat(F.lit("| "), F.translate("words", UPPER, LOWER), F.lit(" "))
     out = out.select("doc_id", F.when(F.col("words") == "", F.lit(0).cast("long")).otherwise(_spaces(F.col("words")) + 1).alias("n_words"), F.when(F.rlike("words", F.lit("(?i)" + GATE)), low).alias("low"))
     # each piece after the first starts with the phrase
