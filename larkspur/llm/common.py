@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from larkspur.session import shared_dir
 
 #: Bytes of text that one numpy step works on; bounds a task's memory.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 M64 = (1 << 64) - 1
 
@@ -68,12 +68,6 @@ def strings_of(data: np.ndarray, at: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-def padded(data: np.ndarray, pad: int = 16) -> np.ndarray:
-    out = np.zeros(len(data) + pad, np.uint8)
-    out[: len(data)] = data
-    return out
-
-
 def words64(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as a little-endian number;
     ``data`` needs eight bytes more than the positions that are used."""

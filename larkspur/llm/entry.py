@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from larkspur.llm import bpe, contamination, embeddings, html_text, language, licenses, quality, simhash, suffix, tokens
 from larkspur.llm.common import table
+from larkspur.llm.oracle import ORACLES
 
 
 def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +65,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [op1_suffix_array, op2_licenses, op3_quality, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op9_html_text, op10_simhash]
 
-#: SQL by query, where SQL can express it.
-ORACLES: dict[str, str] = {}
-
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}

@@ -47,6 +47,8 @@ GRAM = 100
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes of contexts of one suffix array, about.
 SHARD_BYTES = 1 << 20
+#: Bytes of a document that are searched for anchors at once.
+PART_BYTES = 1 << 20
 #: Keys that one task merges.
 MERGED_KEYS = 2_000_000
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -55,7 +57,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base ** k and base ** -k modulo 2 ** 64 for k < n."""
     if base not in _powers or len(_powers[base][0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = (n >> 16) + 1 << 16
         both = [np.full(size, np.uint64(x)) for x in (base, pow(base, -1, 1 << 64))]
         for x in both:
             x[0] = 1
@@ -126,15 +128,26 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> dict[st
 
 
 def _anchor_rows(length: int, gram: int):
+    def parts(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """A very long document comes in parts, each with all bytes of the
+        windows that start in it."""
+        if len(at) > 2:
+            yield 0, data, at
+        else:
+            for lo in range(0, len(data), PART_BYTES):
+                part = data[lo : lo + PART_BYTES + length - 1]
+                yield lo, part, np.array([0, len(part)])
+
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for rows, data, at in batches(frame):
-                x = anchors(data, at, length, gram)
-                doc = pa.array(x["doc"])
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("key_id").take(doc), rows.column("key_hash").take(doc), pa.array(x["start"]), pa.array(x["windows"].astype(np.int32)), pa.array(x["anchor"].view(np.int64)), pa.array(x["context"].view(np.int64)), pa.array(x["again"])],
-                    names=["key_id", "key_hash", "start", "windows", "anchor", "context", "again"],
-                )
+                for lo, part, ends in parts(data, at):
+                    x = anchors(part, ends, length, gram)
+                    doc = pa.array(x["doc"])
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column("key_id").take(doc), rows.column("key_hash").take(doc), pa.array(x["start"] + lo), pa.array(x["windows"].astype(np.int32)), pa.array(x["anchor"].view(np.int64)), pa.array(x["context"].view(np.int64)), pa.array(x["again"])],
+                        names=["key_id", "key_hash", "start", "windows", "anchor", "context", "again"],
+                    )
 
     return run
 

@@ -78,6 +78,8 @@ def test_against_brute_force_on_random_texts(spark, monkeypatch, length, gram, s
     """With tiny shards most anchors are hot: their keys meet across shards."""
     monkeypatch.setattr(suffix, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(suffix, "MERGED_KEYS", merged_keys)
+    parts = suffix.PART_BYTES if merged_keys > 50 else 700
+    monkeypatch.setattr(suffix, "PART_BYTES", parts)
     rnd = random.Random(length)
     base = "".join(rnd.choice("abcdé ") for _ in range(900))
     rows = [(k, "".join(rnd.choice(["", base[a : a + rnd.randrange(1, 200)], "xy" * rnd.randrange(60), chr(97 + k % 26)]) for a in (rnd.randrange(800) for _ in range(6)))) for k in range(40)]
