@@ -26,7 +26,15 @@ def _root(spark, root: str) -> str:
     return f"{shared_dir(spark)}/lake" if root == "-" else root
 
 
+def _print_all(df) -> None:
+    """Every row as a line of JSON, a partition at a time."""
+    for line in df.toJSON().toLocalIterator():
+        print(line)
+
+
 def main(argv=None) -> int:
+    from larkspur.sources.stream import MAX_FILES_PER_TRIGGER, MAX_OFFSETS_PER_TRIGGER
+
     p = argparse.ArgumentParser(prog="larkspur")
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("apply")
@@ -40,15 +48,14 @@ def main(argv=None) -> int:
     src.add_argument("--kafka")
     src.add_argument("--files")
     i.add_argument("--topic", default=None)
-    i.add_argument("--max-offsets", type=int, default=None, help="records per micro-batch (Kafka)")
+    i.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="records per micro-batch (Kafka)")
     i.add_argument("--min-partitions", type=int, default=None, help="tasks per micro-batch (Kafka)")
-    i.add_argument("--max-files", type=int, default=None, help="files per micro-batch (file source)")
+    i.add_argument("--max-files", type=int, default=MAX_FILES_PER_TRIGGER, help="files per micro-batch (file source)")
     i.add_argument("--checkpoint", default=None)
     i.add_argument("--once", action="store_true", help="availableNow: process what is there and stop")
     i.add_argument("--max-buffer-records", type=int, default=None)
     i.add_argument("--max-buffer-time", default=None)
     i.add_argument("--merge-window", default=None)
-    i.add_argument("--epoch", default=None)
     m = sub.add_parser("merge")
     m.add_argument("root")
     r = sub.add_parser("report")
@@ -82,11 +89,11 @@ def main(argv=None) -> int:
 
         kw = {k: v for k, v in {
             "max_buffer_records": args.max_buffer_records, "max_buffer_time": args.max_buffer_time,
-            "pre_commit_merge_window": args.merge_window, "epoch": args.epoch}.items() if v is not None}
+            "pre_commit_merge_window": args.merge_window}.items() if v is not None}
         settings = Settings(**kw)
         source = (kafka_source(spark, args.kafka, args.topic or DATA_EVENTS_TOPIC,
                                max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions)
-                  if args.kafka else file_source(spark, args.files, args.max_files))
+                  if args.kafka else file_source(spark, args.files, args.max_files, name=args.files))
         q = run_ingest(source, root, args.checkpoint or f"{root}/_checkpoint", settings,
                        trigger={"availableNow": True} if args.once else None)
         q.awaitTermination()
@@ -112,7 +119,7 @@ def main(argv=None) -> int:
         else:
             df = spark.read.schema(QUARANTINE_DDL).parquet(layout.quarantine).groupBy(
                 "reason", "namespace", "type").count()
-        df.show(1000, truncate=False)
+        _print_all(df)
     elif args.cmd == "read":
         from larkspur.operators.read import read_table
 
@@ -122,7 +129,7 @@ def main(argv=None) -> int:
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
-            df.show(20, truncate=False)
+            _print_all(df)
     return 0
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import timedelta
 
 # --- fixed values that must equal the reference ---------------------------
@@ -56,6 +56,11 @@ MANIFEST_DDL = (
     "length bigint, child_items array<string>, batch_id string"
 )
 
+REJECTED_DDL = (
+    "namespace string, type string, merge_id string, reason string, total_records bigint, "
+    "length bigint, child_batches array<string>, rejected_at timestamp_ntz"
+)
+
 LEDGER_DDL = (
     "namespace string, type string, merge_id string, merge_seq bigint, "
     "committed_at timestamp_ntz, schema_version int, total_records bigint, "
@@ -91,11 +96,20 @@ class Layout:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
-    def staged(self, bucket: str) -> str:
-        return f"{self.root}/{bucket}/staged"
+    def table(self, spec) -> str:
+        """A table's own folder: several tables may share a bucket."""
+        return f"{self.root}/{spec.bucket_name}/{spec.namespace}/{spec.table_name}"
+
+    def staged(self, spec) -> str:
+        return f"{self.table(spec)}/staged"
 
-    def data(self, bucket: str) -> str:
-        return f"{self.root}/{bucket}/data"
+    def data(self, spec) -> str:
+        return f"{self.table(spec)}/data"
+
+    @property
+    def rejected(self) -> str:
+        """Merges that the commit guard refused (Q3)."""
+        return f"{self.root}/rejected_merges"
 
     @property
     def manifest(self) -> str:
@@ -141,12 +155,9 @@ class Settings:
     target_file_bytes: int = 128 * 1024 * 1024
     # Rows per merged file when byte sizes are not known yet.
     target_file_rows: int = 2_000_000
-    # Staged batches per merge: a backlog is merged in several commits, each
-    # with a bounded file list, instead of one unbounded merge.
+    # Staged batches of one commit. A longer backlog takes several commits, all
+    # made in the same run, so that what a commit lists stays bounded.
     max_batches_per_merge: int = 500
-    # Label of the checkpoint generation, prefixed to streaming batch ids.
-    epoch: str = "e0"
-    extra: dict = field(default_factory=dict)
 
     @property
     def buffer_interval(self) -> str:

@@ -8,8 +8,8 @@ null column value and are not failures.
 
 Rules (they mirror the Java conversions the reference applies):
 
-* STRING  - the text of the value; numbers as their decimal text, nested
-            values as JSON text. Never fails.
+* STRING  - the text of the value; integers by their digits, other numbers as
+            Java doubles, nested values as JSON text. Never fails.
 * INT/LONG - numbers are truncated toward zero (out of range fails); text must
             be ``[+-]?digits`` with no blanks; booleans and nested fail.
 * FLOAT/DOUBLE - numbers convert; text is parsed like ``Float.parseFloat``
@@ -46,12 +46,9 @@ KIND_STRING = "string"
 KIND_BOOLEAN = "boolean"
 KIND_NESTED = "nested"
 
-# VARIANT type names (schema_of_variant, without parameters) -> JSON kind
-_KINDS = {
-    "STRING": KIND_STRING, "BOOLEAN": KIND_BOOLEAN, "VOID": KIND_NULL,
-    "BIGINT": KIND_NUMBER, "INT": KIND_NUMBER, "SMALLINT": KIND_NUMBER, "TINYINT": KIND_NUMBER,
-    "DOUBLE": KIND_NUMBER, "FLOAT": KIND_NUMBER, "DECIMAL": KIND_NUMBER,
-}
+# First two letters of a VARIANT's type (schema_of_variant) -> JSON kind; all
+# others are numbers: BIGINT (integers), DECIMAL and DOUBLE.
+_KINDS = {"ST": KIND_STRING, "BO": KIND_BOOLEAN, "VO": KIND_NULL, "OB": KIND_NESTED, "AR": KIND_NESTED}
 
 
 def _raw(pattern: str) -> str:
@@ -61,17 +58,25 @@ def _raw(pattern: str) -> str:
 
 def kind_sql(a: str) -> str:
     """SQL: JSON kind of the VARIANT expression ``a``."""
-    pairs = ", ".join(f"'{k}', '{v}'" for k, v in _KINDS.items())
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _KINDS.items())
     return (
-        f"CASE WHEN ({a}) IS NULL OR is_variant_null({a}) THEN '{KIND_NULL}' "
-        f"ELSE coalesce(map({pairs})[regexp_replace(schema_of_variant({a}), {_raw('[(<].*$')}, '')], "
-        f"'{KIND_NESTED}') END"
+        f"CASE WHEN ({a}) IS NULL THEN '{KIND_NULL}' "
+        f"ELSE CASE left(schema_of_variant({a}), 2) {cases} ELSE '{KIND_NUMBER}' END END"
     )
 
 
 def text_sql(a: str) -> str:
-    """SQL: text form of the VARIANT expression ``a`` (JSON text when nested)."""
-    return f"try_variant_get({a}, '$', 'string')"
+    """SQL: text form of the VARIANT expression ``a`` (JSON text when nested).
+
+    A number with a fraction or exponent is the text of a double, as Java
+    writes it (``10.0``, ``1.0E-5``); an integer keeps its digits, also beyond
+    64 bits, where a VARIANT holds it as a decimal.
+    """
+    double = f"try_variant_get({a}, '$', 'double')"
+    return (
+        f"CASE WHEN left(schema_of_variant({a}), 2) = 'DE' AND abs({double}) < 9.223372036854775807E18 "
+        f"THEN CAST({double} AS string) ELSE try_variant_get({a}, '$', 'string') END"
+    )
 
 
 def value_sql(a: str, data_type: str, k: str | None = None, t: str | None = None) -> str:
@@ -115,8 +120,9 @@ def failed_sql(k: str, value: str) -> str:
 def attribute(attributes: Column | str, name: str) -> Column:
     """``attributes[name]`` as a VARIANT (null when the key is missing)."""
     col = F.col(attributes) if isinstance(attributes, str) else attributes
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(col, f"$['{quoted}']", "variant")
+    if set(name) & set("'\"\\"):  # a path cannot quote these
+        return F.try_variant_get(col, "$", "map<string,variant>").getItem(name)
+    return F.try_variant_get(col, f"$['{name}']", "variant")
 
 
 def value_kind(raw: str) -> Column:

@@ -20,9 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.contract import Layout, Settings
+from larkspur.contract import R_COMMIT_GUARD, Layout, Settings
 from larkspur.functions.times import event_date
-from larkspur.operators.publish import commit_guard, read_ledger, write_ledger_row
+from larkspur.operators.publish import guard_reason, read_ledger, settled_batches, write_ledger_row, write_rejected
 from larkspur.operators.staging import read_manifest, read_staged
 from larkspur.sources.catalog import TableSpec
 
@@ -38,33 +38,23 @@ def valid_manifest(manifest: DataFrame) -> DataFrame:
 
 
 def pending_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Valid staged files whose batch no ledger row covers."""
-    committed = read_ledger(spark, layout).select(
-        "namespace", "type", F.explode("child_batches").alias("batch_id")
-    )
-    return valid_manifest(read_manifest(spark, layout)).join(
-        committed, ["namespace", "type", "batch_id"], "left_anti"
-    )
+    """Valid staged files whose batch is neither committed nor refused."""
+    settled = settled_batches(spark, layout)
+    return valid_manifest(read_manifest(spark, layout)).join(settled, ["namespace", "type", "batch_id"], "left_anti")
 
 
 def pending_manifest_as_of(spark: SparkSession, layout: Layout, as_of: int) -> DataFrame:
     """J5 as of ledger sequence ``as_of``: what was pending at that point."""
-    committed = read_ledger(spark, layout).where(F.col("merge_seq") <= F.lit(int(as_of))).select(
-        "namespace", "type", F.explode("child_batches").alias("batch_id")
-    )
-    return valid_manifest(read_manifest(spark, layout)).join(
-        committed, ["namespace", "type", "batch_id"], "left_anti"
-    )
+    settled = settled_batches(spark, layout, as_of)
+    return valid_manifest(read_manifest(spark, layout)).join(settled, ["namespace", "type", "batch_id"], "left_anti")
 
 
 def merge_summary(pending: DataFrame) -> DataFrame:
-    """Per table and staged batch, its files and totals. One row per
-    (table, batch): the file list of a row is bounded by one batch."""
+    """Per table and staged batch, its number of files and totals."""
     return pending.groupBy("namespace", "type", "batch_id").agg(
         F.count(F.lit(1)).alias("n_files"),
         F.sum("total_records").cast("bigint").alias("total_records"),
         F.sum("length").cast("bigint").alias("length"),
-        F.array_sort(F.collect_list("location")).alias("child_items"),
     )
 
 
@@ -85,7 +75,6 @@ def plan_merges(summary_rows, max_batches: int) -> list[dict]:
                 "n_files": sum(int(r["n_files"]) for r in chunk),
                 "total_records": sum(int(r["total_records"] or 0) for r in chunk),
                 "length": sum(int(r["length"] or 0) for r in chunk),
-                "child_items": sorted(p for r in chunk for p in (r["child_items"] or [])),
                 "child_batches": [r["batch_id"] for r in chunk],
             })
     return out
@@ -125,27 +114,19 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     batches = list(summary_row["child_batches"])
     merge_id = merge_id_of(spec.namespace, spec.table_name, batches)
     staged = read_staged(spark, spec, layout, batches, must_exist=True)
-    rows = with_partition_columns(staged.drop("batch_id"), spec)
+    rows = with_partition_columns(staged.drop("batch_id", "_metadata"), spec)
     total_bytes = int(summary_row["length"] or 0)
     total_rows = int(summary_row["total_records"] or 0)
     n_out = max(1, math.ceil(total_bytes / settings.target_file_bytes), math.ceil(total_rows / settings.target_file_rows))
-    if spec.hourly:
-        # an hourly layout has a directory per hour: let several tasks write
-        # contiguous hour ranges instead of one task writing them all
-        n_out = max(n_out, spark.sparkContext.defaultParallelism)
-    # Range partitioning on (date, time) splits even one hot day over several
-    # tasks and leaves every file sorted by event_time, so min/max statistics
-    # skip row groups on time filters.
-    if n_out == 1:
-        # one output file: no sampling job, no shuffle - read the staged
-        # files in one task and sort them by time
-        out = rows.coalesce(1).sortWithinPartitions(*spec.partition_columns, "event_time")
-    else:
-        out = rows.repartitionByRange(n_out, *spec.partition_columns, "event_time")
-    target = f"{layout.data(spec.bucket_name)}/merge_id={merge_id}"
-    out.write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(target)
+    # Range partitioning on (date, time, id) splits one hot day, and even one
+    # hot second, over several tasks, and leaves every file sorted by
+    # event_time, so min/max statistics skip row groups on time filters.
+    order = [*spec.partition_columns, "event_time", "event_id"]
+    out = rows.repartitionByRange(n_out, *order).sortWithinPartitions(*order)
+    target = f"{layout.data(spec)}/merge_id={merge_id}"
+    out.select(*spec.to_physical(), *spec.partition_columns).write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(target)
     stats = (
-        spark.read.schema(spec.struct()).parquet(target)
+        spark.read.schema(spec.physical()).parquet(target)
         .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
                 "load_time", "event_time")
         .groupBy("p")
@@ -156,8 +137,13 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
              F.max("t1").alias("t1"))
         .select("*", F.lit(spec.table_name).alias("type"), F.lit(target).alias("location"))
     )
-    written = stats.select("*", commit_guard().alias("ok")).first()
+    written = stats.select("*", guard_reason().alias("why")).first()
+    if int(written["total_records"] or 0) != total_rows:
+        raise RuntimeError(f"merge {merge_id} wrote {written['total_records']} rows of {total_rows} staged ones")
     single = int(summary_row["n_files"]) == 1
+    # the files of the batches of this one commit, a bounded number
+    mine = read_manifest(spark, layout).where((F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("batch_id").isin(batches))
+    child_items = [] if single else sorted(r["location"] for r in mine.select("location").collect())
     row = {
         "namespace": spec.namespace,
         "type": spec.table_name,
@@ -168,16 +154,28 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
         "total_records": int(written["total_records"] or 0),
         "length": int(written["length"] or 0),
         # A single staged file passes through unchanged, without children
-        "child_items": None if single else list(summary_row["child_items"]),
+        "child_items": None if single else child_items,
         "child_batches": batches,
         "max_load_time": written["l"],
         "min_event_time": written["t0"],
         "max_event_time": written["t1"],
     }
-    guard = bool(written["ok"])
-    if guard:
-        row["committed_at"] = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-        write_ledger_row(spark, layout, row)
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    if written["why"] is not None:
+        log.error("merge %s of %s|%s refused: %s", merge_id, spec.namespace, spec.table_name, written["why"])
+        write_rejected(spark, layout, {
+            "namespace": spec.namespace, "type": spec.table_name, "merge_id": merge_id, "rejected_at": now,
+            "reason": f"{R_COMMIT_GUARD}: {written['why']}", "total_records": row["total_records"], "length": row["length"], "child_batches": batches})
+    else:
+        # another writer may have committed some of these batches meanwhile
+        done = settled_batches(spark, layout).where((F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("batch_id").isin(batches))
+        led = read_ledger(spark, layout, spec.namespace, spec.table_name)
+        if not led.where(F.col("merge_id") == merge_id).isEmpty() or done.isEmpty():
+            row["committed_at"] = now
+            write_ledger_row(spark, layout, row)
+        else:
+            raise RuntimeError(f"batches of merge {merge_id} were committed by another writer")
+    guard = written["why"] is None
     return MergeResult(spec.namespace, spec.table_name, merge_id, merge_seq, row["total_records"],
                        row["length"], int(written["files"] or 0), bool(guard))
 

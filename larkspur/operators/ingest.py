@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from larkspur.contract import Layout, Settings
 from larkspur.operators.project import project_typed, table_rows
-from larkspur.operators.staging import stage_rows, staged_files, write_manifest, _overwrite_partitions
+from larkspur.operators.staging import clear_batches, overwrite_partitions, stage_rows, staged_files, write_manifest
 from larkspur.operators.validate import route
 from larkspur.sources.catalog import TableSpec
 from larkspur.sources.envelope import decode_envelope
@@ -58,14 +58,12 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
     routed = route(decode_envelope(raw), specs).persist(StorageLevel.MEMORY_AND_DISK)
     typed_all: list[DataFrame] = []
     try:
-        # one small job: which batches and which tables this input holds
-        seen = (
-            routed.groupBy("batch_id", "namespace", "type")
-            .agg(F.count_if(F.col("reason").isNull()).alias("ok"))
-            .collect()
-        )
-        batch_ids = sorted({r["batch_id"] for r in seen})
-        present_keys = {(r["namespace"], r["type"]) for r in seen if r["ok"] > 0}
+        # which batches this input holds, and which registered tables (names
+        # that events merely claim never reach the driver)
+        batch_ids = sorted(r["batch_id"] for r in routed.select("batch_id").distinct().collect())
+        present = routed.where(F.col("reason").isNull()).select("namespace", "type").distinct()
+        present_keys = {(r["namespace"], r["type"]) for r in present.collect()}
+        clear_batches(spark, layout, specs, batch_ids)
         active = [s for s in specs if (s.namespace, s.table_name) in present_keys]
         for spec in active:
             # coerced once, read twice (staged rows, then quarantined rows)
@@ -73,8 +71,9 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
             typed_all.append(typed)
             stage_rows(table_rows(typed, spec), spec, layout, settings.max_buffer_records)
         q = quarantine_rows(routed, typed_all)
-        _overwrite_partitions(q, layout.quarantine, ["batch_id"])
-        manifests = [staged_files(spark, spec, layout, batch_ids) for spec in active]
+        overwrite_partitions(q, layout.quarantine, ["batch_id"])
+        # from the files that exist: a table whose rows all failed has none
+        manifests = [m for spec in active if (m := staged_files(spark, spec, layout, batch_ids)) is not None]
         if manifests:
             m = manifests[0]
             for other in manifests[1:]:

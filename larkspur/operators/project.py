@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from larkspur.contract import COMMON_FIELDS, R_COERCION
 from larkspur.functions.coerce import attribute, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.functions.ids import event_ulid
-from larkspur.sources.catalog import TableSpec
+from larkspur.sources.catalog import TableSpec, quoted
 
 
 def _product_fields(spec: TableSpec):
@@ -39,11 +39,15 @@ def typed_columns(spec: TableSpec) -> list[Column]:
     ]
 
 
+def _text(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def failure_columns(spec: TableSpec) -> Column:
     """Outer projection: comma list of fields that were present but did not
     convert (empty when the row is clean)."""
     parts = [
-        f"CASE WHEN {failed_sql(f'_k{i}', f'`{name}`')} THEN '{name}' END"
+        f"CASE WHEN {failed_sql(f'_k{i}', quoted(name))} THEN {_text(name)} END"
         for i, name, _ in _product_fields(spec)
     ]
     return F.expr(f"concat_ws(',', {', '.join(parts)})") if parts else F.lit("")
@@ -82,11 +86,14 @@ def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None =
              *[c for c in ("batch_id",) if c in events.columns]]
     kinds = [f"_k{i}" for i, _, _ in _product_fields(spec)]
     names = [name for _, name, _ in _product_fields(spec)]
+    # the log's name, so that equal positions of two logs give two ids
+    seed = [F.col(c) for c in ("source_name", "source_partition", "source_offset") if c in events.columns]
+    carry += [c for c in ("source_name",) if c in events.columns]
     mine = events.where(
         (F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("reason").isNull()
     ).select("tenant_id", "event_time", *carry, *cols.attributes).select("*", *cols.kind_text)
     typed = mine.select(
-        event_ulid(F.col("event_time"), F.col("source_partition"), F.col("source_offset")).alias("event_id"),
+        event_ulid(F.col("event_time"), *seed).alias("event_id"),
         "tenant_id",
         load_time.cast("timestamp_ntz").alias("load_time"),
         "event_time",
@@ -96,7 +103,7 @@ def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None =
     )
     checked = typed.select("*", cols.failures.alias("_failed"))
     return checked.select(
-        "event_id", "tenant_id", "load_time", "event_time", *[f"`{n}`" for n in names],
+        "event_id", "tenant_id", "load_time", "event_time", *[quoted(n) for n in names],
         F.when(F.col("_failed") != "", F.lit(R_COERCION)).alias("reason"),
         F.when(F.col("_failed") != "", F.col("_failed")).alias("detail"),
         *carry,
@@ -105,7 +112,7 @@ def project_typed(events: DataFrame, spec: TableSpec, load_time: Column | None =
 
 def table_rows(typed: DataFrame, spec: TableSpec) -> DataFrame:
     """Accepted rows, exactly the table columns."""
-    return typed.where(F.col("reason").isNull()).select(*spec.struct().fieldNames(),
+    return typed.where(F.col("reason").isNull()).select(*map(quoted, spec.struct().fieldNames()),
                                                         *[c for c in ("batch_id",) if c in typed.columns])
 
 

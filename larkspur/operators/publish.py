@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.contract import LEDGER_DDL, Layout
+from larkspur.contract import LEDGER_DDL, REJECTED_DDL, Layout
+from larkspur.sources import storage
 
 
 def commit_guard() -> Column:
@@ -53,13 +54,37 @@ def ledger_path(layout: Layout, namespace: str, type_: str) -> str:
 def read_ledger(spark: SparkSession, layout: Layout, namespace: str | None = None,
                 type_: str | None = None) -> DataFrame:
     """Ledger rows; with (namespace, type) only that table's directory is listed."""
-    try:
-        reader = spark.read.schema(LEDGER_DDL).option("basePath", layout.ledger)
-        if namespace is not None and type_ is not None:
-            return reader.parquet(ledger_path(layout, namespace, type_))
-        return reader.parquet(layout.ledger)
-    except Exception:
+    one = namespace is not None and type_ is not None
+    path = ledger_path(layout, namespace, type_) if one else layout.ledger
+    if not storage.exists(spark, path):  # nothing committed yet; an unreadable ledger raises
         return spark.createDataFrame([], LEDGER_DDL)
+    return spark.read.schema(LEDGER_DDL).option("basePath", layout.ledger).parquet(path)
+
+
+def read_rejected(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Q3: merges that the commit guard refused, with the reason."""
+    if not storage.exists(spark, layout.rejected):
+        return spark.createDataFrame([], REJECTED_DDL)
+    return spark.read.schema(REJECTED_DDL).parquet(layout.rejected)
+
+
+def write_rejected(spark: SparkSession, layout: Layout, row: dict) -> None:
+    """Keep a refused merge, once: its batches are no longer pending."""
+    df = spark.createDataFrame([row], REJECTED_DDL).drop("merge_id")
+    df.coalesce(1).write.mode("overwrite").parquet(f"{layout.rejected}/merge_id={row['merge_id']}")
+
+
+def settled_batches(spark: SparkSession, layout: Layout, as_of: int | None = None) -> DataFrame:
+    """(namespace, type, batch_id) of committed and of refused batches."""
+    led = read_ledger(spark, layout)
+    if as_of is not None:
+        led = led.where(F.col("merge_seq") <= F.lit(int(as_of)))
+    parts = [led] if as_of is not None else [led, read_rejected(spark, layout)]
+    out = None
+    for p in parts:
+        p = p.select("namespace", "type", F.explode("child_batches").alias("batch_id"))
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 def write_ledger_row(spark: SparkSession, layout: Layout, row: dict) -> None:

@@ -34,8 +34,8 @@ def _ntz(x: datetime):
     return F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def table_schema(spec: TableSpec) -> T.StructType:
-    s = spec.struct()
+def table_schema(spec: TableSpec, physical: bool = False) -> T.StructType:
+    s = spec.physical() if physical else spec.struct()
     s = s.add("merge_id", T.StringType()).add("event_date", T.DateType())
     if spec.hourly:
         s = s.add("event_hour", T.IntegerType())
@@ -49,19 +49,22 @@ def visible_ledger(spark: SparkSession, layout: Layout, spec: TableSpec, as_of:
     return led
 
 
-def time_predicate(start=None, end=None):
-    """``start <= event_time < end`` plus the derived ``event_date`` range."""
+def time_predicate(start=None, end=None, hourly: bool = False):
+    """``start <= event_time < end`` plus the derived ranges of ``event_date``
+    and, in an hourly layout, of ``event_hour`` within the first and last day."""
     s, e = _as_datetime(start), _as_datetime(end)
     cond = F.lit(True)
     if s is not None:
-        cond = cond & (F.col("event_time") >= _ntz(s)) & (
-            F.col("event_date") >= F.lit(s.date().isoformat()).cast("date")
-        )
+        day = F.lit(s.date().isoformat()).cast("date")
+        cond = cond & (F.col("event_time") >= _ntz(s)) & (F.col("event_date") >= day)
+        if hourly:
+            cond = cond & ((F.col("event_date") > day) | (F.col("event_hour") >= s.hour))
     if e is not None:
-        last_day = (e - timedelta(microseconds=1)).date()
-        cond = cond & (F.col("event_time") < _ntz(e)) & (
-            F.col("event_date") <= F.lit(last_day.isoformat()).cast("date")
-        )
+        last = e - timedelta(microseconds=1)
+        day = F.lit(last.date().isoformat()).cast("date")
+        cond = cond & (F.col("event_time") < _ntz(e)) & (F.col("event_date") <= day)
+        if hourly:
+            cond = cond & ((F.col("event_date") < day) | (F.col("event_hour") <= last.hour))
     return cond
 
 
@@ -89,29 +92,15 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec, start=None, end=
     schema = table_schema(spec)
     if not ids:
         return spark.createDataFrame([], schema)
-    base = layout.data(spec.bucket_name)
+    base = layout.data(spec)
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(table_schema(spec, physical=True))
         .option("basePath", base)
         .parquet(*[f"{base}/merge_id={m}" for m in sorted(ids)])
     )
     if start is not None or end is not None:
-        df = df.where(time_predicate(start, end))
-    return df
-
-
-def read_table_declarative(spark: SparkSession, root: str, spec: TableSpec, as_of: int | None = None) -> DataFrame:
-    """J6 as a join: all data files semi-joined with the visible ledger.
-
-    Same rows as ``read_table``. The filtered ledger has one row per merge;
-    when the planner's size estimate puts it under the broadcast threshold
-    the join is a broadcast and dynamic partition pruning restricts the scan
-    to the ``merge_id`` directories it names, otherwise it is a shuffle join.
-    """
-    layout = Layout(root)
-    data = spark.read.schema(table_schema(spec)).parquet(layout.data(spec.bucket_name))
-    led = visible_ledger(spark, layout, spec, as_of).select("merge_id")
-    return data.join(led, "merge_id", "left_semi")
+        df = df.where(time_predicate(start, end, spec.hourly))
+    return df.select(*spec.from_physical(), *schema.fieldNames()[len(spec.struct().fields):])
 
 
 def view_name(spec: TableSpec) -> str:

@@ -1,10 +1,14 @@
 """Staged Parquet writes and their manifest.
 
 Rows of one table and one batch are written below
-``{root}/{bucket}/staged/batch_id=<id>/`` with dynamic partition overwrite,
-so replaying a batch replaces exactly its own files. The manifest (one row
-per staged file: records and bytes, read back from file metadata) goes to
-``{root}/manifest/batch_id=<id>/``.
+``{root}/{bucket}/{namespace}/{table}/staged/batch_id=<id>/``. A batch that is
+written again first loses all it wrote before, in every table, the manifest
+and the quarantine, so a replay under another schema leaves no stale rows. The
+manifest (one row per staged file: records and bytes, read back from the
+files) goes to ``{root}/manifest/batch_id=<id>/``.
+
+Files name columns by field id (see ``TableSpec.physical``), so a column that
+was dropped and declared again does not show what it held before.
 """
 
 from __future__ import annotations
@@ -13,51 +17,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.contract import MANIFEST_DDL, Layout
+from larkspur.sources import storage
 from larkspur.sources.catalog import TableSpec
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_records: int | None = None) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_records: int | None = None) -> None:
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
     w.partitionBy(*partition_by).parquet(path)
 
 
+def clear_batches(spark: SparkSession, layout: Layout, specs: list[TableSpec], batch_ids: list[str]) -> None:
+    """Remove whatever an earlier attempt at these batches wrote."""
+    for b in batch_ids:
+        for base in (layout.manifest, layout.quarantine, *(layout.staged(s) for s in specs)):
+            storage.delete(spark, f"{base}/batch_id={b}")
+
+
 def stage_rows(rows: DataFrame, spec: TableSpec, layout: Layout, max_records: int) -> None:
     """A5: write accepted rows (table columns + ``batch_id``).
 
     No file is written for a batch without rows (B14). Files hold at most
     ``max_records`` rows, the count bound of an event group.
     """
-    _overwrite_partitions(rows, layout.staged(spec.bucket_name), ["batch_id"], max_records)
+    physical = rows.select(*spec.to_physical(), "batch_id")
+    overwrite_partitions(physical, layout.staged(spec), ["batch_id"], max_records)
 
 
 def read_staged(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str],
                 must_exist: bool = False) -> DataFrame:
-    """Staged rows of ``batch_ids``, read with the table's current schema.
+    """Staged rows of ``batch_ids`` with the table's current columns.
 
-    Only the named ``batch_id=`` directories are read, never the whole
-    staged tree (which grows with every micro-batch). With ``must_exist``
-    (batches taken from the manifest) the directories are passed as paths;
-    otherwise a glob ``batch_id={a,b,...}`` matches those that exist (a
-    batch whose rows were all quarantined has none).
+    Only the named ``batch_id=`` directories are read, never the whole staged
+    tree (which grows with every micro-batch). A batch whose rows were all
+    quarantined has none; with ``must_exist`` (batches that the manifest
+    names) a missing directory raises, as does one that cannot be read.
     """
-    base = layout.staged(spec.bucket_name)
-    schema = spec.struct().add("batch_id", "string")
-    if not batch_ids:
-        return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", base)
-    if must_exist:
-        return reader.parquet(*[f"{base}/batch_id={b}" for b in batch_ids])
-    try:
-        return reader.parquet(f"{base}/batch_id={{{','.join(batch_ids)}}}")
-    except Exception:  # nothing staged for these batches
-        return spark.createDataFrame([], schema)
-
-
-def staged_files(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str]) -> DataFrame:
-    """One manifest row per staged file of ``spec`` in ``batch_ids``."""
+    base = layout.staged(spec)
+    paths = [f"{base}/batch_id={b}" for b in batch_ids]
+    if not must_exist:
+        paths = [p for p in paths if storage.exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], spec.struct().add("batch_id", "string"))
+    physical = spark.read.schema(spec.physical().add("batch_id", "string")).option("basePath", base).parquet(*paths)
+    return physical.select(*spec.from_physical(), "batch_id", "_metadata")
+
+
+def staged_files(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str]) -> DataFrame | None:
+    """One manifest row per staged file of ``spec`` in ``batch_ids``, from
+    the files that were written; None if there are none."""
     df = read_staged(spark, spec, layout, batch_ids)
+    if "_metadata" not in df.columns:
+        return None
     files = df.select("batch_id", F.col("_metadata.file_path").alias("location"),
                       F.col("_metadata.file_size").alias("length"))
     return files.groupBy("batch_id", "location").agg(
@@ -75,11 +87,11 @@ def staged_files(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids
 
 def write_manifest(manifest: DataFrame, layout: Layout) -> None:
     """Publish manifest rows of the batches in ``manifest``."""
-    _overwrite_partitions(manifest.coalesce(1), layout.manifest, ["batch_id"])
+    overwrite_partitions(manifest.repartition("batch_id"), layout.manifest, ["batch_id"])
 
 
 def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
-    try:
-        return spark.read.schema(MANIFEST_DDL).parquet(layout.manifest)
-    except Exception:
+    """The manifest; empty before the first batch, an error if unreadable."""
+    if not storage.exists(spark, layout.manifest):
         return spark.createDataFrame([], MANIFEST_DDL)
+    return spark.read.schema(MANIFEST_DDL).parquet(layout.manifest)

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from larkspur.contract import R_NULL_TENANT, R_UNREGISTERED
 from larkspur.sources.catalog import TableSpec
 
-# A routing table larger than this is joined with a shuffle instead of
-# being broadcast. It has one row per registered table, so in practice it
-# is always far below the bound.
-MAX_BROADCAST_TABLES = 100_000
-
 
 def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -39,10 +34,8 @@ def route(decoded: DataFrame, specs: list[TableSpec]) -> DataFrame:
     tenant get ``null_tenant`` (an empty tenant is kept).
     """
     spark = decoded.sparkSession
-    tables = tables_frame(spark, specs)
-    if len(specs) <= MAX_BROADCAST_TABLES:
-        tables = F.broadcast(tables)
-    joined = decoded.join(tables, ["namespace", "type"], "left")
+    # no hint: the planner knows the inline relation's size and decides
+    joined = decoded.join(tables_frame(spark, specs), ["namespace", "type"], "left")
     reason = F.coalesce(
         F.col("reason"),
         F.when(F.col("bucket_name").isNull(), F.lit(R_UNREGISTERED)).when(

@@ -5,7 +5,7 @@ committed in two rounds. Queries over staged/merged/committed state read it.
 Scenario ``main``: batches ``[0, half)`` are staged (the first one twice, a
 replay), merged and committed; then batches ``[half, n)`` are staged, merged
 and committed. Scenario ``evolve`` applies the v2 declaration of
-``api_events`` between the two rounds (adds ``session``, drops ``error``,
+``page_actions`` between the two rounds (adds ``session``, drops ``fault``,
 changes a type and the partitioning - the last two are ignored).
 
 Built lakes are cached per Spark application and input, since building is
@@ -15,7 +15,7 @@ deterministic.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +64,37 @@ def raw_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_ids_by_offset(landed_records(spark, sf_dir), EPOCH, OFFSETS_PER_BATCH)
 
 
+def build_shared_bucket(spark: SparkSession, sf_dir: str) -> Lake:
+    """Both tables declared in one bucket; everything staged, then merged."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "shared")
+    if key not in _CACHE:
+        root = work_root(spark, "lake-shared")
+        apply_all(spark, PACKAGE_CATALOG, root)
+        specs = [replace(s, bucket_name="shared") for s in live_tables(spark, root)]
+        ingest(spark, raw_batches(spark, sf_dir), root, specs, SETTINGS)
+        merge_pending(spark, Layout(root), specs, SETTINGS)
+        _CACHE[key] = Lake(root, 0, 0, specs)
+    return _CACHE[key]
+
+
+def build_readded(spark: SparkSession, sf_dir: str) -> Lake:
+    """Three rounds: declaration v1, then v2 (drops ``fault``), then v1 again
+    (adds it back); each round's batches are staged and merged."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "readded")
+    if key not in _CACHE:
+        root = work_root(spark, "lake-readded")
+        raw = raw_batches(spark, sf_dir)
+        n = int(raw.agg(F.max("source_offset").alias("m")).first()["m"] or 0) // OFFSETS_PER_BATCH + 1
+        cuts = [0, n // 3 * OFFSETS_PER_BATCH, 2 * n // 3 * OFFSETS_PER_BATCH, n * OFFSETS_PER_BATCH]
+        for catalog, lo, hi in zip((PACKAGE_CATALOG, PACKAGE_CATALOG_V2, PACKAGE_CATALOG), cuts, cuts[1:], strict=False):
+            apply_all(spark, catalog, root)
+            specs = live_tables(spark, root)
+            ingest(spark, raw.where((F.col("source_offset") >= lo) & (F.col("source_offset") < hi)), root, specs, SETTINGS)
+            merge_pending(spark, Layout(root), specs, SETTINGS)
+        _CACHE[key] = Lake(root, n, 0, live_tables(spark, root))
+    return _CACHE[key]
+
+
 def build_lake(spark: SparkSession, sf_dir: str, scenario: str = "main") -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), scenario)
     if key in _CACHE:
@@ -91,7 +122,7 @@ def build_lake(spark: SparkSession, sf_dir: str, scenario: str = "main") -> Lake
             spark, raw.where(F.col("source_offset") < OFFSETS_PER_BATCH), root, specs, SETTINGS))
     step("merge_round1", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))
     if scenario == "evolve":
-        apply_schema(spark, PACKAGE_CATALOG_V2, root, "global", "api_events")
+        apply_schema(spark, PACKAGE_CATALOG_V2, root, "site", "page_actions")
         specs = live_tables(spark, root)
     step("stage_round2", lambda: ingest(spark, raw.where(F.col("source_offset") >= cut), root, specs, SETTINGS))
     step("merge_round2", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))

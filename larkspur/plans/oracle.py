@@ -3,17 +3,33 @@
 The oracle re-derives the envelope from ``events`` column by column (no
 Spark code path is shared): it builds each record's attribute values as
 JSON text and applies the coercion rules with DuckDB's JSON functions and
-the same textual guards. Views ``events`` etc. are registered by the
+textual guards of its own. It shares the probe inputs with the fixture. Views ``events`` etc. are registered by the
 checker.
 """
 
 from __future__ import annotations
 
-from larkspur.functions.coerce import DATE_TEXT, FLOAT_TEXT, INT_TEXT, TIMESTAMP_TEXT
 from larkspur.plans.lake import EPOCH, GROUP_RECORDS, OFFSETS_PER_BATCH
 from larkspur.sources.fixture import PROBES
 
 
+# The texts that the rules accept, written here for DuckDB alone.
+INTEGER = "[-+]?\\d+"
+NUMBER = "[\\x00-\\x20]*[-+]?(?:NaN|Infinity|(?:\\d+\\.?\\d*|\\.\\d+)(?:[eE][-+]?\\d+)?[fFdD]?)[\\x00-\\x20]*"
+DAY = "\\d{4}-\\d\\d-\\d\\d"
+MOMENT = DAY + "T\\d\\d:\\d\\d(?::\\d\\d(?:\\.\\d{1,9})?)?"
+
+
+def _java_double(d: str) -> str:
+    """A double as Java prints it: plain from 0.001 to 10 million, else one
+    digit, a point, the other digits and the exponent."""
+    digits = f"trim(regexp_replace(regexp_replace(CAST(abs({d}) AS VARCHAR), 'e.*$', ''), '[.]', ''), '0')"
+    return (f"CASE WHEN {d} = 0 OR (abs({d}) >= 1e-3 AND abs({d}) < 1e7) THEN CAST({d} AS VARCHAR) "
+            f"ELSE (CASE WHEN {d} < 0 THEN '-' ELSE '' END) || substr({digits}, 1, 1) || '.' || "
+            f"(CASE WHEN length({digits}) > 1 THEN substr({digits}, 2) ELSE '0' END) || 'E' || "
+            f"CAST(CAST(floor(log10(abs({d}))) AS INTEGER) AS VARCHAR) END")
+
+
 def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -24,16 +40,16 @@ def _probes_values() -> str:
 
 # Declared columns of the two fixture tables (namespace, table, name, type).
 API_FIELDS = [
-    ("user_id", "STRING"), ("op_type", "STRING"), ("result", "STRING"), ("error", "STRING"),
+    ("visitor", "STRING"), ("action", "STRING"), ("outcome", "STRING"), ("fault", "STRING"),
     ("k", "INT"), ("amount", "LONG"), ("count", "INT"), ("total", "LONG"), ("ratio", "FLOAT"),
     ("score", "DOUBLE"), ("active", "BOOLEAN"), ("day", "DATE"), ("seen_at", "TIMESTAMP"),
 ]
 INCIDENT_FIELDS = [
-    ("user_id", "STRING"), ("source", "STRING"), ("ipaddress", "STRING"), ("result", "STRING"),
+    ("visitor", "STRING"), ("channel", "STRING"), ("address", "STRING"), ("outcome", "STRING"),
     ("k", "LONG"), ("amount", "DOUBLE"), ("count", "INT"), ("day", "DATE"), ("seen_at", "TIMESTAMP"),
 ]
-ALL_KEYS = ["user_id", "op_type", "result", "k", "amount", "source", "ipaddress",
-            "count", "total", "ratio", "score", "active", "day", "seen_at", "error", "session"]
+ALL_KEYS = ["visitor", "action", "outcome", "k", "amount", "channel", "address",
+            "count", "total", "ratio", "score", "active", "day", "seen_at", "fault", "session"]
 DUCK_TYPES = {"STRING": "VARCHAR", "INT": "INTEGER", "LONG": "BIGINT", "FLOAT": "FLOAT",
               "DOUBLE": "DOUBLE", "BOOLEAN": "BOOLEAN", "DATE": "DATE", "TIMESTAMP": "TIMESTAMP"}
 
@@ -41,13 +57,13 @@ DUCK_TYPES = {"STRING": "VARCHAR", "INT": "INTEGER", "LONG": "BIGINT", "FLOAT":
 def _raw_json(key: str) -> str:
     """JSON text of attribute ``key`` (NULL when the key is absent)."""
     natural = {
-        "user_id": "'\"USER-' || user_id || '\"'",
-        "op_type": "'\"' || event_type || '\"'",
-        "result": "CASE WHEN event_type = 'error' THEN '\"BLOCKED\"' ELSE '\"SUCCESS\"' END",
+        "visitor": "'\"V-' || user_id || '\"'",
+        "action": "'\"' || event_type || '\"'",
+        "outcome": "CASE WHEN event_type = 'error' THEN '\"refused\"' ELSE '\"done\"' END",
         "k": "json_extract_string(props, '$.k')",
         "amount": "CAST(value AS VARCHAR)",
-        "source": "'\"web\"'",
-        "ipaddress": "'\"10.0.0.' || (user_id % 256) || '\"'",
+        "channel": "'\"web\"'",
+        "address": "'\"10.0.0.' || (user_id % 256) || '\"'",
         "session": "'\"S-' || (event_id % 7) || '\"'",
         "count": "json_extract_string(props, '$.k')",
         "total": "CAST(user_id AS VARCHAR)",
@@ -56,9 +72,9 @@ def _raw_json(key: str) -> str:
         "active": "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END",
         "day": "'\"' || strftime(ts, '%Y-%m-%d') || '\"'",
         "seen_at": "'\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '\"'",
-        "error": "NULL",
+        "fault": "NULL",
     }[key]
-    if key in ("count", "total", "ratio", "score", "active", "day", "seen_at", "error"):
+    if key in ("count", "total", "ratio", "score", "active", "day", "seen_at", "fault"):
         return f"CASE WHEN is_probe THEN probe_json ELSE {natural} END"
     return natural
 
@@ -77,22 +93,23 @@ def _coerce(key: str, dt: str) -> tuple[str, str]:
              f"(CASE WHEN trunc(CAST({txt} AS DOUBLE)) BETWEEN {lo} AND {hi} "
              f"THEN CAST(trunc(CAST({txt} AS DOUBLE)) AS {t}) END) "
              f"WHEN ({kind}) = 'number' THEN TRY_CAST({txt} AS {t}) "
-             f"WHEN ({kind}) = 'string' AND regexp_full_match({txt}, {_sql_str(INT_TEXT[1:-1])}) "
+             f"WHEN ({kind}) = 'string' AND regexp_full_match({txt}, {_sql_str(INTEGER)}) "
              f"THEN TRY_CAST({txt} AS {t}) END")
     elif dt in ("FLOAT", "DOUBLE"):
         t = DUCK_TYPES[dt]
         v = (f"CASE WHEN ({kind}) = 'number' THEN TRY_CAST({txt} AS {t}) "
-             f"WHEN ({kind}) = 'string' AND regexp_full_match({txt}, {_sql_str(FLOAT_TEXT[1:-1])}) "
+             f"WHEN ({kind}) = 'string' AND regexp_full_match({txt}, {_sql_str(NUMBER)}) "
              f"THEN TRY_CAST(regexp_replace(trim({txt}), '[fFdD]$', '') AS {t}) END")
     elif dt == "BOOLEAN":
         v = f"CASE WHEN ({kind}) <> 'null' THEN lower({txt}) = 'true' END"
     elif dt == "DATE":
-        v = f"CASE WHEN regexp_full_match({txt}, {_sql_str(DATE_TEXT[1:-1])}) THEN TRY_CAST({txt} AS DATE) END"
+        v = f"CASE WHEN regexp_full_match({txt}, {_sql_str(DAY)}) THEN TRY_CAST({txt} AS DATE) END"
     elif dt == "TIMESTAMP":
-        v = (f"CASE WHEN regexp_full_match({txt}, {_sql_str(TIMESTAMP_TEXT[1:-1])}) "
+        v = (f"CASE WHEN regexp_full_match({txt}, {_sql_str(MOMENT)}) "
              f"THEN TRY_CAST({txt} AS TIMESTAMP) END")
     else:
-        v = f"CASE WHEN ({kind}) <> 'null' THEN {txt} END"
+        v = (f"CASE WHEN json_type({j}) = 'DOUBLE' AND regexp_matches(CAST({j} AS VARCHAR), '[.eE]') "
+             f"THEN {_java_double(f'CAST({txt} AS DOUBLE)')} WHEN ({kind}) <> 'null' THEN {txt} END")
     failed = f"(({kind}) <> 'null' AND ({v}) IS NULL)"
     return v, failed
 
@@ -121,12 +138,12 @@ s0 AS (
     event_id % 4 = 0 AS is_probe, CAST((event_id // 4) % {len(PROBES)} AS INTEGER) AS probe_idx,
     CAST(event_id // {OFFSETS_PER_BATCH} AS BIGINT) AS batch_idx,
     '{EPOCH}-' || lpad(CAST(event_id // {OFFSETS_PER_BATCH} AS VARCHAR), 10, '0') AS batch_id,
-    CASE WHEN event_type = 'error' THEN 'fraud_detection' ELSE 'global' END AS ns0,
-    CASE WHEN event_type = 'error' THEN 'incident_events' WHEN event_type = 'purchase' THEN 'order_events'
+    CASE WHEN event_type = 'error' THEN 'security' ELSE 'site' END AS ns0,
+    CASE WHEN event_type = 'error' THEN 'alarms' WHEN event_type = 'purchase' THEN 'cart_events'
          WHEN event_type = 'signup' AND event_id % 50 = 0 THEN ''
-         WHEN event_type = 'signup' AND event_id % 50 = 25 THEN ' ' ELSE 'api_events' END AS type0,
+         WHEN event_type = 'signup' AND event_id % 50 = 25 THEN ' ' ELSE 'page_actions' END AS type0,
     CASE WHEN user_id % 37 = 0 THEN NULL WHEN user_id % 41 = 0 THEN ''
-         ELSE 'ACCOUNT-' || (user_id % 5 + 1) END AS tenant0,
+         ELSE 'acct-' || (user_id % 5 + 1) END AS tenant0,
     CASE WHEN event_id % 997 <> 0 AND (event_id % 499 = 0 OR event_id % 1499 = 0) THEN 'null_event'
          WHEN event_id % 997 = 0 THEN 'undecodable_envelope' END AS wire_reason
   FROM events e
@@ -155,13 +172,13 @@ src AS (
 routed AS (
   SELECT src.*,
     COALESCE(decode_reason,
-      CASE WHEN NOT ((namespace = 'global' AND type = 'api_events')
-                  OR (namespace = 'fraud_detection' AND type = 'incident_events')) THEN 'unregistered_type'
+      CASE WHEN NOT ((namespace = 'site' AND type = 'page_actions')
+                  OR (namespace = 'security' AND type = 'alarms')) THEN 'unregistered_type'
            WHEN tenant_id IS NULL THEN 'null_tenant' END, 'accepted') AS status
   FROM src
 ),
-{typed(API_FIELDS, 'global', 'api_events', 'typed_api')},
-{typed(INCIDENT_FIELDS, 'fraud_detection', 'incident_events', 'typed_inc')},
+{typed(API_FIELDS, 'site', 'page_actions', 'typed_api')},
+{typed(INCIDENT_FIELDS, 'security', 'alarms', 'typed_inc')},
 ok_api AS (SELECT * FROM typed_api WHERE failed_cols = ''),
 ok_inc AS (SELECT * FROM typed_inc WHERE failed_cols = ''),
 ok_all AS (
@@ -186,7 +203,7 @@ def _fmt(col: str, dt: str) -> str:
 
 
 def _coerce_matrix() -> str:
-    probe_keys = ["count", "total", "ratio", "score", "active", "day", "seen_at", "error"]
+    probe_keys = ["count", "total", "ratio", "score", "active", "day", "seen_at", "fault"]
     types = dict(API_FIELDS)
     parts = []
     for key in probe_keys:
@@ -194,7 +211,7 @@ def _coerce_matrix() -> str:
         parts.append(
             f"SELECT probe_idx, '{key}' AS column_name, '{types[key]}' AS data_type, "
             f"{_fmt('(' + v + ')', types[key])} AS value_text, CAST({f} AS INTEGER) AS failed "
-            f"FROM routed WHERE status IN ('accepted') AND type = 'api_events' AND is_probe"
+            f"FROM routed WHERE status IN ('accepted') AND type = 'page_actions' AND is_probe"
         )
     # rows failing tenant checks are excluded on both sides: routed status must be accepted
     return (" UNION ALL ".join(parts))
@@ -202,24 +219,24 @@ def _coerce_matrix() -> str:
 
 def _schema_changes() -> str:
     return """
-SELECT 'global' AS namespace, 'api_events' AS table_name, name, change, data_type,
+SELECT 'site' AS namespace, 'page_actions' AS table_name, name, change, data_type,
        CAST(n_events AS BIGINT) AS n_events, 2 AS live_version
 FROM (
   SELECT 'session' AS name, 'add' AS change, 'STRING' AS data_type,
-         (SELECT count(*) FROM routed WHERE status = 'accepted' AND type = 'api_events') AS n_events
+         (SELECT count(*) FROM routed WHERE status = 'accepted' AND type = 'page_actions') AS n_events
   UNION ALL
-  SELECT 'error', 'drop', 'STRING',
-         (SELECT count(*) FROM routed WHERE status = 'accepted' AND type = 'api_events' AND is_probe)
+  SELECT 'fault', 'drop', 'STRING',
+         (SELECT count(*) FROM routed WHERE status = 'accepted' AND type = 'page_actions' AND is_probe)
   UNION ALL
   SELECT 'k', 'ignored', 'INT',
-         (SELECT count(*) FROM routed WHERE status = 'accepted' AND type = 'api_events')
+         (SELECT count(*) FROM routed WHERE status = 'accepted' AND type = 'page_actions')
 )"""
 
 
 def _evolved_read() -> str:
-    # rows of the first half were coerced under v1 (error checked), the rest
-    # under v2 (error dropped, session added): recompute acceptance per half
-    v1_fail = _coerce("error", "STRING")[1]
+    # rows of the first half were coerced under v1 (fault checked), the rest
+    # under v2 (fault dropped, session added): recompute acceptance per half
+    v1_fail = _coerce("fault", "STRING")[1]
     return f"""
 , ev AS (
   SELECT t.event_time, t.batch_idx, t.failed_cols, r.j_session
@@ -231,7 +248,7 @@ SELECT CAST(event_time AS DATE) AS event_date, count(*) AS n,
 FROM ev
 WHERE (batch_idx < (SELECT half FROM lake) AND failed_cols = '')
    OR (batch_idx >= (SELECT half FROM lake) AND
-       regexp_replace(regexp_replace(failed_cols, '(^|,)error(,|$)', ','), '^,|,$', '') = '')
+       regexp_replace(regexp_replace(failed_cols, '(^|,)fault(,|$)', ','), '^,|,$', '') = '')
 GROUP BY 1"""
 
 
@@ -270,8 +287,8 @@ def oracle_sql() -> dict[str, str]:
             {', '.join(f"j_{k} IS NULL AS miss_{k}" for k in ALL_KEYS)}
             FROM routed WHERE status = 'accepted') x
             WHERE NOT (({' OR '.join(f"(attribute = '{k}' AND miss_{k})" for k in ALL_KEYS)}))
-              AND NOT (type = 'api_events' AND attribute IN ({', '.join(repr(k) for k, _ in API_FIELDS)}))
-              AND NOT (type = 'incident_events' AND attribute IN ({', '.join(repr(k) for k, _ in INCIDENT_FIELDS)}))
+              AND NOT (type = 'page_actions' AND attribute IN ({', '.join(repr(k) for k, _ in API_FIELDS)}))
+              AND NOT (type = 'alarms' AND attribute IN ({', '.join(repr(k) for k, _ in INCIDENT_FIELDS)}))
             GROUP BY 1, 2, 3""",
         "group_sizes": f"""SELECT namespace, type, source_partition, group_seq, count(*) AS n_events,
             min(source_offset) AS first_offset, max(source_offset) AS last_offset FROM (
@@ -318,9 +335,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE batch_idx < {half} GROUP BY 1""",
         "late_events": """SELECT type, CAST(event_time AS DATE) AS event_date, count(*) AS n FROM ok_all
             WHERE event_time < TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1, 2""",
-        "ulid_shape": """SELECT type, count(*) AS n, count(*) AS n_distinct, count(*) AS n_valid FROM ok_all GROUP BY 1""",
-        "distinct_locations": """SELECT CASE WHEN type = 'api_events' THEN 'global-api-events'
-            ELSE 'fraud-detection-incident-events' END AS bucket_name, count(*) AS total_records
+        "ulid_shape": """SELECT type, count(*) AS n, count(*) AS n_distinct, count(*) AS n_valid,
+            count(DISTINCT date_trunc('millisecond', event_time)) AS n_times, true AS first_is_least, true AS last_is_greatest
+            FROM ok_all GROUP BY 1""",
+        "distinct_locations": """SELECT CASE WHEN type = 'page_actions' THEN 'site-page-actions'
+            ELSE 'security-alarms' END AS bucket_name, count(*) AS total_records
             FROM ok_all GROUP BY 1""",
         "evolved_read": _evolved_read(),
         "schema_add_columns": f"SELECT * FROM ({_schema_changes()}) WHERE change = 'add'",
@@ -336,6 +355,17 @@ def oracle_sql() -> dict[str, str]:
             count(DISTINCT CAST(event_time AS DATE)) AS n_days FROM ok_api
             WHERE event_time >= TIMESTAMP '2024-01-05 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00'
             GROUP BY 1""",
+        "shared_location": """SELECT type, 'shared' AS bucket_name, CAST(event_time AS DATE) AS event_date, count(*) AS n,
+            CAST(COALESCE(sum(k), 0) AS BIGINT) AS sum_k, count(DISTINCT tenant_id) AS n_tenants FROM ok_all GROUP BY 1, 2, 3""",
+        "readd_column": """SELECT CAST(event_time AS DATE) AS event_date, count(*) AS n,
+            count(CASE WHEN batch_idx >= (SELECT 2 * n_batches // 3 FROM lake) THEN fault END) AS n_fault
+            FROM ok_api GROUP BY 1""",
+        "manifest_validity": """SELECT namespace, type, count(*) AS total_records FROM ok_all GROUP BY 1, 2""",
+        "two_sources_ingest": """SELECT type, CAST(event_time AS DATE) AS event_date, count(*) AS n, count(*) AS n_ids
+            FROM ok_all GROUP BY 1, 2""",
+        "freshness": """SELECT namespace, type,
+            count(DISTINCT CASE WHEN batch_idx < (SELECT half FROM lake) THEN 1 ELSE 2 END) AS n_merges, true AS lag_is_sound
+            FROM ok_all GROUP BY 1, 2""",
         "stream_equals_batch": """SELECT type, CAST(event_time AS DATE) AS event_date, count(*) AS n FROM ok_all GROUP BY 1, 2""",
     }
     return {k: b + (v if v.lstrip().startswith(",") else "\n" + v) for k, v in q.items()}

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from larkspur.contract import QUARANTINE_DDL, R_COERCION
 from larkspur.functions.coerce import attribute, coerce
-from larkspur.operators.compaction import pending_manifest_as_of
+from larkspur.operators.compaction import pending_manifest_as_of, valid_manifest
 from larkspur.operators.grouping import assign_groups, group_sizes
 from larkspur.operators.project import project_typed, unknown_attributes
 from larkspur.operators.publish import cleanup_candidates, freshness, guard_reason, read_ledger
 from larkspur.operators.read import read_table, register_views
 from larkspur.operators.staging import read_manifest
 from larkspur.operators.validate import route
-from larkspur.plans.lake import GROUP_RECORDS, SETTINGS, build_lake, raw_batches
+from larkspur.plans.lake import GROUP_RECORDS, SETTINGS, build_lake, build_readded, build_shared_bucket, raw_batches
 from larkspur.session import work_root
 from larkspur.sources.catalog import (
     PACKAGE_CATALOG,
@@ -152,10 +152,10 @@ def _fmt(value, dt):
 
 def q_coerce_matrix(spark, sf_dir):
     """Each probe value coerced to every type, over every probe row."""
-    api = next(s for s in _specs(spark) if s.table_name == "api_events")
+    api = next(s for s in _specs(spark) if s.table_name == "page_actions")
     types = {name: dt for _, name, dt in api.fields}
     r = _routed(spark, sf_dir).where(
-        (F.col("type") == "api_events") & F.col("reason").isNull() & (F.col("source_offset") % 4 == 0)
+        (F.col("type") == "page_actions") & F.col("reason").isNull() & (F.col("source_offset") % 4 == 0)
     )
     probe_idx = (F.floor(F.col("source_offset") / 4) % len(PROBES)).cast("int")
     cells = []
@@ -251,7 +251,7 @@ def q_replay_idempotent(spark, sf_dir):
     lake = build_lake(spark, sf_dir)
     out = None
     for spec in lake.specs:
-        s = spark.read.schema(spec.struct().add("batch_id", "string")).parquet(lake.layout.staged(spec.bucket_name))
+        s = spark.read.schema(spec.physical().add("batch_id", "string")).parquet(lake.layout.staged(spec))
         s = s.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"))
         s = s.select(F.lit(spec.namespace).alias("namespace"), F.lit(spec.table_name).alias("type"), "*")
         out = s if out is None else out.unionByName(s)
@@ -304,33 +304,33 @@ def q_cleanup_candidates(spark, sf_dir):
 
 
 def q_partition_day(spark, sf_dir):
-    """Daily layout of api_events."""
+    """Daily layout of page_actions."""
     lake = build_lake(spark, sf_dir)
-    t = read_table(spark, lake.root, lake.spec("api_events"))
+    t = read_table(spark, lake.root, lake.spec("page_actions"))
     return t.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_partition_hour(spark, sf_dir):
-    """Hourly layout of incident_events."""
+    """Hourly layout of alarms."""
     lake = build_lake(spark, sf_dir)
-    t = read_table(spark, lake.root, lake.spec("incident_events"))
+    t = read_table(spark, lake.root, lake.spec("alarms"))
     return t.groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_time_range_read(spark, sf_dir):
-    """One week of api_events, pruned by derived event_date."""
+    """One week of page_actions, pruned by derived event_date."""
     lake = build_lake(spark, sf_dir)
-    t = read_table(spark, lake.root, lake.spec("api_events"), start="2024-01-10", end="2024-01-17")
+    t = read_table(spark, lake.root, lake.spec("page_actions"), start="2024-01-10", end="2024-01-17")
     return t.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("sum_k")
     )
 
 
 def q_as_of_read(spark, sf_dir):
-    """api_events as of the first commit round."""
+    """page_actions as of the first commit round."""
     lake = build_lake(spark, sf_dir)
     as_of = len(lake.specs) if lake.half > 0 else 0
-    t = read_table(spark, lake.root, lake.spec("api_events"), as_of=as_of)
+    t = read_table(spark, lake.root, lake.spec("page_actions"), as_of=as_of)
     return t.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -356,6 +356,10 @@ def q_ulid_shape(spark, sf_dir):
             F.count(F.lit(1)).alias("n"),
             F.count_distinct("event_id").alias("n_distinct"),
             F.sum(F.col("event_id").rlike("^[0-9A-HJKMNP-TV-Z]{26}$").cast("int")).cast("bigint").alias("n_valid"),
+            # the time part names the millisecond: as many as there are event times, and in their order
+            F.count_distinct(F.substring("event_id", 1, 10)).alias("n_times"),
+            (F.min_by(F.substring("event_id", 1, 10), "event_time") == F.min(F.substring("event_id", 1, 10))).alias("first_is_least"),
+            (F.max_by(F.substring("event_id", 1, 10), "event_time") == F.max(F.substring("event_id", 1, 10))).alias("last_is_greatest"),
         ).select(F.lit(spec.table_name).alias("type"), "*")
         out = t if out is None else out.unionByName(t)
     return out
@@ -375,35 +379,35 @@ def q_distinct_locations(spark, sf_dir):
 
 
 def q_evolved_read(spark, sf_dir):
-    """After adding session and dropping error mid-stream, old
-    files read session as null and error is gone."""
+    """After adding session and dropping fault mid-stream, old
+    files read session as null and fault is gone."""
     lake = build_lake(spark, sf_dir, "evolve")
-    spec = lake.spec("api_events")
+    spec = lake.spec("page_actions")
     t = read_table(spark, lake.root, spec)
     return t.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("session").alias("n_session"),
-        F.lit("error" in t.columns).alias("has_error_column"),
+        F.lit("fault" in t.columns).alias("has_error_column"),
     )
 
 
 def q_schema_changes(spark, sf_dir):
-    """Changes between the applied v1 schema of api_events and
+    """Changes between the applied v1 schema of page_actions and
     its v2 declaration, with how many of its events carry each attribute."""
     lake = build_lake(spark, sf_dir, "evolve")
     v1 = registry(spark, lake.root).where(
-        "namespace = 'global' and table_name = 'api_events' and version = 1"
+        "namespace = 'site' and table_name = 'page_actions' and version = 1"
     ).select("namespace", "table_name", "name", "data_type")
     decl = catalog_fields(load_catalog(spark, f"{PACKAGE_CATALOG}_v2")).where(
-        "table_name = 'api_events'"
+        "table_name = 'page_actions'"
     ).select("namespace", "table_name", "name", "data_type")
     diff = schema_diff(decl, v1)
     names = sorted(r["name"] for r in diff.select("name").distinct().collect())  # a few column names
-    routed = _routed(spark, sf_dir).where((F.col("type") == "api_events") & F.col("reason").isNull())
+    routed = _routed(spark, sf_dir).where((F.col("type") == "page_actions") & F.col("reason").isNull())
     present = routed.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("name"), attribute("attributes", n).isNotNull().alias("p")) for n in names
     ])).alias("x")).groupBy("x.name").agg(F.sum(F.col("x.p").cast("int")).cast("bigint").alias("n_events"))
-    version = latest_registry(spark, lake.root).where("table_name = 'api_events'").agg(
+    version = latest_registry(spark, lake.root).where("table_name = 'page_actions'").agg(
         F.max("version").alias("v")
     ).first()["v"]  # one scalar from the registry
     return diff.join(present, "name", "left").select(
@@ -464,7 +468,7 @@ def q_sql_view_read(spark, sf_dir):
     """SQL over the committed table through a registered view."""
     lake = build_lake(spark, sf_dir)
     names = register_views(spark, lake.root, lake.specs)
-    view = names[("global", "api_events")]
+    view = names[("site", "page_actions")]
     return spark.sql(f"""
         SELECT tenant_id, count(*) AS n, CAST(coalesce(sum(k), 0) AS BIGINT) AS sum_k,
                count(DISTINCT event_date) AS n_days
@@ -476,12 +480,73 @@ def q_sql_view_read(spark, sf_dir):
 
 
 def q_freshness(spark, sf_dir):
-    """K6: lag between the newest loaded row and its commit (rows only)."""
+    """Merges of each table, and that no row was loaded after its
+    commit (the lag itself is wall-clock time)."""
     lake = build_lake(spark, sf_dir)
-    return freshness(spark, lake.layout).select("namespace", "type", "n_merges", "max_lag_seconds")
+    return freshness(spark, lake.layout).select(
+        "namespace", "type", "n_merges", (F.col("max_lag_seconds") >= -1).alias("lag_is_sound"))
+
+
+def q_shared_location(spark, sf_dir):
+    """A5 K7: two tables in one bucket keep their own rows."""
+    lake = build_shared_bucket(spark, sf_dir)
+    out = None
+    for spec in lake.specs:
+        t = read_table(spark, lake.root, spec).groupBy("event_date").agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("sum_k"),
+            F.count_distinct("tenant_id").alias("n_tenants"),
+        ).select(F.lit(spec.table_name).alias("type"), F.lit(spec.bucket_name).alias("bucket_name"), "*")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def q_readd_column(spark, sf_dir):
+    """H6 H7 K1: a column that was dropped and declared again holds only what
+    came after it came back."""
+    lake = build_readded(spark, sf_dir)
+    return read_table(spark, lake.root, lake.spec("page_actions")).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count("fault").alias("n_fault"))
+
+
+def q_manifest_validity(spark, sf_dir):
+    """The lake's manifest beside copies with a blank or missing field;
+    only the rows as they were pass."""
+    m = read_manifest(spark, build_lake(spark, sf_dir).layout)
+    blank = [m.withColumn(c, F.lit(v)) for c, v in (("location", " "), ("type", ""), ("namespace", None))]
+    every = m
+    for b in blank:
+        every = every.unionByName(b)
+    return valid_manifest(every).groupBy("namespace", "type").agg(F.sum("total_records").cast("bigint").alias("total_records"))
+
+
+def q_two_sources_ingest(spark, sf_dir):
+    """Two logs ingested into one lake, each with its own checkpoint:
+    all rows of both arrive, with ids of their own."""
+    from larkspur.streaming.ingest import final_merge, run_ingest
+    from larkspur.sources.stream import file_source
+
+    root = work_root(spark, "two-sources")
+    apply_all(spark, PACKAGE_CATALOG, root)
+    raw = landed_records(spark, sf_dir)
+    for name, rows in (("even", raw.where("source_offset % 2 = 0")), ("odd", raw.where("source_offset % 2 = 1"))):
+        rows.withColumn("source_offset", F.floor(F.col("source_offset") / 2)).write.parquet(f"{root}/landing/{name}")
+        run_ingest(file_source(spark, f"{root}/landing/{name}", name=name), root, f"{root}/_checkpoint/{name}",
+                   SETTINGS, trigger={"availableNow": True}).awaitTermination()
+    final_merge(spark, root, SETTINGS)
+    out = None
+    for spec in live_tables(spark, root):
+        t = read_table(spark, root, spec).groupBy("event_date").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_ids")
+        ).select(F.lit(spec.table_name).alias("type"), "*")
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 QUERIES = {
+    "shared_location": q_shared_location,
+    "readd_column": q_readd_column,
+    "manifest_validity": q_manifest_validity,
+    "two_sources_ingest": q_two_sources_ingest,
     "rejected_events": q_rejected_events,
     "valid_events": q_valid_events,
     "event_time_parse": q_event_time_parse,

@@ -3,7 +3,7 @@ folder taken from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -30,11 +30,15 @@ def local_session(cores: int | str = "*", app: str = "larkspur", shuffle_partiti
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) a fresh folder is created and set.
+    Only a single-process local session may leave it unset (tests): a fresh
+    folder is then created and set. On a cluster a machine-local folder would
+    be invisible to the executors, so that raises.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="larkspur-ckpt-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")
@@ -42,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_root(spark: SparkSession, name: str) -> str:
     """A new, unique lakehouse root below the shared folder."""
+    from larkspur.sources.storage import make_dirs
+
     root = f"{shared_dir(spark)}/larkspur/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in root:
-        os.makedirs(root, exist_ok=True)
+    make_dirs(spark, root)
     return root

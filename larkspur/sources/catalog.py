@@ -14,6 +14,7 @@ the driver is bounded by the number of declared columns, never by data.
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass
 from pathlib import Path
@@ -31,6 +32,7 @@ from larkspur.contract import (
     SPARK_TYPES,
     Layout,
 )
+from larkspur.sources import storage
 
 PACKAGE_CATALOG = str(Path(__file__).resolve().parent.parent / "catalog_data")
 PACKAGE_CATALOG_V2 = str(Path(__file__).resolve().parent.parent / "catalog_data_v2")
@@ -49,6 +51,15 @@ class InvalidRequest(ValueError):
     """Blank namespace or table name in an apply request."""
 
 
+def physical_name(field_id: int) -> str:
+    return f"field_{field_id}"
+
+
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     namespace: str
@@ -84,18 +95,48 @@ class TableSpec:
         ]
         return T.StructType(common + product)
 
+    def physical(self) -> T.StructType:
+        """What the files hold: product columns are named by field id, so a
+        name that is dropped and declared again reads nothing old."""
+        names = [*COMMON_FIELDS, *(physical_name(i) for i, _, _ in self.fields)]
+        return T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, self.struct().fields, strict=True)])
+
+    def to_physical(self) -> list:
+        return [*COMMON_FIELDS, *(F.col(quoted(n)).alias(physical_name(i)) for i, n, _ in self.fields)]
+
+    def from_physical(self) -> list:
+        return [*COMMON_FIELDS, *(F.col(physical_name(i)).alias(n) for i, n, _ in self.fields)]
+
     def ddl(self) -> str:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.struct().fields)
 
 
 # --- scanning declarations -------------------------------------------------
 
+def _is_local(path: str) -> bool:
+    return "://" not in path and os.path.isdir(path)
+
+
+def _declarations(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Declaration files on the driver's disk (the package's own, say), which
+    executors need not see: read here, a row a table."""
+    keep = ("namespace", "tableName", "bucketName", "partitionType")
+    rows = []
+    for p in paths:
+        d = json.loads(Path(p).read_text())
+        fields = [tuple(f.get(k) for k in ("id", "name", "dataType", "deprecated")) for f in d.get("fields") or []]
+        rows.append((*(d.get(k) for k in keep), fields, Path(p).resolve().as_uri()))
+    return spark.createDataFrame(rows, CATALOG_FILE_DDL + ", source_file string")
+
+
 def load_catalog(spark: SparkSession, catalog_dir: str = PACKAGE_CATALOG) -> DataFrame:
     """Every declaration under ``catalog_dir`` as one DataFrame.
 
     Unknown JSON properties are ignored (explicit schema); the source file
     name is kept for error reports.
     """
+    if _is_local(catalog_dir):
+        return _declarations(spark, sorted(map(str, Path(catalog_dir).glob("*/*.json"))))
     return (
         spark.read.schema(CATALOG_FILE_DDL)
         .option("multiLine", True)
@@ -128,7 +169,11 @@ def distinct_buckets(catalog: DataFrame) -> DataFrame:
 def read_declaration(spark: SparkSession, catalog_dir: str, namespace: str, table: str) -> DataFrame:
     """The declaration of one table; missing file raises."""
     path = f"{catalog_dir.rstrip('/')}/{namespace}/{table}.json"
-    if "://" not in path and not os.path.exists(path):
+    if _is_local(catalog_dir):
+        if not os.path.exists(path):
+            raise SchemaNotFound(path)
+        return _declarations(spark, [path])
+    if not storage.exists(spark, path):
         raise SchemaNotFound(path)
     return spark.read.schema(CATALOG_FILE_DDL).option("multiLine", True).json(path)
 
@@ -176,10 +221,9 @@ def schema_diff(declared: DataFrame, live: DataFrame) -> DataFrame:
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
     path = Layout(root).registry
-    try:
-        return spark.read.schema(REGISTRY_DDL).parquet(path)
-    except Exception:  # no registry yet
+    if not storage.exists(spark, path):  # nothing applied yet; an unreadable registry raises
         return spark.createDataFrame([], REGISTRY_DDL)
+    return spark.read.schema(REGISTRY_DDL).parquet(path)
 
 
 def latest_registry(spark: SparkSession, root: str) -> DataFrame:
@@ -237,93 +281,74 @@ def apply_schema(spark: SparkSession, catalog_dir: str, root: str, namespace: st
         raise InvalidRequest(MSG_SCHEMA_NOT_FOUND)
     if create_database:
         ensure_namespace(spark, root, namespace)
-    decl = catalog_fields(read_declaration(spark, catalog_dir, namespace, table)).where(
-        F.col("name").isNotNull()
-    )
-    live = latest_registry(spark, root).where(
-        (F.col("namespace") == namespace) & (F.col("table_name") == table)
-    )
-    live_rows = live.collect()
-    layout = Layout(root)
-    if not live_rows:
-        rows = decl.select(
-            "namespace", "table_name", F.lit(1).alias("version"), "bucket_name",
-            "partition_type", "field_id", "name", "data_type",
-        ).collect()  # one row per declared column
-        if not rows:  # a declaration without fields still creates the table
-            meta = read_declaration(spark, catalog_dir, namespace, table).first()
-            rows = [(namespace, table, 1, meta["bucketName"], meta["partitionType"], None, None, None)]
-        spark.createDataFrame(rows, REGISTRY_DDL).coalesce(1).write.mode("append").parquet(layout.registry)
-        return ApplyResult(MSG_SCHEMA_APPLIED, version=1, created=True, added=len(rows))
-    version = live_rows[0]["version"]
-    diff = schema_diff(decl, live).cache()
-    counts = {r["change"]: r["n"] for r in diff.groupBy("change").agg(F.count("*").alias("n")).collect()}
-    added, dropped = counts.get("add", 0), counts.get("drop", 0)
-    if added or dropped:
-        meta = live_rows[0]
-        kept = live.where(F.col("name").isNotNull()).join(
-            diff.where("change = 'drop'").select("name"), "name", "left_anti"
-        ).select("field_id", "name", "data_type")
-        new_cols = decl.join(diff.where("change = 'add'").select("name"), "name").select(
-            "field_id", "name", "data_type"
-        )
-        new = kept.unionByName(new_cols).select(
-            F.lit(namespace).alias("namespace"), F.lit(table).alias("table_name"),
-            F.lit(version + 1).alias("version"), F.lit(meta["bucket_name"]).alias("bucket_name"),
-            F.lit(meta["partition_type"]).alias("partition_type"), "field_id", "name", "data_type",
-        )
-        new.write.mode("append").parquet(layout.registry)
-        version += 1
-    diff.unpersist()
-    return ApplyResult(
-        MSG_SCHEMA_APPLIED, version=version, added=added, dropped=dropped, ignored=counts.get("ignored", 0)
-    )
+    return _apply(spark, read_declaration(spark, catalog_dir, namespace, table), root)[0]
 
 
 def apply_all(spark: SparkSession, catalog_dir: str, root: str) -> list[ApplyResult]:
-    """Apply every declaration found under ``catalog_dir`` in one pass.
+    """Apply every declaration found under ``catalog_dir`` in one pass, by the
+    rules of ``apply_schema``: one diff (anti joins) of all declared tables
+    against the latest registered versions, one registry write."""
+    return _apply(spark, load_catalog(spark, catalog_dir), root)
 
-    Same rules as ``apply_schema``: one diff (anti joins) of all declared
-    tables against the latest registered versions, one registry write for
-    every table that is new or gained/lost columns.
-    """
-    cat = load_catalog(spark, catalog_dir)
+
+def _apply(spark: SparkSession, cat: DataFrame, root: str) -> list[ApplyResult]:
+    """The one implementation: all rows here are configuration, one per
+    declared or live column. A column added to a live table takes the declared
+    id if no version of the table ever used it, else the next free one. A
+    version without columns is a row without a name."""
     meta = {(r["namespace"], r["tableName"]): r for r in cat.select(
         "namespace", "tableName", "bucketName", "partitionType").collect()}
     decl = catalog_fields(cat).where(F.col("name").isNotNull()).select(
-        "namespace", "table_name", "field_id", "name", "data_type"
+        "namespace", "table_name", "pos", "field_id", "name", "data_type"
     )
-    live = latest_registry(spark, root)
-    live_rows = live.collect()  # config sized: one row per live column
+    every = registry(spark, root).collect()
+    latest: dict = {}
+    for r in every:
+        key = (r["namespace"], r["table_name"])
+        latest[key] = max(latest.get(key, 0), r["version"])
+    live_rows = [r for r in every if r["version"] == latest[(r["namespace"], r["table_name"])]]
     live_meta = {(r["namespace"], r["table_name"]): r for r in live_rows}
-    decl_rows = decl.collect()  # one row per declared column
-    diff_rows = schema_diff(decl, live).collect() if live_rows else []
+    used: dict = {}
+    for r in every:
+        used.setdefault((r["namespace"], r["table_name"]), set()).add(r["field_id"])
+    decl_rows = sorted(decl.collect(), key=lambda r: (r["namespace"], r["table_name"], r["pos"]))
+    live = spark.createDataFrame(live_rows, REGISTRY_DDL).where(F.col("name").isNotNull())
+    diff_rows = schema_diff(decl.drop("pos"), live).collect() if live_rows else []
     changes: dict = {}
     for r in diff_rows:
         changes.setdefault((r["namespace"], r["table_name"]), []).append(r)
+
+    def with_ids(key, fields) -> list:
+        taken = used.setdefault(key, set())
+        out = []
+        for f in fields:
+            i = f["field_id"]
+            if i is None or i in taken:
+                i = max([100, *(x for x in taken if x is not None), *(d["field_id"] or 0 for d in decl_rows)]) + 1
+            taken.add(i)
+            out.append((i, f["name"], f["data_type"]))
+        return out
+
     new_rows, results = [], []
     for key, m in sorted(meta.items()):
         fields = [r for r in decl_rows if (r["namespace"], r["table_name"]) == key]
-        if key not in live_meta:
-            rows = [(key[0], key[1], 1, m["bucketName"], m["partitionType"], f["field_id"], f["name"], f["data_type"])
-                    for f in fields] or [(key[0], key[1], 1, m["bucketName"], m["partitionType"], None, None, None)]
-            new_rows += rows
-            results.append(ApplyResult(MSG_SCHEMA_APPLIED, version=1, created=True, added=len(fields)))
-            continue
         ch = changes.get(key, [])
         adds = {r["name"] for r in ch if r["change"] == "add"}
         drops = {r["name"] for r in ch if r["change"] == "drop"}
         ignored = sum(1 for r in ch if r["change"] == "ignored")
-        lm = live_meta[key]
-        version = lm["version"]
-        if adds or drops:
+        created = key not in live_meta
+        if created:
+            version, place, columns = 1, (m["bucketName"], m["partitionType"]), with_ids(key, fields)
+        else:
+            lm = live_meta[key]
+            version, place = lm["version"] + bool(adds or drops), (lm["bucket_name"], lm["partition_type"])
             kept = [(r["field_id"], r["name"], r["data_type"]) for r in live_rows
                     if (r["namespace"], r["table_name"]) == key and r["name"] is not None and r["name"] not in drops]
-            added = [(f["field_id"], f["name"], f["data_type"]) for f in fields if f["name"] in adds]
-            version += 1
-            new_rows += [(key[0], key[1], version, lm["bucket_name"], lm["partition_type"], *c) for c in kept + added]
-        results.append(ApplyResult(MSG_SCHEMA_APPLIED, version=version, added=len(adds), dropped=len(drops),
-                                   ignored=ignored))
+            columns = kept + (with_ids(key, [f for f in fields if f["name"] in adds]) if adds else [])
+        if created or adds or drops:
+            new_rows += [(*key, version, *place, *c) for c in columns or [(None, None, None)]]
+        results.append(ApplyResult(MSG_SCHEMA_APPLIED, version=version, created=created,
+                                   added=len(fields) if created else len(adds), dropped=len(drops), ignored=ignored))
     if new_rows:
         spark.createDataFrame(new_rows, REGISTRY_DDL).coalesce(1).write.mode("append").parquet(Layout(root).registry)
     return results

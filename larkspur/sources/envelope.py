@@ -24,11 +24,11 @@ from larkspur.functions.times import format_event_time, parse_event_time
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
-def decode_reason(env: Column, value: Column, event_time: Column) -> Column:
+def decode_reason(env: Column, value: Column, event_time: Column, shapeless: Column) -> Column:
     """First failing check of the envelope, or null."""
     return (
         F.when(value.isNull() | (F.trim(value) == "") | (F.trim(value) == "null"), F.lit(R_NULL_EVENT))
-        .when(env["_corrupt"].isNotNull(), F.lit(R_UNDECODABLE))
+        .when(env["_corrupt"].isNotNull() | shapeless, F.lit(R_UNDECODABLE))
         .when(env["eventTime"].isNotNull() & event_time.isNull(), F.lit(R_BAD_EVENT_TIME))
         .when(env["type"].isNull() | (env["type"] == ""), F.lit(R_EMPTY_TYPE))
         .when(env["namespace"].isNull(), F.lit(R_NULL_NAMESPACE))
@@ -55,6 +55,11 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
     e = F.col("_env")
     parsed_time = parse_event_time(e["eventTime"])
     value = F.col("value")
+    # attributes must be an object (or null): text, numbers and arrays have no keys
+    shapeless = (
+        e["attributes"].isNotNull() & ~F.is_variant_null(e["attributes"])
+        & F.try_variant_get(e["attributes"], "$", "map<string,variant>").isNull()
+    )
     decodable = ~(value.isNull() | (F.trim(value) == "") | (F.trim(value) == "null")) & e["_corrupt"].isNull()
     return parsed.select(
         *[c for c in raw.columns],
@@ -67,7 +72,7 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
         ).alias("event_time"),
         (decodable & e["eventTime"].isNull()).alias("event_time_defaulted"),
         e["attributes"].alias("attributes"),
-        decode_reason(e, F.col("value"), parsed_time).alias("reason"),
+        decode_reason(e, F.col("value"), parsed_time, shapeless).alias("reason"),
     )
 
 

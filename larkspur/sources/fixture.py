@@ -6,22 +6,22 @@ the table. The mapping (also written in the DuckDB oracle, see
 ``larkspur.plans.oracle``) is:
 
 * partition = ``event_id % 3``, offset = ``event_id``, timestamp = ``ts``
-* namespace ``fraud_detection`` for ``error`` events, else ``global``
-* type ``incident_events`` (error), ``order_events`` (purchase, no table),
+* namespace ``security`` for ``error`` events, else ``site``
+* type ``alarms`` (error), ``cart_events`` (purchase, no table),
   ``''`` for every 50th signup, ``' '`` for signups with ``event_id % 50 = 25``,
-  else ``api_events``
+  else ``page_actions``
 * tenant null when ``user_id % 37 = 0``, ``''`` when ``user_id % 41 = 0``,
-  else ``ACCOUNT-<user_id % 5 + 1>``
+  else ``acct-<user_id % 5 + 1>``
 * eventTime text of ``ts``; ISO ``T`` form when ``event_id % 101 = 0``;
   missing when ``event_id % 211 = 0``; seven days early when
   ``event_id % 173 = 0`` (late data)
-* attributes: ``user_id, op_type, result, k, amount, source, ipaddress``,
-  the typed keys ``count, total, ratio, score, active, day, seen_at, error``
+* attributes: ``visitor, action, outcome, k, amount, channel, address``,
+  the typed keys ``count, total, ratio, score, active, day, seen_at, fault``
   and an undeclared ``session``. On every fourth event (``event_id % 4 = 0``)
   all typed keys carry the same probe value
   ``PROBES[(event_id div 4) % len(PROBES)]``; otherwise they carry valid
   values: count = k, total = user_id, ratio = score = value, active =
-  ``event_id % 2 = 0``, day / seen_at = date / ISO text of ts, error absent
+  ``event_id % 2 = 0``, day / seen_at = date / ISO text of ts, fault absent
 * whole value replaced: cut JSON when ``event_id % 997 = 0``, empty when
   ``event_id % 499 = 0``, text ``null`` when ``event_id % 1499 = 0``; the
   namespace is JSON null when ``event_id % 89 = 0``.
@@ -40,10 +40,10 @@ PROBES = [
     '3000000000', '"TRUE"', '"yes"', '"1"', '0', '"2026-06-04"', '"2026-6-4"',
     '"2026-02-30"', '20260604', '"2026-06-04T12:00"', '"2026-06-04T12:00:00.5"',
     '"2026-06-04 12:00:00"', '"2026-06-04T12:00:00Z"', 'null', '{"a":1}', '[1,2]',
-    '1e3', '"1.5f"', '"NaN"', '-7.5', '12345678901234567890',
+    '1e3', '"1.5f"', '"NaN"', '-7.5', '12345678901234567890', '10.0', '0.00001', '123456789.125',
 ]
 # Attribute keys that carry the probe value.
-PROBE_KEYS = ["count", "total", "ratio", "score", "active", "day", "seen_at", "error"]
+PROBE_KEYS = ["count", "total", "ratio", "score", "active", "day", "seen_at", "fault"]
 # ---------------------------------------------------------------------------
 
 
@@ -62,18 +62,18 @@ def raw_records(events: DataFrame) -> DataFrame:
     uid = F.col("user_id")
     ts = F.col("ts")
 
-    namespace = F.when(etype == "error", "fraud_detection").otherwise("global")
+    namespace = F.when(etype == "error", "security").otherwise("site")
     type_ = (
-        F.when(etype == "error", "incident_events")
-        .when(etype == "purchase", "order_events")
+        F.when(etype == "error", "alarms")
+        .when(etype == "purchase", "cart_events")
         .when((etype == "signup") & (eid % 50 == 0), "")
         .when((etype == "signup") & (eid % 50 == 25), " ")
-        .otherwise("api_events")
+        .otherwise("page_actions")
     )
     tenant = (
         F.when(uid % 37 == 0, F.lit(None).cast("string"))
         .when(uid % 41 == 0, F.lit(""))
-        .otherwise(F.concat(F.lit("ACCOUNT-"), (uid % 5 + 1).cast("string")))
+        .otherwise(F.concat(F.lit("acct-"), (uid % 5 + 1).cast("string")))
     )
     shown_ts = F.when(eid % 173 == 0, ts - F.expr("INTERVAL 7 DAYS")).otherwise(ts)
     text_ts = format_event_time(shown_ts)
@@ -95,22 +95,22 @@ def raw_records(events: DataFrame) -> DataFrame:
         "active": F.when(eid % 2 == 0, F.lit("true")).otherwise(F.lit("false")),
         "day": _json_str(F.substring(ts.cast("string"), 1, 10)),
         "seen_at": _json_str(F.regexp_replace(F.substring(ts.cast("string"), 1, 19), " ", "T")),
-        "error": None,
+        "fault": None,
     }
 
     def typed_key(key):
         if natural[key] is None:
             return F.when(is_probe, F.concat(F.lit(f',"{key}":'), probe)).otherwise(F.lit(""))
         return F.concat(F.lit(f',"{key}":'), F.when(is_probe, probe).otherwise(natural[key]))
-    result = F.when(etype == "error", "BLOCKED").otherwise("SUCCESS")
+    result = F.when(etype == "error", "refused").otherwise("done")
 
     attrs = F.concat(
-        F.lit('{"user_id":'), _json_str(F.concat(F.lit("USER-"), uid.cast("string"))),
-        F.lit(',"op_type":'), _json_str(etype),
-        F.lit(',"result":'), _json_str(result),
+        F.lit('{"visitor":'), _json_str(F.concat(F.lit("V-"), uid.cast("string"))),
+        F.lit(',"action":'), _json_str(etype),
+        F.lit(',"outcome":'), _json_str(result),
         F.lit(',"k":'), k_text,
         F.lit(',"amount":'), F.col("value").cast("string"),
-        F.lit(',"source":"web","ipaddress":'),
+        F.lit(',"channel":"web","address":'),
         _json_str(F.concat(F.lit("10.0.0."), (uid % 256).cast("string"))),
         *[typed_key(key) for key in PROBE_KEYS],
         F.lit(',"session":'), _json_str(F.concat(F.lit("S-"), (eid % 7).cast("string"))),

@@ -14,10 +14,14 @@ from larkspur.contract import RAW_SCHEMA
 
 # fixed value: topic of the incoming events
 DATA_EVENTS_TOPIC = "dp-data-events"
+# Records of one micro-batch at most; None takes all there are, so that the
+# first batch of a long topic would be the whole of it.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
+MAX_FILES_PER_TRIGGER = 1_000
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = DATA_EVENTS_TOPIC,
-                 max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
+                 max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER, min_partitions: int | None = None,
                  **options) -> DataFrame:
     """Read the event topic from the earliest offset.
 
@@ -43,12 +47,16 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = DATA_
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"),
         F.col("timestamp").cast("timestamp_ntz").alias("source_ts"),
+        F.col("topic").alias("source_name"),
     )
 
 
-def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw records landed as Parquet files (same columns as the topic)."""
+def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                name: str | None = None) -> DataFrame:
+    """Raw records landed as Parquet files (same columns as the topic).
+    ``name`` tells logs apart that number their records alike."""
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(path)
+    records = reader.parquet(path)
+    return records if name is None else records.withColumn("source_name", F.lit(name))

@@ -28,17 +28,17 @@ def _write(dirpath, ns, table, fields, ptype="DAY"):
 
 def test_create_evolve_and_no_change(spark, root, tmp_path):
     cat = str(tmp_path / "cat")
-    _write(cat, "global", "api_events", [("user_id", "STRING"), ("legacy_col", "STRING")])
-    r = apply_schema(spark, cat, root, "global", "api_events")
+    _write(cat, "site", "page_actions", [("user_id", "STRING"), ("legacy_col", "STRING")])
+    r = apply_schema(spark, cat, root, "site", "page_actions")
     assert r.created and r.version == 1 and r.message == MSG_SCHEMA_APPLIED
-    _write(cat, "global", "api_events",
+    _write(cat, "site", "page_actions",
            [("user_id", "STRING"), ("op_type", "LONG"), ("result", "DATE"), ("seen_at", "TIMESTAMP")], "HOUR")
-    r = apply_schema(spark, cat, root, "global", "api_events")
+    r = apply_schema(spark, cat, root, "site", "page_actions")
     assert (r.version, r.added, r.dropped) == (2, 3, 1)
     spec = live_tables(spark, root)[0]
     assert sorted(spec.field_names) == ["op_type", "result", "seen_at", "user_id"]
     assert spec.partition_type == "DAY"  # partition changes are not evolved
-    r = apply_schema(spark, cat, root, "global", "api_events")
+    r = apply_schema(spark, cat, root, "site", "page_actions")
     assert (r.version, r.added, r.dropped) == (2, 0, 0)
 
 
@@ -66,10 +66,10 @@ def test_hourly_table_and_empty_fields(spark, root, tmp_path):
 
 def test_missing_file_and_blank_request(spark, root, tmp_path):
     with pytest.raises(SchemaNotFound):
-        apply_schema(spark, str(tmp_path), root, "global", "nope")
+        apply_schema(spark, str(tmp_path), root, "site", "nope")
     with pytest.raises(InvalidRequest):
-        apply_schema(spark, str(tmp_path), root, "", "api_events")
-    assert handle_apply_request(spark, str(tmp_path), root, {"namespace": "global", "tableName": ""}) == MSG_SCHEMA_NOT_FOUND
+        apply_schema(spark, str(tmp_path), root, "", "page_actions")
+    assert handle_apply_request(spark, str(tmp_path), root, {"namespace": "site", "tableName": ""}) == MSG_SCHEMA_NOT_FOUND
 
 
 def test_catalog_scan_and_locations(spark, tmp_path):

@@ -12,6 +12,6 @@ def test_cli_round_trip(spark, root, capsys):
     assert main(["ingest", root, "--files", landing, "--once", "--max-buffer-records", "300"]) == 0
     assert main(["report", root, "pending"]) == 0
     assert main(["report", root, "quarantine"]) == 0
-    assert main(["read", root, "global", "api_events", "--start", "2024-01-02", "--end", "2024-01-03"]) == 0
+    assert main(["read", root, "site", "page_actions", "--start", "2024-01-02", "--end", "2024-01-03"]) == 0
     out = capsys.readouterr().out
     assert "coercion_failed" in out and "event_id" in out

@@ -20,7 +20,8 @@ CASES = {
     "TIMESTAMP": [('"2026-06-04T12:00"', dt.datetime(2026, 6, 4, 12, 0)),
                   ('"2026-06-04T12:00:00.5"', dt.datetime(2026, 6, 4, 12, 0, 0, 500000)),
                   ('"2026-06-04 12:00:00"', "FAIL"), ('"2026-06-04T12:00:00Z"', "FAIL")],
-    "STRING": [("10", "10"), ("true", "true"), ('"x"', "x"), ("1e3", "1000.0"), ('{"a":1}', '{"a":1}'),
+    "STRING": [("10", "10"), ("true", "true"), ('"x"', "x"), ("1e3", "1000.0"), ("10.0", "10.0"), ("0.00001", "1.0E-5"),
+               ("123456789.125", "1.23456789125E8"), ("12345678901234567890", "12345678901234567890"), ("-7.50", "-7.5"), ('{"a":1}', '{"a":1}'),
                ("null", None)],
     "FLOAT": [('" 5 "', 5.0), ('"1.5f"', 1.5), ("1.5", 1.5), ('"abc"', "FAIL"), ("true", "FAIL")],
     "DOUBLE": [("9.5", 9.5), ('"1e3"', 1000.0), ('""', "FAIL")],

@@ -8,7 +8,7 @@ from larkspur.operators.grouping import assign_groups, group_sizes
 
 def test_limit_two_emits_one_full_group(spark):
     df = spark.createDataFrame(
-        [("global", "api_events", 0, 10), ("global", "api_events", 0, 11)],
+        [("site", "page_actions", 0, 10), ("site", "page_actions", 0, 11)],
         "namespace string, type string, source_partition int, source_offset bigint",
     )
     g = group_sizes(assign_groups(df, 2)).collect()
@@ -18,7 +18,7 @@ def test_limit_two_emits_one_full_group(spark):
 def test_two_level_rank_equals_row_number_on_hot_key(spark):
     # one hot key holding most rows, tiny blocks so ranks cross many blocks
     df = spark.range(0, 5000).select(
-        F.lit("global").alias("namespace"),
+        F.lit("site").alias("namespace"),
         F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("type"),
         (F.col("id") % 2).cast("int").alias("source_partition"),
         (F.col("id") * 3).alias("source_offset"),

@@ -8,7 +8,7 @@ from larkspur.contract import Layout, Settings
 from larkspur.operators.compaction import merge_pending, pending_manifest, valid_manifest
 from larkspur.operators.ingest import batch_ids_by_offset, ingest
 from larkspur.operators.publish import cleanup_candidates, commit_guard, guard_reason, read_ledger
-from larkspur.operators.read import read_table, read_table_declarative
+from larkspur.operators.read import read_table
 from larkspur.operators.staging import read_manifest
 from larkspur.sources.catalog import PACKAGE_CATALOG, apply_all, live_tables
 from larkspur.sources.fixture import landed_records
@@ -22,9 +22,9 @@ def _setup(spark, root):
 
 
 def test_commit_guard_and_manifest_validity(spark):
-    rows = [("global", "api_events", "s3://b/f.parquet", 3, 100), ("global", "", "x", 1, 1),
-            ("global", "api_events", "x", 0, 1), ("global", "api_events", " ", 1, 1),
-            ("", "api_events", "loc", 1, 1), ("global", "api_events", "x", 1, 0)]
+    rows = [("site", "page_actions", "s3://b/f.parquet", 3, 100), ("site", "", "x", 1, 1),
+            ("site", "page_actions", "x", 0, 1), ("site", "page_actions", " ", 1, 1),
+            ("", "page_actions", "loc", 1, 1), ("site", "page_actions", "x", 1, 0)]
     df = spark.createDataFrame(rows, "namespace string, type string, location string, total_records bigint, length bigint")
     got = [(r["ok"], r["why"]) for r in df.select(commit_guard().alias("ok"), guard_reason().alias("why")).collect()]
     assert got == [(True, None), (False, "blank_type"), (False, "no_records"), (False, "blank_location"),
@@ -49,19 +49,18 @@ def test_stage_merge_commit_read(spark, root):
     assert before == after and before > 0
     staged_rows = read_manifest(spark, layout).agg(F.sum("total_records")).first()[0]
     first = merge_pending(spark, layout, specs)
-    assert {r.type for r in first} == {"api_events", "incident_events"} and all(r.committed for r in first)
+    assert {r.type for r in first} == {"page_actions", "alarms"} and all(r.committed for r in first)
     assert pending_manifest(spark, layout).count() == 0
     ingest(spark, raw.where("source_offset >= 500"), root, specs, Settings(max_buffer_records=100))
     assert pending_manifest(spark, layout).count() > 0
     second = merge_pending(spark, layout, specs)
     led = read_ledger(spark, layout).orderBy("merge_seq").collect()
     assert [r["merge_seq"] for r in led] == [1, 2, 3, 4]
-    api = next(s for s in specs if s.table_name == "api_events")
+    api = next(s for s in specs if s.table_name == "page_actions")
     total = read_table(spark, root, api).count()
-    assert total == sum(r["total_records"] for r in led if r["type"] == "api_events")
-    assert read_table_declarative(spark, root, api).count() == total
+    assert total == sum(r["total_records"] for r in led if r["type"] == "page_actions")
     as_of = read_table(spark, root, api, as_of=2).count()
-    assert as_of == next(r.total_records for r in first if r.type == "api_events")
+    assert as_of == next(r.total_records for r in first if r.type == "page_actions")
     assert cleanup_candidates(spark, layout).agg(F.sum("total_records")).first()[0] == \
         read_manifest(spark, layout).agg(F.sum("total_records")).first()[0]
     # merged rows equal staged rows across both tables
@@ -87,7 +86,7 @@ def test_time_range_read_prunes_partitions(spark, root):
     specs, raw = _setup(spark, root)
     ingest(spark, raw, root, specs)
     merge_pending(spark, Layout(root), specs)
-    api = next(s for s in specs if s.table_name == "api_events")
+    api = next(s for s in specs if s.table_name == "page_actions")
     df = read_table(spark, root, api, start="2024-01-10", end="2024-01-12")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters" in plan
@@ -104,9 +103,9 @@ def test_sql_views_follow_the_ledger(spark, root):
     merge_pending(spark, layout, specs)
     ingest(spark, raw.where("source_offset >= 500"), root, specs)
     merge_pending(spark, layout, specs)
-    api = next(s for s in specs if s.table_name == "api_events")
+    api = next(s for s in specs if s.table_name == "page_actions")
     names = register_views(spark, root, specs, as_of=2)
-    view = names[("global", "api_events")]
+    view = names[("site", "page_actions")]
     assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == read_table(spark, root, api, as_of=2).count()
     names = register_views(spark, root, specs)
     assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == read_table(spark, root, api).count()

@@ -25,19 +25,19 @@ def test_iso_durations():
 
 
 def test_key_and_split(spark):
-    df = spark.createDataFrame([("global", "api_events"), ("a", "b|c")], "ns string, t string")
+    df = spark.createDataFrame([("site", "page_actions"), ("a", "b|c")], "ns string, t string")
     keys = [r[0] for r in df.select(group_key(F.col("ns"), F.col("t"))).collect()]
-    assert keys == ["global|api_events", "a|b|c"]
-    ns, t = split_key(F.lit("global|api_events|extra"))
+    assert keys == ["site|page_actions", "a|b|c"]
+    ns, t = split_key(F.lit("site|page_actions|extra"))
     r = spark.range(1).select(ns.alias("ns"), t.alias("t")).first()
-    assert (r["ns"], r["t"]) == ("global", "api_events")
+    assert (r["ns"], r["t"]) == ("site", "page_actions")
 
 
 def test_location_lookup(spark):
-    decl = read_declaration(spark, PACKAGE_CATALOG, "global", "api_events").first()
-    assert decl["bucketName"] == "global-api-events"
+    decl = read_declaration(spark, PACKAGE_CATALOG, "site", "page_actions").first()
+    assert decl["bucketName"] == "site-page-actions"
     with pytest.raises(SchemaNotFound):
-        read_declaration(spark, PACKAGE_CATALOG, "global", "missing")
+        read_declaration(spark, PACKAGE_CATALOG, "site", "missing")
 
 
 def test_failed_table_stays_pending_others_commit(spark, root):
@@ -46,14 +46,14 @@ def test_failed_table_stays_pending_others_commit(spark, root):
     raw = batch_ids_by_offset(landed_records(spark, "/root/testdata/sf0.001"), "e0", 250)
     ingest(spark, raw, root, specs)
     # a broken spec for one table: its staged location does not exist
-    broken = [dataclasses.replace(s, bucket_name="missing-bucket") if s.table_name == "incident_events" else s
+    broken = [dataclasses.replace(s, bucket_name="missing-bucket") if s.table_name == "alarms" else s
               for s in specs]
     with pytest.raises(MergeError):
         merge_pending(spark, Layout(root), broken)
     committed = {r["type"] for r in read_ledger(spark, Layout(root)).collect()}
-    assert committed == {"api_events"}
+    assert committed == {"page_actions"}
     pending = {r["type"] for r in pending_manifest(spark, Layout(root)).select("type").distinct().collect()}
-    assert pending == {"incident_events"}
+    assert pending == {"alarms"}
     # with the right spec the remaining table commits
     merge_pending(spark, Layout(root), specs)
     assert pending_manifest(spark, Layout(root)).count() == 0
