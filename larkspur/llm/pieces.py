@@ -20,7 +20,7 @@ import regex
 from larkspur.llm.common import mix64, spread, words64
 
 #: Distinct pieces that a task keeps; beyond them it starts anew.
-KEPT = 400_000
+KEPT = 800_000
 WHITE, LETTER, NUMBER, OTHER = range(4)
 APOSTROPHE = ord("'")
 
@@ -97,10 +97,28 @@ def hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+class Grown:
+    """An array that is appended to; room is doubled when it runs out."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.empty(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.size + len(more) > len(self.room):
+            room = np.empty(2 * (self.size + len(more)), self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : self.size + len(more)] = more
+        self.size += len(more)
+
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
 class Store:
     """Token ids of distinct pieces. encode: ids of each of some pieces."""
 
-    BITS = 20
+    BITS = 21
 
     def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], kept: int = KEPT):
         self.encode, self.kept = encode, kept
@@ -108,50 +126,50 @@ class Store:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)  # sorted
-        self.slot = np.zeros(0, np.int64)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
+        self.slot = np.zeros(0, np.int32)
+        self.at, self.size, self.pool = Grown(np.int64), Grown(np.int32), Grown(np.int32)
         self.near_key = np.zeros(1 << self.BITS, np.uint64)  # direct-mapped, before the sorted keys
-        self.near_slot = np.full(1 << self.BITS, -1, np.int64)
+        self.near_slot = np.full(1 << self.BITS, -1, np.int32)
 
     def _near(self, key: np.ndarray) -> np.ndarray:
         return (key >> np.uint64(64 - self.BITS)).astype(np.int64)
 
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        new = self.encode(pieces)
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        slots = self.size.size + np.arange(len(new), dtype=np.int32)
+        self.at.add(self.pool.size + np.cumsum(size) - size)
+        self.size.add(size)
+        self.pool.add(np.concatenate(new))
+        return slots
+
     def ids(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each piece."""
         key = hashes(data, at)
+        if len(self.keys) > self.kept:
+            self.clear()
         near = self._near(key)
         slot = np.where(self.near_key[near] == key, self.near_slot[near], -1)
         miss = np.flatnonzero(slot < 0)
         if len(miss):
-            if len(self.keys) > self.kept:
-                self.clear()
-                slot, miss = np.full(len(key), -1), np.arange(len(key))
             some, first, back = np.unique(key[miss], return_index=True, return_inverse=True)
             place = np.searchsorted(self.keys, some)
-            inside = np.minimum(place, max(len(self.keys) - 1, 0))
-            known = (self.keys[inside] == some) if len(self.keys) else np.zeros(len(some), bool)
-            got = np.empty(len(some), np.int64)
-            if known.any():
+            known = np.zeros(len(some), bool)
+            got = np.empty(len(some), np.int32)
+            if len(self.keys):
+                inside = np.minimum(place, len(self.keys) - 1)
+                known = self.keys[inside] == some
                 got[known] = self.slot[inside[known]]
             fresh = np.flatnonzero(~known)
             if len(fresh):
                 which = miss[first[fresh]]
-                pieces = [data[a:b].tobytes() for a, b in zip(at[which].tolist(), at[which + 1].tolist(), strict=True)]
-                new = self.encode(pieces)
-                size = np.fromiter(map(len, new), np.int64, len(new))
-                got[fresh] = len(self.size) + np.arange(len(fresh))
-                self.at = np.concatenate((self.at, len(self.pool) + np.cumsum(size) - size))
-                self.size = np.concatenate((self.size, size))
-                self.pool = np.concatenate((self.pool, *new)).astype(np.int32)
-                keys, slots = np.concatenate((self.keys, some[fresh])), np.concatenate((self.slot, got[fresh]))
-                order = np.argsort(keys)
-                self.keys, self.slot = keys[order], slots[order]
+                got[fresh] = self._add([data[a:b].tobytes() for a, b in zip(at[which].tolist(), at[which + 1].tolist(), strict=True)])
+                self.keys, self.slot = np.insert(self.keys, place[fresh], some[fresh]), np.insert(self.slot, place[fresh], got[fresh])
                 here = self._near(some[fresh])
-                free = self.near_slot[here] < 0
-                self.near_key[here[free]], self.near_slot[here[free]] = some[fresh][free], got[fresh][free]
-                double = self.near_key[here] != some[fresh]  # two fresh keys for one place: one of them stays
-                self.near_slot[here[free & ~double]] = got[fresh][free & ~double]
+                free = np.flatnonzero(self.near_slot[here] < 0)
+                _, one = np.unique(here[free], return_index=True)  # of fresh keys for one place, one
+                free = free[one]
+                self.near_key[here[free]], self.near_slot[here[free]] = some[fresh[free]], got[fresh[free]]
             slot[miss] = got[back]
-        size = self.size[slot]
-        return self.pool[spread(self.at[slot], size)], size
+        size = self.size.all()[slot].astype(np.int64)
+        return self.pool.all()[spread(self.at.all()[slot], size)], size

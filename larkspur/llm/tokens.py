@@ -21,6 +21,8 @@ matter.
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -46,21 +48,41 @@ LEVEL = 3
 SEGMENT_BYTES = 1 << 20
 
 
+WHITE_SPACE = re.compile(r"\s")
+
+
 class Encoder:
     """The tokenizers library, asked once for each distinct piece of text: its
     own splitting makes the pieces independent, and many texts share them."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.store = Store(self._pieces)
         self.size = self.tokenizer.get_vocab_size()
+        (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch([x.decode() for x in pieces], add_special_tokens=False)
-        return [np.array(x.ids, np.int32) for x in found]
+        """Ids of each piece. Pieces go to the library as lines of one text:
+        the splitting pattern never joins a line feed with what is not white
+        space, so its id stands between the pieces' ids."""
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        texts = [x.decode() for x in pieces]
+        solid = [k for k, x in enumerate(texts) if not x.isspace() and not WHITE_SPACE.search(x[1:]) and (x[0] == " " or not WHITE_SPACE.match(x))]
+        for lo in range(0, len(solid), 4096):
+            some = solid[lo : lo + 4096]
+            ids = np.array(self.tokenizer.encode("".join(f"{texts[k]}\n" for k in some), add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(ids == self.line_feed)
+            if len(ends) == len(some):
+                for k, a, b in zip(some, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
+                    out[k] = ids[a:b]
+        for k, x in enumerate(texts):
+            if out[k] is None:
+                out[k] = np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, np.int32)
+        return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids start (and the end)."""
@@ -80,9 +102,14 @@ def serialized(ids: np.ndarray, width: int) -> bytes:
 
 def dictionary(docs: DataFrame, path: str, width: int, rows: int, size: int) -> bytes:
     """A zstandard dictionary for documents' serialized ids; empty if there is
-    too little to train on. At most ``rows`` ids and texts reach the driver."""
-    sample = docs.where("octet_length(text) between 1 and 20000").orderBy(F.xxhash64("doc_id", F.lit("dictionary")), "doc_id").limit(rows).select("text")
-    texts = [r["text"].encode() for r in sample.collect()]
+    too little to train on. The sample's doc_ids are picked first, so that at
+    most ``rows`` ids and then at most that many texts reach the driver."""
+    picked = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id", F.lit("dictionary")), "doc_id").limit(rows).collect()
+    if not picked:
+        return b""
+    wanted = docs.sparkSession.createDataFrame(picked, "doc_id long").distinct()
+    sample = docs.where("octet_length(text) between 1 and 20000").join(F.broadcast(wanted), "doc_id").select(F.xxhash64("doc_id", F.lit("dictionary")), "doc_id", "text").limit(rows)
+    texts = [r["text"].encode() for r in sorted(sample.collect())]
     ids, at = encoder(path).encode(texts)
     samples = [serialized(ids[a:b], width) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
     if len(samples) < 64 or sum(map(len, samples)) < 8 * size:
@@ -105,7 +132,10 @@ ENCODED = "part int, doc_id long, n_tokens long, ids binary"
 def _encoding(path: str, width: int, shared: bytes, edges: list[int], end_id: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
-        pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared) if shared else None, write_content_size=True, write_checksum=False, write_dict_id=False)
+        words = zstandard.ZstdCompressionDict(shared) if shared else None
+        if words:
+            words.precompute_compress(level=LEVEL)
+        pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=words, write_content_size=True, write_checksum=False, write_dict_id=False)
         bounds = np.array(edges, np.int64)
         for frame in frames:
             for rows, data, at in batches(frame):
