@@ -32,7 +32,6 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
@@ -46,11 +45,11 @@ LENGTH = 400
 GRAM = 100
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes of contexts of one suffix array, about.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Bytes of a document that are searched for anchors at once.
 PART_BYTES = 1 << 20
 #: Keys that one task merges.
-MERGED_KEYS = 2_000_000
+MERGED_KEYS = 250_000
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -249,38 +248,61 @@ def _pieces(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-KEYS = "bucket int, ids array<long>, hashes array<long>, doc array<int>, position array<long>, keys binary, checks binary"
+KEYS = "bucket int, key_id long, key_hash long, runs array<long>, ids array<long>, hashes array<long>, doc array<int>, position array<long>, keys binary, checks binary"
+HITS = "key_id long, key_hash long, runs array<long>"
+
+
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    names, kinds = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.table([pa.array(list(c), _TYPES[k]) for c, k in zip(columns, kinds, strict=True)], names=list(names))
+
+
+def covered(owner: np.ndarray, position: np.ndarray, length: int) -> list[tuple[int, list[int]]]:
+    """To each owner the runs (start, end, flat) that strings of ``length``
+    bytes at its positions cover; positions are sorted within an owner, whose
+    positions stand together."""
+    if not len(owner):
+        return []
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (position[1:] != position[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(owner)) - 1
+    who, flat = owner[first], np.stack((position[first], position[last] + length), axis=1)
+    cut = np.flatnonzero(np.diff(who, prepend=who[0] - 1))
+    return [(int(who[a]), flat[a:b].ravel().tolist()) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(who)], strict=True)]
 
 
 def _shard(length: int, buckets: int):
-    """One shard's repeats, as a row of bucket -1 (document, position of
-    each), and, of a shard of a hot anchor, its sorted keys by key range."""
+    """One shard's repeats, a row of bucket -1 for each context that has any,
+    and, of a shard of a hot anchor, its sorted keys by key range."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        size = rows["piece"].str.len().to_numpy(np.int64)
+    def run(rows: pa.Table) -> pa.Table:
+        pieces, ids, hashes = (rows.column(k).to_pylist() for k in ("piece", "key_id", "key_hash"))
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         stops = np.cumsum(size + 1) - 1
         of = np.repeat(np.arange(len(size)), size + 1)
-        text = np.frombuffer(b"\0".join(rows["piece"]) + b"\0", np.uint8)
+        text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
         repeated, first = shard_repeats(text, stops[of], length)
-        start = rows["start"].to_numpy(np.int64)
-        place = lambda p: (of[p], start[of[p]] + p - (stops - size)[of[p]])
-        out = []
-        d, p = place(np.flatnonzero(repeated))
-        if len(d):
-            out.append((-1, d, p, b"", b""))
-        if rows["hot"].iloc[0] and len(first):
+        start = rows.column("start").to_numpy() - (stops - size)
+        own = lambda k: (ids[k], hashes[k])
+        p = np.flatnonzero(repeated)
+        table = [(-1, *own(k), runs, None, None, None, None, None, None) for k, runs in covered(of[p], start[of[p]] + p, length)]
+        if rows.column("hot")[0].as_py() and len(first):
             key, check = (Sums(text, b).some(first, np.full(len(first), length)) for b in BASES)
             sort = np.argsort(key, kind="stable")
-            key, check, (d, p) = key[sort], check[sort], place(first[sort])
+            key, check, first = key[sort], check[sort], first[sort]
+            d, p = of[first], start[of[first]] + first
             bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(key)]
-            out += [(int(bucket[a]), d[a:b], p[a:b], key[a:b].tobytes(), check[a:b].tobytes()) for a, b in zip(cut, cut[1:], strict=False)]
-        ids, hashes = rows["key_id"].astype(object).where(rows["key_id"].notna(), None).tolist(), rows["key_hash"].tolist()
-        table = []
-        for b, d, p, k, c in out:
-            some, back = np.unique(d, return_inverse=True)
-            table.append((b, [None if ids[x] is None else int(ids[x]) for x in some], [hashes[x] for x in some], back.astype(np.int32), p, k, c))
-        return pd.DataFrame(table, columns=["bucket", "ids", "hashes", "doc", "position", "keys", "checks"])
+            for a, b in zip(cut, cut[1:], strict=False):
+                some, back = np.unique(d[a:b], return_inverse=True)
+                who = [own(x) for x in some]
+                table.append((int(bucket[a]), None, None, None, [w[0] for w in who], [w[1] for w in who], back.astype(np.int32), p[a:b], key[a:b].tobytes(), check[a:b].tobytes()))
+        return _table(table, KEYS)
 
     return run
 
@@ -309,30 +331,25 @@ def merge_runs(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], hit: np.nd
         runs = out + ([runs[-1]] if len(runs) % 2 else [])
 
 
-def _merged_hits(rows: pd.DataFrame) -> pd.DataFrame:
-    """Document and position of the keys of one range that two shards have."""
-    size = [len(x) for x in rows["position"]]
-    base = np.cumsum([0, *size])
-    runs = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint64), np.arange(a, a + n)) for k, c, a, n in zip(rows["keys"], rows["checks"], base[:-1].tolist(), size, strict=True)]
-    hit = np.zeros(base[-1], bool)
-    merge_runs(runs, hit)
-    out = []
-    for k, (ids, hashes, doc, position) in enumerate(zip(rows["ids"], rows["hashes"], rows["doc"], rows["position"], strict=True)):
-        mine = hit[base[k] : base[k + 1]]
-        if mine.any():
-            doc, position = np.asarray(doc)[mine], np.asarray(position)[mine]
-            out += [(ids[x], hashes[x], np.sort(position[doc == x])) for x in np.unique(doc)]
-    return pd.DataFrame(out, columns=["key_id", "key_hash", "position"])
+def _merged_hits(length: int):
+    """Runs of the keys of one range that two shards have."""
 
-
-def _local_hits(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for frame in frames:
+    def run(table: pa.Table) -> pa.Table:
+        rows = {k: table.column(k).to_pylist() for k in ("ids", "hashes", "keys", "checks")} | {k: [np.asarray(x.values) for x in table.column(k)] for k in ("doc", "position")}
+        size = [len(x) for x in rows["position"]]
+        base = np.cumsum([0, *size])
+        runs = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint64), np.arange(a, a + n)) for k, c, a, n in zip(rows["keys"], rows["checks"], base[:-1].tolist(), size, strict=True)]
+        hit = np.zeros(base[-1], bool)
+        merge_runs(runs, hit)
         out = []
-        for x in frame.to_pylist():
-            doc, position = np.asarray(x["doc"]), np.asarray(x["position"])
-            out += [(x["ids"][k], x["hashes"][k], position[doc == k].tolist()) for k in np.unique(doc)]
-        columns = list(zip(*out, strict=True)) if out else [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.list_(pa.int64()))], names=["key_id", "key_hash", "position"])
+        for k, (ids, hashes, doc, position) in enumerate(zip(rows["ids"], rows["hashes"], rows["doc"], rows["position"], strict=True)):
+            mine = hit[base[k] : base[k + 1]]
+            doc, position = doc[mine], position[mine]
+            sort = np.lexsort((position, doc))
+            out += [(ids[d], hashes[d], x) for d, x in covered(doc[sort], position[sort], length)]
+        return _table(out, HITS)
+
+    return run
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, int]:
@@ -380,10 +397,10 @@ def with_removed(docs: DataFrame, finish: Callable, schema: str | T.StructType,
     text = F.col("row").getField(text_col).cast("string")
     open_ = joined.where(F.size("compare") > 0)
     pieces = open_.select(F.col("row_id").alias("key_id"), F.col("row_hash").alias("key_hash"), "compare", text.alias("text")).mapInArrow(_pieces, PIECES)
-    shards = saved(pieces.groupBy("shard").applyInPandas(_shard(length, buckets), KEYS), "suffix-keys")
-    far = shards.where("bucket >= 0").groupBy("bucket").applyInPandas(_merged_hits, HITS)
-    near = shards.where("bucket < 0").select("ids", "hashes", "doc", "position").mapInArrow(_local_hits, HITS)
-    hits = far.union(near).groupBy("key_id", "key_hash").agg(F.flatten(F.collect_list("position")).alias("hits"))
+    shards = saved(pieces.groupBy("shard").applyInArrow(_shard(length, buckets), KEYS), "suffix-keys")
+    far = shards.where("bucket >= 0").groupBy("bucket").applyInArrow(_merged_hits(length), HITS)
+    near = shards.where("bucket < 0").select("key_id", "key_hash", "runs")
+    hits = far.union(near).groupBy("key_id", "key_hash").agg(F.flatten(F.collect_list("runs")).alias("hits"))
     none = F.lit(None).cast("array<long>")
     settled = joined.where("compare is null or size(compare) = 0").select("row", text.alias("row_text"), "known", none.alias("hits"))
     compared = _meets(open_, hits, "left").select("row", text.alias("row_text"), "known", "hits")
@@ -394,15 +411,12 @@ def with_removed(docs: DataFrame, finish: Callable, schema: str | T.StructType,
                 found = []
                 for known, hits in zip(rows.column("known").to_pylist(), rows.column("hits").to_pylist(), strict=True):
                     known, hits = np.array(known or [], np.int64), np.array(hits or [], np.int64)
-                    found.append(merged(np.concatenate((known[::2], hits)), np.concatenate((known[1::2], hits + length))))
+                    found.append(merged(np.concatenate((known[::2], hits[::2])), np.concatenate((known[1::2], hits[1::2]))))
                 yield finish(pa.RecordBatch.from_struct_array(rows.column("row")), data, at, found)
 
     return settled.union(compared).mapInArrow(run, schema)
 
 
-HITS = "key_id long, key_hash long, position array<long>"
-
-
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document."""
 

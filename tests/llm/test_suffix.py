@@ -83,6 +83,7 @@ def test_against_brute_force_on_random_texts(spark, monkeypatch, length, gram, s
     rnd = random.Random(length)
     base = "".join(rnd.choice("abcdé ") for _ in range(900))
     rows = [(k, "".join(rnd.choice(["", base[a : a + rnd.randrange(1, 200)], "xy" * rnd.randrange(60), chr(97 + k % 26)]) for a in (rnd.randrange(800) for _ in range(6)))) for k in range(40)]
+    rows += [(None, rows[3][1]), ((1 << 62) + 1, rows[5][1][:150] + "#" + rows[6][1]), ((1 << 62) + 2, rows[5][1][:150] + "!")]
     got = suffix.removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), length=length, gram=gram)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, length)
 
