@@ -16,6 +16,10 @@ from larkspur.session import shared_dir
 #: Bytes of text that one numpy step works on; bounds a task's memory.
 STEP_BYTES = 1 << 19
 
+#: Rows of one Arrow batch to a Python worker, at most. Spark's own 10,000 rows
+#: of long texts fill hundreds of MB on both sides.
+ARROW_ROWS = 500
+
 M64 = (1 << 64) - 1
 
 
@@ -40,8 +44,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have the session send at most ARROW_ROWS rows of text at once; a
+    smaller setting stays. It holds from here on, since a result is computed
+    only after the function that returned it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def texts_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only (id, text): other columns, whatever their names, stay out."""
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import M64, batches, mix64, saved, strings_of, texts_of
+from larkspur.llm.common import M64, batches, mix64, saved, small_batches, strings_of, texts_of
 
 ORDER = 5
 #: Labelled rows of each language that a model is fitted on, at most.
@@ -309,6 +309,7 @@ def judged(names: list[str], models: list[Model], texts: list[bytes]) -> tuple[n
 def kept_documents(docs: DataFrame, languages: Languages) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
     sent = docs.sparkSession.sparkContext.broadcast(languages)
+    small_batches(docs.sparkSession)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, models = sent.value.names, sent.value.models
