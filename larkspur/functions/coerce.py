@@ -40,15 +40,11 @@ DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?$"
 # ---------------------------------------------------------------------------
 
-KIND_NULL = "null"
-KIND_NUMBER = "number"
-KIND_STRING = "string"
-KIND_BOOLEAN = "boolean"
-KIND_NESTED = "nested"
-
-# First two letters of a VARIANT's type (schema_of_variant) -> JSON kind; all
-# others are numbers: BIGINT (integers), DECIMAL and DOUBLE.
-_KINDS = {"ST": KIND_STRING, "BO": KIND_BOOLEAN, "VO": KIND_NULL, "OB": KIND_NESTED, "AR": KIND_NESTED}
+# The kind of a value is the first two letters of its VARIANT type
+# (schema_of_variant); a missing value and JSON null are VOID. All kinds not
+# named here are numbers: BIGINT (integers), DECIMAL and DOUBLE.
+VOID, STRING, BOOLEAN = "VO", "ST", "BO"
+NOT_NUMBERS = "('VO', 'ST', 'BO', 'OB', 'AR')"
 
 
 def _raw(pattern: str) -> str:
@@ -57,26 +53,22 @@ def _raw(pattern: str) -> str:
 
 
 def kind_sql(a: str) -> str:
-    """SQL: JSON kind of the VARIANT expression ``a``."""
-    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _KINDS.items())
-    return (
-        f"CASE WHEN ({a}) IS NULL THEN '{KIND_NULL}' "
-        f"ELSE CASE left(schema_of_variant({a}), 2) {cases} ELSE '{KIND_NUMBER}' END END"
-    )
+    """SQL: kind of the VARIANT expression ``a``."""
+    return f"coalesce(left(schema_of_variant({a}), 2), '{VOID}')"
 
 
 def text_sql(a: str) -> str:
-    """SQL: text form of the VARIANT expression ``a`` (JSON text when nested).
+    """SQL: text form of the VARIANT expression ``a`` (JSON text when nested)."""
+    return f"try_variant_get({a}, '$', 'string')"
 
-    A number with a fraction or exponent is the text of a double, as Java
-    writes it (``10.0``, ``1.0E-5``); an integer keeps its digits, also beyond
-    64 bits, where a VARIANT holds it as a decimal.
-    """
+
+def string_sql(a: str, k: str, t: str) -> str:
+    """SQL: the STRING value. A number with a fraction or exponent is the text
+    of a double, as Java writes it (``10.0``, ``1.0E-5``); an integer keeps its
+    digits, also beyond 64 bits, where a VARIANT holds it as a decimal."""
     double = f"try_variant_get({a}, '$', 'double')"
-    return (
-        f"CASE WHEN left(schema_of_variant({a}), 2) = 'DE' AND abs({double}) < 9.223372036854775807E18 "
-        f"THEN CAST({double} AS string) ELSE try_variant_get({a}, '$', 'string') END"
-    )
+    return (f"CASE WHEN {k} = 'DE' AND abs({double}) < 9.223372036854775807E18 THEN CAST({double} AS string) "
+            f"WHEN {k} <> '{VOID}' THEN {t} END")
 
 
 def value_sql(a: str, data_type: str, k: str | None = None, t: str | None = None) -> str:
@@ -92,27 +84,27 @@ def value_sql(a: str, data_type: str, k: str | None = None, t: str | None = None
     t = t or f"({text_sql(a)})"
     st = SPARK_TYPES[dt]
     if dt in ("INT", "LONG"):
-        body = (f"CASE WHEN {k} = '{KIND_NUMBER}' THEN try_variant_get({a}, '$', '{st}') "
-                f"WHEN {k} = '{KIND_STRING}' AND {t} RLIKE {_raw(INT_TEXT)} THEN try_cast({t} AS {st}) END")
+        body = (f"CASE WHEN {k} NOT IN {NOT_NUMBERS} THEN try_variant_get({a}, '$', '{st}') "
+                f"WHEN {k} = '{STRING}' AND {t} RLIKE {_raw(INT_TEXT)} THEN try_cast({t} AS {st}) END")
     elif dt in ("FLOAT", "DOUBLE"):
-        body = (f"CASE WHEN {k} = '{KIND_NUMBER}' THEN try_variant_get({a}, '$', '{st}') "
-                f"WHEN {k} = '{KIND_STRING}' AND {t} RLIKE {_raw(FLOAT_TEXT)} "
+        body = (f"CASE WHEN {k} NOT IN {NOT_NUMBERS} THEN try_variant_get({a}, '$', '{st}') "
+                f"WHEN {k} = '{STRING}' AND {t} RLIKE {_raw(FLOAT_TEXT)} "
                 f"THEN try_cast(regexp_replace(trim({t}), {_raw('[fFdD]$')}, '') AS {st}) END")
     elif dt == "BOOLEAN":
-        body = (f"CASE WHEN {k} = '{KIND_BOOLEAN}' THEN try_variant_get({a}, '$', 'boolean') "
-                f"WHEN {k} <> '{KIND_NULL}' THEN lower({t}) = 'true' END")
+        body = (f"CASE WHEN {k} = '{BOOLEAN}' THEN try_variant_get({a}, '$', 'boolean') "
+                f"WHEN {k} <> '{VOID}' THEN lower({t}) = 'true' END")
     elif dt == "DATE":
         body = f"CASE WHEN {t} RLIKE {_raw(DATE_TEXT)} THEN try_cast({t} AS date) END"
     elif dt == "TIMESTAMP":
         body = f"CASE WHEN {t} RLIKE {_raw(TIMESTAMP_TEXT)} THEN try_cast({t} AS timestamp_ntz) END"
     else:
-        body = f"CASE WHEN {k} <> '{KIND_NULL}' THEN {t} END"
+        return string_sql(a, k, t)
     return f"CAST({body} AS {st})"
 
 
 def failed_sql(k: str, value: str) -> str:
     """SQL: a value was present (kind ``k``) but did not convert."""
-    return f"({k} <> '{KIND_NULL}' AND ({value}) IS NULL)"
+    return f"({k} <> '{VOID}' AND ({value}) IS NULL)"
 
 
 # --- Column conveniences ----------------------------------------------------
@@ -125,15 +117,6 @@ def attribute(attributes: Column | str, name: str) -> Column:
     return F.try_variant_get(col, f"$['{name}']", "variant")
 
 
-def value_kind(raw: str) -> Column:
-    """JSON kind of a VARIANT column named/expressed by ``raw`` (SQL text)."""
-    return F.expr(kind_sql(raw))
-
-
-def text_of(raw: str) -> Column:
-    return F.expr(text_sql(raw))
-
-
 def coerce(raw: str, data_type: str) -> tuple[Column, Column]:
     """``(value, failed)`` for the VARIANT column (SQL text) ``raw``."""
     value = value_sql(raw, data_type)
