@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import batches, texts_of
+from larkspur.llm.common import batches, least_by_hash, texts_of
 from larkspur.llm.suffix import BASES, Sums
 
 SAMPLE_ROWS = 10_000
@@ -225,8 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Col
     """Fit on the labelled rows where ``learn`` holds."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where("doc_id is not null and y is not null")
     known = known if learn is None else known.where(learn)
-    sample = known.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id", "y").limit(sample_rows)
-    wanted = docs.sparkSession.createDataFrame([tuple(r) for r in sample.collect()] or [(None, None)], "doc_id long, y double")
+    sample = least_by_hash(known, sample_rows, "quality")
+    wanted = docs.sparkSession.createDataFrame([tuple(r) for r in sample] or [(None, None)], "doc_id long, y double")
     texts = texts_of(docs, "doc_id", "text").join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id")
     rows = with_statistics(texts).join(F.broadcast(wanted), "doc_id").orderBy("doc_id", "y", *FEATURES).toArrow()
     x = np.stack([rows.column(f).to_numpy() for f in FEATURES], axis=1)

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import batches, scratch, shuffle_partitions, strings_of, texts_of
+from larkspur.llm.common import batches, least_by_hash, scratch, shuffle_partitions, strings_of, texts_of
 from larkspur.llm.pieces import Store, cut
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -104,7 +104,7 @@ def dictionary(docs: DataFrame, path: str, width: int, rows: int, size: int) ->
     """A zstandard dictionary for documents' serialized ids; empty if there is
     too little to train on. The sample's doc_ids are picked first, so that at
     most ``rows`` ids and then at most that many texts reach the driver."""
-    picked = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id", F.lit("dictionary")), "doc_id").limit(rows).collect()
+    picked = least_by_hash(docs.where("doc_id is not null").select("doc_id"), rows, "dictionary")
     if not picked:
         return b""
     wanted = docs.sparkSession.createDataFrame(picked, "doc_id long").distinct()
