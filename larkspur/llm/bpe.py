@@ -24,7 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from larkspur.llm.common import batches, spread, strings_of, texts_of
+from larkspur.llm.common import batches, ready, spread, strings_of, texts_of
 from larkspur.llm.pieces import Store, cut
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -213,6 +213,7 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
 
 def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and the bytes of each row's ids (null: empty)."""
+    ready(tokens.sparkSession)
     path = path or public_tokenizers.path(RANKS)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

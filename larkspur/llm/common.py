@@ -3,8 +3,10 @@ tables, Arrow text batches and small numpy kernels."""
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -54,19 +56,24 @@ def least_by_hash(rows: DataFrame, wanted: int, salt: str) -> list:
     return few.orderBy(hash_, *rows.columns).limit(wanted).collect()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Have the session send at most ARROW_ROWS rows of text at once; a
-    smaller setting stays. It holds from here on, since a result is computed
-    only after the function that returned it."""
+def ready(spark: SparkSession) -> None:
+    """Have the session send at most ARROW_ROWS rows of text at once (a smaller
+    setting stays), and let Python workers find this package wherever the
+    driver was started. Both hold from here on, since a result is computed only
+    after the function that returned it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if not 0 < now <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    home, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
 
 
 def texts_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only (id, text): other columns, whatever their names, stay out."""
-    small_batches(df.sparkSession)
+    ready(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

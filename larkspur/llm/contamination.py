@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import batches, mix64, runs_of, saved, small_batches, texts_of, words64
+from larkspur.llm.common import batches, mix64, ready, runs_of, saved, texts_of, words64
 
 WINDOW = 10
 #: Bytes of benchmark text that are sent to the tasks at once.
@@ -266,7 +266,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with their
     own columns; the search runs on each row, so nothing is shuffled."""
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     wanted = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null")
     state = docs
     for k, block in enumerate(_blocks(wanted, BLOCK_BYTES)):

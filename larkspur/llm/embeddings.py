@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import saved
+from larkspur.llm.common import ready, saved
 from larkspur.llm.graph import components
 
 COSINE = 0.93
@@ -154,6 +154,7 @@ def _bucket_links(cosine: float):
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, bucket: int = BUCKET, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept of each vector."""
+    ready(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
     rows = saved(rows.mapInArrow(_prepare, PREPARED), "vectors")
     same = ["label", "dim", "h1", "h2"]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import saved
+from larkspur.llm.common import ready, saved
 
 
 def _forest(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,6 +48,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """links: (a, b) longs in either order, doubles allowed. Returns node and
     component (the least node that it reaches) of all nodes but the least of
     each component; no links give no rows."""
+    ready(links.sparkSession)
     links = links.where("a != b").select("a", "b")
     links = saved(links.mapInArrow(_forest, "a long, b long").distinct(), "links")
     before = None

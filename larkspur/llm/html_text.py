@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import small_batches
+from larkspur.llm.common import ready
 
 #: Elements whose content is never shown as text.
 HIDDEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "title", "textarea", "select", "button", "canvas", "audio", "video", "head", "datalist"}
@@ -243,6 +243,6 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             texts = [main_text(x.as_py()) for x in frame.column("html")]
             yield pa.RecordBatch.from_arrays([frame.column("page_id"), frame.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    small_batches(pages.sparkSession)
+    ready(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import M64, batches, mix64, saved, small_batches, strings_of, texts_of
+from larkspur.llm.common import M64, batches, mix64, ready, saved, strings_of, texts_of
 
 ORDER = 5
 #: Labelled rows of each language that a model is fitted on, at most.
@@ -249,6 +249,7 @@ def train(docs: DataFrame, learn: Column | None = None, sample_rows: int = SAMPL
     """Models of every language that a learnable row has. Collects ids of at
     most about 2 x ``sample_rows`` rows a language, and n-gram counts of at
     most ``sample_rows`` texts a language."""
+    ready(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
     rows = rows if learn is None else rows.where(learn)
     picked: dict[str, set] = {}
@@ -309,7 +310,7 @@ def judged(names: list[str], models: list[Model], texts: list[bytes]) -> tuple[n
 def kept_documents(docs: DataFrame, languages: Languages) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
     sent = docs.sparkSession.sparkContext.broadcast(languages)
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, models = sent.value.names, sent.value.models

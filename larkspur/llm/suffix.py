@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.llm.common import M64, batches, merged, mix64, saved, small_batches, spread, words64
+from larkspur.llm.common import M64, batches, merged, mix64, ready, saved, spread, words64
 
 LENGTH = 400
 #: Bytes of a gram; a window has length - gram + 1 of them.
@@ -357,7 +357,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     contexts that repeat, flat) and compare (start, end, shard, whether it is
     hot, of contexts to be compared byte by byte, flat), of the documents that
     have any; and the key ranges for hot shards."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     keyed = docs.select(F.col(id_col).cast("long").alias("key_id"), F.xxhash64(F.col(text_col)).alias("key_hash"), F.col(text_col).cast("string").alias("text"))
     rows = saved(keyed.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length, gram), "key_id long, key_hash long, start long, windows int, anchor long, context long, again boolean"), "anchors")
     often = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import batches, least_by_hash, scratch, shuffle_partitions, strings_of, texts_of
+from larkspur.llm.common import batches, least_by_hash, ready, scratch, shuffle_partitions, strings_of, texts_of
 from larkspur.llm.pieces import Store, cut
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -196,6 +196,7 @@ SCHEMA = pa.schema([(x.split()[0], {"int": pa.int32(), "long": pa.int64(), "stri
 def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, ranges: int | None = None, dictionary_rows: int = DICTIONARY_ROWS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode all documents and write them as a dataset in ``folder``."""
     spark = docs.sparkSession
+    ready(spark)
     path = path or public_tokenizers.path(VOCABULARY)
     width = 2 if encoder(path).size <= 1 << 16 and end_id < 1 << 16 else 4
     texts = texts_of(docs, id_col, text_col)
@@ -258,6 +259,7 @@ def _summary(docs: pa.Array, start: np.ndarray, counts: np.ndarray, ids: list[np
 def read(spark: SparkSession, folder: str, doc_id: int | None = None) -> DataFrame:
     """doc_id, start and ids of all documents, or of one: then only segments
     whose range has it are read, and only its own bytes are unpacked."""
+    ready(spark)
     shared, digest, width = _meta(spark, folder)
     segments = _starts(spark.read.parquet(f"{folder}/data"))
     if doc_id is not None:
@@ -267,6 +269,8 @@ def read(spark: SparkSession, folder: str, doc_id: int | None = None) -> DataFra
 
 def summary(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of what the files hold."""
+    ready(spark)
+    ready(spark)
     shared, digest, width = _meta(spark, folder)
     return _starts(spark.read.parquet(f"{folder}/data")).mapInArrow(_documents(shared, digest, width, None, _summary), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
