@@ -217,6 +217,26 @@ def _coerce_matrix() -> str:
     return (" UNION ALL ".join(parts))
 
 
+def _coerce_values() -> str:
+    """Each declared attribute of each accepted row of both tables."""
+    parts = []
+    for ns, tbl, fields in (("site", "page_actions", API_FIELDS), ("security", "alarms", INCIDENT_FIELDS)):
+        for key, dt in fields:
+            v, f = _coerce(key, dt)
+            raw = _raw_json(key)
+            raw = (f"CASE WHEN regexp_full_match({raw}, '-?[0-9.]+([eE][-+]?[0-9]+)?') AND regexp_matches({raw}, '[.eE]') "
+                   f"THEN {_java_double(f'TRY_CAST(({raw}) AS DOUBLE)')} ELSE {raw} END")
+            number = f"CAST(({v}) AS DOUBLE)"
+            text = (f"CASE WHEN isnan({number}) THEN 'NaN' ELSE printf('{'%.8e' if dt == 'FLOAT' else '%.14e'}', {number}) END"
+                    if dt in ("FLOAT", "DOUBLE") else _fmt(f"({v})", dt))
+            parts.append(
+                f"SELECT namespace, type, '{key}' AS column_name, '{dt}' AS data_type, {raw} AS raw_text, "
+                f"{text} AS value_text, {f} AS failed "
+                f"FROM routed WHERE status = 'accepted' AND namespace = '{ns}' AND type = '{tbl}'"
+            )
+    return " UNION ALL ".join(parts)
+
+
 def _schema_changes() -> str:
     return """
 SELECT 'site' AS namespace, 'page_actions' AS table_name, name, change, data_type,
@@ -277,6 +297,8 @@ def oracle_sql() -> dict[str, str]:
         "coerce_matrix": f"""SELECT probe_idx, column_name, data_type, count(*) AS n,
             CAST(sum(failed) AS BIGINT) AS n_failed, max(value_text) AS value_text
             FROM ({_coerce_matrix()}) GROUP BY 1, 2, 3""",
+        "coerce_values": f"""SELECT namespace, type, column_name, data_type, raw_text, value_text, failed, count(*) AS n
+            FROM ({_coerce_values()}) GROUP BY 1, 2, 3, 4, 5, 6, 7""",
         "coercion_quarantine": """SELECT namespace, type, column_name, count(*) AS n FROM (
             SELECT namespace, type, unnest(string_split(failed_cols, ',')) AS column_name FROM typed_api WHERE failed_cols <> ''
             UNION ALL

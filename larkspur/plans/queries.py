@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.contract import QUARANTINE_DDL, R_COERCION
-from larkspur.functions.coerce import attribute, coerce
+from larkspur.contract import QUARANTINE_DDL, R_COERCION, SPARK_TYPES
+from larkspur.functions.coerce import attribute, coerce, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.operators.compaction import pending_manifest_as_of, valid_manifest
 from larkspur.operators.grouping import assign_groups, group_sizes
 from larkspur.operators.project import project_typed, unknown_attributes
@@ -151,7 +151,9 @@ def _fmt(value, dt):
 
 
 def q_coerce_matrix(spark, sf_dir):
-    """Each probe value coerced to every type, over every probe row."""
+    """Each probe value coerced to every type, over the probe rows of
+    page_actions (every fourth one) only; ``coerce_values`` covers all rows of
+    both tables."""
     api = next(s for s in _specs(spark) if s.table_name == "page_actions")
     types = {name: dt for _, name, dt in api.fields}
     r = _routed(spark, sf_dir).where(
@@ -178,6 +180,45 @@ def q_coerce_matrix(spark, sf_dir):
     )
 
 
+def _exact(value, dt):
+    """Text of a coerced value; 9 digits tell any two floats apart, 15 any two
+    doubles of decimal texts of that length."""
+    if dt in ("FLOAT", "DOUBLE"):
+        digits = "%.8e" if dt == "FLOAT" else "%.14e"
+        return F.when(F.isnan(value), F.lit("NaN")).when(value.isNotNull(), F.format_string(digits, value.cast("double")))
+    return value.cast("string")
+
+
+def q_coerce_values(spark, sf_dir):
+    """Every declared attribute of every accepted row of both tables,
+    coerced: how often each raw text became which value, or failed. In the raw
+    text a number with a fraction or exponent is written as a Java double."""
+    r = _routed(spark, sf_dir).where(F.col("reason").isNull())
+    # the attributes' own texts: a VARIANT shows 10.0 as 10
+    written = F.from_json("value", "attributes map<string, string>")["attributes"]
+    cells = None
+    for spec in _specs(spark):
+        mine = F.array(*[
+            F.struct(F.lit(name).alias("column_name"), F.lit(dt).alias("data_type"),
+                     attribute("attributes", name).alias("a"), F.col("written")[name].alias("w"))
+            for _, name, dt in spec.fields
+        ])
+        is_mine = (F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name)
+        cells = F.when(is_mine, mine) if cells is None else cells.when(is_mine, mine)
+    r = r.select("namespace", "type", "attributes", written.alias("written"))
+    r = r.select("namespace", "type", F.explode(cells).alias("c")).select("namespace", "type", "c.*")
+    r = r.select("*", F.expr(kind_sql("a")).alias("k"), F.expr(text_sql("a")).alias("t"))
+    raw = F.when(F.col("a").isNull(), F.lit(None)).when(F.col("k") == "ST", F.to_json("a")).otherwise(F.coalesce("w", F.lit("null")))
+    text = failed = None
+    for dt in SPARK_TYPES:
+        value = value_sql("a", dt, "k", "t")
+        is_dt = F.col("data_type") == dt
+        one, bad = _exact(F.expr(value), dt), F.expr(failed_sql("k", value))
+        text, failed = (F.when(is_dt, one), F.when(is_dt, bad)) if text is None else (text.when(is_dt, one), failed.when(is_dt, bad))
+    r = r.select("namespace", "type", "column_name", "data_type", raw.alias("raw_text"), text.alias("value_text"), failed.alias("failed"))
+    return r.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_coercion_quarantine(spark, sf_dir):
     """Failed columns of quarantined rows."""
     routed = _routed(spark, sf_dir)
@@ -554,6 +595,7 @@ QUERIES = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "typed_projection": q_typed_projection,
     "coerce_matrix": q_coerce_matrix,
+    "coerce_values": q_coerce_values,
     "coercion_quarantine": q_coercion_quarantine,
     "unknown_attributes": q_unknown_attributes,
     "group_sizes": q_group_sizes,
