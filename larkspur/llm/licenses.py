@@ -40,11 +40,13 @@ GATE = (
     "(?:released|distributed|available|published|provided|redistributed|covered) (?:under|by|with|according to) "
 )
 
-#: Families: label, keyword, names in words, versions ("" is no version).
+#: Families: label, keyword (every name has it at the start of a word), names in words, versions ("" is no version).
 FAMILIES = [
-    ("apache", "apache", ["apache", "apache software", "asl"], ["", "1.0", "1.1", "2.0"]),
+    ("apache", "apache", ["apache", "apache software"], ["", "1.0", "1.1", "2.0"]),
+    ("apache", "asl", ["asl"], ["", "1.0", "1.1", "2.0"]),
     ("mit", "mit", ["mit", "mit x11", "mit expat"], [""]),
-    ("bsd-2-clause", "bsd", ["bsd 2 clause", "simplified bsd", "freebsd", "two clause bsd"], [""]),
+    ("bsd-2-clause", "bsd", ["bsd 2 clause", "simplified bsd", "two clause bsd"], [""]),
+    ("bsd-2-clause", "freebsd", ["freebsd"], [""]),
     ("bsd-3-clause", "bsd", ["bsd 3 clause", "new bsd", "modified bsd", "revised bsd", "three clause bsd"], [""]),
     ("bsd-4-clause", "bsd", ["bsd 4 clause", "original bsd"], [""]),
     ("bsd", "bsd", ["bsd", "bsd style"], [""]),
