@@ -8,7 +8,6 @@ one before it kept. The first four return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larkspur.llm import bpe, contamination, language, simhash, suffix
 from larkspur.llm.common import saved, table
@@ -21,13 +20,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least doc_id of each group of near-duplicates;
-    of rows that repeat a doc_id one stays, and rows without one all stay,
-    since no group can name them."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null"))
+    """Keeps one document of each group of near-duplicates, that of least
+    doc_id (none comes last), then of least SHA-256 of the text. Texts that
+    share a doc_id but are no near-duplicates stay; copies without a doc_id
+    keep one."""
+    return simhash.kept_documents(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

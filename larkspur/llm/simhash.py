@@ -21,6 +21,7 @@ Repeated documents are copies. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,16 +63,19 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter((hash_(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp, the fingerprint's 64 bits as a long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint's 64 bits as a long; if wanted also
+    digest, the text's SHA-256 (null is empty)."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for rows, data, at in batches(frame):
-                fp = np.array([fingerprint(shingle_hashes(x, shingle)) for x in strings_of(data, at)], np.uint64)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                texts = strings_of(data, at)
+                fp = np.array([fingerprint(shingle_hashes(x, shingle)) for x in texts], np.uint64)
+                more = {"digest": pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())} if digest else {}
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(fp.view(np.int64)), *more.values()], names=["doc_id", "fp", *more])
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long" + ", digest string" * digest)
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -192,3 +196,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     else:
         classes = classes.withColumnRenamed("id", "component_id")
     return found.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """One row of each group of near-duplicates, with its own columns: the
+    least by doc_id (none comes last), then by the text's digest, then by all
+    columns. Groups are of texts, whatever their ids: unrelated texts that
+    share an id stay, and copies without an id keep one."""
+    found = saved(fingerprints(docs, digest=True), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
+    classes = found.groupBy("fp").agg(first.alias("first"))
+    # a class's node is its fingerprint, since two classes may have the same least id
+    node = components(links(classes.select("fp", F.col("fp").alias("id")), MAX_BITS))
+    classes = classes.join(node, classes["fp"] == node["node"], "left").select(F.coalesce("component", "fp").alias("group"), "first")
+    kept = classes.groupBy("group").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__kept_id"), F.col("first.digest").alias("__kept_digest"))
+    own = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]) & (own == kept["__kept_digest"]), "left_semi")
+    return rows.groupBy(F.col("doc_id").alias("__id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("__digest")).agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
