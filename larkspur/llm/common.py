@@ -95,6 +95,22 @@ def batches(batch: pa.RecordBatch, column: str = "text", step: int = STEP_BYTES)
         lo = hi
 
 
+def gathered(frames: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``rows``, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for frame in frames:
+        held.append(frame)
+        if sum(f.num_rows for f in held) >= rows:
+            yield joined(held)
+            held = []
+    if any(f.num_rows for f in held):
+        yield joined(held)
+
+
+def joined(frames: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(frames).combine_chunks().to_batches()[0]
+
+
 def strings_of(data: np.ndarray, at: np.ndarray) -> list[bytes]:
     raw = data.tobytes()
     return [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larkspur.llm import bpe, contamination, embeddings, html_text, language, licenses, quality, simhash, suffix, tokens
+from larkspur.llm import bpe, contamination, embeddings, html_text, language, licenses, quality, simhash, suffix, tokens, whitening
 from larkspur.llm.common import table
 from larkspur.llm.oracle import ORACLES
 
@@ -63,7 +63,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_suffix_array, op2_licenses, op3_quality, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op9_html_text, op10_simhash]
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_rows(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = [op1_suffix_array, op2_licenses, op3_quality, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op9_html_text, op10_simhash, op13_whitening]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
