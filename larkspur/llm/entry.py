@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from larkspur.llm import bpe, contamination, embeddings, html_text, language, licenses, quality, simhash, suffix, tokens, whitening
+from larkspur.llm import bpe, contamination, embeddings, html_text, language, licenses, neighbours, quality, simhash, suffix, tokens, trie, whitening
 from larkspur.llm.common import table
 from larkspur.llm.oracle import ORACLES
 
@@ -63,11 +63,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), share=True).drop("t1", "t2")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.component_rows(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = [op1_suffix_array, op2_licenses, op3_quality, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op9_html_text, op10_simhash, op13_whitening]
+QUERIES = [op1_suffix_array, op2_licenses, op3_quality, op4_language, op5_embeddings, op6_byte_bpe, op7_token_files, op8_decontamination, op9_html_text, op10_simhash, op11_neighbours, op12_prefix_trie, op13_whitening]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
