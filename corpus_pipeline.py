@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspur.llm import bpe, contamination, language, simhash, suffix
-from larkspur.llm.common import saved, table
+from larkspur.llm.common import scratch, scratch_dropped, table
+from larkspur.sources import storage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +28,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.kept_documents(docs)
 
 
+#: A passage repeats if more than 50 whole words of it do; the search is for
+#: strings of bytes that such passages hold (51 words of three letters or more
+#: are over 200 bytes).
+PASSAGE_WORDS, PASSAGE_BYTES, PASSAGE_GRAM = 51, 200, 64
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes the strings of 400 bytes that repeat out of the texts."""
-    return suffix.deduplicated(docs, length_col="n_chars")
+    """Takes the passages of over 50 words that repeat out of the texts. Every
+    copy goes, the first too, as in the operator: text that documents share word
+    for word is not theirs, and no copy is known to be the original. Shorter
+    repeats stay as they are."""
+    return suffix.deduplicated(docs, length_col="n_chars", length=PASSAGE_BYTES, gram=PASSAGE_GRAM, least_words=PASSAGE_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +68,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        with scratch_dropped(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            storage.delete(spark, before)
+        before = path
     return docs

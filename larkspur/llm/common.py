@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.session import shared_dir
+from larkspur.sources import storage
 
 #: Bytes of text that one numpy step works on; bounds a task's memory.
 STEP_BYTES = 1 << 19
@@ -34,14 +36,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/larkspur-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Scratch tables made since the innermost ``scratch_dropped`` began.
+_open: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives
     lost executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_dropped(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, what ``saved`` wrote inside; nothing that is still
+    to be computed may read it."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            storage.delete(spark, path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

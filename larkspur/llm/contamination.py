@@ -15,7 +15,9 @@ task; with several blocks, the documents found so far are written between the
 passes, so any number of items works.
 
 Null and empty texts have no words. Documents and items without words match
-nothing. Repeated documents each give a row; repeated windows count for every
+nothing. Items without item_id mark words and contaminate like any other; all of
+them together count as one item, which has no place in items_sha256. Repeated
+documents each give a row; repeated windows count for every
 item that has them. Only the id and text columns are read, so other columns,
 whatever their names, do not matter.
 """
@@ -75,10 +77,14 @@ def normalise(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return text, starts, np.searchsorted(starts, breaks)
 
 
+def _none_last(item: int | None) -> tuple[bool, int]:
+    return item is None, item or 0
+
+
 class Patterns:
     """Distinct byte strings and the numbers of the items that have each."""
 
-    def __init__(self, items: list[tuple[int, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW):
         found: dict[bytes, set[int]] = {}
         for item, text in items:
             raw = np.frombuffer((text or "").encode(), np.uint8)
@@ -87,7 +93,7 @@ class Patterns:
                 found.setdefault(b" ".join(words[k : k + window]), set()).add(item)
         self.strings = sorted(found, key=lambda x: (len(x), x))
         self.words = np.array([x.count(b" ") + 1 for x in self.strings], np.int64)
-        self.items = [sorted(found[x], key=lambda v: (v is None, v)) for x in self.strings]
+        self.items = [sorted(found[x], key=_none_last) for x in self.strings]
         self.groups = []
         lens = np.array([len(x) for x in self.strings], np.int64)
         edges = [1, 2, 4, 8, 16, 32, 48, 64, 96, 1 << 62]
@@ -212,15 +218,15 @@ def _scan(patterns, first: bool):
                     for k in np.unique(which[a:b]).tolist():
                         items[d].update(found.items[k])
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), rows.column("text"), pa.array(n_words), pa.array(runs, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
+                    [rows.column("doc_id"), rows.column("text"), pa.array(n_words), pa.array(runs, pa.list_(pa.int64())), pa.array([sorted(x, key=_none_last) for x in items], pa.list_(pa.int64()))],
                     names=["doc_id", "text", "n_words", "runs", "items"],
                 )
 
     return run
 
 
-def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, str]]]:
-    """Items without a null id, in blocks of at most ``size`` bytes (one item
+def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int | None, str]]]:
+    """Items in blocks of at most ``size`` bytes (one item
     at least); only one block at a time is on the driver."""
     block, held = [], 0
     for item, text in items.toLocalIterator():
@@ -237,7 +243,7 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     flat), items (ids of the items with windows in the document)."""
     spark = docs.sparkSession
     state = texts_of(docs, id_col, text_col)
-    wanted = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null")
+    wanted = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     for k, block in enumerate(_blocks(wanted, block_bytes)):
         if k:
             state = saved(state, "decontaminate")
@@ -252,7 +258,7 @@ def decontamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
         for frame in frames:
             runs, items_ = frame.column("runs").to_pylist(), frame.column("items").to_pylist()
             hit = [sum(x[1::2]) - sum(x[::2]) for x in runs]
-            sha = [hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items_]
+            sha = [hashlib.sha256(",".join(sorted(str(i) for i in x if i is not None)).encode()).hexdigest() for x in items_]
             yield pa.RecordBatch.from_arrays(
                 [frame.column("doc_id"), frame.column("n_words"), pa.array(hit, pa.int64()), pa.array(list(map(len, items_)), pa.int64()), pa.array(sha, pa.string()), pa.array([x > 0 for x in hit], pa.bool_())],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
@@ -267,7 +273,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     own columns; the search runs on each row, so nothing is shuffled."""
     spark = docs.sparkSession
     ready(spark)
-    wanted = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null")
+    wanted = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     state = docs
     for k, block in enumerate(_blocks(wanted, BLOCK_BYTES)):
         if k:

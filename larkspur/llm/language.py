@@ -8,7 +8,10 @@ sorted arrays: the hashes of its n-grams, and for each its interpolated
 Kneser-Ney log probability; hashes of contexts, and for each its back-off
 weight. A text takes the language of least cross-entropy per character. What
 one character costs in the sample's held-back rows sets, for each language, the
-limit beyond which a text is rejected.
+limit beyond which a text is rejected. A language with fewer than ``LEAST_HELD``
+such rows is calibrated on all its sample: its characters are cut into pieces,
+each costed by a model of the others, and the spread is at least that of the
+other languages.
 
 Scoring is one narrow pass over whole texts: n-grams of a batch are sorted,
 each distinct one is looked up once, and costs are summed by document.
@@ -27,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +42,9 @@ ORDER = 5
 SAMPLE_ROWS = 1500
 #: Of those, every so manieth is held back to set the limit of rejection.
 HELD_BACK = 5
+#: Held-back rows of 50 letters that a limit is set by, at least, and the pieces
+#: of a smaller sample.
+LEAST_HELD = 5
 #: Standard deviations above the mean cost at which a text is rejected.
 DEVIATIONS = 8.0
 #: Share of the way from the language's own cost to the other languages' cost.
@@ -205,6 +212,19 @@ def fit(rows: np.ndarray, n: np.ndarray) -> Model:
     return Model(gram_keys, gram_logs, context_keys, context_logs, unseen)
 
 
+def cross_costs(texts: list[bytes], pieces: int = LEAST_HELD) -> np.ndarray:
+    """The cost a character of each piece of the texts, in a model of the other
+    pieces; none if there are too few characters."""
+    point, place, _ = letters_of(texts)
+    rows = np.array_split(windows(point)[place], pieces)
+    out = []
+    for k, piece in enumerate(rows):
+        others = np.concatenate([r for j, r in enumerate(rows) if j != k])
+        if len(piece) and len(others):
+            out.append(float(fit(*np.unique(others, axis=0, return_counts=True)).cost(piece).mean()))
+    return np.array(out)
+
+
 def costs(models: list[Model], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The cost of each text in each model (texts x models), and the number
     of characters that it has (0: no letter)."""
@@ -271,9 +291,19 @@ def train(docs: DataFrame, learn: Column | None = None, sample_rows: int = SAMPL
     for k, (name, model) in enumerate(zip(found.names, found.models, strict=True)):
         mine = np.array([x == name for x in own], bool) & (length >= 50)
         each = total[mine, k] / length[mine]
-        model.mean, model.spread = (float(np.median(each)), float(max(each.std(), 0.02))) if mine.sum() >= 5 else (8.0, 1.0)
+        if mine.sum() >= LEAST_HELD:
+            model.mean, model.spread = float(np.median(each)), float(max(each.std(), 0.02))
         other = np.array([x != name for x in own], bool) & (length >= 50)
-        model.foreign = float(np.median(total[other, k] / length[other])) if other.sum() >= 5 else 0.0
+        model.foreign = float(np.median(total[other, k] / length[other])) if other.sum() >= LEAST_HELD else 0.0
+    few = [(name, model) for name, model in zip(found.names, found.models, strict=True) if not model.spread]
+    if few:
+        pooled = [model.spread for model in found.models if model.spread]
+        small = sample.where(F.col("lang").isin([name for name, _ in few])).select("lang", "text").toArrow()
+        for name, model in few:
+            mine = small.filter(pa.compute.equal(small.column("lang"), name)).column("text").to_pylist()
+            each = cross_costs([x.encode() for x in mine])
+            model.mean = float(np.median(each)) if len(each) else -model.unseen
+            model.spread = float(max(each.std() if len(each) > 1 else 0, np.median(pooled) if pooled else 0, 0.02))
     return found
 
 

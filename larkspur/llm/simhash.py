@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import batches, saved, strings_of, texts_of
+from larkspur.llm.common import batches, ready, saved, strings_of, texts_of
 from larkspur.llm.graph import components
 
 SEED = 42
@@ -63,19 +63,23 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter((hash_(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
-    """doc_id and fp, the fingerprint's 64 bits as a long; if wanted also
-    digest, the text's SHA-256 (null is empty)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """doc_id and fp, the fingerprint's 64 bits as a long; with row_col, a long
+    that numbers rows, also digest, the text's SHA-256 (null is empty), and row."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for rows, data, at in batches(frame):
                 texts = strings_of(data, at)
                 fp = np.array([fingerprint(shingle_hashes(x, shingle)) for x in texts], np.uint64)
-                more = {"digest": pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())} if digest else {}
+                more = {"digest": pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()), "row": rows.column("row")} if row_col else {}
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(fp.view(np.int64)), *more.values()], names=["doc_id", "fp", *more])
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long" + ", digest string" * digest)
+    if not row_col:
+        return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    ready(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(row_col).alias("row"))
+    return rows.mapInArrow(run, "doc_id long, fp long, digest string, row long")
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -189,27 +193,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id
     that is reachable by links), one row per input row."""
     found = saved(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    classes = found.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    classes = saved(found.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-classes")
     if max_bits:
         node = components(links(classes.where("id is not null"), max_bits))
         classes = classes.join(node, classes["id"] == node["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     else:
         classes = classes.withColumnRenamed("id", "component_id")
-    return found.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # both sides are written tables, so the join deals a fingerprint that very
+    # many rows have to several tasks
+    return found.join(saved(classes, "simhash-components"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates, with its own columns: the
-    least by doc_id (none comes last), then by the text's digest, then by all
-    columns. Groups are of texts, whatever their ids: unrelated texts that
-    share an id stay, and copies without an id keep one."""
-    found = saved(fingerprints(docs, digest=True), "simhash")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
-    classes = found.groupBy("fp").agg(first.alias("first"))
+    least by doc_id (none comes last), then by the text's digest; of rows equal
+    in both, the first. Groups are of texts, whatever their ids: unrelated texts
+    that share an id stay, and copies without an id keep one. Columns may have
+    any name and type: rows are numbered, chosen in a narrow table, and the
+    texts travel once, to meet the chosen numbers."""
+    number = "row"
+    while number in {c.lower() for c in docs.columns}:
+        number += "_"
+    rows = saved(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = saved(fingerprints(rows, row_col=number), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "row"))
+    classes = saved(found.groupBy("fp").agg(first.alias("first")), "simhash-classes")
     # a class's node is its fingerprint, since two classes may have the same least id
     node = components(links(classes.select("fp", F.col("fp").alias("id")), MAX_BITS))
     classes = classes.join(node, classes["fp"] == node["node"], "left").select(F.coalesce("component", "fp").alias("group"), "first")
-    kept = classes.groupBy("group").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__kept_id"), F.col("first.digest").alias("__kept_digest"))
-    own = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]) & (own == kept["__kept_digest"]), "left_semi")
-    return rows.groupBy(F.col("doc_id").alias("__id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("__digest")).agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    kept = classes.groupBy("group").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number))
+    return rows.join(saved(kept, "kept-rows"), number, "left_semi").drop(number)

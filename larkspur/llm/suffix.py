@@ -11,12 +11,12 @@
    share an anchor with another context, and those that repeat in themselves,
    need their bytes compared.
 3. Shards. Those contexts' bytes are dealt to shards of bounded size by their
-   anchor, so equal windows meet; each shard gets a suffix array by
+   anchor, so equal windows meet (long contexts in runs of windows); each shard gets a suffix array by
    Larsson-Sadakane refinement (sort by rank at distance h, groups of one are
    done, h doubles) and common prefixes by Kasai's recurrence, run in step over
    many stretches of the text. Neighbours with ``length`` common bytes repeat.
-4. Across shards. An anchor with more contexts than a shard holds has several
-   shards. Their distinct windows, as 128-bit keys in sorted runs, are dealt out
+4. Across shards. An anchor whose contexts hold more bytes than half a shard has
+   several shards. Their distinct windows, as 128-bit keys in sorted runs, are dealt out
    by key range and the runs are merged in pairs by binary search; a key that
    two shards have is a repeat. A window of any frequency is one key of each
    shard, so hot passages stay small.
@@ -361,19 +361,27 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     keyed = docs.select(F.col(id_col).cast("long").alias("key_id"), F.xxhash64(F.col(text_col)).alias("key_hash"), F.col(text_col).cast("string").alias("text"))
     rows = saved(keyed.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length, gram), "key_id long, key_hash long, start long, windows int, anchor long, context long, again boolean"), "anchors")
     often = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")
-    rows = saved(rows.join(often, "anchor", "left_semi"), "repeated-anchors")
+    # a written table on both sides: the join deals an anchor with very many rows to several tasks
+    rows = saved(rows.join(saved(often, "often"), "anchor", "left_semi"), "repeated-anchors")
     one = F.struct("key_id", "key_hash", "start", "windows")
     contexts = saved(rows.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.max("again").alias("again"), F.min(one).alias("one")), "contexts")
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("n_contexts")).where("n_contexts > 1")
-    bytes_ = F.col("one.windows") + F.lit(length)
-    parts = F.ceil(F.coalesce("n_contexts", F.lit(1)) * F.lit(1.5 * length / SHARD_BYTES)).cast("int")
+    # long contexts are cut into runs of windows, whose bytes overlap
+    step = max(SHARD_BYTES // 16, length)
+    bytes_ = F.col("one.windows") + F.lit(length) * F.ceil(F.col("one.windows") / step)
+    several = saved(contexts.groupBy("anchor").agg(F.count("*").alias("n_contexts"), F.sum(bytes_).alias("n_bytes")).where(f"n_contexts > 1 or n_bytes > {SHARD_BYTES // 2}"), "several")
+    # an anchor whose contexts hold more than half a shard has shards of its own
+    parts = F.ceil(F.coalesce("n_bytes", F.lit(0)) / F.lit(SHARD_BYTES // 2)).cast("int")
     compare = contexts.join(several, "anchor", "left").where("again or n_contexts > 1").withColumn("parts", parts)
     n_bytes, n_hot = compare.agg(F.sum(bytes_), F.sum(F.when(F.col("parts") > 1, F.col("one.windows")))).first()
-    shards = max(1, -(-(n_bytes or 0) // SHARD_BYTES))
+    shards = max(1, -(-2 * (n_bytes or 0) // SHARD_BYTES))
     cold = F.pmod(F.xxhash64("anchor"), F.lit(shards))
-    hot = F.lit(shards) + F.shiftrightunsigned(F.xxhash64("anchor", F.pmod(F.xxhash64("context"), "parts")), 2)
+    hot = F.lit(shards) + F.shiftrightunsigned(F.xxhash64("anchor", F.pmod(F.xxhash64("context", "cut"), "parts")), 2)
     start, end = F.col("start").cast("long"), F.col("start") + F.col("windows") + F.lit(length - 1)
-    compare = compare.select("one.*", F.when(F.col("parts") > 1, hot).otherwise(cold).alias("shard"), (F.col("parts") > 1).cast("long").alias("hot"))
+    cut = F.explode(F.sequence(F.lit(0), F.floor((F.col("one.windows") - 1) / step).cast("int")))
+    compare = compare.select("anchor", "context", "one", "parts", cut.alias("cut"))
+    first = F.col("one.start") + F.col("cut") * step
+    windows = F.least(F.lit(step), F.col("one.windows") - F.col("cut") * step)
+    compare = compare.select("one.key_id", "one.key_hash", first.alias("start"), windows.alias("windows"), F.when(F.col("parts") > 1, hot).otherwise(cold).alias("shard"), (F.col("parts") > 1).cast("long").alias("hot"))
     compare = compare.select("key_id", "key_hash", F.lit(None).cast("array<long>").alias("whole"), F.array(start, end, "shard", "hot").alias("compare"))
     whole = rows.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("key_id", "key_hash", F.array(start, end).alias("whole"), F.lit(None).cast("array<long>").alias("compare"))
     flat = lambda x: F.flatten(F.sort_array(F.collect_set(x)))
@@ -433,15 +441,28 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     return with_removed(rows, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", length=length, gram=gram)
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def whole_words(raw: np.ndarray, start: int, end: int) -> int:
+    """Words that lie wholly within raw[start:end], between white space or the
+    text's ends."""
+    blank = lambda k: k < 0 or k >= len(raw) or bytes(raw[k : k + 1]).isspace()
+    n = len(raw[start:end].tobytes().split())
+    cut = (not blank(start) and not blank(start - 1)) + (not blank(end - 1) and not blank(end))
+    return max(n - cut, 0)
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, length: int = LENGTH, gram: int = GRAM, least_words: int = 0) -> DataFrame:
     """The documents with what repeats taken out of their text; a character
     goes if all its bytes go. length_col: a column that holds the number of
-    characters, counted anew."""
+    characters, counted anew. least_words: what repeats stays unless it holds
+    so many whole words (characters between white space)."""
 
     def finish(rows: pa.RecordBatch, data: np.ndarray, at: np.ndarray, found: list) -> pa.RecordBatch:
         texts, null = [], rows.column(text_col).is_null().to_pylist()
         for a, b, (s, e), no_text in zip(at[:-1].tolist(), at[1:].tolist(), found, null, strict=True):
             raw = data[a:b]
+            if least_words:
+                long = np.array([whole_words(raw, x, y) >= least_words for x, y in zip(s.tolist(), e.tolist(), strict=True)], bool)
+                s, e = s[long], e[long]
             inner = (raw & 0xC0) == 0x80
             for k in range(len(s)):  # to where a character starts
                 while s[k] < e[k] and inner[s[k]]:

@@ -19,7 +19,7 @@ def brute(docs, items, window=10):
     patterns = {}
     for item, text in items:
         w = words(text)
-        for k in range(max(len(w) - window, 0) + 1) if w and item is not None else ():
+        for k in range(max(len(w) - window, 0) + 1) if w else ():
             patterns.setdefault(tuple(w[k : k + window]), set()).add(item)
     out = []
     for doc, text, *_ in docs:
@@ -29,12 +29,12 @@ def brute(docs, items, window=10):
                 if (p := tuple(w[k : k + size])) in patterns:
                     hit |= set(range(k, k + size))
                     found |= patterns[p]
-        sha = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        sha = hashlib.sha256(",".join(sorted(str(i) for i in found if i is not None)).encode()).hexdigest()
         out.append((doc, len(w), len(hit), len(found), sha, bool(hit)))
     return sorted(out, key=str)
 
 
-ITEMS = [(1, syllables(2, 25)), (2, "ba KE, li"), (3, syllables(8, 14)), (4, None), (5, "..."), (6, syllables(8, 14)), (None, "ba"), (10, "é"), (11, "Li mo nu pa re si to vu da fe gi"), (12, syllables(6, 12))]
+ITEMS = [(1, syllables(2, 25)), (2, "ba KE, li"), (3, syllables(8, 14)), (4, None), (5, "..."), (6, syllables(8, 14)), (None, "ba"), (None, syllables(8, 14) + " more"), (None, syllables(1, 11)), (10, "é"), (11, "Li mo nu pa re si to vu da fe gi"), (12, syllables(6, 12))]
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 60])

@@ -69,6 +69,22 @@ def test_foreign_text_is_rejected(spark):
     assert language.identified(foreign, models).where("rejected").count() == 3
 
 
+def test_languages_with_few_rows_reject_too(spark):
+    docs = table(spark, SF01, "documents").where("n_chars between 300 and 3000")
+    rows = [r for lang in ("de", "en", "fr", "es") for r in docs.where(F.col("lang") == lang).orderBy("doc_id").limit(15).collect()]
+    models = language.train(spark.createDataFrame(rows, docs.schema).repartition(3))
+    assert set(models.names) == {"de", "en", "fr", "es"}
+    assert all(0.02 <= m.spread < 1 and 1 < m.mean < 6 for m in models.models)
+    foreign = [(1, syllables(1, 400, "zk ujp qyx vvo wzu")), (2, "漢字仮名交じり文" * 50), (3, "щшчж ъыь эюя " * 60), (4, syllables(2, 400, "xq wk jz vf qh"))]
+    assert language.identified(spark.createDataFrame(foreign, "doc_id long, text string"), models).where("rejected").count() == 4
+    own = language.identified(docs, models)
+    n, kept = own.select(F.count("*"), F.sum((~F.col("rejected")).cast("int"))).first()
+    assert kept >= 0.95 * n
+    one = language.train(spark.createDataFrame(rows[:1], docs.schema))
+    assert language.identified(spark.createDataFrame(foreign, "doc_id long, text string"), one).where("rejected").count() == 4
+    assert language.identified(spark.createDataFrame(rows[:1], docs.schema), one).where("rejected").count() == 0
+
+
 def test_edges(spark, edge_docs, no_docs):
     models = language.train(edge_docs)
     assert models.names == ["de", "en", "fr"]

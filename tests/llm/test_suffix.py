@@ -98,6 +98,39 @@ def test_long_copies_are_removed_whole(edge_docs):
     assert got[6]["n_removed"] == got[6]["n_bytes"] > 100_000 and got[6]["n_spans"] == 1 and got[15]["n_removed"] == 0
 
 
+def test_long_filler_runs_keep_shards_bounded(spark):
+    """Distinct contexts of one anchor, each far longer than a shard's part."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefgh ") for _ in range(500))
+    rows = [(k, word() + "-" * 200_000 + word()) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found, _ = suffix.repeats(docs)
+    held = Counter()
+    for r in found.select("compare").collect():
+        for start, end, shard, _ in zip(*[iter(r["compare"] or [])] * 4, strict=True):
+            held[shard] += end - start
+    assert sum(held.values()) > 1_500_000 and max(held.values()) <= 1.5 * suffix.SHARD_BYTES
+    got = {r["doc_id"]: r["n_removed"] for r in suffix.removed(docs).collect()}
+    # letters beside the runs may repeat with them
+    assert len(got) == 40 and all(200_000 <= n <= 200_010 for n in got.values())
+
+
+def test_whole_words():
+    raw = np.frombuffer(b"ab cd  ef\ngh", np.uint8)
+    assert [suffix.whole_words(raw, a, b) for a, b in ((0, 12), (1, 12), (0, 11), (1, 2), (2, 6), (3, 5), (2, 8))] == [4, 3, 3, 0, 1, 1, 1]
+
+
+def test_only_passages_of_enough_words(spark):
+    rnd = random.Random(10)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    short, long = words(45), words(51)
+    texts = [f"{words(30)} {p} {words(30)}" for p in (short, long, short, long)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in suffix.deduplicated(docs, length=200, gram=64, least_words=51).orderBy("doc_id").collect()]
+    assert got[0] == texts[0] and got[2] == texts[2]
+    assert all(long not in t and len(t.split()) == 60 for t in (got[1], got[3]))
+
+
 def test_empty_table(no_docs):
     assert suffix.removed(no_docs).count() == 0
     assert suffix.deduplicated(no_docs).columns == no_docs.columns
