@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 from larkspur.llm import html_text
 from larkspur.llm.common import table
@@ -49,6 +51,63 @@ def test_broken_and_empty_pages(spark):
 
 
 def test_tree_agrees_with_its_table():
-    wrong = sum(html_text.is_text(r[:-1]) != bool(r[-1]) for r in html_text.TABLE)
-    assert wrong <= 2
-    assert not html_text.is_text((1, 1, 0, 80, 0.0, 50, 0.0, 60, 0.0)) and html_text.is_text((0, 1, 0, 1, 1.0, 1, 1.0, 1, 1.0))
+    wrong = [r for r in html_text.TABLE if html_text.is_text(r[:-1]) != bool(r[-1])]
+    assert len(wrong) <= 3
+    assert not html_text.is_text((1, 1, 0, 80, 0.0, 50, 0.0, 60, 0.0, 0, 0)) and html_text.is_text((0, 1, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0, 0))
+
+
+def test_a_name_alone_decides_nothing():
+    words = " ".join(["word"] * 40)
+    for page in (f'<article><p class="notice">{words}</p></article>', f'<main><section id="search-results-explained"><p>{words}</p></section></main>',
+                 f"<article><p class=x'>{words}</p></article>", f'<div class="layout has-sidebar"><form id="all"><article><p>{words}</p></article></form></div>',
+                 f'<div class="content"><p>{words}</p></div>', f"<p>{words}</p>"):
+        assert html_text.main_text(page) == words, page
+    assert html_text.main_text("<p>Short.</p>") == "Short."
+    assert html_text.main_text("<article><p class=x'>it's one</p><p>it's two</p></article>") == "it's one\n\nit's two"
+    for page in (f'<div class="cookie-notice"><p>{words}</p></div>', f'<article><section class="post-comments"><p>{words}</p></section></article>', f'<div class="comments"><article><p>{words}</p></article></div>',
+                 f"<aside><article><p>{words}</p></article></aside>", f'<div id="ad-slot-3">{words}</div>', f"<form><p>{words}</p></form>"):
+        assert html_text.main_text(page) == "", page
+
+
+def test_hostile_pages_take_linear_time():
+    """1 MB of each: time in proportion to the length, under 2 s."""
+    size = 1 << 20
+    patterns = ['<a "', "<div></p>", "<", "<!--", "<p a='", "<li><ul><center>", "&#", "</x", "<b a=b ", "<script>", "<td><center>", "<li><center></dd>", "</", "<a href=x>y", "<a/", "<p =", "<title></titlex"]
+    pages = [p * (size // len(p)) for p in patterns]
+    pages += ["<li><ul>" + "<center>" * 60_000 + "<li></li>" * 50_000, "<div>" * 100_000 + "</p>" * 100_000]
+    for page in pages:
+        begin = time.process_time()
+        html_text.main_text(page)
+        assert time.process_time() - begin < 2, page[:20]
+
+
+def made_page(rnd):
+    """Blocks in random order of kinds, without an article element, and which
+    of them are text."""
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    parts, truth = [], []
+    links = "".join(f"<li><a href=/{word()}>{word()}</a>" for _ in range(rnd.randrange(3, 9)))
+    parts.append(rnd.choice([f"<nav><ul>{links}</ul></nav>", f"<div class='menu'><ul>{links}</ul></div>", f"<ul>{links}</ul>"]))
+    if rnd.random() < 0.5:
+        parts.append(rnd.choice([f"<div class=ad>{text(6)}</div>", f"<div id=cookie-banner><p>{text(30)}</p></div>", f"<aside>{text(40)}</aside>"]))
+    truth.append(text(rnd.randrange(4, 9)))
+    parts.append(f"<div id=text><h1>{truth[-1]}</h1>")
+    for _ in range(rnd.randrange(2, 7)):
+        body = text(rnd.randrange(25, 120))
+        truth.append(body)
+        parts.append(rnd.choice([f"<p>{body}</p>", f"<p>{body}", f"<p><b>{body}</b></p>", f"<div>{body}</div>"]))
+        if rnd.random() < 0.2:
+            parts.append(rnd.choice([f"<!-- {text(30)} -->", f"<script>var x = '<p>{text(30)}</p>'</script>", f"<style>{text(9)}</style>", f"<p hidden>{text(30)}</p>"]))
+    parts.append("</div>")
+    if rnd.random() < 0.5:
+        parts.append(f"<section class=comments><p>{text(30)}</p><p>{text(50)}</p></section>")
+    parts.append(rnd.choice([f"<footer>{text(5)} <a href=x>{text(2)}</a></footer>", f"<div class=footer><p>{text(12)}</p></div>"]))
+    return "<html><head><title>x</title></head><body>" + "\n".join(parts) + "</body></html>", "\n\n".join(truth)
+
+
+def test_made_pages_without_an_article_element():
+    rnd = random.Random(7)
+    pages = [made_page(rnd) for _ in range(300)]
+    right = sum(html_text.main_text(page) == truth for page, truth in pages)
+    assert right >= 0.97 * len(pages)
