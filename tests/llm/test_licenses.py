@@ -1,5 +1,4 @@
-import re
-
+import regex as re
 from pyspark.sql import functions as F
 
 from larkspur.llm import licenses
@@ -42,13 +41,9 @@ def brute(text):
                     first = low[: m.start()].count(" ") - 1
                     found.append((first, -(first + m[0].count(" ") + 1), priority, label, sure))
     kept = []
-    for m in sorted(found):
-        if not kept or m[0] >= -kept[-1][1]:
+    for m in sorted(found, key=lambda m: (m[2], m[0] + m[1], m[0])):  # any two of all, not only neighbours
+        if not any(set(range(m[0], -m[1])) & set(range(k[0], -k[1])) for k in kept):
             kept.append(m)
-        elif m[1] >= kept[-1][1]:
-            continue
-        elif m[2] < kept[-1][2]:
-            kept[-1] = m
     labels = sorted({*base, *(m[3] for m in kept)})
     score = max([0.6 * bool(base), *(m[4] for m in kept)])
     return (len(words), len(places), places[0] if places else None, places[-1] if places else None, ",".join(base), ",".join(labels), score)
@@ -70,6 +65,32 @@ def test_against_brute_force(spark, edge_docs):
     assert got == sorted(((r[0], *brute(r[1])) for r in edge_rows()), key=str)
 
 
+SAID = {
+    "licensed under GPLv3": "gpl-3.0", "see GPL-3.0-only": "gpl-3.0", "BSD-3-Clause": "bsd-3-clause", "https://creativecommons.org/licenses/by-sa/4.0/legalcode": "cc-by-sa-4.0",
+    "you may not use this file except in compliance with the License": "apache", "This program is free software; you can redistribute it": "gpl", "Apache-2.0 OR MIT": "apache-2.0,mit",
+    "MIT AND (BSD-2-Clause OR MPL-2.0)": "bsd-2-clause,mit,mpl-2.0", "MIT OR GPL-2.0-or-later": "gpl-2.0,mit", "http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0", "LGPLv2.1+ and AGPLv3": "agpl-3.0,lgpl-2.1",
+    "https://opensource.org/licenses/MIT": "mit", "This is free and unencumbered software released into the public domain.": "unlicense", "https://www.gnu.org/licenses/gpl-3.0.html": "gpl-3.0", "the MIT student": "", "apache helicopter": "", "an epl match": "",
+    "You should have received a copy of the GNU Affero General Public License": "agpl", "Unauthorized copying of this file, via any medium is strictly prohibited": "proprietary", "MPL2 or EPL v2": "mpl-2.0",
+}
+
+
+def test_hand_written_rules(spark):
+    rows = list(enumerate(SAID))
+    got = {r["doc_id"]: r["labels"] for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    said = {text: got[k] for k, text in rows}
+    assert said == SAID
+    for k, text in rows:
+        assert tuple(licenses.scanned(spark.createDataFrame([(k, text)], "doc_id long, text string")).first())[1:] == brute(text)
+
+
+def test_resolution_is_by_priority(spark):
+    matches = [(0, -10, 5, "a", 0.1), (2, -4, 6, "b", 0.2), (8, -12, 1, "c", 0.3), (20, -30, 2, "d", 0.4), (21, -22, 3, "e", 0.5), (29, -40, 4, "f", 0.6), (30, -35, 9, "g", 0.7), (40, -41, 8, "h", 0.8)]
+    rows = spark.createDataFrame([(matches,)], f"m array<{licenses.MATCH}>")
+    labels, score = rows.select(licenses._resolved(F.array_sort("m")).alias("r")).select("r.*").first()
+    assert sorted(labels) == ["b", "c", "d", "g", "h"] and score == 0.8
+    assert rows.select(licenses._resolved(F.array_sort(F.slice("m", 1, 0))).alias("r")).select("r.*").first() == ([], 0.0)
+
+
 def test_labels_name_the_version(spark):
     rows = [(k, t) for k, t in enumerate(TEXTS)]
     got = {r["doc_id"]: r["labels"].split(",") for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
