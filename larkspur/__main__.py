@@ -72,7 +72,8 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"larkspur-{args.cmd}").getOrCreate()
-    from larkspur.contract import QUARANTINE_DDL, Layout, Settings
+    from larkspur.contract import Layout, Settings
+    from larkspur.operators.staging import read_quarantine
     from larkspur.sources.catalog import apply_all, apply_schema, live_tables
 
     root = _root(spark, args.root)
@@ -117,7 +118,7 @@ def main(argv=None) -> int:
         elif args.what == "freshness":
             df = freshness(spark, layout)
         else:
-            df = spark.read.schema(QUARANTINE_DDL).parquet(layout.quarantine).groupBy(
+            df = read_quarantine(spark, layout).groupBy(
                 "reason", "namespace", "type").count()
         _print_all(df)
     elif args.cmd == "read":

@@ -90,6 +90,13 @@ R_COERCION = "coercion_failed"           # Q4
 R_COMMIT_GUARD = "commit_guard"          # Q3 / B13
 
 
+def escaped(value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return re.sub(r"""[\x00-\x1f\x7f"#%'*/:=?\\{}\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
+
+
 class Layout:
     """Directory layout of one lakehouse root (see README)."""
 
@@ -100,8 +107,16 @@ class Layout:
         """A table's own folder: several tables may share a bucket."""
         return f"{self.root}/{spec.bucket_name}/{spec.namespace}/{spec.table_name}"
 
-    def staged(self, spec) -> str:
-        return f"{self.table(spec)}/staged"
+    @property
+    def landing(self) -> str:
+        """What ingest writes, accepted rows and rejected ones, in one pass."""
+        return f"{self.root}/landing"
+
+    def staged(self, spec, batch_id: str | None = None) -> str:
+        """Staged rows of a table, or of one batch of it."""
+        parts = [("outcome", "accepted"), ("to_bucket", spec.bucket_name or ""), ("to_namespace", spec.namespace), ("to_table", spec.table_name)]
+        parts += [("batch_id", batch_id)] if batch_id is not None else []
+        return "/".join([self.landing, *(f"{k}={escaped(v)}" for k, v in parts)])
 
     def data(self, spec) -> str:
         return f"{self.table(spec)}/data"
@@ -121,7 +136,7 @@ class Layout:
 
     @property
     def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
+        return f"{self.landing}/outcome=rejected/to_bucket=-/to_namespace=-/to_table=-"
 
     @property
     def registry(self) -> str:

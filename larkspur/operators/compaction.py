@@ -15,19 +15,24 @@ import hashlib
 from datetime import datetime, timezone
 import logging
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.contract import R_COMMIT_GUARD, Layout, Settings
 from larkspur.functions.times import event_date
 from larkspur.operators.publish import guard_reason, read_ledger, settled_batches, write_ledger_row, write_rejected
 from larkspur.operators.staging import read_manifest, read_staged
-from larkspur.sources.catalog import TableSpec
+from larkspur.sources import storage
+from larkspur.sources.catalog import POSITION, TableSpec
 
 log = logging.getLogger(__name__)
 
+#: Tables that are merged beside each other.
+MERGES_AT_ONCE = 8
+
 
 def valid_manifest(manifest: DataFrame) -> DataFrame:
     """Drop rows with a blank namespace, type or location."""
@@ -110,40 +115,34 @@ class MergeError(RuntimeError):
 
 def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_row, merge_seq: int,
                 settings: Settings) -> MergeResult:
-    """Merge the pending files of one table and commit them."""
+    """Merge the pending files of one table and commit them. What the ledger
+    says of the merge is observed while it is written; nothing is read again."""
     batches = list(summary_row["child_batches"])
     merge_id = merge_id_of(spec.namespace, spec.table_name, batches)
-    staged = read_staged(spark, spec, layout, batches, must_exist=True)
+    staged = read_staged(spark, spec, layout, batches)
     rows = with_partition_columns(staged.drop("batch_id", "_metadata"), spec)
     total_bytes = int(summary_row["length"] or 0)
     total_rows = int(summary_row["total_records"] or 0)
     n_out = max(1, math.ceil(total_bytes / settings.target_file_bytes), math.ceil(total_rows / settings.target_file_rows))
     # Range partitioning on (date, time, id) splits one hot day, and even one
     # hot second, over several tasks, and leaves every file sorted by
-    # event_time, so min/max statistics skip row groups on time filters.
+    # event_time, so min/max statistics skip row groups on time filters. One
+    # file needs no ranges, and so no sample of the rows.
     order = [*spec.partition_columns, "event_time", "event_id"]
-    out = rows.repartitionByRange(n_out, *order).sortWithinPartitions(*order)
+    out = (rows.coalesce(1) if n_out == 1 else rows.repartitionByRange(n_out, *order)).sortWithinPartitions(*order)
     target = f"{layout.data(spec)}/merge_id={merge_id}"
-    out.select(*spec.to_physical(), *spec.partition_columns).write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(target)
-    stats = (
-        spark.read.schema(spec.physical()).parquet(target)
-        .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
-                "load_time", "event_time")
-        .groupBy("p")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"), F.max("load_time").alias("l"),
-             F.min("event_time").alias("t0"), F.max("event_time").alias("t1"))
-        .agg(F.sum("n").cast("bigint").alias("total_records"), F.sum("s").cast("bigint").alias("length"),
-             F.count(F.lit(1)).alias("files"), F.max("l").alias("l"), F.min("t0").alias("t0"),
-             F.max("t1").alias("t1"))
-        .select("*", F.lit(spec.table_name).alias("type"), F.lit(target).alias("location"))
-    )
-    written = stats.select("*", guard_reason().alias("why")).first()
-    if int(written["total_records"] or 0) != total_rows:
-        raise RuntimeError(f"merge {merge_id} wrote {written['total_records']} rows of {total_rows} staged ones")
+    seen = Observation()
+    out = out.observe(seen, F.count(F.lit(1)).alias("n"), F.max("load_time").alias("l"), F.min("event_time").alias("t0"), F.max("event_time").alias("t1"))
+    position = [f.name for f in POSITION.fields]
+    out.select(*spec.to_physical(), *position, *spec.partition_columns).write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(target)
+    found = seen.get
+    n_files, length = storage.size_of(spark, target)
+    total = int(found["n"] or 0)
+    if total != total_rows:
+        raise RuntimeError(f"merge {merge_id} wrote {total} rows of {total_rows} staged ones")
+    facts = spark.createDataFrame([(total, length, spec.table_name, target)], "total_records long, length long, type string, location string")
+    why = facts.select(guard_reason().alias("why")).first()["why"]
     single = int(summary_row["n_files"]) == 1
-    # the files of the batches of this one commit, a bounded number
-    mine = read_manifest(spark, layout).where((F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("batch_id").isin(batches))
-    child_items = [] if single else sorted(r["location"] for r in mine.select("location").collect())
     row = {
         "namespace": spec.namespace,
         "type": spec.table_name,
@@ -151,63 +150,72 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
         "merge_seq": merge_seq,
         "committed_at": None,
         "schema_version": spec.version,
-        "total_records": int(written["total_records"] or 0),
-        "length": int(written["length"] or 0),
-        # A single staged file passes through unchanged, without children
-        "child_items": None if single else child_items,
+        "total_records": total,
+        "length": length,
+        # A single staged unit passes through unchanged, without children
+        "child_items": None if single else [layout.staged(spec, b) for b in batches],
         "child_batches": batches,
-        "max_load_time": written["l"],
-        "min_event_time": written["t0"],
-        "max_event_time": written["t1"],
+        "max_load_time": found["l"],
+        "min_event_time": found["t0"],
+        "max_event_time": found["t1"],
     }
     now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-    if written["why"] is not None:
-        log.error("merge %s of %s|%s refused: %s", merge_id, spec.namespace, spec.table_name, written["why"])
+    if why is not None:
+        log.error("merge %s of %s|%s refused: %s", merge_id, spec.namespace, spec.table_name, why)
         write_rejected(spark, layout, {
             "namespace": spec.namespace, "type": spec.table_name, "merge_id": merge_id, "rejected_at": now,
-            "reason": f"{R_COMMIT_GUARD}: {written['why']}", "total_records": row["total_records"], "length": row["length"], "child_batches": batches})
+            "reason": f"{R_COMMIT_GUARD}: {why}", "total_records": total, "length": length, "child_batches": batches})
     else:
         # another writer may have committed some of these batches meanwhile
-        done = settled_batches(spark, layout).where((F.col("namespace") == spec.namespace) & (F.col("type") == spec.table_name) & F.col("batch_id").isin(batches))
         led = read_ledger(spark, layout, spec.namespace, spec.table_name)
-        if not led.where(F.col("merge_id") == merge_id).isEmpty() or done.isEmpty():
-            row["committed_at"] = now
-            write_ledger_row(spark, layout, row)
-        else:
+        done = led.where((F.col("merge_id") != merge_id) & F.arrays_overlap("child_batches", F.array(*map(F.lit, batches))))
+        if not done.isEmpty():
             raise RuntimeError(f"batches of merge {merge_id} were committed by another writer")
-    guard = written["why"] is None
-    return MergeResult(spec.namespace, spec.table_name, merge_id, merge_seq, row["total_records"],
-                       row["length"], int(written["files"] or 0), bool(guard))
+        row["committed_at"] = now
+        write_ledger_row(spark, layout, row)
+    return MergeResult(spec.namespace, spec.table_name, merge_id, merge_seq, total, length, n_files, why is None)
 
 
-def merge_pending(spark: SparkSession, layout: Layout, specs: list[TableSpec],
-                  settings: Settings | None = None) -> list[MergeResult]:
-    """Merge and commit every table with pending staged files.
+def merge_all(spark: SparkSession, layout: Layout, specs: list[TableSpec], plans: list[dict], settings: Settings) -> list[MergeResult]:
+    """Make the planned merges, those of different tables beside each other.
 
     Tables are independent (G9): a failing table is logged, stays pending
     and the error is raised after the others are done.
     """
-    settings = settings or Settings()
     by_key = {(s.namespace, s.table_name): s for s in specs}
-    summary = plan_merges(merge_summary(pending_manifest(spark, layout)).collect(),
-                          settings.max_batches_per_merge)
-    if not summary:
-        return []
     last = read_ledger(spark, layout).agg(F.max("merge_seq").alias("m")).first()["m"]
-    seq = int(last or 0)
-    results, errors = [], []
-    for r in summary:
+    todo: dict = {}
+    for r in plans:
         spec = by_key.get((r["namespace"], r["type"]))
         if spec is None:
             log.warning("no live table for %s|%s; files stay pending", r["namespace"], r["type"])
             continue
-        seq += 1
-        try:
-            results.append(merge_table(spark, layout, spec, r, seq, settings))
-        except Exception as e:  # noqa: BLE001 - isolate tables, re-raise below
-            log.error("merge of %s|%s failed: %s", r["namespace"], r["type"], e)
-            errors.append((r["namespace"], r["type"], e))
-            seq -= 1
+        todo.setdefault(spec, []).append((int(last or 0) + 1 + sum(map(len, todo.values())), r))
+
+    def one_table(spec: TableSpec) -> tuple[list, list]:
+        done: list = []
+        for seq, r in todo[spec]:
+            try:
+                done.append(merge_table(spark, layout, spec, r, seq, settings))
+            except Exception as e:  # noqa: BLE001 - isolate tables, re-raise below
+                log.error("merge of %s|%s failed: %s", r["namespace"], r["type"], e)
+                return done, [(r["namespace"], r["type"], e)]
+        return done, []
+
+    if not todo:
+        return []
+    with ThreadPoolExecutor(max_workers=min(MERGES_AT_ONCE, len(todo))) as pool:
+        found = list(pool.map(one_table, todo))
+    results = sorted((r for done, _ in found for r in done), key=lambda r: r.merge_seq)
+    errors = [e for _, bad in found for e in bad]
     if errors:
         raise MergeError(errors)
     return results
+
+
+def merge_pending(spark: SparkSession, layout: Layout, specs: list[TableSpec],
+                  settings: Settings | None = None) -> list[MergeResult]:
+    """Merge and commit every table with pending staged files."""
+    settings = settings or Settings()
+    plans = plan_merges(merge_summary(pending_manifest(spark, layout)).collect(), settings.max_batches_per_merge)
+    return merge_all(spark, layout, specs, plans, settings)

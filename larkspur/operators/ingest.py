@@ -1,24 +1,25 @@
-"""One ingest step: raw records -> staged files + manifest + quarantine.
+"""One ingest step: raw records -> landed files + manifest + quarantine.
 
 This is the body of the streaming ``foreachBatch`` and also the batch entry
 point (many batches at once, told apart by a ``batch_id`` column). The work
-is: decode (A2) -> validate and route (B1-B3, J1) -> per table: typed
-projection (B10, C*) and staged write (A5) -> quarantine (Q1-Q5) -> manifest
-(A6, D5). The routed batch is persisted once and read by each table write.
+is one narrow pass: decode (A2) -> validate and route (B1-B3, J1) -> typed rows
+of all tables (B10, C*) -> one partitioned write of accepted and rejected rows
+(A5, Q1-Q5), counted while written (D5) -> manifest (A6). Nothing is cached and
+nothing landed is read again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.contract import Layout, Settings
-from larkspur.operators.project import project_typed, table_rows
-from larkspur.operators.staging import clear_batches, overwrite_partitions, stage_rows, staged_files, write_manifest
+from larkspur.operators.project import project_tables
+from larkspur.operators.staging import OBSERVED, land, publish_landed
 from larkspur.operators.validate import route
+from larkspur.sources import storage
 from larkspur.sources.catalog import TableSpec
 from larkspur.sources.envelope import decode_envelope
 
@@ -35,52 +36,21 @@ def batch_ids_by_offset(raw: DataFrame, epoch: str, offsets_per_batch: int) -> D
     return raw.withColumn("batch_id", F.concat(F.lit(f"{epoch}-"), F.lpad(n, 10, "0")))
 
 
-def quarantine_rows(routed: DataFrame, typed_by_table: list[DataFrame]) -> DataFrame:
-    early = routed.where(F.col("reason").isNotNull()).select(
-        "reason", F.lit(None).cast("string").alias("detail"), "namespace", "type",
-        "source_partition", "source_offset", "value", "batch_id",
-    )
-    out = early
-    for t in typed_by_table:
-        out = out.unionByName(
-            t.where(F.col("reason").isNotNull()).select(
-                "reason", "detail", "namespace", "type", "source_partition", "source_offset", "value", "batch_id"
-            )
-        )
-    return out
-
-
 def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec],
-           settings: Settings | None = None, load_time: Column | None = None) -> IngestReport:
-    """Stage every batch present in ``raw`` (which must have ``batch_id``)."""
+           settings: Settings | None = None, load_time: Column | None = None, batch_ids: list[str] | None = None) -> IngestReport:
+    """Land every batch present in ``raw`` (which must have ``batch_id``).
+    ``batch_ids`` spares the scan of that column where they are known."""
     settings = settings or Settings()
     layout = Layout(root)
-    routed = route(decode_envelope(raw), specs).persist(StorageLevel.MEMORY_AND_DISK)
-    typed_all: list[DataFrame] = []
-    try:
-        # which batches this input holds, and which registered tables (names
-        # that events merely claim never reach the driver)
-        batch_ids = sorted(r["batch_id"] for r in routed.select("batch_id").distinct().collect())
-        present = routed.where(F.col("reason").isNull()).select("namespace", "type").distinct()
-        present_keys = {(r["namespace"], r["type"]) for r in present.collect()}
-        clear_batches(spark, layout, specs, batch_ids)
-        active = [s for s in specs if (s.namespace, s.table_name) in present_keys]
-        for spec in active:
-            # coerced once, read twice (staged rows, then quarantined rows)
-            typed = project_typed(routed, spec, load_time).persist(StorageLevel.MEMORY_AND_DISK)
-            typed_all.append(typed)
-            stage_rows(table_rows(typed, spec), spec, layout, settings.max_buffer_records)
-        q = quarantine_rows(routed, typed_all)
-        overwrite_partitions(q, layout.quarantine, ["batch_id"])
-        # from the files that exist: a table whose rows all failed has none
-        manifests = [m for spec in active if (m := staged_files(spark, spec, layout, batch_ids)) is not None]
-        if manifests:
-            m = manifests[0]
-            for other in manifests[1:]:
-                m = m.unionByName(other)
-            write_manifest(m, layout)
-        return IngestReport(batch_ids, [(s.namespace, s.table_name) for s in active])
-    finally:
-        for t in typed_all:
-            t.unpersist()
-        routed.unpersist()
+    if batch_ids is None:
+        batch_ids = sorted(r["batch_id"] for r in raw.select("batch_id").distinct().collect())
+    storage.make_dirs(spark, layout.quarantine)
+    # a part at a time, so that what one write counts is bounded
+    size, tables = max(1, OBSERVED // (len(specs) + 1)), set()
+    for k in range(0, len(batch_ids), size):
+        some = batch_ids[k : k + size]
+        part = raw if len(some) == len(batch_ids) else raw.where(F.col("batch_id").isin(some))
+        counts = land(project_tables(route(decode_envelope(part), specs), specs, load_time), specs, layout, some, settings.max_buffer_records)
+        publish_landed(spark, specs, layout, some, counts)
+        tables |= {i for (i, _), n in counts.items() if n and i >= 0}
+    return IngestReport(batch_ids, [(specs[i].namespace, specs[i].table_name) for i in sorted(tables)])

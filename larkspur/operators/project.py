@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from larkspur.contract import COMMON_FIELDS, R_COERCION
 from larkspur.functions.coerce import attribute, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.functions.ids import event_ulid
-from larkspur.sources.catalog import TableSpec, quoted
+from larkspur.sources.catalog import TableSpec, physical_name, quoted
 
 
 def _product_fields(spec: TableSpec):
@@ -116,6 +116,58 @@ def table_rows(typed: DataFrame, spec: TableSpec) -> DataFrame:
                                                         *[c for c in ("batch_id",) if c in typed.columns])
 
 
+@lru_cache(maxsize=64)
+def _shared_columns(app_id: str, specs: tuple[TableSpec, ...]):
+    """Columns of the one pass over all tables: attributes (each name once),
+    their kind and text, typed values (each name and type once), failures."""
+    names = sorted({name for s in specs for _, name, _ in _product_fields(s)})
+    at = {name: j for j, name in enumerate(names)}
+    pairs = sorted({(name, dt) for s in specs for _, name, dt in _product_fields(s)})
+    pair = {p: m for m, p in enumerate(pairs)}
+    of = {name: [i for i, s in enumerate(specs) if name in s.field_names] for name in names}
+    attributes = [F.when(F.col("_table").isin(of[name]), attribute("attributes", name)).alias(f"_a{j}") for j, name in enumerate(names)]
+    kinds = [c for j in range(len(names)) for c in (F.expr(kind_sql(f"_a{j}")).alias(f"_k{j}"), F.expr(text_sql(f"_a{j}")).alias(f"_t{j}"))]
+    typed = [F.expr(value_sql(f"_a{at[n]}", dt, f"_k{at[n]}", f"_t{at[n]}")).alias(f"_v{m}") for m, (n, dt) in enumerate(pairs)]
+    failed = None
+    for i, s in enumerate(specs):
+        parts = [f"CASE WHEN {failed_sql(f'_k{at[n]}', f'_v{pair[n, dt]}')} THEN {_text(n)} END" for _, n, dt in _product_fields(s)]
+        own = F.expr(f"concat_ws(',', {', '.join(parts)})") if parts else F.lit("")
+        failed = F.when(F.col("_table") == i, own) if failed is None else failed.when(F.col("_table") == i, own)
+    return attributes, kinds, typed, failed, pair
+
+
+def project_tables(events: DataFrame, specs: list[TableSpec], load_time: Column | None = None) -> DataFrame:
+    """Every event in one pass: ``_table`` (its table's place in ``specs``, null
+    if it has none), ``reason`` and ``detail`` (also of values that did not
+    convert), the record's own columns, and for each table a struct that holds
+    the row as it is stored, null unless the event is accepted for it."""
+    load_time = F.localtimestamp() if load_time is None else load_time
+    attributes, kinds, typed, failed, pair = _shared_columns(events.sparkSession.sparkContext.applicationId, tuple(specs))
+    table = None
+    for i, s in enumerate(specs):
+        mine = (F.col("namespace") == s.namespace) & (F.col("type") == s.table_name) & F.col("reason").isNull()
+        table = F.when(mine, F.lit(i)) if table is None else table.when(mine, F.lit(i))
+    log_name = F.col("source_name") if "source_name" in events.columns else F.lit(None).cast("string")
+    carry = ["namespace", "type", "source_partition", "source_offset", "value", "batch_id", "reason", "tenant_id", "event_time", "log_name"]
+    rows = events.withColumn("log_name", log_name).withColumn("_table", F.lit(None).cast("int") if table is None else table)
+    rows = rows.select("_table", *carry, *attributes).select("*", *kinds).select("_table", *carry, *(f"_k{j}" for j in range(len(attributes))), *typed)
+    rows = rows.select("*", (F.lit(None).cast("string") if failed is None else failed).alias("_failed"))
+    bad = F.coalesce(F.col("_failed") != "", F.lit(False))
+    seed = [F.col(c) for c in (("log_name",) if "source_name" in events.columns else ()) + ("source_partition", "source_offset")]
+    rows = rows.select("*", F.when(F.col("_table").isNotNull() & ~bad, event_ulid(F.col("event_time"), *seed)).alias("event_id"))
+    structs = []
+    for i, s in enumerate(specs):
+        values = {n: F.col(f"_v{pair[n, dt]}") for _, n, dt in _product_fields(s)}
+        product = [values.get(n, F.lit(None)).alias(physical_name(k)) for k, n, _ in s.fields]
+        own = F.struct("event_id", "tenant_id", load_time.cast("timestamp_ntz").alias("load_time"), "event_time", *product,
+                       "log_name", F.col("source_partition").alias("log_partition"), F.col("source_offset").alias("log_offset"))
+        structs.append(F.when(F.col("event_id").isNotNull() & (F.col("_table") == i), own).alias(s.row_name))
+    return rows.select(
+        "_table", *carry[:6], F.when(bad, F.lit(R_COERCION)).otherwise(F.col("reason")).alias("reason"),
+        F.when(bad, F.col("_failed")).alias("detail"), *structs,
+    )
+
+
 def unknown_attributes(events: DataFrame, declared: DataFrame) -> DataFrame:
     """Attribute keys that no declared column picks up.
 

@@ -1,11 +1,12 @@
-"""Staged Parquet writes and their manifest.
+"""Landed Parquet files and their manifest.
 
-Rows of one table and one batch are written below
-``{root}/{bucket}/{namespace}/{table}/staged/batch_id=<id>/``. A batch that is
-written again first loses all it wrote before, in every table, the manifest
-and the quarantine, so a replay under another schema leaves no stale rows. The
-manifest (one row per staged file: records and bytes, read back from the
-files) goes to ``{root}/manifest/batch_id=<id>/``.
+One write lands a whole input: the rows of every table, each as a struct of its
+own, and the rejected records, in folders by outcome, bucket, namespace, table
+and batch. Rows are counted while they are written; sizes come from the store's
+listing; so no landed file is read again. A batch that is written again
+replaces its folders, and those that the new attempt does not fill go, so a
+replay under another schema leaves no stale rows. The manifest (one row per
+table and batch) is written last, to ``{root}/manifest/batch_id=<id>/``.
 
 Files name columns by field id (see ``TableSpec.physical``), so a column that
 was dropped and declared again does not show what it held before.
@@ -13,13 +14,20 @@ was dropped and declared again does not show what it held before.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections import defaultdict
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larkspur.contract import MANIFEST_DDL, Layout
+from larkspur.contract import MANIFEST_DDL, QUARANTINE_DDL, Layout, escaped
 from larkspur.sources import storage
 from larkspur.sources.catalog import TableSpec
 
+#: Counts that one write observes, at most; a longer backlog is landed in parts.
+OBSERVED = 400
+REJECTED = -1
+
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_records: int | None = None) -> None:
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -28,61 +36,85 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_
     w.partitionBy(*partition_by).parquet(path)
 
 
-def clear_batches(spark: SparkSession, layout: Layout, specs: list[TableSpec], batch_ids: list[str]) -> None:
-    """Remove whatever an earlier attempt at these batches wrote."""
-    for b in batch_ids:
-        for base in (layout.manifest, layout.quarantine, *(layout.staged(s) for s in specs)):
-            storage.delete(spark, f"{base}/batch_id={b}")
-
-
-def stage_rows(rows: DataFrame, spec: TableSpec, layout: Layout, max_records: int) -> None:
-    """A5: write accepted rows (table columns + ``batch_id``).
+def land(events: DataFrame, specs: list[TableSpec], layout: Layout, batch_ids: list[str], max_records: int) -> dict:
+    """A5: write the rows of ``project_tables`` in one pass and return how many
+    each (table's place, batch) got; REJECTED is the quarantine's place.
 
     No file is written for a batch without rows (B14). Files hold at most
-    ``max_records`` rows, the count bound of an event group.
-    """
-    physical = rows.select(*spec.to_physical(), "batch_id")
-    overwrite_partitions(physical, layout.staged(spec), ["batch_id"], max_records)
+    ``max_records`` rows, the count bound of an event group."""
+    to = {"to_bucket": F.lit("-"), "to_namespace": F.lit("-"), "to_table": F.lit("-")}
+    accepted = F.col("reason").isNull()
+    for i, s in enumerate(specs):
+        mine = accepted & (F.col("_table") == i)
+        for name, value in (("to_bucket", s.bucket_name), ("to_namespace", s.namespace), ("to_table", s.table_name)):
+            to[name] = F.when(mine, F.lit(value)).otherwise(to[name])
+    place = F.when(accepted, F.col("_table")).otherwise(F.lit(REJECTED))
+    rejected = [F.when(~accepted, F.col(c)).alias(c) for c in ("reason", "detail", "namespace", "type", "source_partition", "source_offset", "value")]
+    keys = [(i, b) for b in batch_ids for i in (REJECTED, *range(len(specs)))]
+    counts = [F.count_if((F.col("_place") == i) & (F.col("batch_id") == b)).alias(f"n{k}") for k, (i, b) in enumerate(keys)]
+    rows = events.withColumn("_place", place).where("_place is not null")
+    seen = Observation()
+    rows = rows.observe(seen, *counts).select(
+        *rejected, *(s.row_name for s in specs), F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")).alias("outcome"),
+        *(c.alias(n) for n, c in to.items()), "batch_id")
+    overwrite_partitions(rows, layout.landing, ["outcome", "to_bucket", "to_namespace", "to_table", "batch_id"], max_records)
+    found = seen.get
+    return {key: int(found[f"n{k}"]) for k, key in enumerate(keys)}
+
+
+def landed_sizes(spark: SparkSession, layout: Layout, batch_ids: list[str]) -> dict[str, int]:
+    """Bytes of each folder of the batches, from the store's listing."""
+    sizes: dict[str, int] = defaultdict(int)
+    for b in batch_ids:
+        for path, size in storage.listed(spark, f"{layout.landing}/*/*/*/*/batch_id={escaped(b)}/*.parquet"):
+            sizes[path.rsplit("/", 1)[0]] += size
+    return sizes
+
+
+def publish_landed(spark: SparkSession, specs: list[TableSpec], layout: Layout, batch_ids: list[str], counts: dict) -> None:
+    """The manifest of what was landed; folders that an earlier attempt
+    at these batches filled and this one did not are removed."""
+    sizes = landed_sizes(spark, layout, batch_ids)
+    wanted, rows = set(), []
+    for (i, b), n in counts.items():
+        if not n:
+            continue
+        path = f"{layout.quarantine}/batch_id={escaped(b)}" if i == REJECTED else layout.staged(specs[i], b)
+        wanted.add(storage.name_of(path))
+        if i != REJECTED:
+            size = next((v for k, v in sizes.items() if storage.name_of(k) == storage.name_of(path)), 0)
+            rows.append((specs[i].namespace, specs[i].table_name, path, n, size, None, b))
+    for path in sizes:
+        if storage.name_of(path) not in wanted:
+            storage.delete(spark, path)
+    for b in set(batch_ids) - {r[-1] for r in rows}:
+        storage.delete(spark, f"{layout.manifest}/batch_id={escaped(b)}")
+    if rows:
+        write_manifest(spark.createDataFrame(rows, MANIFEST_DDL), layout)
+
+
+def landed_schema(spec: TableSpec) -> T.StructType:
+    return T.StructType([T.StructField(spec.row_name, spec.stored()), T.StructField("batch_id", T.StringType())])
+
+
+def staged_rows(spark: SparkSession, spec: TableSpec, layout: Layout, paths: list[str] | None = None) -> DataFrame:
+    """Staged rows as stored (columns by field id, position) with batch_id;
+    only this table's columns are read."""
+    base = layout.staged(spec)
+    rows = spark.read.schema(landed_schema(spec)).option("basePath", base).parquet(*(paths or [base]))
+    return rows.select(f"{spec.row_name}.*", "batch_id", "_metadata")
 
 
-def read_staged(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str],
-                must_exist: bool = False) -> DataFrame:
-    """Staged rows of ``batch_ids`` with the table's current columns.
+def read_staged(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str]) -> DataFrame:
+    """Staged rows of ``batch_ids`` with the table's current columns and their
+    position in the log.
 
-    Only the named ``batch_id=`` directories are read, never the whole staged
-    tree (which grows with every micro-batch). A batch whose rows were all
-    quarantined has none; with ``must_exist`` (batches that the manifest
-    names) a missing directory raises, as does one that cannot be read.
-    """
-    base = layout.staged(spec)
-    paths = [f"{base}/batch_id={b}" for b in batch_ids]
-    if not must_exist:
-        paths = [p for p in paths if storage.exists(spark, p)]
-    if not paths:
-        return spark.createDataFrame([], spec.struct().add("batch_id", "string"))
-    physical = spark.read.schema(spec.physical().add("batch_id", "string")).option("basePath", base).parquet(*paths)
-    return physical.select(*spec.from_physical(), "batch_id", "_metadata")
-
-
-def staged_files(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids: list[str]) -> DataFrame | None:
-    """One manifest row per staged file of ``spec`` in ``batch_ids``, from
-    the files that were written; None if there are none."""
-    df = read_staged(spark, spec, layout, batch_ids)
-    if "_metadata" not in df.columns:
-        return None
-    files = df.select("batch_id", F.col("_metadata.file_path").alias("location"),
-                      F.col("_metadata.file_size").alias("length"))
-    return files.groupBy("batch_id", "location").agg(
-        F.count(F.lit(1)).alias("total_records"), F.max("length").alias("length")
-    ).select(
-        F.lit(spec.namespace).alias("namespace"),
-        F.lit(spec.table_name).alias("type"),
-        "location",
-        F.col("total_records").cast("bigint").alias("total_records"),
-        F.col("length").cast("bigint").alias("length"),
-        F.lit(None).cast("array<string>").alias("child_items"),
-        "batch_id",
-    )
+    Only the named ``batch_id=`` folders are read, never the whole landing
+    tree (which grows with every micro-batch); one that is missing raises."""
+    if not batch_ids:
+        return spark.createDataFrame([], T.StructType([*spec.struct().fields, *spec.stored().fields[-3:], T.StructField("batch_id", T.StringType())]))
+    rows = staged_rows(spark, spec, layout, [layout.staged(spec, b) for b in batch_ids])
+    return rows.select(*spec.from_physical(), *(f.name for f in spec.stored().fields[-3:]), "batch_id", "_metadata")
 
 
 def write_manifest(manifest: DataFrame, layout: Layout) -> None:
@@ -95,3 +127,9 @@ def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
     if not storage.exists(spark, layout.manifest):
         return spark.createDataFrame([], MANIFEST_DDL)
     return spark.read.schema(MANIFEST_DDL).parquet(layout.manifest)
+
+
+def read_quarantine(spark: SparkSession, layout: Layout) -> DataFrame:
+    if not storage.exists(spark, layout.quarantine):
+        return spark.createDataFrame([], QUARANTINE_DDL)
+    return spark.read.schema(QUARANTINE_DDL).parquet(layout.quarantine)

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.contract import QUARANTINE_DDL, R_COERCION, SPARK_TYPES
+from larkspur.contract import R_COERCION, SPARK_TYPES
 from larkspur.functions.coerce import attribute, coerce, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.operators.compaction import pending_manifest_as_of, valid_manifest
 from larkspur.operators.grouping import assign_groups, group_sizes
 from larkspur.operators.project import project_typed, unknown_attributes
 from larkspur.operators.publish import cleanup_candidates, freshness, guard_reason, read_ledger
 from larkspur.operators.read import read_table, register_views
-from larkspur.operators.staging import read_manifest
+from larkspur.operators.staging import read_manifest, read_quarantine, staged_rows
 from larkspur.operators.validate import route
 from larkspur.plans.lake import GROUP_RECORDS, SETTINGS, build_lake, build_readded, build_shared_bucket, raw_batches
 from larkspur.session import work_root
@@ -292,7 +292,7 @@ def q_replay_idempotent(spark, sf_dir):
     lake = build_lake(spark, sf_dir)
     out = None
     for spec in lake.specs:
-        s = spark.read.schema(spec.physical().add("batch_id", "string")).parquet(lake.layout.staged(spec))
+        s = staged_rows(spark, spec, lake.layout)
         s = s.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"))
         s = s.select(F.lit(spec.namespace).alias("namespace"), F.lit(spec.table_name).alias("type"), "*")
         out = s if out is None else out.unionByName(s)
@@ -499,7 +499,7 @@ def q_stream_equals_batch(spark, sf_dir):
 def q_quarantine_report(spark, sf_dir):
     """The quarantine table of the lake, per reason and table."""
     lake = build_lake(spark, sf_dir)
-    q = spark.read.schema(QUARANTINE_DDL).parquet(lake.layout.quarantine)
+    q = read_quarantine(spark, lake.layout)
     return q.groupBy("reason", "namespace", "type").agg(
         F.count(F.lit(1)).alias("n"), F.count("detail").alias("n_detail")
     )

@@ -14,6 +14,7 @@ the driver is bounded by the number of declared columns, never by data.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 from dataclasses import dataclass
@@ -60,6 +61,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Where in its log a committed row stood (F1).
+POSITION = T.StructType([T.StructField("log_name", T.StringType()), T.StructField("log_partition", T.IntegerType()), T.StructField("log_offset", T.LongType())])
+
+
 @dataclass(frozen=True)
 class TableSpec:
     namespace: str
@@ -101,6 +106,16 @@ class TableSpec:
         names = [*COMMON_FIELDS, *(physical_name(i) for i, _, _ in self.fields)]
         return T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, self.struct().fields, strict=True)])
 
+    @property
+    def row_name(self) -> str:
+        """The struct that holds this table's rows in landed files, the same
+        for every version of the table."""
+        return "t_" + hashlib.sha256(f"{self.namespace}|{self.table_name}".encode()).hexdigest()[:12]
+
+    def stored(self) -> T.StructType:
+        """``physical`` and the position in the log that a row came from."""
+        return T.StructType([*self.physical().fields, *POSITION.fields])
+
     def to_physical(self) -> list:
         return [*COMMON_FIELDS, *(F.col(quoted(n)).alias(physical_name(i)) for i, n, _ in self.fields)]
 

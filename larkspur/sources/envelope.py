@@ -58,7 +58,8 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
     # attributes must be an object (or null): text, numbers and arrays have no keys
     shapeless = (
         e["attributes"].isNotNull() & ~F.is_variant_null(e["attributes"])
-        & F.try_variant_get(e["attributes"], "$", "map<string,variant>").isNull()
+        # an object has a struct, whatever its keys; looking for one key builds nothing
+        & F.try_variant_get(e["attributes"], "$", "struct<_:variant>").isNull()
     )
     decodable = ~(value.isNull() | (F.trim(value) == "") | (F.trim(value) == "null")) & e["_corrupt"].isNull()
     return parsed.select(

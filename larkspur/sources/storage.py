@@ -3,6 +3,8 @@ the path, so any store that Spark reaches works. Errors are raised."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -22,6 +24,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def listed(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the files that a glob pattern names."""
+    fs, p = _fs(spark, pattern)
+    return [(f.getPath().toString(), f.getLen()) for f in fs.globStatus(p) or []]
+
+
+def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Data files below a folder, at any depth: their number and bytes."""
+    fs, p = _fs(spark, path)
+    files, found = [], fs.listFiles(p, True)
+    while found.hasNext():
+        f = found.next()
+        if f.getPath().getName().endswith(".parquet"):
+            files.append(f.getLen())
+    return len(files), sum(files)
+
+
+def name_of(path: str) -> str:
+    """A path without its scheme and host, to compare what a listing gives."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

@@ -61,7 +61,8 @@ def make_batch_writer(root: str, checkpoint: str, settings: Settings, merge_ever
             label.append(query_label(spark, checkpoint))
         with _lock(root):
             specs = live_tables(spark, root)
-            ingest(spark, batch.withColumn("batch_id", F.lit(batch_label(label[0], batch_id))), root, specs, settings)
+            name = batch_label(label[0], batch_id)
+            ingest(spark, batch.withColumn("batch_id", F.lit(name)), root, specs, settings, batch_ids=[name])
         if merge_every_batch:
             merge_now(spark, root, settings)
 
