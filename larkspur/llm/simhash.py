@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,9 +64,9 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter((hash_(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
-    """doc_id and fp, the fingerprint's 64 bits as a long; with row_col, a long
-    that numbers rows, also digest, the text's SHA-256 (null is empty), and row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None, row_type: str = "bigint") -> DataFrame:
+    """doc_id and fp, the fingerprint's 64 bits as a long; with row_col, which
+    tells rows apart, also digest, the text's SHA-256 (null is empty), and row."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -79,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
         return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
     ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(row_col).alias("row"))
-    return rows.mapInArrow(run, "doc_id long, fp long, digest string, row long")
+    return rows.mapInArrow(run, f"doc_id long, fp long, digest string, row {row_type}")
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -204,22 +205,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return found.join(saved(classes, "simhash-components"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows with a column ``name`` that tells each from all others, and its
+    type: the file and place of rows read from Parquet as they are, else a
+    number given while the rows are written once."""
+    try:
+        return docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(name)), "struct<file_path: string, row_index: bigint>"
+    except AnalysisException:  # no plain scan of files
+        return saved(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), "bigint"
+
+
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates, with its own columns: the
     least by doc_id (none comes last), then by the text's digest; of rows equal
     in both, the first. Groups are of texts, whatever their ids: unrelated texts
     that share an id stay, and copies without an id keep one. Columns may have
-    any name and type: rows are numbered, chosen in a narrow table, and the
-    texts travel once, to meet the chosen numbers."""
+    any name and type: rows are told apart by where they stand, chosen in a
+    narrow table, and the texts travel once, to meet the chosen places."""
     number = "row"
     while number in {c.lower() for c in docs.columns}:
         number += "_"
-    rows = saved(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    found = saved(fingerprints(rows, row_col=number), "simhash")
+    rows, kind = numbered(docs, number)
+    found = saved(fingerprints(rows, row_col=number, row_type=kind), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "row"))
     classes = saved(found.groupBy("fp").agg(first.alias("first")), "simhash-classes")
     # a class's node is its fingerprint, since two classes may have the same least id
     node = components(links(classes.select("fp", F.col("fp").alias("id")), MAX_BITS))
     classes = classes.join(node, classes["fp"] == node["node"], "left").select(F.coalesce("component", "fp").alias("group"), "first")
     kept = classes.groupBy("group").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number))
-    return rows.join(saved(kept, "kept-rows"), number, "left_semi").drop(number)
+    # most rows are kept, so the chosen places grow with the documents: never a broadcast
+    return rows.join(saved(kept, "kept-rows").hint("merge"), number, "left_semi").drop(number)
