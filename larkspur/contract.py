@@ -70,7 +70,8 @@ LEDGER_DDL = (
 
 QUARANTINE_DDL = (
     "reason string, detail string, namespace string, type string, "
-    "source_partition int, source_offset bigint, value string, batch_id string"
+    "source_partition int, source_offset bigint, value string, key string, source_ts timestamp_ntz, "
+    "log_name string, attempts int, batch_id string"
 )
 
 CATALOG_FILE_DDL = (

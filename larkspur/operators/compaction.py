@@ -114,7 +114,7 @@ class MergeError(RuntimeError):
 
 
 def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_row, merge_seq: int,
-                settings: Settings) -> MergeResult:
+                settings: Settings, others_write: bool = True) -> MergeResult:
     """Merge the pending files of one table and commit them. What the ledger
     says of the merge is observed while it is written; nothing is read again."""
     batches = list(summary_row["child_batches"])
@@ -126,10 +126,11 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     n_out = max(1, math.ceil(total_bytes / settings.target_file_bytes), math.ceil(total_rows / settings.target_file_rows))
     # Range partitioning on (date, time, id) splits one hot day, and even one
     # hot second, over several tasks, and leaves every file sorted by
-    # event_time, so min/max statistics skip row groups on time filters. One
-    # file needs no ranges, and so no sample of the rows.
+    # event_time, so min/max statistics skip row groups on time filters. Rows
+    # for one file a folder need no ranges, and so no sample: folders are dealt.
     order = [*spec.partition_columns, "event_time", "event_id"]
-    out = (rows.coalesce(1) if n_out == 1 else rows.repartitionByRange(n_out, *order)).sortWithinPartitions(*order)
+    writers = min(32, spark.sparkContext.defaultParallelism)
+    out = (rows.repartition(writers, *spec.partition_columns) if n_out == 1 else rows.repartitionByRange(n_out, *order)).sortWithinPartitions(*order)
     target = f"{layout.data(spec)}/merge_id={merge_id}"
     seen = Observation()
     out = out.observe(seen, F.count(F.lit(1)).alias("n"), F.max("load_time").alias("l"), F.min("event_time").alias("t0"), F.max("event_time").alias("t1"))
@@ -166,37 +167,44 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
             "namespace": spec.namespace, "type": spec.table_name, "merge_id": merge_id, "rejected_at": now,
             "reason": f"{R_COMMIT_GUARD}: {why}", "total_records": total, "length": length, "child_batches": batches})
     else:
-        # another writer may have committed some of these batches meanwhile
-        led = read_ledger(spark, layout, spec.namespace, spec.table_name)
-        done = led.where((F.col("merge_id") != merge_id) & F.arrays_overlap("child_batches", F.array(*map(F.lit, batches))))
-        if not done.isEmpty():
-            raise RuntimeError(f"batches of merge {merge_id} were committed by another writer")
+        if others_write:  # and may have committed some of these batches meanwhile
+            led = read_ledger(spark, layout, spec.namespace, spec.table_name)
+            done = led.where((F.col("merge_id") != merge_id) & F.arrays_overlap("child_batches", F.array(*map(F.lit, batches))))
+            if not done.isEmpty():
+                raise RuntimeError(f"batches of merge {merge_id} were committed by another writer")
         row["committed_at"] = now
         write_ledger_row(spark, layout, row)
     return MergeResult(spec.namespace, spec.table_name, merge_id, merge_seq, total, length, n_files, why is None)
 
 
-def merge_all(spark: SparkSession, layout: Layout, specs: list[TableSpec], plans: list[dict], settings: Settings) -> list[MergeResult]:
+def merge_all(spark: SparkSession, layout: Layout, specs: list[TableSpec], plans: list[dict], settings: Settings,
+              first_seq: int | None = None) -> list[MergeResult]:
     """Make the planned merges, those of different tables beside each other.
+    ``first_seq`` is given by a caller that alone hands out batches, each once;
+    otherwise the ledger is asked for the next number and for other writers.
 
     Tables are independent (G9): a failing table is logged, stays pending
     and the error is raised after the others are done.
     """
     by_key = {(s.namespace, s.table_name): s for s in specs}
-    last = read_ledger(spark, layout).agg(F.max("merge_seq").alias("m")).first()["m"]
+    if first_seq is None:
+        last = read_ledger(spark, layout).agg(F.max("merge_seq").alias("m")).first()["m"] if plans else 0
+        next_seq = int(last or 0) + 1
+    else:
+        next_seq = first_seq
     todo: dict = {}
     for r in plans:
         spec = by_key.get((r["namespace"], r["type"]))
         if spec is None:
             log.warning("no live table for %s|%s; files stay pending", r["namespace"], r["type"])
             continue
-        todo.setdefault(spec, []).append((int(last or 0) + 1 + sum(map(len, todo.values())), r))
+        todo.setdefault(spec, []).append((next_seq + sum(map(len, todo.values())), r))
 
     def one_table(spec: TableSpec) -> tuple[list, list]:
         done: list = []
         for seq, r in todo[spec]:
             try:
-                done.append(merge_table(spark, layout, spec, r, seq, settings))
+                done.append(merge_table(spark, layout, spec, r, seq, settings, *([False] if first_seq is not None else [])))
             except Exception as e:  # noqa: BLE001 - isolate tables, re-raise below
                 log.error("merge of %s|%s failed: %s", r["namespace"], r["type"], e)
                 return done, [(r["namespace"], r["type"], e)]

@@ -148,8 +148,9 @@ def project_tables(events: DataFrame, specs: list[TableSpec], load_time: Column
         mine = (F.col("namespace") == s.namespace) & (F.col("type") == s.table_name) & F.col("reason").isNull()
         table = F.when(mine, F.lit(i)) if table is None else table.when(mine, F.lit(i))
     log_name = F.col("source_name") if "source_name" in events.columns else F.lit(None).cast("string")
-    carry = ["namespace", "type", "source_partition", "source_offset", "value", "batch_id", "reason", "tenant_id", "event_time", "log_name"]
-    rows = events.withColumn("log_name", log_name).withColumn("_table", F.lit(None).cast("int") if table is None else table)
+    carry = ["namespace", "type", "source_partition", "source_offset", "value", "key", "source_ts", "batch_id", "attempts", "reason", "tenant_id", "event_time", "log_name"]
+    attempts = F.col("attempts") if "attempts" in events.columns else F.lit(0)
+    rows = events.withColumn("log_name", log_name).withColumn("attempts", attempts).withColumn("_table", F.lit(None).cast("int") if table is None else table)
     rows = rows.select("_table", *carry, *attributes).select("*", *kinds).select("_table", *carry, *(f"_k{j}" for j in range(len(attributes))), *typed)
     rows = rows.select("*", (F.lit(None).cast("string") if failed is None else failed).alias("_failed"))
     bad = F.coalesce(F.col("_failed") != "", F.lit(False))
@@ -163,25 +164,26 @@ def project_tables(events: DataFrame, specs: list[TableSpec], load_time: Column
                        "log_name", F.col("source_partition").alias("log_partition"), F.col("source_offset").alias("log_offset"))
         structs.append(F.when(F.col("event_id").isNotNull() & (F.col("_table") == i), own).alias(s.row_name))
     return rows.select(
-        "_table", *carry[:6], F.when(bad, F.lit(R_COERCION)).otherwise(F.col("reason")).alias("reason"),
+        "_table", *carry[:9], "log_name", F.when(bad, F.lit(R_COERCION)).otherwise(F.col("reason")).alias("reason"),
         F.when(bad, F.col("_failed")).alias("detail"), *structs,
     )
 
 
 def unknown_attributes(events: DataFrame, declared: DataFrame) -> DataFrame:
-    """Attribute keys that no declared column picks up.
-
-    ``declared`` has (namespace, table_name, name). Returns one row per
-    (event, unknown key): namespace, type, attribute.
-    """
-    keys = events.select(
-        "namespace", "type",
-        F.explode(F.json_object_keys(F.to_json("attributes"))).alias("attribute"),
-    )
+    """Attributes that no declared column picks up.
+
+    ``declared`` has (namespace, table_name, name). Returns one row per (event,
+    unknown key): namespace, type, attribute, value (VARIANT) and kind, what the
+    value is: text, number, boolean, nested or null."""
+    spark = events.sparkSession
+    rows = events.select("namespace", "type", "attributes")
+    values = rows.lateralJoin(spark.tvf.variant_explode(F.col("attributes").outer())).select("namespace", "type", F.col("key").alias("attribute"), "value")
     # declared columns: one row per catalog field (configuration, not data)
     decl = F.broadcast(declared.select(
         F.col("namespace"), F.col("table_name").alias("type"), F.col("name").alias("attribute")
     ))
-    return keys.join(decl, ["namespace", "type", "attribute"], "left_anti")
-
-
+    kinds = {"ST": "text", "BO": "boolean", "OB": "nested", "AR": "nested", "VO": "null"}
+    kind = F.lit("number")
+    for short, name in kinds.items():
+        kind = F.when(F.left(F.schema_of_variant("value"), F.lit(2)) == short, F.lit(name)).otherwise(kind)
+    return values.join(decl, ["namespace", "type", "attribute"], "left_anti").withColumn("kind", kind)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from larkspur.contract import Layout
 from larkspur.operators.publish import read_ledger
-from larkspur.sources.catalog import TableSpec
+from larkspur.sources.catalog import POSITION, TableSpec
 
 
 def _as_datetime(x) -> datetime | None:
@@ -79,28 +79,30 @@ def overlapping(ledger: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec, start=None, end=None,
-               as_of: int | None = None) -> DataFrame:
+               as_of: int | None = None, positions: bool = False) -> DataFrame:
     """Committed rows of one table, optionally in ``[start, end)`` and as of
     ledger sequence ``as_of`` (time travel, K4).
 
     Merges whose event-time span misses the range are not even listed: the
     ledger keeps each merge's min/max event_time, like a table manifest.
+    ``positions`` adds where each row stood in its log (F1).
     """
     layout = Layout(root)
     led = overlapping(visible_ledger(spark, layout, spec, as_of), start, end)
     ids = [r["merge_id"] for r in led.select("merge_id").collect()]
     schema = table_schema(spec)
+    position = POSITION.fields if positions else []
     if not ids:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([*schema.fields, *position]))
     base = layout.data(spec)
     df = (
-        spark.read.schema(table_schema(spec, physical=True))
+        spark.read.schema(T.StructType([*table_schema(spec, physical=True).fields, *position]))
         .option("basePath", base)
         .parquet(*[f"{base}/merge_id={m}" for m in sorted(ids)])
     )
     if start is not None or end is not None:
         df = df.where(time_predicate(start, end, spec.hourly))
-    return df.select(*spec.from_physical(), *schema.fieldNames()[len(spec.struct().fields):])
+    return df.select(*spec.from_physical(), *schema.fieldNames()[len(spec.struct().fields):], *(f.name for f in position))
 
 
 def view_name(spec: TableSpec) -> str:

@@ -49,7 +49,7 @@ def land(events: DataFrame, specs: list[TableSpec], layout: Layout, batch_ids: l
         for name, value in (("to_bucket", s.bucket_name), ("to_namespace", s.namespace), ("to_table", s.table_name)):
             to[name] = F.when(mine, F.lit(value)).otherwise(to[name])
     place = F.when(accepted, F.col("_table")).otherwise(F.lit(REJECTED))
-    rejected = [F.when(~accepted, F.col(c)).alias(c) for c in ("reason", "detail", "namespace", "type", "source_partition", "source_offset", "value")]
+    rejected = [F.when(~accepted, F.col(c)).alias(c) for c in ("reason", "detail", "namespace", "type", "source_partition", "source_offset", "value", "key", "source_ts", "log_name", "attempts")]
     keys = [(i, b) for b in batch_ids for i in (REJECTED, *range(len(specs)))]
     counts = [F.count_if((F.col("_place") == i) & (F.col("batch_id") == b)).alias(f"n{k}") for k, (i, b) in enumerate(keys)]
     rows = events.withColumn("_place", place).where("_place is not null")

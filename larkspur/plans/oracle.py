@@ -202,21 +202,6 @@ def _fmt(col: str, dt: str) -> str:
     return f"CAST({col} AS VARCHAR)"
 
 
-def _coerce_matrix() -> str:
-    probe_keys = ["count", "total", "ratio", "score", "active", "day", "seen_at", "fault"]
-    types = dict(API_FIELDS)
-    parts = []
-    for key in probe_keys:
-        v, f = _coerce(key, types[key])
-        parts.append(
-            f"SELECT probe_idx, '{key}' AS column_name, '{types[key]}' AS data_type, "
-            f"{_fmt('(' + v + ')', types[key])} AS value_text, CAST({f} AS INTEGER) AS failed "
-            f"FROM routed WHERE status IN ('accepted') AND type = 'page_actions' AND is_probe"
-        )
-    # rows failing tenant checks are excluded on both sides: routed status must be accepted
-    return (" UNION ALL ".join(parts))
-
-
 def _coerce_values() -> str:
     """Each declared attribute of each accepted row of both tables."""
     parts = []
@@ -294,9 +279,45 @@ def oracle_sql() -> dict[str, str]:
             CAST(COALESCE(sum("count"), 0) AS BIGINT) AS sum_count, count(day) AS n_day,
             count(seen_at) AS n_seen_at, count(DISTINCT tenant_id) AS n_tenants
             FROM ok_all GROUP BY 1, 2, 3""",
-        "coerce_matrix": f"""SELECT probe_idx, column_name, data_type, count(*) AS n,
-            CAST(sum(failed) AS BIGINT) AS n_failed, max(value_text) AS value_text
-            FROM ({_coerce_matrix()}) GROUP BY 1, 2, 3""",
+        "coerce_matrix": f"""SELECT namespace, type, column_name, data_type, count(*) AS n,
+            count(CASE WHEN failed THEN 1 END) AS n_failed, count(value_text) AS n_values, count(DISTINCT value_text) AS n_distinct
+            FROM ({_coerce_values()}) GROUP BY 1, 2, 3, 4""",
+        "buffer_groups": f"""SELECT namespace, type, source_partition, group_seq,
+            CASE WHEN group_seq < n // {GROUP_RECORDS} THEN 'count' ELSE 'waiting' END AS closed_by,
+            count(*) AS n_events, min(source_offset) AS first_offset, max(source_offset) AS last_offset FROM (
+              SELECT namespace, type, source_partition, source_offset, count(*) OVER (PARTITION BY namespace, type, source_partition) AS n,
+                CAST((row_number() OVER (PARTITION BY namespace, type, source_partition ORDER BY source_offset) - 1) // {GROUP_RECORDS} AS BIGINT) AS group_seq
+              FROM src WHERE decode_reason IS NULL) GROUP BY namespace, type, source_partition, group_seq, n""",
+        "manifest_stream": f"""SELECT namespace, type, count(DISTINCT CASE WHEN batch_idx < {half} THEN 1 ELSE 2 END) AS n_merges,
+            count(*) AS total_records, count(DISTINCT batch_id) AS n_child_batches FROM ok_all GROUP BY 1, 2""",
+        "catalog_read": """SELECT CAST(event_time AS DATE) AS event_date, count(*) AS n, CAST(COALESCE(sum(k), 0) AS BIGINT) AS sum_k,
+            count(*) AS n_ids FROM ok_api GROUP BY 1""",
+        "sql_between": """SELECT 'page_actions' AS type, CAST(event_time AS DATE) AS event_date, count(*) AS n, CAST(COALESCE(sum(k), 0) AS BIGINT) AS sum_k
+            FROM ok_api WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '2024-01-17 00:00:00' GROUP BY 2
+            UNION ALL SELECT 'alarms', CAST(event_time AS DATE), count(*), CAST(COALESCE(sum(k), 0) AS BIGINT)
+            FROM ok_inc WHERE event_time >= TIMESTAMP '2024-01-10 06:00:00' AND event_time < TIMESTAMP '2024-01-12 18:30:00' GROUP BY 2""",
+        "packed_units": """SELECT namespace, type, batch_id, total_records, CAST(floor(COALESCE(sum(total_records) OVER (
+              PARTITION BY namespace, type ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 3000.0) AS BIGINT) AS pack
+            FROM (SELECT namespace, type, batch_id, count(*) AS total_records FROM ok_all GROUP BY 1, 2, 3)""",
+        "unknown_kinds": f"""SELECT namespace, type, attribute, kind, count(*) AS n FROM (
+            {" UNION ALL ".join(
+                f"SELECT namespace, type, '{k}' AS attribute, CASE json_type(j_{k}) WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' "
+                f"WHEN 'OBJECT' THEN 'nested' WHEN 'ARRAY' THEN 'nested' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind "
+                f"FROM routed WHERE status = 'accepted' AND j_{k} IS NOT NULL "
+                f"AND NOT (type = 'page_actions' AND {k in [n for n, _ in API_FIELDS]}) AND NOT (type = 'alarms' AND {k in [n for n, _ in INCIDENT_FIELDS]})"
+                for k in ALL_KEYS)}) GROUP BY 1, 2, 3, 4""",
+        "quarantine_retry": """WITH q AS (
+              SELECT namespace, type, status AS reason, CASE WHEN status = 'unregistered_type' AND namespace = 'site' AND type = 'cart_events'
+                THEN (CASE WHEN tenant_id IS NULL THEN 'null_tenant' ELSE 'accepted' END) ELSE status END AS later FROM routed WHERE status <> 'accepted'
+              UNION ALL SELECT namespace, type, 'coercion_failed', 'coercion_failed' FROM typed_api WHERE failed_cols <> ''
+              UNION ALL SELECT namespace, type, 'coercion_failed', 'coercion_failed' FROM typed_inc WHERE failed_cols <> ''
+            ) SELECT namespace, type, reason, CAST(sum(b) AS BIGINT) AS n_before, CAST(sum(a) AS BIGINT) AS n_after FROM (
+              SELECT namespace, type, reason, 1 AS b, 0 AS a FROM q UNION ALL SELECT namespace, type, later, 0, 1 FROM q) GROUP BY 1, 2, 3""",
+        "log_order": f"""SELECT namespace, type, source_partition, group_seq, count(*) AS n_events,
+            min(source_offset) AS first_offset, max(source_offset) AS last_offset FROM (
+              SELECT namespace, type, CAST(source_offset % 3 AS INTEGER) AS source_partition, source_offset,
+                CAST((row_number() OVER (PARTITION BY namespace, type, source_offset % 3 ORDER BY source_offset) - 1) // {GROUP_RECORDS} AS BIGINT) AS group_seq
+              FROM ok_all) GROUP BY 1, 2, 3, 4""",
         "coerce_values": f"""SELECT namespace, type, column_name, data_type, raw_text, value_text, failed, count(*) AS n
             FROM ({_coerce_values()}) GROUP BY 1, 2, 3, 4, 5, 6, 7""",
         "coercion_quarantine": """SELECT namespace, type, column_name, count(*) AS n FROM (

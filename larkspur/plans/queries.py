@@ -6,19 +6,26 @@ envelope) over their whole extent. Column names match the oracle SQL in
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.contract import R_COERCION, SPARK_TYPES
-from larkspur.functions.coerce import attribute, coerce, failed_sql, kind_sql, text_sql, value_sql
-from larkspur.operators.compaction import pending_manifest_as_of, valid_manifest
+from larkspur.contract import R_COERCION, SPARK_TYPES, Layout
+from larkspur.functions.coerce import attribute, failed_sql, kind_sql, text_sql, value_sql
+from larkspur.operators.compaction import merge_pending, pending_manifest_as_of, valid_manifest
 from larkspur.operators.grouping import assign_groups, group_sizes
+from larkspur.operators.ingest import ingest
+from larkspur.operators.packing import packed
 from larkspur.operators.project import project_typed, unknown_attributes
 from larkspur.operators.publish import cleanup_candidates, freshness, guard_reason, read_ledger
 from larkspur.operators.read import read_table, register_views
+from larkspur.operators.retry import retry_quarantine
 from larkspur.operators.staging import read_manifest, read_quarantine, staged_rows
+from larkspur.operators.tables import function_name, sync_tables, table_name
 from larkspur.operators.validate import route
-from larkspur.plans.lake import GROUP_RECORDS, SETTINGS, build_lake, build_readded, build_shared_bucket, raw_batches
+from larkspur.plans.lake import GROUP_RECORDS, OFFSETS_PER_BATCH, SETTINGS, build_lake, build_readded, build_shared_bucket, raw_batches
 from larkspur.session import work_root
 from larkspur.sources.catalog import (
     PACKAGE_CATALOG,
@@ -33,7 +40,7 @@ from larkspur.sources.catalog import (
 )
 from larkspur.functions.times import format_event_time
 from larkspur.sources.envelope import decode_envelope, envelope_json
-from larkspur.sources.fixture import PROBE_KEYS, PROBES, landed_records
+from larkspur.sources.fixture import landed_records
 
 STATUS_OK = "accepted"
 
@@ -141,45 +148,6 @@ def q_typed_projection(spark, sf_dir):
     )
 
 
-def _fmt(value, dt):
-    if dt in ("FLOAT", "DOUBLE"):
-        return (
-            F.when(F.isnan(value), F.lit("NaN"))
-            .when(value.isNotNull(), F.format_string("%.6e", value.cast("double")))
-        )
-    return value.cast("string")
-
-
-def q_coerce_matrix(spark, sf_dir):
-    """Each probe value coerced to every type, over the probe rows of
-    page_actions (every fourth one) only; ``coerce_values`` covers all rows of
-    both tables."""
-    api = next(s for s in _specs(spark) if s.table_name == "page_actions")
-    types = {name: dt for _, name, dt in api.fields}
-    r = _routed(spark, sf_dir).where(
-        (F.col("type") == "page_actions") & F.col("reason").isNull() & (F.col("source_offset") % 4 == 0)
-    )
-    probe_idx = (F.floor(F.col("source_offset") / 4) % len(PROBES)).cast("int")
-    cells = []
-    r = r.select("*", *[attribute("attributes", key).alias(f"_p_{key}") for key in PROBE_KEYS])
-    for key in PROBE_KEYS:
-        value, failed = coerce(f"_p_{key}", types[key])
-        cells.append(F.struct(
-            F.lit(key).alias("column_name"),
-            F.lit(types[key]).alias("data_type"),
-            _fmt(value, types[key]).alias("value_text"),
-            failed.alias("failed"),
-        ))
-    exploded = r.select(probe_idx.alias("probe_idx"), F.explode(F.array(*cells)).alias("c")).select(
-        "probe_idx", "c.*"
-    )
-    return exploded.groupBy("probe_idx", "column_name", "data_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("failed").cast("int")).cast("bigint").alias("n_failed"),
-        F.max("value_text").alias("value_text"),
-    )
-
-
 def _exact(value, dt):
     """Text of a coerced value; 9 digits tell any two floats apart, 15 any two
     doubles of decimal texts of that length."""
@@ -219,6 +187,19 @@ def q_coerce_values(spark, sf_dir):
     return r.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_coerce_matrix(spark, sf_dir):
+    """What became of the values of each declared column, over every
+    accepted row of both tables."""
+    c = q_coerce_values(spark, sf_dir)
+    kept = F.col("value_text").isNotNull()
+    return c.groupBy("namespace", "type", "column_name", "data_type").agg(
+        F.sum("n").cast("bigint").alias("n"),
+        F.sum(F.when(F.col("failed"), F.col("n")).otherwise(0)).cast("bigint").alias("n_failed"),
+        F.sum(F.when(kept, F.col("n")).otherwise(0)).cast("bigint").alias("n_values"),
+        F.count_distinct("value_text").alias("n_distinct"),
+    )
+
+
 def q_coercion_quarantine(spark, sf_dir):
     """Failed columns of quarantined rows."""
     routed = _routed(spark, sf_dir)
@@ -583,6 +564,141 @@ def q_two_sources_ingest(spark, sf_dir):
     return out
 
 
+# --- keyed buffer, manifest stream, catalog tables, retry ------------------------------
+
+def q_buffer_groups(spark, sf_dir):
+    """The log through the keyed buffer as a stream: groups that
+    closed by count, and what still waits in the state of each key."""
+    from larkspur.sources.stream import file_source
+    from larkspur.streaming.buffer import KEY, drain, grouped_events, waiting_events
+
+    root = work_root(spark, "buffer")
+    raw = landed_records(spark, sf_dir)
+    raw.repartitionByRange(32, "source_offset").write.parquet(f"{root}/landing")
+    source = file_source(spark, f"{root}/landing", max_files_per_trigger=16)
+    valid = decode_envelope(source).where(F.col("reason").isNull()).select(*source.columns)
+    settings = replace(SETTINGS, max_buffer_time="PT1H")
+    query = (
+        grouped_events(valid, settings).writeStream.outputMode("append").format("parquet").option("path", f"{root}/groups")
+        .option("checkpointLocation", f"{root}/_checkpoint").trigger(processingTime="1 second").start()
+    )
+    drain(query)
+    span = [F.count(F.lit(1)).alias("n_events"), F.min("source_offset").alias("first_offset"), F.max("source_offset").alias("last_offset")]
+    closed = spark.read.parquet(f"{root}/groups").groupBy(*KEY, "group_seq", "closed_by").agg(*span)
+    number = closed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("group_seq"))
+    waiting = waiting_events(spark, f"{root}/_checkpoint").groupBy(*KEY).agg(*span).join(number, KEY, "left")
+    waiting = waiting.withColumn("group_seq", F.coalesce("group_seq", F.lit(0)).cast("bigint")).withColumn("closed_by", F.lit("waiting"))
+    return closed.unionByName(waiting.select(closed.columns))
+
+
+def q_manifest_stream(spark, sf_dir):
+    """Merges by a streaming query over the manifest: two rounds of
+    batches, each merged by a run that reads only what is new."""
+    from larkspur.streaming.merges import run_merges
+
+    root = work_root(spark, "manifest-stream")
+    apply_all(spark, PACKAGE_CATALOG, root)
+    raw, specs = raw_batches(spark, sf_dir), live_tables(spark, root)
+    n = int(raw.agg(F.max("source_offset").alias("m")).first()["m"] or 0) // OFFSETS_PER_BATCH + 1
+    cut = n // 2 * OFFSETS_PER_BATCH
+    for part in (raw.where(F.col("source_offset") < cut), raw.where(F.col("source_offset") >= cut)):
+        ingest(spark, part, root, specs, SETTINGS)
+        run_merges(spark, root, f"{root}/_merges", SETTINGS, {"availableNow": True}).awaitTermination()
+    return read_ledger(spark, Layout(root)).groupBy("namespace", "type").agg(
+        F.count(F.lit(1)).alias("n_merges"), F.sum("total_records").cast("bigint").alias("total_records"),
+        F.sum(F.size("child_batches")).cast("bigint").alias("n_child_batches"),
+    )
+
+
+_PREFIXES: dict = {}
+
+
+def _published(spark, sf_dir):
+    """The lake's committed merges in Spark's catalog, in databases of its own."""
+    lake = build_lake(spark, sf_dir)
+    if lake.root not in _PREFIXES:
+        prefix = f"lake{uuid.uuid4().hex[:8]}_"
+        sync_tables(spark, lake.layout, lake.specs, prefix)
+        _PREFIXES[lake.root] = prefix
+    return lake, _PREFIXES[lake.root]
+
+
+def q_catalog_read(spark, sf_dir):
+    """Another session reads a committed table by its name."""
+    lake, prefix = _published(spark, sf_dir)
+    name = table_name(lake.spec("page_actions"), prefix)
+    return spark.newSession().sql(f"""
+        SELECT event_date, count(*) AS n, CAST(coalesce(sum(k), 0) AS BIGINT) AS sum_k, count(DISTINCT event_id) AS n_ids
+        FROM {name} GROUP BY event_date""")
+
+
+def q_sql_between(spark, sf_dir):
+    """K2: SQL table functions that prune folders by event time alone."""
+    lake, prefix = _published(spark, sf_dir)
+    actions, alarms = (function_name(lake.spec(t), prefix) for t in ("page_actions", "alarms"))
+    return spark.sql(f"""
+        SELECT 'page_actions' AS type, event_date, count(*) AS n, CAST(coalesce(sum(k), 0) AS BIGINT) AS sum_k
+        FROM {actions}(TIMESTAMP_NTZ'2024-01-10 00:00:00', TIMESTAMP_NTZ'2024-01-17 00:00:00') GROUP BY event_date
+        UNION ALL
+        SELECT 'alarms', event_date, count(*), CAST(coalesce(sum(k), 0) AS BIGINT)
+        FROM {alarms}(TIMESTAMP_NTZ'2024-01-10 06:00:00', TIMESTAMP_NTZ'2024-01-12 18:30:00') GROUP BY event_date""")
+
+
+#: Records of a rewrite group of staged units.
+PACK_RECORDS = 3000
+
+
+def q_packed_units(spark, sf_dir):
+    """K5: staged units packed into rewrite groups by their running size."""
+    m = read_manifest(spark, build_lake(spark, sf_dir).layout).select("namespace", "type", "batch_id", "total_records")
+    return packed(m, "total_records", PACK_RECORDS, "batch_id")
+
+
+def q_unknown_kinds(spark, sf_dir):
+    """Attributes that no declared column picks up, by what their values are."""
+    routed = _routed(spark, sf_dir).where(F.col("reason").isNull())
+    declared = catalog_fields(load_catalog(spark, PACKAGE_CATALOG)).select("namespace", "table_name", "name")
+    return unknown_attributes(routed, declared).groupBy("namespace", "type", "attribute", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_quarantine_retry(spark, sf_dir):
+    """Quarantined records tried again after a table for them was declared:
+    rows of each reason before and after, and what its table then holds."""
+    root = work_root(spark, "retry")
+    apply_all(spark, PACKAGE_CATALOG, root)
+    layout, settings = Layout(root), SETTINGS
+    ingest(spark, raw_batches(spark, sf_dir), root, live_tables(spark, root), settings)
+    count = lambda df, name: df.groupBy("namespace", "type", "reason").agg(F.count(F.lit(1)).alias(name))
+    before = count(read_quarantine(spark, layout), "n_before").collect()  # a row for each reason and type
+    apply_all(spark, f"{PACKAGE_CATALOG}_carts", root)
+    retry_quarantine(spark, root, settings)
+    specs = live_tables(spark, root)
+    merge_pending(spark, layout, specs, settings)
+    carts = next(s for s in specs if s.table_name == "cart_events")
+    taken = read_table(spark, root, carts).select(F.lit("site").alias("namespace"), F.lit("cart_events").alias("type"), F.lit(STATUS_OK).alias("reason"))
+    after = count(read_quarantine(spark, layout).select("namespace", "type", "reason").unionByName(taken), "n_after")
+    first = spark.createDataFrame(before, "namespace string, type string, reason string, n_before long").select(
+        F.col("namespace").alias("ns0"), F.col("type").alias("type0"), F.col("reason").alias("reason0"), "n_before")
+    same = F.col("namespace").eqNullSafe(F.col("ns0")) & F.col("type").eqNullSafe(F.col("type0")) & (F.col("reason") == F.col("reason0"))
+    return after.join(first, same, "full").select(
+        F.coalesce("namespace", "ns0").alias("namespace"), F.coalesce("type", "type0").alias("type"), F.coalesce("reason", "reason0").alias("reason"),
+        F.coalesce("n_before", F.lit(0)).cast("bigint").alias("n_before"), F.coalesce("n_after", F.lit(0)).cast("bigint").alias("n_after"),
+    )
+
+
+def q_log_order(spark, sf_dir):
+    """F1 F2: committed rows grouped anew by where they stood in their log: the
+    order of arrival survives staging and merging."""
+    lake = build_lake(spark, sf_dir)
+    out = None
+    for spec in lake.specs:
+        t = read_table(spark, lake.root, spec, positions=True).select(
+            F.lit(spec.namespace).alias("namespace"), F.lit(spec.table_name).alias("type"),
+            F.col("log_partition").alias("source_partition"), F.col("log_offset").alias("source_offset"))
+        out = t if out is None else out.unionByName(t)
+    return group_sizes(assign_groups(out, GROUP_RECORDS))
+
+
 QUERIES = {
     "shared_location": q_shared_location,
     "readd_column": q_readd_column,
@@ -623,4 +739,12 @@ QUERIES = {
     "quarantine_report": q_quarantine_report,
     "sql_view_read": q_sql_view_read,
     "freshness": q_freshness,
+    "buffer_groups": q_buffer_groups,
+    "manifest_stream": q_manifest_stream,
+    "catalog_read": q_catalog_read,
+    "sql_between": q_sql_between,
+    "packed_units": q_packed_units,
+    "unknown_kinds": q_unknown_kinds,
+    "quarantine_retry": q_quarantine_retry,
+    "log_order": q_log_order,
 }

@@ -36,7 +36,7 @@ log = logging.getLogger(__name__)
 _LOCKS: dict[str, threading.Lock] = {}
 
 
-def _lock(root: str) -> threading.Lock:
+def merge_lock(root: str) -> threading.Lock:
     """Ingest and merges of one lake take turns in this driver: a replayed
     batch is not merged while it is written anew."""
     return _LOCKS.setdefault(root.rstrip("/"), threading.Lock())
@@ -59,7 +59,7 @@ def make_batch_writer(root: str, checkpoint: str, settings: Settings, merge_ever
         spark = batch.sparkSession
         if not label:
             label.append(query_label(spark, checkpoint))
-        with _lock(root):
+        with merge_lock(root):
             specs = live_tables(spark, root)
             name = batch_label(label[0], batch_id)
             ingest(spark, batch.withColumn("batch_id", F.lit(name)), root, specs, settings, batch_ids=[name])
@@ -72,7 +72,7 @@ def make_batch_writer(root: str, checkpoint: str, settings: Settings, merge_ever
 def merge_now(spark: SparkSession, root: str, settings: Settings) -> None:
     """Merge what is pending; a table that fails is logged and stays pending."""
     try:
-        with _lock(root):
+        with merge_lock(root):
             merge_pending(spark, Layout(root), live_tables(spark, root), settings)
     except MergeError as e:
         log.error("some tables stay pending: %s", e)
@@ -114,5 +114,5 @@ def run_ingest(source: DataFrame, root: str, checkpoint: str, settings: Settings
 
 def final_merge(spark: SparkSession, root: str, settings: Settings | None = None):
     """Merge whatever is still pending (e.g. after an ``availableNow`` run)."""
-    with _lock(root):
+    with merge_lock(root):
         return merge_pending(spark, Layout(root), live_tables(spark, root), settings)
