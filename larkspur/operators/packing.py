@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from larkspur.contract import Layout, Settings
 from larkspur.operators.compaction import merge_id_of
-from larkspur.operators.tables import files_name, register_merge
+from larkspur.operators.tables import drop_merges, files_name, register_merge
 from larkspur.sources.catalog import TableSpec
 
 #: Ranges of the order that are windows of their own, cut by a sample by hash.
@@ -53,9 +53,8 @@ def rewrite_table(spark: SparkSession, layout: Layout, spec: TableSpec, target_r
         rows = files.where(F.col("merge_id").isin(g["ids"])).drop("merge_id")
         rows = rows.repartition(min(32, spark.sparkContext.defaultParallelism), *spec.partition_columns).sortWithinPartitions(*order)
         rows.write.mode("overwrite").partitionBy(*spec.partition_columns).parquet(f"{layout.data(spec)}/merge_id={new}")
-        drop = ", ".join(f"PARTITION (merge_id='{m}')" for m in g["ids"])
         register_merge(spark, layout, spec, new, prefix)
-        spark.sql(f"ALTER TABLE {files_name(spec, prefix)} DROP IF EXISTS {drop}")
+        drop_merges(spark, spec, g["ids"], prefix)
         spark.catalog.refreshTable(files_name(spec, prefix))
         done.append((new, g["ids"]))
     return done

@@ -15,6 +15,8 @@ was dropped and declared again does not show what it held before.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,19 @@ OBSERVED = 400
 REJECTED = -1
 
 
+@contextmanager
+def settings_of(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session while something is planned and run."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_records: int | None = None) -> None:
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records:
@@ -57,7 +72,10 @@ def land(events: DataFrame, specs: list[TableSpec], layout: Layout, batch_ids: l
     rows = rows.observe(seen, *counts).select(
         *rejected, *(s.row_name for s in specs), F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")).alias("outcome"),
         *(c.alias(n) for n, c in to.items()), "batch_id")
-    overwrite_partitions(rows, layout.landing, ["outcome", "to_bucket", "to_namespace", "to_table", "batch_id"], max_records)
+    # the columns of all tables are too many for one generated method: without
+    # whole-stage code they compile as split functions, and compile once
+    with settings_of(events.sparkSession, {"spark.sql.codegen.wholeStage": "false"}):
+        overwrite_partitions(rows, layout.landing, ["outcome", "to_bucket", "to_namespace", "to_table", "batch_id"], max_records)
     found = seen.get
     return {key: int(found[f"n{k}"]) for k, key in enumerate(keys)}
 

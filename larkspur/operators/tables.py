@@ -38,7 +38,9 @@ def files_name(spec: TableSpec, prefix: str = "") -> str:
 
 
 def function_name(spec: TableSpec, prefix: str = "") -> str:
-    return f"{database(spec, prefix)}.{quoted(spec.table_name + '_between')}"
+    """SQL calls table functions without a database, so the name tells it: the
+    function is in the database that is current when the table is created."""
+    return quoted(f"{prefix}{spec.namespace}__{spec.table_name}_between")
 
 
 def _partitions(spec: TableSpec) -> str:
@@ -72,6 +74,21 @@ def create_table(spark: SparkSession, layout: Layout, spec: TableSpec, prefix: s
     spark.sql(f"CREATE OR REPLACE FUNCTION {function_name(spec, prefix)}(from_time TIMESTAMP_NTZ, to_time TIMESTAMP_NTZ) RETURNS TABLE ({fields}) RETURN SELECT {names} FROM {view} WHERE {where}")
 
 
+def _clause(spec: TableSpec, values: dict[str, str]) -> str:
+    hour = f", event_hour={int(values['event_hour'])}" if spec.hourly else ""
+    return f"PARTITION (merge_id={_literal(values['merge_id'])}, event_date=DATE{_literal(values['event_date'])}{hour})"
+
+
+def drop_merges(spark: SparkSession, spec: TableSpec, merge_ids: list[str], prefix: str = "") -> int:
+    """Take the merges' partitions out of the catalog, in one statement; their
+    files stay."""
+    rows = spark.sql(f"SHOW PARTITIONS {files_name(spec, prefix)}").where(F.split(F.split("partition", "/")[0], "=")[1].isin(merge_ids)).collect()
+    parts = [_clause(spec, dict(p.split("=", 1) for p in r["partition"].split("/"))) for r in rows]
+    if parts:
+        spark.sql(f"ALTER TABLE {files_name(spec, prefix)} DROP IF EXISTS {', '.join(parts)}")
+    return len(parts)
+
+
 def registered_merges(spark: SparkSession, spec: TableSpec, prefix: str = "") -> set[str]:
     rows = spark.sql(f"SHOW PARTITIONS {files_name(spec, prefix)}").select(F.split(F.split("partition", "/")[0], "=")[1].alias("m")).distinct()
     return {r["m"] for r in rows.collect()}
@@ -84,8 +101,7 @@ def register_merge(spark: SparkSession, layout: Layout, spec: TableSpec, merge_i
     parts = []
     for path, _ in storage.listed(spark, f"{layout.data(spec)}/merge_id={merge_id}/{depth}"):
         values = dict(p.split("=", 1) for p in path.split("/")[-2 if spec.hourly else -1 :])
-        hour = f", event_hour={int(values['event_hour'])}" if spec.hourly else ""
-        parts.append(f"PARTITION (merge_id={_literal(merge_id)}, event_date=DATE{_literal(values['event_date'])}{hour})")
+        parts.append(_clause(spec, {"merge_id": merge_id, **values}))
     if parts:
         spark.sql(f"ALTER TABLE {files_name(spec, prefix)} ADD IF NOT EXISTS {' '.join(parts)}")
     return len(parts)

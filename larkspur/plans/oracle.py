@@ -306,7 +306,7 @@ def oracle_sql() -> dict[str, str]:
                 f"FROM routed WHERE status = 'accepted' AND j_{k} IS NOT NULL "
                 f"AND NOT (type = 'page_actions' AND {k in [n for n, _ in API_FIELDS]}) AND NOT (type = 'alarms' AND {k in [n for n, _ in INCIDENT_FIELDS]})"
                 for k in ALL_KEYS)}) GROUP BY 1, 2, 3, 4""",
-        "quarantine_retry": """WITH q AS (
+        "quarantine_retry": """, q AS (
               SELECT namespace, type, status AS reason, CASE WHEN status = 'unregistered_type' AND namespace = 'site' AND type = 'cart_events'
                 THEN (CASE WHEN tenant_id IS NULL THEN 'null_tenant' ELSE 'accepted' END) ELSE status END AS later FROM routed WHERE status <> 'accepted'
               UNION ALL SELECT namespace, type, 'coercion_failed', 'coercion_failed' FROM typed_api WHERE failed_cols <> ''

@@ -132,11 +132,12 @@ def waiting_events(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 def drain(query: StreamingQuery, poll_seconds: float = 0.5) -> None:
-    """Wait until a batch finds nothing new in the source, and stop the query:
-    with timers it has always another batch, so it never ends by itself."""
+    """Wait until two batches on end find nothing new in the source (the first
+    may be one that was cut off before a restart), and stop the query: with
+    timers it has always another batch, so it never ends by itself."""
     while query.isActive:
-        seen = query.lastProgress
-        if seen and seen["numInputRows"] == 0:
+        last = query.recentProgress[-2:]
+        if len(last) == 2 and not any(p["numInputRows"] for p in last):
             break
         time.sleep(poll_seconds)
     if query.exception():
