@@ -32,7 +32,7 @@ from larkspur.sources.catalog import (
     apply_schema,
     live_tables,
 )
-from larkspur.sources.fixture import landed_records
+from tools.event_log import landed_records
 
 # Parameters of the scenario (the oracle SQL uses the same numbers).
 OFFSETS_PER_BATCH = 2500

@@ -10,7 +10,7 @@ checker.
 from __future__ import annotations
 
 from larkspur.plans.lake import EPOCH, GROUP_RECORDS, OFFSETS_PER_BATCH
-from larkspur.sources.fixture import PROBES
+from tools.event_log import PROBES
 
 
 # The texts that the rules accept, written here for DuckDB alone.

@@ -40,7 +40,7 @@ from larkspur.sources.catalog import (
 )
 from larkspur.functions.times import format_event_time
 from larkspur.sources.envelope import decode_envelope, envelope_json
-from larkspur.sources.fixture import landed_records
+from tools.event_log import landed_records
 
 STATUS_OK = "accepted"
 

@@ -2,7 +2,7 @@
 
 from larkspur.__main__ import main
 from larkspur.sources.catalog import PACKAGE_CATALOG
-from larkspur.sources.fixture import landed_records
+from tools.event_log import landed_records
 
 
 def test_cli_round_trip(spark, root, capsys):

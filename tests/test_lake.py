@@ -11,7 +11,7 @@ from larkspur.operators.publish import cleanup_candidates, commit_guard, guard_r
 from larkspur.operators.read import read_table
 from larkspur.operators.staging import read_manifest
 from larkspur.sources.catalog import PACKAGE_CATALOG, apply_all, live_tables
-from larkspur.sources.fixture import landed_records
+from tools.event_log import landed_records
 
 SF = "/root/testdata/sf0.001"
 

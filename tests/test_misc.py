@@ -12,7 +12,7 @@ from larkspur.operators.compaction import MergeError, merge_pending, pending_man
 from larkspur.operators.ingest import batch_ids_by_offset, ingest
 from larkspur.operators.publish import read_ledger
 from larkspur.sources.catalog import PACKAGE_CATALOG, apply_all, live_tables, read_declaration, SchemaNotFound
-from larkspur.sources.fixture import landed_records
+from tools.event_log import landed_records
 
 
 def test_iso_durations():

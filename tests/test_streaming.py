@@ -6,7 +6,7 @@ from larkspur.contract import Settings
 from larkspur.operators.publish import read_ledger
 from larkspur.contract import Layout
 from larkspur.sources.catalog import PACKAGE_CATALOG, apply_all
-from larkspur.sources.fixture import landed_records
+from tools.event_log import landed_records
 from larkspur.sources.stream import file_source
 from larkspur.streaming.ingest import final_merge, run_ingest
 
