@@ -83,6 +83,16 @@ def test_hand_written_rules(spark):
         assert tuple(licenses.scanned(spark.createDataFrame([(k, text)], "doc_id long, text string")).first())[1:] == brute(text)
 
 
+def test_plain_strings_before_the_gate_lose_nothing():
+    parts = re.split(r"\|(?![^(]*\))", licenses.GATE)
+    texts = [*TEXTS, *SAID, "covered with x", "redistributed according to", "MS-PL", "Ofl 1.1", "proprietary and confidential"]
+    for text in texts:
+        words = " ".join(WORD.findall(text.translate(LOWER)))
+        if re.search(licenses.GATE, words):
+            assert any(x in f" {words} " for x in licenses.GATE_STRINGS), text
+    assert len(parts) > 20
+
+
 def test_resolution_is_by_priority(spark):
     matches = [(0, -10, 5, "a", 0.1), (2, -4, 6, "b", 0.2), (8, -12, 1, "c", 0.3), (20, -30, 2, "d", 0.4), (21, -22, 3, "e", 0.5), (29, -40, 4, "f", 0.6), (30, -35, 9, "g", 0.7), (40, -41, 8, "h", 0.8)]
     rows = spark.createDataFrame([(matches,)], f"m array<{licenses.MATCH}>")
