@@ -50,6 +50,8 @@ DEVIATIONS = 8.0
 #: Share of the way from the language's own cost to the other languages' cost.
 FOREIGN = 0.75
 SPACE = 32
+#: Bytes of text that are scored at once; each takes some hundred bytes of memory.
+STEP = 1 << 18
 
 
 @lru_cache(1)
@@ -315,7 +317,7 @@ def identified(docs: DataFrame, languages: Languages, id_col: str = "doc_id", te
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, models = sent.value.names, sent.value.models
         for frame in frames:
-            for rows, data, at in batches(frame):
+            for rows, data, at in batches(frame, step=STEP):
                 _, pred, score, entropy, rejected = judged(names, models, strings_of(data, at))
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "entropy", "rejected"])
 
@@ -345,7 +347,7 @@ def kept_documents(docs: DataFrame, languages: Languages) -> DataFrame:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, models = sent.value.names, sent.value.models
         for frame in frames:
-            for rows, data, at in batches(frame):
+            for rows, data, at in batches(frame, step=STEP):
                 yield rows.filter(pa.array(~judged(names, models, strings_of(data, at))[4]))
 
     return docs.mapInArrow(run, docs.schema)
