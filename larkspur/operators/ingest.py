@@ -4,8 +4,8 @@ This is the body of the streaming ``foreachBatch`` and also the batch entry
 point (many batches at once, told apart by a ``batch_id`` column). The work
 is one narrow pass: decode (A2) -> validate and route (B1-B3, J1) -> typed rows
 of all tables (B10, C*) -> one partitioned write of accepted and rejected rows
-(A5, Q1-Q5), counted while written (D5) -> manifest (A6). Nothing is cached and
-nothing landed is read again.
+(A5, Q1-Q5) -> manifest (A6) from the footers of what was written (D5). Nothing
+is cached and no landed column is read again.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from larkspur.contract import Layout, Settings
 from larkspur.operators.project import project_tables
-from larkspur.operators.staging import OBSERVED, land, publish_landed
+from larkspur.operators.staging import BATCHES_AT_ONCE, REJECTED, land, publish_landed
 from larkspur.operators.validate import route
 from larkspur.sources import storage
 from larkspur.sources.catalog import TableSpec
@@ -45,12 +45,12 @@ def ingest(spark: SparkSession, raw: DataFrame, root: str, specs: list[TableSpec
     if batch_ids is None:
         batch_ids = sorted(r["batch_id"] for r in raw.select("batch_id").distinct().collect())
     storage.make_dirs(spark, layout.quarantine)
-    # a part at a time, so that what one write counts is bounded
-    size, tables = max(1, OBSERVED // (len(specs) + 1)), set()
-    for k in range(0, len(batch_ids), size):
-        some = batch_ids[k : k + size]
-        part = raw if len(some) == len(batch_ids) else raw.where(F.col("batch_id").isin(some))
-        counts = land(project_tables(route(decode_envelope(part), specs), specs, load_time), specs, layout, some, settings.max_buffer_records)
-        publish_landed(spark, specs, layout, some, counts)
-        tables |= {i for (i, _), n in counts.items() if n and i >= 0}
+    # a part at a time, so that the folders of one write are bounded
+    tables = set()
+    for k in range(0, len(batch_ids), BATCHES_AT_ONCE):
+        some = batch_ids[k : k + BATCHES_AT_ONCE]
+        part = raw if len(some) == len(batch_ids) else raw.where(F.col("batch_id").between(some[0], some[-1]))
+        filled = land(project_tables(route(decode_envelope(part), specs), specs, load_time), specs, layout, settings.max_buffer_records)
+        publish_landed(spark, specs, layout, some, filled)
+        tables |= {i for i, _ in filled if i != REJECTED}
     return IngestReport(batch_ids, [(specs[i].namespace, specs[i].table_name) for i in sorted(tables)])

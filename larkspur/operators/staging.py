@@ -2,8 +2,8 @@
 
 One write lands a whole input: the rows of every table, each as a struct of its
 own, and the rejected records, in folders by outcome, bucket, namespace, table
-and batch. Rows are counted while they are written; sizes come from the store's
-listing; so no landed file is read again. A batch that is written again
+and batch. The write observes which folders it fills; their rows and bytes come from
+the footers of their files, read by a Spark job. A batch that is written again
 replaces its folders, and those that the new attempt does not fill go, so a
 replay under another schema leaves no stale rows. The manifest (one row per
 table and batch) is written last, to ``{root}/manifest/batch_id=<id>/``.
@@ -14,7 +14,6 @@ was dropped and declared again does not show what it held before.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -26,9 +25,13 @@ from larkspur.contract import MANIFEST_DDL, QUARANTINE_DDL, Layout, escaped
 from larkspur.sources import storage
 from larkspur.sources.catalog import TableSpec
 
-#: Counts that one write observes, at most; a longer backlog is landed in parts.
-OBSERVED = 400
+#: Batches of one write, at most; a longer backlog is landed in parts.
+BATCHES_AT_ONCE = 10_000
+#: Manifest files that one task writes, as far as there are cores.
+MANIFESTS_PER_TASK = 50
 REJECTED = -1
+#: Folders of landed files.
+PLACE = ["outcome", "to_bucket", "to_namespace", "to_table", "batch_id"]
 
 
 @contextmanager
@@ -51,9 +54,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_
     w.partitionBy(*partition_by).parquet(path)
 
 
-def land(events: DataFrame, specs: list[TableSpec], layout: Layout, batch_ids: list[str], max_records: int) -> dict:
-    """A5: write the rows of ``project_tables`` in one pass and return how many
-    each (table's place, batch) got; REJECTED is the quarantine's place.
+def land(events: DataFrame, specs: list[TableSpec], layout: Layout, max_records: int) -> set[tuple[int, str]]:
+    """A5: write the rows of ``project_tables`` in one pass and return the places
+    that got rows: (a table's place in ``specs`` or REJECTED, batch).
 
     No file is written for a batch without rows (B14). Files hold at most
     ``max_records`` rows, the count bound of an event group."""
@@ -65,50 +68,46 @@ def land(events: DataFrame, specs: list[TableSpec], layout: Layout, batch_ids: l
             to[name] = F.when(mine, F.lit(value)).otherwise(to[name])
     place = F.when(accepted, F.col("_table")).otherwise(F.lit(REJECTED))
     rejected = [F.when(~accepted, F.col(c)).alias(c) for c in ("reason", "detail", "namespace", "type", "source_partition", "source_offset", "value", "key", "source_ts", "log_name", "attempts")]
-    keys = [(i, b) for b in batch_ids for i in (REJECTED, *range(len(specs)))]
-    counts = [F.count_if((F.col("_place") == i) & (F.col("batch_id") == b)).alias(f"n{k}") for k, (i, b) in enumerate(keys)]
-    rows = events.withColumn("_place", place).where("_place is not null")
     seen = Observation()
-    rows = rows.observe(seen, *counts).select(
+    # a set of the filled places costs a row one lookup, however many batches
+    # there are. The filter stays above it: below, it would be pushed down with
+    # a copy of the whole projection.
+    rows = events.withColumn("_place", place).observe(seen, F.collect_set(F.struct("_place", "batch_id")).alias("filled")).where("_place is not null").select(
         *rejected, *(s.row_name for s in specs), F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")).alias("outcome"),
         *(c.alias(n) for n, c in to.items()), "batch_id")
     # the columns of all tables are too many for one generated method: without
     # whole-stage code they compile as split functions, and compile once
     with settings_of(events.sparkSession, {"spark.sql.codegen.wholeStage": "false"}):
-        overwrite_partitions(rows, layout.landing, ["outcome", "to_bucket", "to_namespace", "to_table", "batch_id"], max_records)
-    found = seen.get
-    return {key: int(found[f"n{k}"]) for k, key in enumerate(keys)}
+        overwrite_partitions(rows, layout.landing, PLACE, max_records)
+    return {(r["_place"], r["batch_id"]) for r in seen.get["filled"] or [] if r["_place"] is not None}
 
 
-def landed_sizes(spark: SparkSession, layout: Layout, batch_ids: list[str]) -> dict[str, int]:
-    """Bytes of each folder of the batches, from the store's listing."""
-    sizes: dict[str, int] = defaultdict(int)
-    for b in batch_ids:
-        for path, size in storage.listed(spark, f"{layout.landing}/*/*/*/*/batch_id={escaped(b)}/*.parquet"):
-            sizes[path.rsplit("/", 1)[0]] += size
-    return sizes
+def landed_totals(spark: SparkSession, layout: Layout, paths: list[str]) -> dict[tuple, tuple[int, int]]:
+    """Rows and bytes of folders of staged rows, by namespace, table and batch.
+    No column is read: a file's footer tells its rows."""
+    files = spark.read.schema(", ".join(f"{c} string" for c in PLACE)).option("basePath", layout.landing).parquet(*paths)
+    keys = [F.coalesce(c, F.lit("")).alias(c) for c in PLACE[2:]]
+    files = files.groupBy(*keys, F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"))
+    rows = files.groupBy(*PLACE[2:]).agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect()  # a row a folder
+    return {tuple(r[c] for c in PLACE[2:]): (int(r["n"]), int(r["size"])) for r in rows}
 
 
-def publish_landed(spark: SparkSession, specs: list[TableSpec], layout: Layout, batch_ids: list[str], counts: dict) -> None:
+def publish_landed(spark: SparkSession, specs: list[TableSpec], layout: Layout, batch_ids: list[str], filled: set[tuple[int, str]]) -> None:
     """The manifest of what was landed; folders that an earlier attempt
     at these batches filled and this one did not are removed."""
-    sizes = landed_sizes(spark, layout, batch_ids)
-    wanted, rows = set(), []
-    for (i, b), n in counts.items():
-        if not n:
-            continue
-        path = f"{layout.quarantine}/batch_id={escaped(b)}" if i == REJECTED else layout.staged(specs[i], b)
-        wanted.add(storage.name_of(path))
-        if i != REJECTED:
-            size = next((v for k, v in sizes.items() if storage.name_of(k) == storage.name_of(path)), 0)
-            rows.append((specs[i].namespace, specs[i].table_name, path, n, size, None, b))
-    for path in sizes:
-        if storage.name_of(path) not in wanted:
-            storage.delete(spark, path)
-    for b in set(batch_ids) - {r[-1] for r in rows}:
+    staged = {(i, b): layout.staged(specs[i], b) for i, b in sorted(filled) if i != REJECTED}
+    wanted = {storage.name_of(p) for p in staged.values()} | {storage.name_of(f"{layout.quarantine}/batch_id={escaped(b)}") for i, b in filled if i == REJECTED}
+    for place, _ in storage.listed(spark, f"{layout.landing}/*/*/*/*"):
+        for b in batch_ids:
+            path = f"{place}/batch_id={escaped(b)}"
+            if storage.name_of(path) not in wanted:
+                storage.delete(spark, path)
+    for b in set(batch_ids) - {b for _, b in staged}:
         storage.delete(spark, f"{layout.manifest}/batch_id={escaped(b)}")
-    if rows:
-        write_manifest(spark.createDataFrame(rows, MANIFEST_DDL), layout)
+    if staged:
+        totals = landed_totals(spark, layout, list(staged.values()))
+        rows = [(specs[i].namespace, specs[i].table_name, path, *totals[specs[i].namespace, specs[i].table_name, b], None, b) for (i, b), path in staged.items()]
+        write_manifest(spark.createDataFrame(rows, MANIFEST_DDL), layout, len(rows))
 
 
 def landed_schema(spec: TableSpec) -> T.StructType:
@@ -135,9 +134,10 @@ def read_staged(spark: SparkSession, spec: TableSpec, layout: Layout, batch_ids:
     return rows.select(*spec.from_physical(), *(f.name for f in spec.stored().fields[-3:]), "batch_id", "_metadata")
 
 
-def write_manifest(manifest: DataFrame, layout: Layout) -> None:
-    """Publish manifest rows of the batches in ``manifest``."""
-    overwrite_partitions(manifest.repartition("batch_id"), layout.manifest, ["batch_id"])
+def write_manifest(manifest: DataFrame, layout: Layout, n_rows: int) -> None:
+    """Publish manifest rows of the batches in ``manifest``, a file a batch."""
+    writers = min(manifest.sparkSession.sparkContext.defaultParallelism, -(-n_rows // MANIFESTS_PER_TASK))
+    overwrite_partitions(manifest.repartition(max(1, writers), "batch_id"), layout.manifest, ["batch_id"])
 
 
 def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:

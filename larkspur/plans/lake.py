@@ -48,6 +48,7 @@ class Lake:
     half: int
     specs: list
     steps: dict = field(default_factory=dict)  # seconds per build step
+    first_round: int = 0  # the ledger's last number after the first round of merges
 
     @property
     def layout(self) -> Layout:
@@ -120,12 +121,12 @@ def build_lake(spark: SparkSession, sf_dir: str, scenario: str = "main") -> Lake
     if half > 0:  # replay of the first batch: must replace, not add
         step("replay_batch", lambda: ingest(
             spark, raw.where(F.col("source_offset") < OFFSETS_PER_BATCH), root, specs, SETTINGS))
-    step("merge_round1", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))
+    merged = step("merge_round1", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))
     if scenario == "evolve":
         apply_schema(spark, PACKAGE_CATALOG_V2, root, "site", "page_actions")
         specs = live_tables(spark, root)
     step("stage_round2", lambda: ingest(spark, raw.where(F.col("source_offset") >= cut), root, specs, SETTINGS))
     step("merge_round2", lambda: merge_pending(spark, Layout(root), specs, SETTINGS))
-    lake = Lake(root, n_batches, half, live_tables(spark, root), steps)
+    lake = Lake(root, n_batches, half, live_tables(spark, root), steps, max((m.merge_seq for m in merged), default=0))
     _CACHE[key] = lake
     return lake

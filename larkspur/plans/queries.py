@@ -307,8 +307,7 @@ def q_merge_roundtrip(spark, sf_dir):
 def q_pending_files(spark, sf_dir):
     """Staged files not covered by the ledger as of the first round."""
     lake = build_lake(spark, sf_dir)
-    first_round = len([s for s in lake.specs]) if lake.half > 0 else 0
-    p = pending_manifest_as_of(spark, lake.layout, first_round)
+    p = pending_manifest_as_of(spark, lake.layout, lake.first_round)
     return p.groupBy("namespace", "type").agg(
         F.count_distinct("batch_id").alias("n_batches"),
         F.sum("total_records").cast("bigint").alias("total_records"),
@@ -351,8 +350,7 @@ def q_time_range_read(spark, sf_dir):
 def q_as_of_read(spark, sf_dir):
     """page_actions as of the first commit round."""
     lake = build_lake(spark, sf_dir)
-    as_of = len(lake.specs) if lake.half > 0 else 0
-    t = read_table(spark, lake.root, lake.spec("page_actions"), as_of=as_of)
+    t = read_table(spark, lake.root, lake.spec("page_actions"), as_of=lake.first_round)
     return t.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -31,14 +31,12 @@ def listed(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
 
 
 def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Data files below a folder, at any depth: their number and bytes."""
+    """Data files that a write left below a folder, at any depth: their number
+    and bytes. The store sums them, in one call."""
     fs, p = _fs(spark, path)
-    files, found = [], fs.listFiles(p, True)
-    while found.hasNext():
-        f = found.next()
-        if f.getPath().getName().endswith(".parquet"):
-            files.append(f.getLen())
-    return len(files), sum(files)
+    found = fs.getContentSummary(p)
+    marks = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))  # empty
+    return found.getFileCount() - int(marks), found.getLength()
 
 
 def name_of(path: str) -> str:
