@@ -30,8 +30,12 @@ from larkspur.llm.pieces import Store, cut
 RANKS = "byte_bpe_50k.tiktoken"
 #: Bytes beyond which a piece leaves the matrices.
 LONG = 256
-#: Cells of one matrix.
-CELLS = 1 << 20
+#: Cells of one matrix; a lookup of pairs takes about 80 bytes for each.
+CELLS = 1 << 17
+#: Bytes of text of one step: a step takes about a hundred times as much memory.
+STEP = 1 << 18
+#: Distinct pieces that a worker keeps.
+KEPT = 400_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -179,7 +183,7 @@ def load(path: str) -> Bpe:
 
 @lru_cache(2)
 def store(path: str) -> Store:
-    return Store(load(path).encode_pieces)
+    return Store(load(path).encode_pieces, KEPT)
 
 
 def encode_batch(path: str, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -204,7 +208,7 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            for rows, data, at in batches(frame):
+            for rows, data, at in batches(frame, step=STEP):
                 ids, starts, _, _ = encode_batch(path, strings_of(data, at))
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
 
@@ -233,7 +237,7 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            for rows, data, at in batches(frame):
+            for rows, data, at in batches(frame, step=STEP):
                 ids, starts, raw, ends = encode_batch(path, strings_of(data, at))
                 ids, raw = ids.astype("<u4").tobytes(), raw.tobytes()
                 s, e = (4 * starts).tolist(), ends.tolist()

@@ -21,6 +21,8 @@ from larkspur.llm.common import mix64, spread, words64
 
 #: Distinct pieces that a task keeps; beyond them it starts anew.
 KEPT = 800_000
+#: Code points that are classed at once; a divisor of the surrogates' range.
+BLOCK = 0x800
 WHITE, LETTER, NUMBER, OTHER = range(4)
 APOSTROPHE = ord("'")
 
@@ -30,12 +32,14 @@ def classes() -> np.ndarray:
     """The class of every code point, as the regex library has it."""
     if public_tokenizers.PATTERN != r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""":
         raise ValueError("pieces are cut for another pattern")
-    chars = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     out = np.full(0x110000, OTHER, np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
-        for m in regex.finditer(pattern, chars):
-            a, b = ord(chars[m.start()]), ord(chars[m.end() - 1])
-            out[a : b + 1] = kind
+    # a few at a time: strings of all code points take over 100 MB for a moment, in every worker at once
+    for lo in range(0, 0x110000, BLOCK):
+        if not 0xD800 <= lo < 0xE000:  # no surrogates
+            chars = np.arange(lo, lo + BLOCK, dtype="<u4").tobytes().decode("utf-32-le")
+            for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
+                for m in regex.finditer(pattern, chars):
+                    out[lo + m.start() : lo + m.end()] = kind
     return out
 
 
@@ -118,21 +122,20 @@ class Grown:
 class Store:
     """Token ids of distinct pieces. encode: ids of each of some pieces."""
 
-    BITS = 21
-
     def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], kept: int = KEPT):
         self.encode, self.kept = encode, kept
+        self.bits = max(16, kept.bit_length() + 1)
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)  # sorted
         self.slot = np.zeros(0, np.int32)
         self.at, self.size, self.pool = Grown(np.int64), Grown(np.int32), Grown(np.int32)
-        self.near_key = np.zeros(1 << self.BITS, np.uint64)  # direct-mapped, before the sorted keys
-        self.near_slot = np.full(1 << self.BITS, -1, np.int32)
+        self.near_key = np.zeros(1 << self.bits, np.uint64)  # direct-mapped, before the sorted keys
+        self.near_slot = np.full(1 << self.bits, -1, np.int32)
 
     def _near(self, key: np.ndarray) -> np.ndarray:
-        return (key >> np.uint64(64 - self.BITS)).astype(np.int64)
+        return (key >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _add(self, pieces: list[bytes]) -> np.ndarray:
         new = self.encode(pieces)

@@ -1,9 +1,11 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -80,3 +82,25 @@ def test_encoded_then_decoded(edge_docs):
     texts = sorted((r[0] or 0, (r[1] or "").encode()) for r in edge_rows())
     back = bpe.decoded(bpe.encoded(edge_docs)).collect()
     assert sorted((r["doc_id"] or 0, bytes(r["bytes"])) for r in back) == texts
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_worker():
+    assert peak_mb(pieces.classes.__wrapped__) < 8  # all code points at once: over 60
+    pieces.classes(), bpe.load(PATH)
+    rnd = random.Random(5)
+    frame = pa.RecordBatch.from_pydict({"doc_id": range(200), "text": [" ".join("".join(rnd.choices("abcdefgh", k=7)) for _ in range(700)) for _ in range(200)]})
+    tool = bpe.store(PATH)
+    tool.clear()
+    texts = [bpe.strings_of(data, at) for _, data, at in bpe.batches(frame, step=bpe.STEP)]
+    assert sum(map(len, texts)) == 200
+    assert peak_mb(lambda: [bpe.encode_batch(PATH, t) for t in texts[:2]]) < 60
+    assert tool.near_key.nbytes + tool.near_slot.nbytes < 16 * 2**20
