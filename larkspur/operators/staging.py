@@ -27,6 +27,8 @@ from larkspur.sources.catalog import TableSpec
 
 #: Batches of one write, at most; a longer backlog is landed in parts.
 BATCHES_AT_ONCE = 10_000
+#: Splits of the log for each core, at least, as far as it has files or row groups.
+SPLITS_PER_CORE = 4
 #: Manifest files that one task writes, as far as there are cores.
 MANIFESTS_PER_TASK = 50
 REJECTED = -1
@@ -76,8 +78,11 @@ def land(events: DataFrame, specs: list[TableSpec], layout: Layout, max_records:
         *rejected, *(s.row_name for s in specs), F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")).alias("outcome"),
         *(c.alias(n) for n, c in to.items()), "batch_id")
     # the columns of all tables are too many for one generated method: without
-    # whole-stage code they compile as split functions, and compile once
-    with settings_of(events.sparkSession, {"spark.sql.codegen.wholeStage": "false"}):
+    # whole-stage code they compile as split functions, and compile once. Files
+    # are not packed into a task for each core: a round's rows lie in some of
+    # the files only, and tasks that got none would leave their cores idle
+    splits = str(SPLITS_PER_CORE * events.sparkSession.sparkContext.defaultParallelism)
+    with settings_of(events.sparkSession, {"spark.sql.codegen.wholeStage": "false", "spark.sql.files.minPartitionNum": splits}):
         overwrite_partitions(rows, layout.landing, PLACE, max_records)
     return {(r["_place"], r["batch_id"]) for r in seen.get["filled"] or [] if r["_place"] is not None}
 

@@ -45,6 +45,24 @@ def test_one_write_for_many_batches(spark, root, monkeypatch):
     assert staging.read_quarantine(spark, Layout(root)).count() == 150
 
 
+def test_files_of_the_log_are_landed_beside_each_other(spark, root, monkeypatch):
+    apply_all(spark, PACKAGE_CATALOG, root)
+    cores = spark.sparkContext.defaultParallelism
+    backlog(spark, 2 * cores).repartitionByRange(4 * cores, "source_offset").write.parquet(f"{root}/raw")
+    tasks, real = [], staging.overwrite_partitions
+
+    def counted(df, path, *rest):
+        if path == Layout(root).landing:
+            tasks.append(df.rdd.getNumPartitions())
+        real(df, path, *rest)
+
+    monkeypatch.setattr(staging, "overwrite_partitions", counted)
+    step.ingest(spark, spark.read.parquet(f"{root}/raw"), root, live_tables(spark, root))
+    files = len(glob.glob(f"{root}/raw/*.parquet"))
+    assert tasks == [files] and files > 2 * cores  # packed by core: at most about 2 tasks a core
+    assert staging.read_manifest(spark, Layout(root)).count() == 2 * cores
+
+
 def test_parts_of_a_backlog(spark, root, monkeypatch):
     apply_all(spark, PACKAGE_CATALOG, root)
     monkeypatch.setattr(step, "BATCHES_AT_ONCE", 2)
