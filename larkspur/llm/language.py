@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import M64, batches, mix64, ready, saved, strings_of, texts_of
+from larkspur.llm.common import M64, batches, code_points, mix64, ready, saved, strings_of, texts_of
 
 ORDER = 5
 #: Labelled rows of each language that a model is fitted on, at most.
@@ -57,12 +57,12 @@ STEP = 1 << 18
 @lru_cache(1)
 def letters() -> np.ndarray:
     """Code point to its lower-cased code point; a space for what is no letter."""
-    chars = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     out = np.full(0x110000, SPACE, np.uint32)
-    for m in regex.finditer(r"[\p{L}\p{M}]+", chars):
-        for c in m[0]:
-            low = c.lower()
-            out[ord(c)] = ord(low) if len(low) == 1 else ord(c)
+    for _, chars in code_points():
+        for m in regex.finditer(r"[\p{L}\p{M}]+", chars):
+            for c in m[0]:
+                low = c.lower()
+                out[ord(c)] = ord(low) if len(low) == 1 else ord(c)
     return out
 
 

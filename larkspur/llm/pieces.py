@@ -17,12 +17,10 @@ import numpy as np
 import public_tokenizers
 import regex
 
-from larkspur.llm.common import mix64, spread, words64
+from larkspur.llm.common import code_points, mix64, spread, words64
 
 #: Distinct pieces that a task keeps; beyond them it starts anew.
 KEPT = 800_000
-#: Code points that are classed at once; a divisor of the surrogates' range.
-BLOCK = 0x800
 WHITE, LETTER, NUMBER, OTHER = range(4)
 APOSTROPHE = ord("'")
 
@@ -33,13 +31,10 @@ def classes() -> np.ndarray:
     if public_tokenizers.PATTERN != r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""":
         raise ValueError("pieces are cut for another pattern")
     out = np.full(0x110000, OTHER, np.uint8)
-    # a few at a time: strings of all code points take over 100 MB for a moment, in every worker at once
-    for lo in range(0, 0x110000, BLOCK):
-        if not 0xD800 <= lo < 0xE000:  # no surrogates
-            chars = np.arange(lo, lo + BLOCK, dtype="<u4").tobytes().decode("utf-32-le")
-            for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
-                for m in regex.finditer(pattern, chars):
-                    out[lo + m.start() : lo + m.end()] = kind
+    for lo, chars in code_points():
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
+            for m in regex.finditer(pattern, chars):
+                out[lo + m.start() : lo + m.end()] = kind
     return out
 
 
