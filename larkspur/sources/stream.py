@@ -53,10 +53,16 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = DATA_
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                 name: str | None = None) -> DataFrame:
-    """Raw records landed as Parquet files (same columns as the topic).
-    ``name`` tells logs apart that number their records alike."""
+    """Raw records landed as Parquet files (same columns as the topic) in a
+    folder or in the folders right below it.
+    ``name`` tells logs apart that number their records alike. What a lake
+    lands in the same folder (``outcome=…``) is not part of the log."""
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if not set(path) & set("*?[{"):  # a folder; a caller's own pattern stays as it is
+        own = "outcome="
+        others = [*(own[:k] for k in range(1, len(own))), *(f"{own[:k]}[^{own[k]}]*" for k in range(1, len(own))), "[^o_.]*"]
+        path = f"{path.rstrip('/')}/{{{','.join(others)}}}"
     records = reader.parquet(path)
     return records if name is None else records.withColumn("source_name", F.lit(name))
