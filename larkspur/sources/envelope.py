@@ -77,21 +77,25 @@ def decode_envelope(raw: DataFrame, default_time: Column | None = None) -> DataF
     )
 
 
-def envelope_json() -> Column:
+def envelope_json(attributes: Column | None = None) -> Column:
     """JSON text of the decoded envelope columns (A3).
 
     Times are written as ``yyyy-MM-dd HH:mm:ss`` text, not epoch numbers;
-    null fields are left out.
+    null fields are left out. ``attributes`` is the JSON text of that column,
+    where a caller has it already: writing a VARIANT costs more than the rest.
     """
-    return F.to_json(
+    attributes = F.to_json("attributes") if attributes is None else attributes
+    head = F.to_json(
         F.struct(
             F.col("namespace").alias("namespace"),
             F.col("type").alias("type"),
             F.col("tenant_id").alias("tenantId"),
             format_event_time(F.col("event_time")).alias("eventTime"),
-            F.col("attributes").alias("attributes"),
         )
     )
+    # attributes come last, in place of the closing brace
+    opened = F.when(head == "{}", F.lit("{")).otherwise(F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(",")))
+    return F.when(attributes.isNull(), head).otherwise(F.concat(opened, F.lit('"attributes":'), attributes, F.lit("}")))
 
 
 def encode_envelope(events: DataFrame) -> DataFrame:

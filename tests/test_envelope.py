@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larkspur.contract import RAW_SCHEMA
 from larkspur.operators.validate import route
 from larkspur.sources.catalog import PACKAGE_CATALOG, load_catalog, specs_from_catalog
-from larkspur.sources.envelope import decode_envelope, encode_envelope
+from larkspur.sources.envelope import decode_envelope, encode_envelope, envelope_json
 
 TS = dt.datetime(2025, 11, 20, 8, 45, 10)
 
@@ -67,3 +67,16 @@ def test_encode_writes_text_time(spark):
     assert '"eventTime":"2025-11-20 08:15:30"' in j and '"attributes":{"k":1}' in j
     again = decode_envelope(encode_envelope(d).withColumn("key", F.lit(None).cast("string"))).first()
     assert again["reason"] is None and again["event_time"] == dt.datetime(2025, 11, 20, 8, 15, 30)
+
+
+def test_envelope_from_attributes_already_written(spark):
+    values = [
+        '{"namespace":"a}\\\\n","type":"t}","tenantId":"}","eventTime":"2024-01-01 00:00:00","attributes":{"z":1e3,"y":[1.50,{"q":null}]}}',
+        '{"attributes":{}}', '{"attributes":null}', '{"type":"t"}', "{}", "{", None,
+    ]
+    d = decode_envelope(_raw(spark, values)).withColumn("text", F.to_json("attributes"))
+    whole = F.to_json(F.struct("namespace", "type", F.col("tenant_id").alias("tenantId"),
+                               F.substring(F.col("event_time").cast("string"), 1, 19).alias("eventTime"), "attributes"))
+    rows = d.select(whole.alias("whole"), envelope_json(F.col("text")).alias("given"), envelope_json().alias("own")).collect()
+    assert len(rows) == len(values)
+    assert all(r["whole"] == r["given"] == r["own"] for r in rows), rows
