@@ -44,6 +44,7 @@ TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0
 # (schema_of_variant); a missing value and JSON null are VOID. All kinds not
 # named here are numbers: BIGINT (integers), DECIMAL and DOUBLE.
 VOID, STRING, BOOLEAN = "VO", "ST", "BO"
+NUMERIC_TYPES = ("INT", "LONG", "FLOAT", "DOUBLE")
 NOT_NUMBERS = "('VO', 'ST', 'BO', 'OB', 'AR')"
 
 

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from larkspur.contract import R_COMMIT_GUARD, Layout, Settings
 from larkspur.functions.times import event_date
-from larkspur.operators.publish import guard_reason, read_ledger, settled_batches, write_ledger_row, write_rejected
-from larkspur.operators.staging import read_manifest, read_staged
+from larkspur.operators.publish import guard_reason, one_row, read_ledger, settled_batches, write_ledger_row, write_rejected
+from larkspur.operators.staging import listing, read_manifest, read_staged
+from larkspur.session import settings_of
 from larkspur.sources import storage
 from larkspur.sources.catalog import POSITION, TableSpec
 
@@ -141,8 +142,8 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
     total = int(found["n"] or 0)
     if total != total_rows:
         raise RuntimeError(f"merge {merge_id} wrote {total} rows of {total_rows} staged ones")
-    facts = spark.createDataFrame([(total, length, spec.table_name, target)], "total_records long, length long, type string, location string")
-    why = facts.select(guard_reason().alias("why")).first()["why"]
+    facts = {"total_records": total, "length": length, "type": spec.table_name, "location": target}
+    why = one_row(spark, facts, "total_records long, length long, type string, location string").select(guard_reason().alias("why")).first()["why"]
     single = int(summary_row["n_files"]) == 1
     row = {
         "namespace": spec.namespace,
@@ -212,7 +213,8 @@ def merge_all(spark: SparkSession, layout: Layout, specs: list[TableSpec], plans
 
     if not todo:
         return []
-    with ThreadPoolExecutor(max_workers=min(MERGES_AT_ONCE, len(todo))) as pool:
+    # set around the threads, which share the session's settings
+    with settings_of(spark, listing(spark)), ThreadPoolExecutor(max_workers=min(MERGES_AT_ONCE, len(todo))) as pool:
         found = list(pool.map(one_table, todo))
     results = sorted((r for done, _ in found for r in done), key=lambda r: r.merge_seq)
     errors = [e for _, bad in found for e in bad]

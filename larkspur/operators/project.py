@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.contract import COMMON_FIELDS, R_COERCION
-from larkspur.functions.coerce import attribute, failed_sql, kind_sql, text_sql, value_sql
+from larkspur.functions.coerce import NUMERIC_TYPES, attribute, failed_sql, kind_sql, text_sql, value_sql
 from larkspur.functions.ids import event_ulid
 from larkspur.sources.catalog import TableSpec, physical_name, quoted
 
@@ -126,8 +126,11 @@ def _shared_columns(app_id: str, specs: tuple[TableSpec, ...]):
     pair = {p: m for m, p in enumerate(pairs)}
     of = {name: [i for i, s in enumerate(specs) if name in s.field_names] for name in names}
     attributes = [F.when(F.col("_table").isin(of[name]), attribute("attributes", name)).alias(f"_a{j}") for j, name in enumerate(names)]
-    kinds = [c for j in range(len(names)) for c in (F.expr(kind_sql(f"_a{j}")).alias(f"_k{j}"), F.expr(text_sql(f"_a{j}")).alias(f"_t{j}"))]
-    typed = [F.expr(value_sql(f"_a{at[n]}", dt, f"_k{at[n]}", f"_t{at[n]}")).alias(f"_v{m}") for m, (n, dt) in enumerate(pairs)]
+    # a number's text is dear to make, and a numeric type looks at texts of strings only
+    worded = {name for name, dt in pairs if dt not in NUMERIC_TYPES}
+    text = {name: f"_t{j}" for name, j in at.items() if name in worded}
+    kinds = [F.expr(kind_sql(f"_a{j}")).alias(f"_k{j}") for j in at.values()] + [F.expr(text_sql(f"_a{at[n]}")).alias(t) for n, t in text.items()]
+    typed = [F.expr(value_sql(f"_a{at[n]}", dt, f"_k{at[n]}", text.get(n))).alias(f"_v{m}") for m, (n, dt) in enumerate(pairs)]
     failed = None
     for i, s in enumerate(specs):
         parts = [f"CASE WHEN {failed_sql(f'_k{at[n]}', f'_v{pair[n, dt]}')} THEN {_text(n)} END" for _, n, dt in _product_fields(s)]

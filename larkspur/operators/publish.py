@@ -9,8 +9,12 @@ instead of appending the same files twice.
 
 from __future__ import annotations
 
+import json
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.contract import LEDGER_DDL, REJECTED_DDL, Layout
 from larkspur.sources import storage
@@ -68,9 +72,19 @@ def read_rejected(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.schema(REJECTED_DDL).parquet(layout.rejected)
 
 
+def one_row(spark: SparkSession, row: dict, ddl: str) -> DataFrame:
+    """A row as literals, so that no Python worker is started for it."""
+    def literal(value):
+        if isinstance(value, list):
+            return F.from_json(F.lit(json.dumps(value)), "array<string>")
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, datetime) else value)
+
+    return spark.sql("SELECT 1").select(*(literal(row[f.name]).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(ddl)))
+
+
 def write_rejected(spark: SparkSession, layout: Layout, row: dict) -> None:
     """Keep a refused merge, once: its batches are no longer pending."""
-    df = spark.createDataFrame([row], REJECTED_DDL).drop("merge_id")
+    df = one_row(spark, row, REJECTED_DDL).drop("merge_id")
     df.coalesce(1).write.mode("overwrite").parquet(f"{layout.rejected}/merge_id={row['merge_id']}")
 
 
@@ -89,7 +103,7 @@ def settled_batches(spark: SparkSession, layout: Layout, as_of: int | None = Non
 
 def write_ledger_row(spark: SparkSession, layout: Layout, row: dict) -> None:
     """A10: the visibility point of one merge."""
-    df = spark.createDataFrame([row], LEDGER_DDL).drop("namespace", "type", "merge_id")
+    df = one_row(spark, row, LEDGER_DDL).drop("namespace", "type", "merge_id")
     target = f"{ledger_path(layout, row['namespace'], row['type'])}/merge_id={row['merge_id']}"
     df.coalesce(1).write.mode("overwrite").parquet(target)
 

@@ -14,14 +14,12 @@ was dropped and declared again does not show what it held before.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.contract import MANIFEST_DDL, QUARANTINE_DDL, Layout, escaped
+from larkspur.session import settings_of
 from larkspur.sources import storage
 from larkspur.sources.catalog import TableSpec
 
@@ -29,6 +27,9 @@ from larkspur.sources.catalog import TableSpec
 BATCHES_AT_ONCE = 10_000
 #: Splits of the log for each core, at least, as far as it has files or row groups.
 SPLITS_PER_CORE = 4
+#: Tasks that list the folders of a read, at most for each core. Spark's own limit
+#: is a task a folder, which the driver takes longer to send than to list.
+LISTERS_PER_CORE = 2
 #: Manifest files that one task writes, as far as there are cores.
 MANIFESTS_PER_TASK = 50
 REJECTED = -1
@@ -36,17 +37,9 @@ REJECTED = -1
 PLACE = ["outcome", "to_bucket", "to_namespace", "to_table", "batch_id"]
 
 
-@contextmanager
-def settings_of(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Settings of the session while something is planned and run."""
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+def listing(spark: SparkSession) -> dict[str, str]:
+    """Settings under which a read of many folders is listed."""
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(LISTERS_PER_CORE * spark.sparkContext.defaultParallelism)}
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], max_records: int | None = None) -> None:
@@ -90,7 +83,8 @@ def land(events: DataFrame, specs: list[TableSpec], layout: Layout, max_records:
 def landed_totals(spark: SparkSession, layout: Layout, paths: list[str]) -> dict[tuple, tuple[int, int]]:
     """Rows and bytes of folders of staged rows, by namespace, table and batch.
     No column is read: a file's footer tells its rows."""
-    files = spark.read.schema(", ".join(f"{c} string" for c in PLACE)).option("basePath", layout.landing).parquet(*paths)
+    with settings_of(spark, listing(spark)):
+        files = spark.read.schema(", ".join(f"{c} string" for c in PLACE)).option("basePath", layout.landing).parquet(*paths)
     keys = [F.coalesce(c, F.lit("")).alias(c) for c in PLACE[2:]]
     files = files.groupBy(*keys, F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"))
     rows = files.groupBy(*PLACE[2:]).agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect()  # a row a folder
@@ -123,7 +117,8 @@ def staged_rows(spark: SparkSession, spec: TableSpec, layout: Layout, paths: lis
     """Staged rows as stored (columns by field id, position) with batch_id;
     only this table's columns are read."""
     base = layout.staged(spec)
-    rows = spark.read.schema(landed_schema(spec)).option("basePath", base).parquet(*(paths or [base]))
+    with settings_of(spark, listing(spark)):
+        rows = spark.read.schema(landed_schema(spec)).option("basePath", base).parquet(*(paths or [base]))
     return rows.select(f"{spec.row_name}.*", "batch_id", "_metadata")
 
 
@@ -149,10 +144,12 @@ def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
     """The manifest; empty before the first batch, an error if unreadable."""
     if not storage.exists(spark, layout.manifest):
         return spark.createDataFrame([], MANIFEST_DDL)
-    return spark.read.schema(MANIFEST_DDL).parquet(layout.manifest)
+    with settings_of(spark, listing(spark)):
+        return spark.read.schema(MANIFEST_DDL).parquet(layout.manifest)
 
 
 def read_quarantine(spark: SparkSession, layout: Layout) -> DataFrame:
     if not storage.exists(spark, layout.quarantine):
         return spark.createDataFrame([], QUARANTINE_DDL)
-    return spark.read.schema(QUARANTINE_DDL).parquet(layout.quarantine)
+    with settings_of(spark, listing(spark)):
+        return spark.read.schema(QUARANTINE_DDL).parquet(layout.quarantine)

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.times import format_event_time
+from larkspur.session import settings_of
 
 # --- fixed values: coercion edge inputs, as JSON literal text ---------------
 PROBES = [
@@ -170,11 +171,11 @@ def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         n = max(2, spark.sparkContext.defaultParallelism * 2)
         # cut the narrow events rows by offset first (cheap sampling and
         # shuffle), then build the JSON text in parallel after the exchange
-        (
-            raw_records(events_table(spark, sf_dir).repartitionByRange(n, "event_id"))
-            .write.option("maxRecordsPerFile", LANDING_ROWS_PER_FILE)
-            .parquet(path)
-        )
+        rows = raw_records(events_table(spark, sf_dir).repartitionByRange(n, "event_id"))
+        # one generated method for all of a record's text is too long for the JVM
+        # to compile; without whole-stage code it is split
+        with settings_of(spark, {"spark.sql.codegen.wholeStage": "false"}):
+            rows.write.option("maxRecordsPerFile", LANDING_ROWS_PER_FILE).parquet(path)
         _LANDED[key] = path
     from larkspur.contract import RAW_SCHEMA
 
