@@ -15,6 +15,8 @@ import hashlib
 from datetime import datetime, timezone
 import logging
 import math
+import threading
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,10 +33,34 @@ from larkspur.sources.catalog import POSITION, TableSpec
 
 log = logging.getLogger(__name__)
 
-#: Tables that are merged beside each other.
+#: Merges that are written beside each other, of one table or of several.
 MERGES_AT_ONCE = 8
 
 
+class CommitTurn:
+    """Lets a table's merges commit in their order, also if a later one is
+    written first: a reader as of a number must not see more under it later.
+    After a merge that failed none of the table's later ones commits."""
+
+    def __init__(self) -> None:
+        self._turn, self._failed, self._changed = 0, False, threading.Condition()
+
+    def wait(self, place: int) -> bool:
+        """True when all merges before ``place`` have committed, False if one failed."""
+        with self._changed:
+            self._changed.wait_for(lambda: self._failed or self._turn >= place)
+            return not self._failed
+
+    def done(self, place: int, failed: bool = False) -> None:
+        with self._changed:
+            self._turn, self._failed = place + 1, self._failed or failed
+            self._changed.notify_all()
+
+
+class MergeSkipped(Exception):
+    """An earlier merge of the table failed; this one stays pending with it."""
+
+
 def valid_manifest(manifest: DataFrame) -> DataFrame:
     """Drop rows with a blank namespace, type or location."""
     cond = F.lit(True)
@@ -115,9 +141,10 @@ class MergeError(RuntimeError):
 
 
 def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_row, merge_seq: int,
-                settings: Settings, others_write: bool = True) -> MergeResult:
+                settings: Settings, others_write: bool = True, may_commit: Callable[[], bool] = lambda: True) -> MergeResult:
     """Merge the pending files of one table and commit them. What the ledger
-    says of the merge is observed while it is written; nothing is read again."""
+    says of the merge is observed while it is written; nothing is read again.
+    ``may_commit`` waits until the merge is next to commit."""
     batches = list(summary_row["child_batches"])
     merge_id = merge_id_of(spec.namespace, spec.table_name, batches)
     staged = read_staged(spark, spec, layout, batches)
@@ -161,6 +188,8 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
         "min_event_time": found["t0"],
         "max_event_time": found["t1"],
     }
+    if not may_commit():
+        raise MergeSkipped(merge_id)
     now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     if why is not None:
         log.error("merge %s of %s|%s refused: %s", merge_id, spec.namespace, spec.table_name, why)
@@ -180,7 +209,7 @@ def merge_table(spark: SparkSession, layout: Layout, spec: TableSpec, summary_ro
 
 def merge_all(spark: SparkSession, layout: Layout, specs: list[TableSpec], plans: list[dict], settings: Settings,
               first_seq: int | None = None) -> list[MergeResult]:
-    """Make the planned merges, those of different tables beside each other.
+    """Make the planned merges beside each other; those of a table commit in their order.
     ``first_seq`` is given by a caller that alone hands out batches, each once;
     otherwise the ledger is asked for the next number and for other writers.
 
@@ -201,21 +230,33 @@ def merge_all(spark: SparkSession, layout: Layout, specs: list[TableSpec], plans
             continue
         todo.setdefault(spec, []).append((next_seq + sum(map(len, todo.values())), r))
 
-    def one_table(spec: TableSpec) -> tuple[list, list]:
-        done: list = []
-        for seq, r in todo[spec]:
-            try:
-                done.append(merge_table(spark, layout, spec, r, seq, settings, *([False] if first_seq is not None else [])))
-            except Exception as e:  # noqa: BLE001 - isolate tables, re-raise below
-                log.error("merge of %s|%s failed: %s", r["namespace"], r["type"], e)
-                return done, [(r["namespace"], r["type"], e)]
-        return done, []
+    turns = {spec: CommitTurn() for spec in todo}
+
+    def one_merge(spec: TableSpec, place: int) -> tuple[list, list]:
+        seq, r = todo[spec][place]
+        turn = turns[spec]
+        try:
+            done = merge_table(spark, layout, spec, r, seq, settings, first_seq is None, lambda: turn.wait(place))
+        except MergeSkipped:
+            return [], []
+        except Exception as e:  # noqa: BLE001 - isolate tables, re-raise below
+            log.error("merge of %s|%s failed: %s", r["namespace"], r["type"], e)
+            told = turn.wait(place)  # of a table only the first failure
+            turn.done(place, failed=True)
+            return [], [(r["namespace"], r["type"], e)] if told else []
+        except BaseException:  # nobody must wait for it
+            turn.done(place, failed=True)
+            raise
+        turn.done(place)
+        return [done], []
 
     if not todo:
         return []
+    # by place, so that every merge's predecessors have started before it
+    order = sorted(((spec, k) for spec in todo for k in range(len(todo[spec]))), key=lambda m: m[1])
     # set around the threads, which share the session's settings
-    with settings_of(spark, listing(spark)), ThreadPoolExecutor(max_workers=min(MERGES_AT_ONCE, len(todo))) as pool:
-        found = list(pool.map(one_table, todo))
+    with settings_of(spark, listing(spark)), ThreadPoolExecutor(max_workers=min(MERGES_AT_ONCE, len(order))) as pool:
+        found = list(pool.map(lambda m: one_merge(*m), order))
     results = sorted((r for done, _ in found for r in done), key=lambda r: r.merge_seq)
     errors = [e for _, bad in found for e in bad]
     if errors:
